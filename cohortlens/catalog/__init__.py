@@ -2,6 +2,6 @@
 
 from .registry import ORACLES, QUERIES
 
-from . import relational, scalars, plans, features, neighbors  # noqa: E402,F401  (they register themselves)
+from . import relational, scalars, plans, features, neighbors, models  # noqa: E402,F401  (they register themselves)
 
 __all__ = ["ORACLES", "QUERIES"]

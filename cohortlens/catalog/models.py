@@ -1 +1,250 @@
+"""Queries over model fits, searches, scores and explanations."""
 
+from __future__ import annotations
+
+from pyspark.ml import Pipeline
+from pyspark.ml.classification import LogisticRegression
+from pyspark.sql import functions as F
+
+from ..explain.contributions import tree_contributions
+from ..fixtures import CATEGORICAL, NUMERIC, load, view
+from ..functions import threshold_pred
+from ..models import linear as L
+from ..models import registry as G
+from ..models import search as H
+from ..models import trees as B
+from ..operators.features import OneHot, assemble, feature_names
+from ..operators.metrics import log_loss
+from ..plans.cohorts import unit_cohorts
+from ..plans.flow import per_unit, retention_risk
+from ..session import cut, fresh_path
+from .features import ONE_HOT
+from .plans import NAMES
+from .registry import COMPLETE, RUN_DATE, SQL_PROB, cohort, complete, query, r6, scored_complete
+from .relational import SCORED
+
+CODED = [*[n for n, _ in ONE_HOT], *NUMERIC]
+# Columns that vary, for designs that must have full rank.
+PLAIN = ["male", "underrep_minority", "resident", "fall_lec_count", "fall_withdrawn_hours"]
+
+
+def encoded(spark, sf, by_unit: bool = False):
+    """Complete rows with indicators and an assembled vector: the whole table, or routed to units."""
+    df = unit_cohorts(cohort(spark, sf), NAMES) if by_unit else complete(spark, sf)
+    by = ["unit"] if by_unit else []
+    encoder = OneHot.fit(df.where("split = 'training'"), CATEGORICAL, by)
+    coded = encoder.transform(df).select(*by, "split", "emplid", "enrl_ind", *CODED)
+    return assemble(CODED).transform(cut(coded, "encoded"))
+
+
+def predictions(df, prob):
+    return df.select("emplid", r6(prob).alias("prob"), threshold_pred(prob).alias("pred"))
+
+
+def split_of(df, split):
+    return df.where(F.col("split") == split)
+
+
+FIT2 = """m AS (SELECT {by}avg(y) AS my, avg(x1) AS m1, avg(x2) AS m2, covar_pop(x1, y) AS s1y, covar_pop(x2, y) AS s2y,
+  var_pop(x1) AS s11, var_pop(x2) AS s22, covar_pop(x1, x2) AS s12 FROM d {group}),
+b AS (SELECT *, (s1y * s22 - s2y * s12) / (s11 * s22 - s12 * s12) AS b1, (s2y * s11 - s1y * s12) / (s11 * s22 - s12 * s12) AS b2 FROM m),
+f AS (SELECT *, my - b1 * m1 - b2 * m2 AS b0 FROM b)"""
+DATA2 = "d AS (SELECT *, CAST(fall_lec_count AS DOUBLE) AS y, CAST(fall_withdrawn_hours AS DOUBLE) AS x1, high_school_gpa / 100000.0 AS x2 FROM complete)"
+
+
+def two_predictors(spark, sf):
+    return complete(spark, sf).withColumns({
+        "y": F.col("fall_lec_count").cast("double"), "x1": F.col("fall_withdrawn_hours").cast("double"),
+        "x2": F.col("high_school_gpa") / 100000.0,
+    })
+
+
+@query("ols_fit", f"""{COMPLETE}, {DATA2}, {FIT2.format(by='', group='')}
+SELECT 'intercept' AS term, round(b0, 6) AS coef FROM f UNION ALL SELECT 'x1', round(b1, 6) FROM f UNION ALL SELECT 'x2', round(b2, 6) FROM f
+UNION ALL SELECT 'r_squared', round((b1 * s1y + b2 * s2y) / (SELECT var_pop(y) FROM d), 6) FROM f""")
+def ols_fit(spark, sf):
+    model = L.ols(two_predictors(spark, sf), "y", ["x1", "x2"])
+    rows = [("intercept", model.intercept), ("x1", model.coefficients[0]), ("x2", model.coefficients[1]), ("r_squared", model.summary.r2)]
+    return spark.createDataFrame([(t, float(v)) for t, v in rows], "term string, coef double").withColumn("coef", r6("coef"))
+
+
+@query("residual_instrument", f"""{COMPLETE}, {DATA2}, {FIT2.format(by='split, ', group='GROUP BY split')}
+SELECT d.emplid, round(d.y - (f.b0 + f.b1 * d.x1 + f.b2 * d.x2), 6) + 0.0 AS instrument FROM d JOIN f ON d.split = f.split""")
+def residual_instrument(spark, sf):
+    return L.residual(two_predictors(spark, sf), "y", ["x1", "x2"], "instrument", ["split"]).select("emplid", r6("instrument").alias("instrument"))
+
+
+@query("vif", f"""{COMPLETE}, {DATA2}, {FIT2.format(by='split, ', group='GROUP BY split')}
+SELECT split, 'x1' AS feature, round(1 / (1 - s12 * s12 / (s11 * s22)), 6) AS vif FROM f
+UNION ALL SELECT split, 'x2', round(1 / (1 - s12 * s12 / (s11 * s22)), 6) FROM f
+UNION ALL SELECT split, 'intercept', round(1 + (m1 * m1 * s22 - 2 * m1 * m2 * s12 + m2 * m2 * s11) / (s11 * s22 - s12 * s12), 6) FROM f""")
+def vif(spark, sf):
+    rows = L.vif(two_predictors(spark, sf), ["x1", "x2"], ["split"])
+    return spark.createDataFrame(rows, "split string, feature string, vif double").withColumn("vif", r6("vif"))
+
+
+@query("logit_inference")
+def logit_inference(spark, sf):
+    df = encoded(spark, sf, by_unit=True)
+    train = split_of(df, "training")
+    fits = per_unit(spark, list("PVTU"), lambda u: L.logit_inference(train.where(F.col("unit") == u).drop("features"), "enrl_ind", PLAIN))
+    rows = [(u, *r) for u, rs in fits.items() for r in rs]
+    return spark.createDataFrame(rows, "unit string, term string, coef double, std_err double, z double, p double, status string")
+
+
+@query("elastic_logit")
+def elastic_logit(spark, sf):
+    df = encoded(spark, sf, by_unit=True)
+    fits = per_unit(spark, list("PVTU"), lambda u: L.elastic_logit(split_of(df, "training").where(F.col("unit") == u), "enrl_ind"))
+    out = None
+    for u, m in fits.items():
+        part = m.transform(split_of(df, "testing").where(F.col("unit") == u)).withColumn("prob", L.prob_of_one())
+        part = predictions(part, "prob").withColumn("unit", F.lit(u))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("huber_linear")
+def huber_linear(spark, sf):
+    df = encoded(spark, sf)
+    model = L.huber_linear(split_of(df, "training"), CODED, "enrl_ind", steps=15)
+    return predictions(split_of(df, "testing").withColumn("prob", model.probability()), "prob")
+
+
+@query("huber_score", f"""{COMPLETE}
+SELECT emplid, round((least(greatest((fall_lec_count - 10) / 10.0, -1.0), 1.0) + 1) / 2, 6) AS prob FROM complete""")
+def huber_score(spark, sf):
+    return complete(spark, sf).select("emplid", r6(L.huber_probability((F.col("fall_lec_count") - 10) / 10.0)).alias("prob"))
+
+
+@query("mlp")
+def mlp(spark, sf):
+    df = encoded(spark, sf)
+    model = L.mlp(split_of(df, "training"), "enrl_ind", len(CODED), max_iter=20)
+    return predictions(model.transform(split_of(df, "testing")).withColumn("prob", L.prob_of_one()), "prob")
+
+
+@query("boosted_trees")
+def boosted_trees(spark, sf):
+    df = encoded(spark, sf)
+    model = B.boosted_trees(split_of(df, "training"), "enrl_ind", rounds=5, depth=3)
+    return predictions(model.transform(split_of(df, "testing")).withColumn("prob", L.prob_of_one()), "prob")
+
+
+@query("boosted_forest")
+def boosted_forest(spark, sf):
+    df = encoded(spark, sf)
+    model = B.boosted_forest(split_of(df, "training"), split_of(df, "validation"), "enrl_ind", rounds=3, trees=16, depth=3, patience=2)
+    return predictions(model.transform(split_of(df, "testing")), "prob")
+
+
+@query("random_forest")
+def random_forest(spark, sf):
+    df = encoded(spark, sf)
+    model = B.random_forest(split_of(df, "training"), "enrl_ind", trees=16, depth=4)
+    return predictions(model.transform(split_of(df, "testing")).withColumn("prob", L.prob_of_one()), "prob")
+
+
+@query("soft_vote", f"""{COMPLETE}, s AS (SELECT emplid, {SQL_PROB} AS p, (least(greatest((fall_lec_count - 10) / 10.0, -1.0), 1.0) + 1) / 2 AS q FROM complete)
+SELECT emplid, round((p + q) / 2, 6) AS prob FROM s""")
+def soft_vote(spark, sf):
+    df = scored_complete(spark, sf).withColumn("q", L.huber_probability((F.col("fall_lec_count") - 10) / 10.0))
+    return df.select("emplid", r6(L.soft_vote("prob", "q")).alias("prob"))
+
+
+@query("isotonic_calibration")
+def isotonic_calibration(spark, sf):
+    df = view(spark, sf, "fx_scored").withColumn("fold", F.pmod(F.xxhash64("l_orderkey", "l_partkey", "l_suppkey"), F.lit(5)).cast("int"))
+    out = L.isotonic_calibration(df.select("y_true", "prob", "fold"), "y_true", "prob", "fold")
+    return out.groupBy("prob").agg(F.max("calibrated").alias("calibrated"), F.count("*").alias("n"))
+
+
+@query("halving_search")
+def halving_search(spark, sf):
+    df = cut(split_of(encoded(spark, sf), "training").withColumn("fold", F.pmod(F.xxhash64("emplid"), F.lit(3))), "folds")
+    choices = H.grid(depth=[1, 3], step=[0.1, 0.5])
+
+    def fit(rows, candidate, resources):
+        model = B.boosted_trees(rows, "enrl_ind", resources, candidate["depth"], candidate["step"])
+        return lambda held: model.transform(held).withColumn("prob", L.prob_of_one())
+
+    _, log = H.halving_search(df, "enrl_ind", "fold", 3, choices, fit, 1, 3)
+    rows = [(r, str(choices[c]), n, k, a) for r, c, n, k, a in log]
+    return spark.createDataFrame(rows, "rung int, candidate string, resources int, fold int, auc double")
+
+
+@query("halving_survivors", f"""{SCORED}, s AS (SELECT l_suppkey AS candidate, l_orderkey % 3 AS fold, avg(CASE WHEN (prob > 0.5) = (y_true = 1) THEN 1.0 ELSE 0.0 END) AS score
+  FROM fx_scored GROUP BY 1, 2), m AS (SELECT candidate, round(avg(score), 9) AS mean_score FROM s GROUP BY candidate)
+SELECT candidate, round(mean_score, 6) AS mean_score FROM (SELECT *, row_number() OVER (ORDER BY mean_score DESC, candidate) AS rn, count(*) OVER () AS n FROM m) t
+WHERE rn <= ceil(n / 3.0)""")
+def halving_survivors(spark, sf):
+    df = view(spark, sf, "fx_scored")
+    right = ((F.col("prob") > 0.5) == (F.col("y_true") == 1)).cast("double")
+    scores = df.groupBy(F.col("l_suppkey").alias("candidate"), (F.col("l_orderkey") % 3).alias("fold")).agg(F.avg(right).alias("score"))
+    return H.survivors(scores, "candidate", "score").withColumn("mean_score", r6("mean_score"))
+
+
+LOSSES = """loss AS (SELECT l_returnflag AS unit, CAST(year(l_shipdate) * 12 + month(l_shipdate) AS INT) AS round,
+  avg(-ln(CASE WHEN l_linestatus = 'O' THEN 0.05 + 9 * l_discount ELSE 1 - (0.05 + 9 * l_discount) END)) AS loss FROM lineitem GROUP BY 1, 2)"""
+
+
+@query("early_stop", f"""WITH {LOSSES},
+p AS (SELECT *, row_number() OVER w AS pos, min(loss) OVER (w ROWS UNBOUNDED PRECEDING) AS low,
+        arg_min(round, loss) OVER (w ROWS UNBOUNDED PRECEDING) AS best_at FROM loss WINDOW w AS (PARTITION BY unit ORDER BY round)),
+q AS (SELECT p.*, b.pos AS best_pos FROM p JOIN p b ON b.unit = p.unit AND b.round = p.best_at),
+s AS (SELECT *, coalesce(min(CASE WHEN pos - best_pos >= 5 THEN pos END) OVER (PARTITION BY unit), max(pos) OVER (PARTITION BY unit)) AS stop FROM q)
+SELECT unit, CAST(best_at AS INT) AS best_round, round(low, 6) AS best_loss, CAST(pos AS INT) AS rounds_run FROM s WHERE pos = stop""")
+def early_stop(spark, sf):
+    df = load(spark, sf, "lineitem").select(
+        F.col("l_returnflag").alias("unit"), (F.year("l_shipdate") * 12 + F.month("l_shipdate")).alias("round"),
+        (F.col("l_linestatus") == "O").cast("int").alias("y"), (0.05 + 9 * F.col("l_discount")).alias("p"),
+    )
+    losses = df.groupBy("unit", "round").agg(log_loss("y", "p").alias("loss"))
+    return B.early_stop(losses, ["unit"], "round", "loss", 5).withColumn("best_loss", r6("best_loss"))
+
+
+def _linear_model(train):
+    return Pipeline(stages=[assemble(PLAIN, "x"), LogisticRegression(featuresCol="x", labelCol="enrl_ind", maxIter=20)]).fit(train)
+
+
+@query("score_batch")
+def score_batch(spark, sf):
+    df = complete(spark, sf)
+    model = _linear_model(split_of(df, "training"))
+    return predictions(model.transform(split_of(df, "testing")).withColumn("prob", L.prob_of_one()), "prob")
+
+
+@query("model_registry")
+def model_registry(spark, sf):
+    df, root = complete(spark, sf), fresh_path(spark, "models")
+    model = _linear_model(split_of(df, "training"))
+    path = G.save_model(model, root, "U", "ft_ft_1yr")
+    again = G.load_model(root, "U", "ft_ft_1yr")
+    test = split_of(df, "testing")
+    first = model.transform(test).select("emplid", L.prob_of_one().alias("prob"))
+    second = again.transform(test).select("emplid", L.prob_of_one().alias("reloaded"))
+    row = G.registry_rows(spark, [("U", "ft_ft_1yr", path)]).drop("path")
+    return first.join(second, "emplid").withColumn("unit", F.lit("U")).join(row, "unit").withColumn("same", F.col("prob") == F.col("reloaded"))
+
+
+@query("tree_contributions")
+def tree_contributions_q(spark, sf):
+    df = encoded(spark, sf)
+    train = split_of(df, "training")
+    model = B.boosted_trees(train, "enrl_ind", rounds=5, depth=3)
+    out = tree_contributions(split_of(df, "testing"), ["emplid"], train, [(model, model.treeWeights)], feature_names(df), link=2.0)
+    return out.select("emplid", "prob", "base", F.inline("contributions")).withColumn("value", r6("value"))
+
+
+@query("retention_risk")
+def retention_risk_q(spark, sf):
+    run = retention_risk(cohort(spark, sf), CATEGORICAL, NUMERIC, "PVTU", 2, "ft_ft_1yr", RUN_DATE,
+                         rounds=3, trees=8, depth=3, patience=2)
+    return run.outcome
+
+
+@query("retention_explained")
+def retention_explained(spark, sf):
+    run = retention_risk(cohort(spark, sf), CATEGORICAL, NUMERIC, "PU", 2, "ft_ft_1yr", RUN_DATE,
+                         explain=True, rounds=2, trees=8, depth=3, patience=2)
+    return run.shap

@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..models.trees import node_table
@@ -45,12 +45,12 @@ class Leaves:
     slots: np.ndarray    # path features per leaf
 
     @classmethod
-    def of(cls, parts: list[tuple]) -> "Leaves":
+    def of(cls, spark: SparkSession, parts: list[tuple]) -> "Leaves":
         """From (model, tree weights) pairs; only the model's nodes reach the driver."""
         rows = []
         for model, weights in parts:
             nodes: dict[int, dict[int, object]] = {}
-            for n in node_table(model).collect():
+            for n in node_table(spark, model).collect():
                 nodes.setdefault(n["tree"], {})[n["id"]] = n
             for tree, table in nodes.items():
                 stack = [(0, {})]
@@ -191,7 +191,7 @@ def tree_contributions(rows: DataFrame, key: list[str], background: DataFrame, p
     """
     spark = rows.sparkSession
     width = len(names)
-    leaves = Leaves.of(parts)
+    leaves = Leaves.of(spark, parts)
     seen = background.select(vector_to_array(vector).alias("_x"))
     counted = seen.mapInArrow(_count_patterns(leaves, width), "leaf int, code int, n long").groupBy("leaf", "code").agg(F.sum("n").alias("n"))
     counts = np.zeros((len(leaves.value), 1 << leaves.feature.shape[1]))

@@ -270,10 +270,14 @@ def soft_vote(*probs: str) -> Column:
 
 
 def isotonic_calibration(df: DataFrame, y: str, score: str, fold: str, folds: int = 5, out: str = "calibrated") -> DataFrame:
-    """Mean of one isotonic map per fold, each fitted on that fold's rows."""
+    """Mean of one isotonic map per fold, each fitted on that fold's rows.
+
+    Rows are first added up to one weighted point per distinct score, which has the same solution.
+    """
     data = df.withColumn(score, F.col(score).cast("double"))
+    points = data.groupBy(fold, score).agg(F.avg(F.col(y).cast("double")).alias("_y"), F.count("*").cast("double").alias("_w"))
     models = [
-        IsotonicRegression(featuresCol=score, labelCol=y, predictionCol=f"_iso{i}").fit(data.where(F.col(fold) == i))
+        IsotonicRegression(featuresCol=score, labelCol="_y", weightCol="_w", predictionCol=f"_iso{i}").fit(points.where(F.col(fold) == i))
         for i in range(folds)
     ]
     for m in models:

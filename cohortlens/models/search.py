@@ -69,7 +69,7 @@ def halving_search(train: DataFrame, label: str, fold: str, folds: int, candidat
     for rung, (_, resources) in enumerate(plan):
         jobs = [(rung, c, resources, k) for c in alive for k in range(folds)]
         with ThreadPoolExecutor(parallel) as pool:
-            done = list(pool.map(inheritable_thread_target(run), jobs))
+            done = list(pool.map(inheritable_thread_target(train.sparkSession)(run), jobs))
         log += done
         mean = {c: sum(r[4] or 0.0 for r in done if r[1] == c) / folds for c in alive}
         ranked = sorted(alive, key=lambda c: (-mean[c], c))

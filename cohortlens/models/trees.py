@@ -6,7 +6,7 @@ from dataclasses import dataclass, field
 
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.metrics import log_loss
@@ -127,11 +127,8 @@ def early_stop(losses: DataFrame, by: list[str], order: str, loss: str, patience
     )
 
 
-def node_table(model) -> DataFrame:
+def node_table(spark: SparkSession, model) -> DataFrame:
     """A fitted tree ensemble's nodes as rows: tree, id, prediction, children, split feature and threshold."""
-    from pyspark.sql import SparkSession
-
-    spark = SparkSession.getActiveSession()
     path = fresh_path(spark, "nodes")
     model.write().save(path)
     n = spark.read.parquet(f"{path}/data")
