@@ -239,12 +239,12 @@ def tree_contributions_q(spark, sf):
 @query("retention_risk")
 def retention_risk_q(spark, sf):
     run = retention_risk(cohort(spark, sf), CATEGORICAL, NUMERIC, "PVTU", 2, "ft_ft_1yr", RUN_DATE,
-                         rounds=3, trees=8, depth=3, patience=2)
+                         unseen="zero", rounds=3, trees=8, depth=3, patience=2)
     return run.outcome
 
 
 @query("retention_explained")
 def retention_explained(spark, sf):
     run = retention_risk(cohort(spark, sf), CATEGORICAL, NUMERIC, "PU", 2, "ft_ft_1yr", RUN_DATE,
-                         explain=True, rounds=2, trees=8, depth=3, patience=2)
+                         explain=True, unseen="zero", rounds=2, trees=8, depth=3, patience=2)
     return run.shap

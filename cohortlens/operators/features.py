@@ -33,31 +33,35 @@ class OneHot:
     categories: dict[str, list[str]]
     by: list[str]
     known: DataFrame | None
+    unseen: str = "error"
 
     @classmethod
-    def fit(cls, df: DataFrame, columns: list[str], by: list[str] = ()) -> "OneHot":
+    def fit(cls, df: DataFrame, columns: list[str], by: list[str] = (), unseen: str = "error") -> "OneHot":
+        """``unseen`` is what to do with a category that the fitted rows lack: ``error`` or all ``zero``."""
         by = list(by)
         cats = levels(df, columns)
         if not by:
-            return cls(cats, by, None)
+            return cls(cats, by, None, unseen)
         known = df.groupBy(*by).agg(*[F.sort_array(F.collect_set(c)).alias(f"_lv_{c}") for c in columns])
-        return cls(cats, by, known)
+        return cls(cats, by, known, unseen)
+
+    def _missing(self, column: str) -> Column:
+        if self.unseen == "zero":
+            return F.lit(0.0)
+        return F.raise_error(F.concat(F.lit(f"unseen category in {column}: "), F.col(column))).cast("double")
 
     def names(self, dropped_first: bool | None = None) -> list[str]:
         drop = not self.by if dropped_first is None else dropped_first
         return [f"{c}_{v}" for c, vs in self.categories.items() for v in (vs[1:] if drop else vs)]
 
     def transform(self, df: DataFrame) -> DataFrame:
-        """Add the indicator columns; a category that training did not have is an error."""
+        """Add the indicator columns."""
         if not self.by:
             out = {}
             for c, vs in self.categories.items():
                 seen = F.col(c).isin(*vs)
                 for v in vs[1:]:
-                    out[f"{c}_{v}"] = (
-                        F.when(seen, (F.col(c) == v).cast("double"))
-                        .otherwise(F.raise_error(F.concat(F.lit(f"unseen category in {c}: "), F.col(c))).cast("double"))
-                    )
+                    out[f"{c}_{v}"] = F.when(seen, (F.col(c) == v).cast("double")).otherwise(self._missing(c))
             return df.withColumns(out) if out else df
         joined = df.join(self.known, self.by)
         out = {}
@@ -65,10 +69,7 @@ class OneHot:
             seen = F.array_contains(f"_lv_{c}", F.col(c))
             first = F.get(F.col(f"_lv_{c}"), 0)
             for v in vs:
-                out[f"{c}_{v}"] = (
-                    F.when(seen, ((F.col(c) == v) & (first != v)).cast("double"))
-                    .otherwise(F.raise_error(F.concat(F.lit(f"unseen category in {c}: "), F.col(c))).cast("double"))
-                )
+                out[f"{c}_{v}"] = F.when(seen, ((F.col(c) == v) & (first != v)).cast("double")).otherwise(self._missing(c))
         return joined.withColumns(out).drop(*[f"_lv_{c}" for c in self.categories])
 
 

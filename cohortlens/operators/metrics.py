@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import math
+
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SLICES = 64
+from ..session import cut
+
+SLICE_ROWS = 1_000_000
+MAX_SLICES = 4096
 
 
 def confusion_aggs(y: str, pred: str) -> list[Column]:
@@ -51,24 +57,29 @@ def group_metrics(df: DataFrame, y: str, pred: str, sensitive: list[str], by: li
 
 def score_counts(df: DataFrame, y: str, score: str, by: list[str]) -> DataFrame:
     """Positives and negatives at each distinct score; partial aggregation absorbs hot scores."""
-    return df.groupBy(*by, F.col(score).alias("score")).agg(
+    return df.where(F.col(score).isNotNull()).groupBy(*by, F.col(score).cast("double").alias("score")).agg(
         F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) == 0).alias("neg")
     )
 
 
+def _sliced(counts: DataFrame) -> DataFrame:
+    """Slices of about ``SLICE_ROWS`` rows along the score; the driver sees their edges only."""
+    slices = min(MAX_SLICES, math.ceil(counts.count() / SLICE_ROWS))
+    if slices <= 1:
+        return counts.withColumn("_slice", F.lit(0))
+    inner = sorted(set(counts.approxQuantile("score", [i / slices for i in range(1, slices)], 0.1 / slices)))
+    cutter = Bucketizer(splits=[-float("inf"), *inner, float("inf")], inputCol="score", outputCol="_slice")
+    return cutter.transform(counts).withColumn("_slice", F.col("_slice").cast("int"))
+
+
 def descending_totals(counts: DataFrame, by: list[str]) -> DataFrame:
     """Running positives and negatives from the highest score down, as ``tp`` and ``fp``.
 
     No window holds a whole group: scores are sliced at approximate quantiles, the running sum
-    inside a slice starts from the total of the slices above, and the totals table has at most
-    ``SLICES`` rows per group.
+    inside a slice starts from the total of the slices above, and the totals table has one row per
+    group and slice. The counts are written once, so the scored rows are read a single time.
     """
-    edges = counts.agg(F.percentile_approx(
-        "score", F.array(*[F.lit(i / SLICES) for i in range(1, SLICES)]), F.lit(1000)
-    ).alias("edges"))
-    sliced = counts.withColumn("_edges", edges.scalar()).withColumn(
-        "_slice", F.size(F.filter("_edges", lambda e: e < F.col("score")))
-    ).drop("_edges")
+    sliced = _sliced(cut(counts, "scores"))
     above = Window.partitionBy(*by).orderBy(F.desc("_slice")).rowsBetween(Window.unboundedPreceding, -1)
     totals = sliced.groupBy(*by, "_slice").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
     offsets = totals.select(

@@ -31,9 +31,9 @@ def per_unit(spark: SparkSession, units: list[str], fit: Callable[[str], object]
         return dict(zip(units, pool.map(inheritable_thread_target(spark)(fit), units)))
 
 
-def encode(df: DataFrame, categorical: list[str]) -> tuple[DataFrame, list[str]]:
+def encode(df: DataFrame, categorical: list[str], unseen: str = "error") -> tuple[DataFrame, list[str]]:
     """Indicators on each unit's own training categories, and their names."""
-    encoder = OneHot.fit(df.where("split = 'training'"), categorical, ["unit"])
+    encoder = OneHot.fit(df.where("split = 'training'"), categorical, ["unit"], unseen)
     return encoder.transform(df), encoder.names()
 
 
@@ -59,10 +59,10 @@ def clean(coded: DataFrame, columns: list[str], k: int = 20) -> DataFrame:
 
 
 def retention_risk(df: DataFrame, categorical: list[str], numeric: list[str], units: str, model_id: int, model_descr: str,
-                   run_date: datetime.date, explain: bool = False, top_n: int = 5, **forest) -> Run:
+                   run_date: datetime.date, explain: bool = False, top_n: int = 5, unseen: str = "error", **forest) -> Run:
     """Score the testing rows of every unit with a boosted forest fitted on its cleaned training rows."""
     names = ["emplid", "enrl_ind", *categorical, *numeric]
-    coded, indicators = encode(cut(unit_cohorts(df, names, units), "cohort"), categorical)
+    coded, indicators = encode(cut(unit_cohorts(df, names, units), "cohort"), categorical, unseen)
     columns = [*indicators, *numeric]
     coded = cut(coded.select(*GROUP, "emplid", "enrl_ind", *columns), "coded")
     vectors = assemble(columns)
