@@ -36,6 +36,7 @@ from .relational import hot_join, removed_rows
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK_ROWS = 1024
+STRIP = 64
 GRID_BITS = 60
 DIRECT_BLOCKS = 2048
 HOT_SHARE = 1024
@@ -48,9 +49,14 @@ LOF_CUT = 1.5
 def _distances(a: np.ndarray, b: np.ndarray, metric: str) -> np.ndarray:
     """Distances of every row of ``a`` to every row of ``b``, features added in order."""
     total = np.zeros((len(a), len(b)))
-    for j in range(a.shape[1]):
-        gap = a[:, j, None] - b[None, :, j]
-        total += np.abs(gap) if metric == "mean_abs" else gap * gap
+    right = np.ascontiguousarray(b.T)
+    gap = np.empty((min(STRIP, len(a)), len(b)))
+    for at in range(0, len(a), STRIP):
+        part, strip = total[at: at + STRIP], a[at: at + STRIP]
+        work = gap[: len(strip)]
+        for j in range(a.shape[1]):
+            np.subtract(strip[:, j, None], right[j], out=work)
+            part += np.abs(work, out=work) if metric == "mean_abs" else np.multiply(work, work, out=work)
     return _finish(total, a.shape[1], metric)
 
 
@@ -80,11 +86,13 @@ def _smallest(dist: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     if k == 0:
         return np.empty(0, int), np.empty(0, int)
     kth = np.partition(dist, k - 1, axis=1)[:, k - 1 : k]
-    less = dist < kth
-    tied = dist == kth
-    room = k - less.sum(axis=1, keepdims=True)
-    chosen = less | (tied & (np.cumsum(tied, axis=1) <= room))
+    chosen = dist <= kth
     chosen &= np.isfinite(dist)
+    over = np.nonzero(chosen.sum(axis=1) > k)[0]
+    if len(over):
+        less, tied = dist[over] < kth[over], dist[over] == kth[over]
+        room = k - less.sum(axis=1, keepdims=True)
+        chosen[over] = less | (tied & (np.cumsum(tied, axis=1) <= room))
     return np.nonzero(chosen)
 
 
@@ -274,8 +282,8 @@ def _directory(boxes: DataFrame, by: list[str], box_id: str) -> DataFrame:
 
 
 def _find(queries: DataFrame, targets: DataFrame, groups: list[str], width: int, metric: str, k: int,
-          self_search: bool, key: T.DataType) -> DataFrame:
-    """Candidate pairs between blocks: (groups, src, nbr, dist)."""
+          self_search: bool, key: T.DataType) -> DataFrame | None:
+    """Candidate pairs between blocks: (groups, src, nbr, dist). None when every group is one block."""
     group_fields = [queries.schema[g] for g in groups]
     probe_schema = T.StructType(group_fields + [
         T.StructField("target", T.LongType()), T.StructField("block", T.LongType()),
@@ -298,7 +306,10 @@ def _find(queries: DataFrame, targets: DataFrame, groups: list[str], width: int,
         # One directory for everything: join on a constant key.
         queries, boxes = queries.withColumn("_one", F.lit(1)), boxes.withColumn("_one", F.lit(1))
     on = groups or ["_one"]
-    if boxes.count() <= DIRECT_BLOCKS:
+    sizes = boxes.groupBy(*on).agg(F.count("*").alias("c")).agg(F.sum("c").alias("all"), F.max("c").alias("most")).first()
+    if self_search and (sizes["most"] or 0) <= 1:
+        return None
+    if (sizes["all"] or 0) <= DIRECT_BLOCKS:
         probes = hop(queries, _directory(boxes, on, "block"), on, self_search)
     else:
         # Two levels: first the box of each range partition, then the blocks inside those reached.
@@ -324,59 +335,66 @@ def _nearest(pairs: DataFrame, by: list[str], k: int) -> DataFrame:
 # --- sites -------------------------------------------------------------------------------------
 
 class Sites:
-    """Distinct vectors of a keyed table and, for each, the rows that may serve as neighbours."""
+    """Distinct vectors of a keyed table and, for each, the rows that may serve as neighbours.
+
+    Where a table has no copies at all, a site is a row and every step about copies is left out.
+    """
 
     def __init__(self, df: DataFrame, key: str, vec: str, groups: list[str], k: int):
         self.groups, self.key, self.k = list(groups), key, k
-        rows = cut(df.select(*groups, F.col(key).alias("key"), F.col(vec).alias("vec")), "vectors")
-        self.rows = rows
-        first = rows.select(F.size("vec").alias("w")).first()
+        # The hash leads in sorts and joins, so that whole vectors are compared on a match only.
+        self.rows = cut(df.select(*groups, F.col(key).alias("key"), F.col(vec).alias("vec"), F.xxhash64(vec).alias("hash")), "vectors")
+        first = self.rows.select(F.size("vec").alias("w")).first()
         self.width = first["w"] if first else 0
-        by = [*groups, "vec"]
+        self.by = [*groups, "hash", "vec"]
         # Window group limits prune each partition to k+1 rows per vector before the shuffle.
-        place = F.row_number().over(Window.partitionBy(*by).orderBy("key"))
-        lowest = rows.withColumn("_r", place).where(F.col("_r") <= k + 1)
-        few = lowest.groupBy(*by).agg(F.sort_array(F.collect_list("key")).alias("few"))
-        counts = rows.groupBy(*by).agg(F.count("*").alias("copies"))
-        self.table = cut(
-            few.join(counts, by).select(*groups, F.get("few", F.lit(0)).alias("key"), "vec", "few", "copies"), "sites"
-        )
+        place = F.row_number().over(Window.partitionBy(*self.by).orderBy("key"))
+        lowest = self.rows.withColumn("_r", place).where(F.col("_r") <= k + 1)
+        few = lowest.groupBy(*self.by).agg(F.sort_array(F.collect_list("key")).alias("few"))
+        self.table = cut(few.select(*self.by, F.get("few", F.lit(0)).alias("key"), "few"), "sites")
+        self.copied = self.table.where(F.size("few") > 1)
+        self.copies = not self.copied.isEmpty()
+        if self.copies:
+            # At most HOT_SHARE hashes can hold more than that share of the rows each.
+            many = self.rows.groupBy(*groups, "hash").agg(F.count("*").alias("c")).where(F.col("c") > self.rows.count() / HOT_SHARE)
+            self.hot = cut(self.copied.join(many.select(*groups, "hash"), [*groups, "hash"], "left_semi").select(*self.by, "key"), "hot")
+
+    def pairs(self, metric: str) -> DataFrame:
+        """(groups, src, nbr, dist): the k nearest other sites of every site."""
+        g = self.groups
+        base = self.table.select(*g, "key", "vec")
+        blocks = _blocks(base, g, self.width, metric, self.k, False, _grid_order(base, "vec", self.width))
+        found = blocks.select(*g, F.inline(F.arrays_zip("src", "nbr", "dist")))
+        across = _find(blocks, blocks, g, self.width, metric, self.k, True, self.table.schema["key"].dataType)
+        return _nearest(found if across is None else found.unionByName(across), [*g, "src"], self.k)
 
     def neighbours(self, metric: str) -> DataFrame:
-        """(groups, key, few, copies, near): per site up to k+1 nearest rows, its own first copies included.
+        """(groups, site, near): up to k+1 nearest rows per site, its own first copies included.
 
         ``near`` is an array of (dist, key, site) in order of distance and key.
         """
         g, k = self.groups, self.k
-        site_key = self.table.schema["key"].dataType
-        base = self.table.select(*g, "key", "vec")
-        code = _grid_order(base, "vec", self.width)
-        blocks = _blocks(base, g, self.width, metric, k, False, code)
-        inside = blocks.select(*g, F.inline(F.arrays_zip("src", "nbr", "dist")))
-        across = _find(blocks, blocks, g, self.width, metric, k, True, site_key)
-        pairs = _nearest(inside.unionByName(across), [*g, "src"], k)
         own = self.table.select(*g, F.col("key").alias("src"), F.col("key").alias("nbr"), F.lit(0.0).alias("dist"))
-        lists = self.table.select(*g, F.col("key").alias("nbr"), "few")
+        every = self.pairs(metric).unionByName(own)
+        if self.copies:
+            lists = self.table.select(*g, F.col("key").alias("nbr"), "few")
+            every = every.join(lists, [*g, "nbr"]).withColumn("row", F.explode("few"))
+        else:
+            every = every.withColumn("row", F.col("nbr"))
         entry = F.struct("dist", F.col("row").alias("key"), F.col("nbr").alias("site"))
-        every = pairs.unionByName(own).join(lists, [*g, "nbr"]).withColumn("row", F.explode("few"))
-        ranked = every.groupBy(*g, "src").agg(F.slice(F.sort_array(F.collect_list(entry)), 1, k + 1).alias("near"))
-        return ranked.join(
-            self.table.select(*g, F.col("key").alias("src"), "copies"), [*g, "src"]
-        ).withColumnRenamed("src", "site")
-
-    def members(self) -> DataFrame:
-        """(groups, key, site) for every row. The few sites with very many copies are spread out."""
-        by = [*self.groups, "vec"]
-        hot = self.table.where(F.col("copies") > self.rows.count() / HOT_SHARE).select(*by)
-        return hot_join(self.rows, self.table.select(*by, F.col("key").alias("site")), by, hot).drop("vec")
+        near = F.slice(F.sort_array(F.collect_list(entry)), 1, k + 1)
+        return every.groupBy(*g, F.col("src").alias("site")).agg(near.alias("near"))
 
     def expand(self, per_site: DataFrame) -> DataFrame:
-        """Per-site columns brought to every row of the site."""
-        by = [*self.groups, "site"]
-        hot = self.table.where(F.col("copies") > self.rows.count() / HOT_SHARE).select(
-            *self.groups, F.col("key").alias("site")
+        """Per-site columns brought to every row of the site. Sites with very many copies are spread out."""
+        g = self.groups
+        if not self.copies:
+            return per_site.withColumn("key", F.col("site"))
+        alias = self.copied.select(*self.by, F.col("key").alias("_site"))
+        members = hot_join(self.rows, alias, self.by, self.hot.select(*self.by), "left").select(
+            *g, "key", F.coalesce("_site", "key").alias("site")
         )
-        return hot_join(self.members(), per_site, by, hot)
+        return hot_join(members, per_site, [*g, "site"], self.hot.select(*g, F.col("key").alias("site")))
 
 
 def _without_self(near: str, key: str, k: int) -> Column:

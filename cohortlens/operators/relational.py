@@ -98,8 +98,8 @@ def running_index(df: DataFrame, group: str, keys: list[str], name: str = "idx")
 
 # --- joins -------------------------------------------------------------------------------------
 
-def hot_join(left: DataFrame, right: DataFrame, on: list[str], hot: DataFrame, parts: int = 64) -> DataFrame:
-    """Inner equi-join that spreads the rows of the keys in ``hot`` over ``parts`` tasks.
+def hot_join(left: DataFrame, right: DataFrame, on: list[str], hot: DataFrame, how: str = "inner", parts: int = 64) -> DataFrame:
+    """Equi-join (inner or left) that spreads the rows of the keys in ``hot`` over ``parts`` tasks.
 
     ``right`` holds one row per key. ``hot`` must be small by construction: the keys holding more
     than 1/m of the rows number fewer than m.
@@ -110,7 +110,7 @@ def hot_join(left: DataFrame, right: DataFrame, on: list[str], hot: DataFrame, p
     copied = right.join(mark, on, "left").withColumn(
         "_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0))))
     ).drop("_hot")
-    return salted.join(copied, [*on, "_salt"]).drop("_salt")
+    return salted.join(copied, [*on, "_salt"], how).drop("_salt")
 
 
 def next_in_group(df: DataFrame, group: str, order: str, column: str, name: str) -> DataFrame:
