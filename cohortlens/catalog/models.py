@@ -32,7 +32,7 @@ def encoded(spark, sf, by_unit: bool = False):
     """Complete rows with indicators and an assembled vector: the whole table, or routed to units."""
     df = unit_cohorts(cohort(spark, sf), NAMES) if by_unit else complete(spark, sf)
     by = ["unit"] if by_unit else []
-    encoder = OneHot.fit(df.where("split = 'training'"), CATEGORICAL, by)
+    encoder = OneHot.fit(df.where("split = 'training'"), CATEGORICAL, by, unseen="zero")
     coded = encoder.transform(df).select(*by, "split", "emplid", "enrl_ind", *CODED)
     return assemble(CODED).transform(cut(coded, "encoded"))
 
@@ -214,7 +214,7 @@ def score_batch(spark, sf):
     return predictions(model.transform(split_of(df, "testing")).withColumn("prob", L.prob_of_one()), "prob")
 
 
-@query("model_registry")
+@query("model_registry", f"{COMPLETE} SELECT 'U' AS unit, 'ft_ft_1yr' AS model_descr, emplid, true AS same FROM complete WHERE split = 'testing'")
 def model_registry(spark, sf):
     df, root = complete(spark, sf), fresh_path(spark, "models")
     model = _linear_model(split_of(df, "training"))
@@ -223,17 +223,35 @@ def model_registry(spark, sf):
     test = split_of(df, "testing")
     first = model.transform(test).select("emplid", L.prob_of_one().alias("prob"))
     second = again.transform(test).select("emplid", L.prob_of_one().alias("reloaded"))
-    row = G.registry_rows(spark, [("U", "ft_ft_1yr", path)]).drop("path")
-    return first.join(second, "emplid").withColumn("unit", F.lit("U")).join(row, "unit").withColumn("same", F.col("prob") == F.col("reloaded"))
+    row = G.registry_rows(spark, [("U", "ft_ft_1yr", path)])
+    both = first.join(second, "emplid").withColumn("unit", F.lit("U")).join(row, "unit")
+    return both.select("unit", "model_descr", "emplid", (F.col("prob") == F.col("reloaded")).alias("same"))
 
 
-@query("tree_contributions")
-def tree_contributions_q(spark, sf):
+def _explained(spark, sf):
+    """Testing rows with the model's own probability and their contributions for class 0."""
     df = encoded(spark, sf)
     train = split_of(df, "training")
     model = B.boosted_trees(train, "enrl_ind", rounds=5, depth=3)
-    out = tree_contributions(split_of(df, "testing"), ["emplid"], train, [(model, model.treeWeights)], feature_names(df), link=2.0)
-    return out.select("emplid", "prob", "base", F.inline("contributions")).withColumn("value", r6("value"))
+    told = tree_contributions(split_of(df, "testing"), ["emplid"], train, [(model, model.treeWeights)], feature_names(df), link=2.0)
+    own = model.transform(split_of(df, "testing")).select("emplid", L.prob_of_one().alias("model_prob"))
+    return told, own
+
+
+@query("tree_contributions")
+def tree_contributions_q(spark, sf):
+    told, _ = _explained(spark, sf)
+    return told.select("emplid", "prob", "base", F.inline("contributions")).withColumn("value", r6("value"))
+
+
+@query("contributions_add_up", f"{COMPLETE} SELECT emplid, true AS prob_agrees, true AS adds_up FROM complete WHERE split = 'testing'")
+def contributions_add_up(spark, sf):
+    told, own = _explained(spark, sf)
+    total = F.aggregate("contributions", F.lit(0.0), lambda acc, c: acc + c["value"]) + F.col("base")
+    return told.join(own, "emplid").select(
+        "emplid", (F.abs(F.col("prob") - F.col("model_prob")) < 1e-9).alias("prob_agrees"),
+        (F.abs(total - (1 - F.col("model_prob"))) < 1e-9).alias("adds_up"),
+    )
 
 
 @query("retention_risk")

@@ -54,7 +54,7 @@ links AS (SELECT a.unit, a.split, a.emplid AS a, a.nbr AS b, a.y AS label_a, a.n
 def pool(spark, sf):
     """Training and validation rows of every unit, encoded on the unit's training categories."""
     df = unit_cohorts(cohort(spark, sf).where("split <> 'testing'"), NAMES)
-    encoder = OneHot.fit(df.where("split = 'training'"), CATEGORICAL, ["unit"])
+    encoder = OneHot.fit(df.where("split = 'training'"), CATEGORICAL, ["unit"], unseen="zero")
     coded = encoder.transform(df)
     return coded.select(*GROUP, "emplid", "enrl_ind", *CODED)
 

@@ -52,9 +52,9 @@ def rank_by_term(registration: DataFrame, calendar: DataFrame, career: str = "UG
         registration.where((F.col("acad_career") == career) & (term_kind("strm") != "9")), ["strm"]
     )
     upto = Window.partitionBy("acad_career").orderBy("strm")
-    return calendar.select("acad_career", "strm").join(per_term, "strm", "left").select(
-        "strm", F.last("snap_order", ignorenulls=True).over(upto).alias("snap_order")
-    )
+    # Registered terms that the calendar lacks still count as earlier ones.
+    every = calendar.select("strm").join(per_term, "strm", "full").withColumn("acad_career", F.lit(career))
+    return every.select("strm", F.last("snap_order", ignorenulls=True).over(upto).alias("snap_order"))
 
 
 def stage_gate(days: DataFrame, calendar: DataFrame, registration: DataFrame, day: str = "as_of") -> DataFrame:
