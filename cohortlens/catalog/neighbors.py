@@ -109,18 +109,23 @@ def tomek_undersample(spark, sf):
     return kept[0].unionByName(kept[1])
 
 
+SQUARES = " + ".join(f'''(CAST(a."{c}" AS DOUBLE) - CAST(b."{c}" AS DOUBLE)) * (CAST(a."{c}" AS DOUBLE) - CAST(b."{c}" AS DOUBLE))''' for c in CODED)
+
+
 @query("nearmiss3", f"""{CODED_SQL},
 tr AS (SELECT * FROM pool WHERE split = 'training'),
-pairs AS (SELECT a.unit, a.emplid AS rare_id, b.emplid AS pool_id,
-            sqrt({' + '.join(f'''(CAST(a."{c}" AS DOUBLE) - CAST(b."{c}" AS DOUBLE)) * (CAST(a."{c}" AS DOUBLE) - CAST(b."{c}" AS DOUBLE))''' for c in CODED)}) AS dist
-          FROM tr a JOIN tr b ON a.unit = b.unit AND a.enrl_ind = 0 AND b.enrl_ind = 1),
-short AS (SELECT DISTINCT unit, pool_id FROM (SELECT *, row_number() OVER (PARTITION BY unit, rare_id ORDER BY dist, pool_id) AS rn FROM pairs) t WHERE rn <= 3),
-far AS (SELECT p.unit, p.pool_id, avg(p.dist) AS mean_dist FROM (SELECT *, row_number() OVER (PARTITION BY unit, pool_id ORDER BY dist, rare_id) AS rn FROM pairs) p
-        JOIN short s ON s.unit = p.unit AND s.pool_id = p.pool_id WHERE p.rn <= 3 GROUP BY ALL),
-best AS (SELECT *, row_number() OVER (PARTITION BY unit ORDER BY mean_dist DESC, pool_id) AS rn FROM far)
-SELECT unit, emplid, enrl_ind, CAST(NULL AS DOUBLE) AS mean_dist FROM tr WHERE enrl_ind = 0
-UNION ALL SELECT unit, pool_id, CAST(1 AS INT), round(mean_dist, 6) FROM best WHERE rn <= 20""")
+counted AS (SELECT unit, enrl_ind, count(*) AS n FROM tr GROUP BY unit, enrl_ind),
+sizes AS (SELECT *, row_number() OVER (PARTITION BY unit ORDER BY n, enrl_ind) = 1 AS minority FROM counted),
+rare AS (SELECT t.* FROM tr t JOIN sizes s ON s.unit = t.unit AND s.enrl_ind = t.enrl_ind WHERE s.minority),
+pairs AS (SELECT a.unit, a.emplid AS rare_id, b.emplid AS pool_id, b.enrl_ind AS y, sqrt({SQUARES}) AS dist FROM rare a JOIN tr b ON a.unit = b.unit),
+short AS (SELECT DISTINCT unit, y, pool_id FROM
+  (SELECT *, row_number() OVER (PARTITION BY unit, y, rare_id ORDER BY dist, pool_id) AS rn FROM pairs) t WHERE rn <= 3),
+far AS (SELECT p.unit, p.y, p.pool_id, avg(p.dist) AS mean_dist FROM
+  (SELECT *, row_number() OVER (PARTITION BY unit, pool_id ORDER BY dist, rare_id) AS rn FROM pairs) p
+  JOIN short s ON s.unit = p.unit AND s.pool_id = p.pool_id WHERE p.rn <= 3 GROUP BY ALL),
+best AS (SELECT *, row_number() OVER (PARTITION BY unit, y ORDER BY mean_dist DESC, pool_id) AS rn FROM far)
+SELECT b.unit, b.pool_id AS emplid, b.y AS enrl_ind, round(b.mean_dist, 6) AS mean_dist FROM best b
+JOIN sizes s ON s.unit = b.unit AND s.enrl_ind = b.y WHERE b.rn <= floor(s.n / 5)""")
 def nearmiss3(spark, sf):
     df = pool(spark, sf).where("split = 'training'").withColumn("x", as_array(CODED))
-    out = N.near_miss(df, "emplid", "x", "enrl_ind", 0, {1: 20}, 3, ["unit"])
-    return out.withColumn("mean_dist", r6("mean_dist"))
+    return N.near_miss(df, "emplid", "x", "enrl_ind", 5, 3, ["unit"]).withColumn("mean_dist", r6("mean_dist"))

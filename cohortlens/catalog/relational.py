@@ -289,10 +289,11 @@ def sort_by_keys(spark, sf):
     return view(spark, sf, "fx_term").select("acad_career", "strm", "term_type").orderBy("acad_career", "strm")
 
 
-@query("running_index", f"""{TERM} SELECT acad_career, strm, CAST(row_number() OVER (PARTITION BY acad_career ORDER BY strm) AS INT) AS idx
+@query("running_index", f"""{TERM} SELECT acad_career, strm, row_number() OVER (PARTITION BY acad_career ORDER BY strm) AS idx
 FROM fx_term WHERE term_year <= {AS_OF_YEAR}""")
 def running_index(spark, sf):
-    return R.running_index(view(spark, sf, "fx_term").where(F.col("term_year") <= AS_OF_YEAR).select("acad_career", "strm"), "acad_career", ["strm"])
+    terms = view(spark, sf, "fx_term").where(F.col("term_year") <= AS_OF_YEAR).select("acad_career", "strm")
+    return R.running_index(terms, ["acad_career"], ["strm"])
 
 
 @query("rank_abs_contrib", f"{SQL_CONTRIB} SELECT emplid, rank, feature, round(value, 6) + 0.0 AS value FROM ranked")

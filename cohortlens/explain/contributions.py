@@ -17,8 +17,12 @@ from ..models.trees import node_table
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-MAX_SLOTS = 12
+# Leaves with up to TABLE_SLOTS path features get a table over all row patterns; deeper ones are
+# matched against the background patterns that occur. MAX_PATTERNS bounds what the driver holds.
+TABLE_SLOTS = 8
+MAX_PATTERNS = 20_000_000
 ROW_CHUNK = 512
+LEAF_CHUNK = 2048
 
 
 def linear_contributions(columns: list[str], coefficients: dict[str, float], means: dict[str, float], flip: bool = False) -> Column:
@@ -67,8 +71,6 @@ class Leaves:
                     stack.append((n["left"], {**box, f: (lo, min(hi, t))}))
                     stack.append((n["right"], {**box, f: (max(lo, t), hi)}))
         width = max([len(b) for _, b in rows] + [1])
-        if width > MAX_SLOTS:
-            raise ValueError(f"a path uses {width} features, more than {MAX_SLOTS}")
         out = cls(np.array([v for v, _ in rows]), np.zeros((len(rows), width), int),
                   np.full((len(rows), width), -np.inf), np.full((len(rows), width), np.inf),
                   np.array([len(b) for _, b in rows]))
@@ -77,103 +79,178 @@ class Leaves:
                 out.feature[i, s], out.low[i, s], out.high[i, s] = f, lo, hi
         return out
 
-    def patterns(self, x: np.ndarray) -> np.ndarray:
-        """rows x leaves: a bit per slot that the row satisfies. Padded slots are always satisfied."""
-        out = np.zeros((len(x), len(self.value)), dtype=np.int32)
+    @property
+    def full(self) -> np.ndarray:
+        """The pattern of a row inside the leaf."""
+        return (1 << self.slots.astype(np.int64)) - 1
+
+    @property
+    def offset(self) -> np.ndarray:
+        """Where each shallow leaf's patterns start in one flat table; -1 for deep leaves. The table's size comes last."""
+        sizes = np.where(self.slots <= TABLE_SLOTS, self.full + 1, 0)
+        starts = np.concatenate([[0], np.cumsum(sizes)])
+        return np.append(np.where(sizes > 0, starts[:-1], -1), starts[-1])
+
+    def patterns(self, x: np.ndarray, which: np.ndarray) -> np.ndarray:
+        """rows x chosen leaves: a bit per slot that the row satisfies."""
+        out = np.zeros((len(x), len(which)), dtype=np.int64)
         for s in range(self.feature.shape[1]):
-            v = x[:, self.feature[:, s]]
-            out |= ((v > self.low[None, :, s]) & (v <= self.high[None, :, s])).astype(np.int32) << s
+            v = x[:, self.feature[which, s]]
+            met = (v > self.low[which, s]) & (v <= self.high[which, s]) & (self.slots[which] > s)
+            out |= met.astype(np.int64) << s
         return out
 
+    def chunks(self) -> list[np.ndarray]:
+        """Leaves in bounded pieces, shallow and deep ones apart."""
+        shallow = np.nonzero(self.slots <= TABLE_SLOTS)[0]
+        return [shallow[i: i + LEAF_CHUNK] for i in range(0, len(shallow), LEAF_CHUNK)]
+
+    def deep(self) -> np.ndarray:
+        return np.nonzero(self.slots > TABLE_SLOTS)[0]
+
+    def margin(self, x: np.ndarray) -> np.ndarray:
+        total = np.zeros(len(x))
+        for which in [*self.chunks(), *[np.array([i]) for i in self.deep()]]:
+            total += (self.patterns(x, which) == self.full[which]) @ self.value[which]
+        return total
+
+
+def _rows(batch: pa.RecordBatch, width: int):
+    x = np.asarray(batch.column("_x").flatten(), dtype=float).reshape(-1, width)
+    return [x[at: at + ROW_CHUNK] for at in range(0, len(x), ROW_CHUNK)]
+
 
 def _count_patterns(leaves: Leaves, width: int):
-    size = 1 << leaves.feature.shape[1]
+    offset = leaves.offset
 
     def run(batches):
-        total = np.zeros((len(leaves.value), size), dtype=np.int64)
+        table = np.zeros(offset[-1], dtype=np.int64)
+        deep: dict[int, dict[int, int]] = {int(i): {} for i in leaves.deep()}
         for batch in batches:
-            x = np.asarray(batch.column("_x").flatten(), dtype=float).reshape(-1, width)
-            for at in range(0, len(x), ROW_CHUNK):
-                codes = leaves.patterns(x[at: at + ROW_CHUNK])
-                flat = (codes + (np.arange(len(leaves.value)) * size)[None, :]).ravel()
-                total += np.bincount(flat, minlength=total.size).reshape(total.shape)
-        leaf, code = np.nonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(leaf.astype(np.int32)), pa.array(code.astype(np.int32)),
-                                          pa.array(total[leaf, code])], names=["leaf", "code", "n"])
+            for x in _rows(batch, width):
+                for which in leaves.chunks():
+                    np.add.at(table, (leaves.patterns(x, which) + offset[which]).ravel(), 1)
+                for leaf, held in deep.items():
+                    codes, n = np.unique(leaves.patterns(x, np.array([leaf])), return_counts=True)
+                    for c, m in zip(codes.tolist(), n.tolist()):
+                        held[c] = held.get(c, 0) + m
+        at = np.nonzero(table)[0]
+        shallow = np.nonzero(offset[:-1] >= 0)[0]
+        leaf = shallow[np.searchsorted(offset[shallow], at, side="right") - 1]
+        code, n = at - offset[leaf], table[at]
+        for i, held in deep.items():
+            leaf = np.append(leaf, np.full(len(held), i))
+            code, n = np.append(code, list(held)), np.append(n, list(held.values()))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(leaf.astype(np.int32)), pa.array(code.astype(np.int64)), pa.array(n.astype(np.int64))], names=["leaf", "code", "n"])
 
     return run
 
 
-def _pattern_effects(leaves: Leaves, counts: np.ndarray) -> np.ndarray:
-    """leaves x row pattern x slot: the mean effect against the background patterns.
+def _weights(slots: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shares of a leaf's value by (u, v): earned by each of u slots only the row satisfies, lost by each
+    of v slots only the background satisfies: (u-1)! v! / (u+v)! and u! (v-1)! / (u+v)!."""
+    f = [math.factorial(i) for i in range(2 * slots + 1)]
+    gain, loss = np.zeros((slots + 1, slots + 1)), np.zeros((slots + 1, slots + 1))
+    for u in range(slots + 1):
+        for v in range(slots + 1):
+            if u:
+                gain[u, v] = f[u - 1] * f[v] / f[u + v]
+            if v:
+                loss[u, v] = f[u] * f[v - 1] / f[u + v]
+    return gain, loss
+
 
-    A pair reaches a leaf's value only through slots one side satisfies alone; a slot that only the
-    row satisfies earns (u-1)! v! / (u+v)! of the value, one that only the background satisfies
-    loses u! (v-1)! / (u+v)!, with u and v such slots on either side.
+def _pattern_effects(leaves: Leaves, share: np.ndarray) -> np.ndarray:
+    """Flat pattern table x slot: the mean effect of each slot against the background patterns.
+
+    Row and background reach a leaf together when every slot is satisfied by one of them at least.
     """
-    slots = leaves.feature.shape[1]
-    size = 1 << slots
-    full = size - 1
-    share = counts / counts.sum(axis=1, keepdims=True)
-    effect = np.zeros((len(leaves.value), size, slots))
-    fact = [math.factorial(i) for i in range(slots + 1)]
-    for row in range(size):
-        for back in range(size):
-            if row | back != full or row == back == full:
-                continue
-            mine, theirs = row & ~back, back & ~row
-            u, v = mine.bit_count(), theirs.bit_count()
-            weight = leaves.value * share[:, back]
-            for s in range(slots):
-                if mine >> s & 1:
-                    effect[:, row, s] += weight * (fact[u - 1] * fact[v] / fact[u + v])
-                elif theirs >> s & 1:
-                    effect[:, row, s] -= weight * (fact[u] * fact[v - 1] / fact[u + v])
+    offset = leaves.offset
+    effect = np.zeros((offset[-1], max(1, min(TABLE_SLOTS, leaves.feature.shape[1]))))
+    gain, loss = _weights(TABLE_SLOTS)
+    for slots in np.unique(leaves.slots[leaves.slots <= TABLE_SLOTS]):
+        which = np.nonzero(leaves.slots == slots)[0]
+        full = (1 << int(slots)) - 1
+        for row in range(full + 1):
+            missing = full & ~row
+            extra = row
+            while True:  # every background pattern that has the missing slots
+                back = missing | extra
+                mine, theirs = row & ~back, back & ~row
+                u, v = mine.bit_count(), theirs.bit_count()
+                weight = leaves.value[which] * share[offset[which] + back]
+                for s in range(slots):
+                    if mine >> s & 1:
+                        effect[offset[which] + row, s] += weight * gain[u, v]
+                    elif theirs >> s & 1:
+                        effect[offset[which] + row, s] -= weight * loss[u, v]
+                if extra == 0:
+                    break
+                extra = (extra - 1) & row
     return effect
 
 
-def _explain(leaves: Leaves, effect: np.ndarray, width: int, mean_margin: float, mean_prob: float, link: float, sign: float):
-    full = (1 << leaves.feature.shape[1]) - 1
+def _deep_effects(leaves: Leaves, leaf: int, rows: np.ndarray, back: np.ndarray, share: np.ndarray) -> np.ndarray:
+    """rows x slots effects of one deep leaf, from the background patterns that occur."""
+    slots, full = int(leaves.slots[leaf]), leaves.full[leaf]
+    gain, loss = _weights(slots)
+    out = np.zeros((len(rows), slots))
+    codes, inverse = np.unique(rows, return_inverse=True)
+    for i, row in enumerate(codes):
+        met = (row | back) == full
+        mine, theirs = row & ~back[met], back[met] & ~row
+        u, v = np.bitwise_count(mine), np.bitwise_count(theirs)
+        up, down = share[met] * gain[u, v], share[met] * loss[u, v]
+        one = [(up * (mine >> s & 1)).sum() - (down * (theirs >> s & 1)).sum() for s in range(slots)]
+        out[inverse == i] = leaves.value[leaf] * np.array(one)
+    return out
+
+
+def _explain(leaves: Leaves, effect: np.ndarray, deep: dict, width: int, mean_margin: float, mean_prob: float, link: float, sign: float):
+    offset = leaves.offset
 
     def run(batches):
         for batch in batches:
-            x = np.asarray(batch.column("_x").flatten(), dtype=float).reshape(-1, width)
-            phi = np.zeros((len(x), width))
-            prob = np.zeros(len(x))
-            for at in range(0, len(x), ROW_CHUNK):
-                part = x[at: at + ROW_CHUNK]
-                codes = leaves.patterns(part)
-                margin = ((codes == full) * leaves.value[None, :]).sum(axis=1)
-                out = np.zeros((len(part), width))
-                for s in range(leaves.feature.shape[1]):
-                    gain = effect[np.arange(len(leaves.value))[None, :], codes, s]
-                    for f in np.unique(leaves.feature[:, s]):
-                        out[:, f] += gain[:, leaves.feature[:, s] == f].sum(axis=1)
+            phis, probs = [], []
+            for x in _rows(batch, width):
+                out = np.zeros((len(x), width))
+                for which in leaves.chunks():
+                    at = leaves.patterns(x, which) + offset[which]
+                    for s in range(effect.shape[1]):
+                        gain = effect[at, s]
+                        for f in np.unique(leaves.feature[which, s]):
+                            out[:, f] += gain[:, leaves.feature[which, s] == f].sum(axis=1)
+                for leaf, (back, share) in deep.items():
+                    part = _deep_effects(leaves, leaf, leaves.patterns(x, np.array([leaf]))[:, 0], back, share)
+                    for s in range(part.shape[1]):
+                        out[:, leaves.feature[leaf, s]] += part[:, s]
+                margin = leaves.margin(x)
                 p = 1.0 / (1.0 + np.exp(-link * margin))
                 gap = margin - mean_margin
                 scale = np.divide(p - mean_prob, gap, out=np.zeros_like(gap), where=np.abs(gap) > 1e-12)
-                phi[at: at + ROW_CHUNK] = sign * out * scale[:, None]
-                prob[at: at + ROW_CHUNK] = p
-            values = pa.ListArray.from_arrays(pa.array(np.arange(0, len(x) * width + 1, width, dtype=np.int32)), pa.array(phi.ravel()))
-            rest = [batch.column(n) for n in batch.schema.names if n != "_x"]
+                phis.append(sign * out * scale[:, None])
+                probs.append(p)
+            if not phis:
+                continue
+            phi = np.concatenate(phis)
+            values = pa.ListArray.from_arrays(pa.array(np.arange(0, phi.size + 1, width, dtype=np.int32)), pa.array(phi.ravel()))
             names = [n for n in batch.schema.names if n != "_x"]
-            yield pa.RecordBatch.from_arrays([*rest, values, pa.array(prob)], names=[*names, "_phi", "prob"])
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(n) for n in names], values, pa.array(np.concatenate(probs))], names=[*names, "_phi", "prob"])
 
     return run
 
 
 def _background_mean(leaves: Leaves, width: int, link: float):
-    full = (1 << leaves.feature.shape[1]) - 1
-
     def run(batches):
-        total, n = 0.0, 0
+        total, n = np.zeros(2), 0
         for batch in batches:
-            x = np.asarray(batch.column("_x").flatten(), dtype=float).reshape(-1, width)
-            for at in range(0, len(x), ROW_CHUNK):
-                margin = ((leaves.patterns(x[at: at + ROW_CHUNK]) == full) * leaves.value[None, :]).sum(axis=1)
-                total += float((1.0 / (1.0 + np.exp(-link * margin))).sum())
-                n += len(margin)
-        yield pa.RecordBatch.from_arrays([pa.array([total]), pa.array([n])], names=["total", "n"])
+            for x in _rows(batch, width):
+                margin = leaves.margin(x)
+                total += [margin.sum(), (1.0 / (1.0 + np.exp(-link * margin))).sum()]
+                n += len(x)
+        yield pa.RecordBatch.from_arrays([pa.array([total[0]]), pa.array([total[1]]), pa.array([n])], names=["m", "p", "n"])
 
     return run
 
@@ -193,22 +270,30 @@ def tree_contributions(rows: DataFrame, key: list[str], background: DataFrame, p
     width = len(names)
     leaves = Leaves.of(spark, parts)
     seen = background.select(vector_to_array(vector).alias("_x"))
-    counted = seen.mapInArrow(_count_patterns(leaves, width), "leaf int, code int, n long").groupBy("leaf", "code").agg(F.sum("n").alias("n"))
-    counts = np.zeros((len(leaves.value), 1 << leaves.feature.shape[1]))
-    for r in counted.collect():
-        counts[r["leaf"], r["code"]] = r["n"]
-    means = seen.mapInArrow(_background_mean(leaves, width, link), "total double, n long").agg(F.sum("total"), F.sum("n")).first()
-    mean_prob = means[0] / means[1]
-    mean_margin = float((leaves.value * counts[:, -1] / counts.sum(axis=1)).sum())
-    effect = _pattern_effects(leaves, counts)
+    counted = seen.mapInArrow(_count_patterns(leaves, width), "leaf int, code long, n long").groupBy("leaf", "code").agg(F.sum("n").alias("n"))
+    rows_of = counted.limit(MAX_PATTERNS + 1).toPandas()
+    if len(rows_of) > MAX_PATTERNS:
+        raise ValueError("the trees are too deep for this background: too many path patterns occur")
+    m, q, n = seen.mapInArrow(_background_mean(leaves, width, link), "m double, p double, n long").agg(
+        F.sum("m"), F.sum("p"), F.sum("n")).first()
+    if not n:
+        raise ValueError("the background has no rows")
+    mean_margin, mean_prob = m / n, q / n
+    offset = leaves.offset
+    share = np.zeros(offset[-1])
+    shallow = rows_of[leaves.slots[rows_of["leaf"]] <= TABLE_SLOTS]
+    share[offset[shallow["leaf"].to_numpy()] + shallow["code"].to_numpy()] = shallow["n"].to_numpy() / n
+    deep = {int(i): (p["code"].to_numpy(), p["n"].to_numpy() / n)
+            for i, p in rows_of.groupby("leaf") if leaves.slots[i] > TABLE_SLOTS}
+    effect = _pattern_effects(leaves, share)
     sign = -1.0 if flip else 1.0
     base = 1.0 - mean_prob if flip else mean_prob
     fields = ", ".join(f"{k} {rows.schema[k].dataType.simpleString()}" for k in key)
-    out = rows.select(*key, vector_to_array(vector).alias("_x")).mapInArrow(
-        _explain(leaves, effect, width, mean_margin, mean_prob, link, sign), f"{fields}, _phi array<double>, prob double"
+    told = rows.select(*key, vector_to_array(vector).alias("_x")).mapInArrow(
+        _explain(leaves, effect, deep, width, mean_margin, mean_prob, link, sign), f"{fields}, _phi array<double>, prob double"
     )
     labels = F.array(*[F.lit(n) for n in names])
-    return out.select(
+    return told.select(
         *key,
         F.transform("_phi", lambda v, i: F.struct(F.get(labels, i).alias("feature"), v.alias("value"))).alias("contributions"),
         "prob", F.lit(float(base)).alias("base"),

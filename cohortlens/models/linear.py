@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.features import assemble
+from ..session import small_side
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -68,7 +69,7 @@ def gram(df: DataFrame, columns: list[str], by: list[str] = ()) -> dict[tuple, t
     by = list(by)
     means = df.groupBy(*by).agg(*[F.avg(c).alias(f"_mu_{c}") for c in columns], F.count("*").alias("_n"))
     if by:
-        centred, mu = df.join(means, by), F.col
+        centred, mu = df.join(small_side(means), by), F.col
     else:
         row = means.first()
         centred, mu = df, lambda n: F.lit(row[n])

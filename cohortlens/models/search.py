@@ -7,10 +7,12 @@ import math
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.metrics import roc_auc
+from ..operators.relational import row_ordinal
+from ..session import cut
 
 
 def rungs(candidates: int, min_resources: int, max_resources: int, factor: int = 3, aggressive: bool = True) -> list[tuple[int, int]]:
@@ -36,12 +38,12 @@ def _whole_log(n: int, base: int) -> int:
 def survivors(scores: DataFrame, candidate: str, score: str, factor: int = 3) -> DataFrame:
     """The best ceil(n / factor) candidates by mean score, ties by candidate: (candidate, mean_score).
 
-    ``scores`` has one row per candidate and fold; the ranking works on one row per candidate.
+    ``scores`` has one row per candidate and fold.
     """
-    means = scores.groupBy(candidate).agg(F.avg(score).alias("mean_score"))
-    keep = means.agg(F.ceil(F.count("*") / factor).alias("n"))
-    order = Window.orderBy(F.desc("mean_score"), candidate)
-    return means.withColumns({"_r": F.row_number().over(order), "_n": keep.scalar()}).where("_r <= _n").drop("_r", "_n")
+    means = cut(scores.groupBy(candidate).agg(F.avg(score).alias("mean_score")), "means")
+    keep = math.ceil(means.count() / factor)
+    ordered = row_ordinal(means.withColumn("_worst", -F.col("mean_score")), ["_worst", candidate], "_place")
+    return ordered.where(F.col("_place") < keep).drop("_worst", "_place")
 
 
 def grid(**choices) -> list[dict]:

@@ -79,23 +79,32 @@ def boosted_forest(train: DataFrame, valid: DataFrame, label: str, rounds: int,
     model = BoostedForest([], step)
     best, best_at = float("inf"), -1
     p = sigmoid(F.col("m"))
+    curve = F.greatest(p * (1 - p), F.lit(HESSIAN_FLOOR))
+
+    def measure(df: DataFrame, weighted: bool) -> tuple[float, float]:
+        """Log loss and total curvature in one pass."""
+        w = F.col("w") if weighted else F.lit(1.0)
+        return tuple(df.withColumn("q", p).agg(log_loss("y", "q", w), F.sum(w * curve)).first())
+
+    total = measure(data, True)[1]
     for r in range(rounds):
-        curve = F.greatest(p * (1 - p), F.lit(HESSIAN_FLOOR))
         target = data.withColumns({"z": (F.col("y") - p) / curve, "h": F.col("w") * curve})
-        total = target.agg(F.sum("h")).first()[0]
         forest = RandomForestRegressor(
             featuresCol="features", labelCol="z", weightCol="h", predictionCol="step", numTrees=trees, maxDepth=depth,
             maxBins=bins, subsamplingRate=subsample, bootstrap=False, featureSubsetStrategy=str(columns),
             minWeightFractionPerNode=min(0.49, min_child_weight / total), minInfoGain=2.0 * gamma / total, seed=seed + r,
         ).fit(target)
         model.stages.append(forest)
-        grow = lambda df: forest.transform(df).withColumn("m", F.col("m") + step * F.col("step")).drop("step")
+
+        def grow(df: DataFrame) -> DataFrame:
+            return forest.transform(df).withColumn("m", F.col("m") + step * F.col("step")).drop("step")
+
         data, held = grow(data), grow(held)
         if (r + 1) % cut_every == 0:
             data, held = cut(data, "boost"), cut(held, "boost")
-        scored = lambda df: df.withColumn("q", p)
-        model.train_loss.append(scored(data).agg(log_loss("y", "q", F.col("w"))).first()[0])
-        loss = scored(held).agg(log_loss("y", "q")).first()[0]
+        loss, total = measure(data, True)
+        model.train_loss.append(loss)
+        loss = measure(held, False)[0]
         model.valid_loss.append(loss)
         if loss is not None and loss < best:
             best, best_at = loss, r

@@ -10,16 +10,22 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import small_side
+
 MAX_LEVELS = 1000
 
 
 def levels(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
-    """The sorted categories of each column. One pass; refuses columns with very many values."""
-    row = df.agg(*[F.sort_array(F.collect_set(c)).alias(c) for c in columns]).first()
-    for c in columns:
-        if len(row[c]) > MAX_LEVELS:
-            raise ValueError(f"{c} has {len(row[c])} values, more than {MAX_LEVELS} to encode")
-    return {c: list(row[c]) for c in columns}
+    """The sorted categories of each column. One pass; refuses columns with very many values.
+
+    Distinct (column, value) pairs are found across the cluster and only a checked number collected.
+    """
+    limit = MAX_LEVELS * len(columns)
+    pairs = F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in columns])
+    found = df.select(F.inline(pairs)).where("v IS NOT NULL").distinct().limit(limit + 1).collect()
+    if len(found) > limit:
+        raise ValueError(f"{columns} have more than {limit} values to encode")
+    return {c: sorted(r["v"] for r in found if r["c"] == c) for c in columns}
 
 
 @dataclass
@@ -63,7 +69,7 @@ class OneHot:
                 for v in vs[1:]:
                     out[f"{c}_{v}"] = F.when(seen, (F.col(c) == v).cast("double")).otherwise(self._missing(c))
             return df.withColumns(out) if out else df
-        joined = df.join(self.known, self.by)
+        joined = df.join(small_side(self.known), self.by)
         out = {}
         for c, vs in self.categories.items():
             seen = F.array_contains(f"_lv_{c}", F.col(c))
@@ -79,7 +85,7 @@ def standard_scale(df: DataFrame, columns: list[str], by: list[str] = ()) -> Dat
         f(c).alias(f"_{tag}_{c}") for c in columns for tag, f in (("mu", F.avg), ("sd", F.stddev_pop))
     ])
     if by:
-        joined, stat = df.join(stats, list(by)), F.col
+        joined, stat = df.join(small_side(stats), list(by)), F.col
     else:
         joined, row = df, stats.first()
         stat = lambda name: F.lit(row[name])

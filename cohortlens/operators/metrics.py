@@ -8,7 +8,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut
+from ..session import cut, small_side
 
 SLICE_ROWS = 1_000_000
 MAX_SLICES = 4096
@@ -90,7 +90,7 @@ def descending_totals(counts: DataFrame, by: list[str]) -> DataFrame:
     inside = Window.partitionBy(*by, "_slice").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
     return (
         sliced.withColumns({"tp": F.sum("pos").over(inside), "fp": F.sum("neg").over(inside)})
-        .join(offsets, [*by, "_slice"])
+        .join(small_side(offsets), [*by, "_slice"])
         .withColumns({"tp": F.col("tp") + F.col("_p0"), "fp": F.col("fp") + F.col("_n0")})
         .drop("_slice", "_p0", "_n0")
     )
@@ -115,7 +115,7 @@ def roc_curve(df: DataFrame, y: str, score: str, by: list[str]) -> DataFrame:
     """(threshold, fpr, tpr) at every distinct score and the (0, 0) start, whose threshold is infinite."""
     run = descending_totals(score_counts(df, y, score, by), by)
     ends = run.groupBy(*by).agg(F.max("tp").alias("_pos"), F.max("fp").alias("_neg"))
-    points = run.join(ends, by).select(
+    points = run.join(small_side(ends), by).select(
         *by, F.col("score").alias("threshold"),
         (F.col("fp").cast("double") / F.nullif(F.col("_neg"), F.lit(0))).alias("fpr"),
         (F.col("tp").cast("double") / F.nullif(F.col("_pos"), F.lit(0))).alias("tpr"),

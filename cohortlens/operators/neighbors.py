@@ -19,6 +19,7 @@ box bound never exceeds a real distance through rounding. Ties are broken by key
 from __future__ import annotations
 
 import sys
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +30,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema, to_arrow_type
 
-from ..session import cut
-from .relational import hot_join, removed_rows
+from ..session import cut, small_side
+from .relational import hot_join, removed_rows, running_index
 
 # Kernels travel inside the job, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -425,7 +426,7 @@ def gower_scale(df: DataFrame, columns: list[str], partition_by: list[str] = (),
     ranges = df.groupBy(*g).agg(*[f(c).cast("double").alias(f"_{t}_{c}") for c in columns
                                   for t, f in (("lo", F.min), ("hi", F.max))])
     if g:
-        joined, edge = df.join(ranges, g), F.col
+        joined, edge = df.join(small_side(ranges), g), F.col
     else:
         row = ranges.first()
         joined, edge = df, lambda name: F.lit(row[name])
@@ -509,62 +510,55 @@ def tomek_undersample(df: DataFrame, key: str, vec: str, label: str, strategy: s
         F.struct(F.col("b").alias(key), F.col("label_b").alias("_y")),
     )))
     if strategy == "auto":
-        sizes = df.groupBy(*g, F.col(label).alias("_y")).agg(F.count("*").alias("_n"))
-        if g:
-            rare = sizes.groupBy(*g).agg(F.min_by("_y", F.struct("_n", "_y")).alias("_rare"))
-            ends = ends.join(rare, g)
-        else:
-            ends = ends.withColumn("_rare", sizes.agg(F.min_by("_y", F.struct("_n", "_y"))).scalar())
-        ends = ends.where(F.col("_y") != F.col("_rare")).drop("_rare")
+        rare = _class_sizes(df, label, g).where("_minority").withColumnRenamed("_label", "_y")
+        ends = ends.join(small_side(rare), [*g, "_y"], "left_anti")
     elif strategy != "all":
         raise ValueError(f"unknown strategy {strategy}")
     gone = cut(ends.select(*g, key), "tomek")
     return removed_rows(df, gone, [*g, key]), df.join(gone, [*g, key], "left_semi")
 
 
-def knn_between(queries: DataFrame, targets: DataFrame, key: str, vec: str, k: int, metric: str = "euclidean",
-                partition_by: list[str] = ()) -> DataFrame:
-    """The k nearest rows of ``targets`` for every row of ``queries``: (groups, key, nbr, dist)."""
-    g = list(partition_by)
-    asked, given = Sites(queries, key, vec, g, k), Sites(targets, key, vec, g, k)
-    site_key = given.table.schema["key"].dataType
+def knn_between(asked: Sites, given: Sites, metric: str = "euclidean") -> DataFrame:
+    """The k nearest rows of ``given`` for every row of ``asked``: (groups, key, nbr, dist)."""
+    g, k = given.groups, given.k
     code = _grid_order(given.table, "vec", given.width)
-    q = _blocks(asked.table.select(*g, "key", "vec"), g, given.width, metric, k, True, code)
-    t = _blocks(given.table.select(*g, "key", "vec"), g, given.width, metric, k, True, code)
-    pairs = _nearest(_find(q, t, g, given.width, metric, k, False, site_key), [*g, "src"], k)
+    q, t = (_blocks(s.table.select(*g, "key", "vec"), g, given.width, metric, k, True, code) for s in (asked, given))
+    pairs = _nearest(_find(q, t, g, given.width, metric, k, False, given.table.schema["key"].dataType), [*g, "src"], k)
     lists = given.table.select(*g, F.col("key").alias("nbr"), "few")
     entry = F.struct("dist", F.col("row").alias("key"))
     near = pairs.join(lists, [*g, "nbr"]).withColumn("row", F.explode("few")).groupBy(*g, F.col("src").alias("site")).agg(
         F.slice(F.sort_array(F.collect_list(entry)), 1, k).alias("near")
     )
-    return asked.expand(near).select(*g, F.col("key").alias(key), F.explode("near").alias("e")).select(
-        *g, key, F.col("e.key").alias("nbr"), F.col("e.dist").alias("dist")
+    return asked.expand(near).select(*g, "key", F.explode("near").alias("e")).select(
+        *g, "key", F.col("e.key").alias("nbr"), F.col("e.dist").alias("dist")
     )
 
 
-def near_miss(df: DataFrame, key: str, vec: str, label: str, minority: int, quota: dict[int, int],
-              k: int = 3, partition_by: list[str] = ()) -> DataFrame:
-    """Version-3 near-miss sampling of one group: (key, label, mean_dist) of the rows kept.
+def _class_sizes(df: DataFrame, label: str, groups: list[str]) -> DataFrame:
+    """(groups, _label, _n, _minority): the minority is the rarer label, the lower one on a tie."""
+    sizes = df.groupBy(*groups, F.col(label).alias("_label")).agg(F.count("*").alias("_n"))
+    order = Window.partitionBy(*groups).orderBy("_n", "_label")
+    return sizes.withColumn("_minority", F.row_number().over(order) == 1)
+
 
-    Of each class but the minority, rows that are among the k nearest of some minority row are
-    candidates; those with the largest mean distance to their own k nearest minority rows are kept,
-    up to the quota. Minority rows are all kept.
+def near_miss(df: DataFrame, key: str, vec: str, label: str, share: int, k: int = 3, partition_by: list[str] = ()) -> DataFrame:
+    """Version-3 near-miss sampling: (groups, key, label, mean_dist) of the rows kept.
+
+    Rows of a class that are among the k nearest of some minority row are its candidates; those with
+    the largest mean distance to their k nearest minority rows are kept, one ``share``-th of the
+    class at most. The minority class is sampled the same way, each row being its own nearest.
     """
     g = list(partition_by)
-    rare = df.where(F.col(label) == minority)
-    kept = rare.select(*g, key, label, F.lit(None).cast("double").alias("mean_dist"))
-    for value, size in quota.items():
-        if value == minority:
-            continue
-        pool = df.where(F.col(label) == value)
-        short = knn_between(rare, pool, key, vec, k, "euclidean", g).select(*g, F.col("nbr").alias(key)).distinct()
+    sizes = small_side(_class_sizes(df, label, g))
+    tagged = cut(df.select(*g, key, vec, F.col(label).alias("_label")).join(sizes, [*g, "_label"]), "classes", ("_label",))
+    rare = Sites(tagged.where("_minority"), key, vec, g, k)
+    kept = []
+    for value in sorted(r["_label"] for r in tagged.select("_label").distinct().collect()):
+        pool = tagged.where(F.col("_label") == value)
+        short = knn_between(rare, Sites(pool, key, vec, g, k)).select(*g, F.col("nbr").alias(key)).distinct()
         candidates = cut(pool.join(short, [*g, key], "left_semi"), "candidates")
-        far = knn_between(candidates, rare, key, vec, k, "euclidean", g).groupBy(*g, key).agg(F.avg("dist").alias("mean_dist"))
-        ranked = candidates.select(*g, key, label).join(far, [*g, key])
-        if g:
-            order = Window.partitionBy(*g).orderBy(F.desc("mean_dist"), key)
-            best = ranked.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= size).drop("_r")
-        else:
-            best = ranked.orderBy(F.desc("mean_dist"), key).limit(size)
-        kept = kept.unionByName(best.select(*kept.columns))
-    return kept
+        far = knn_between(Sites(candidates, key, vec, g, k), rare).groupBy(*g, F.col("key").alias(key)).agg(F.avg("dist").alias("mean_dist"))
+        ranked = candidates.select(*g, key, "_label", "_n").join(far, [*g, key]).withColumn("_near", -F.col("mean_dist"))
+        best = running_index(ranked, g, ["_near", key], "_place").where(F.col("_place") <= F.floor(F.col("_n") / share))
+        kept.append(best.select(*g, key, F.col("_label").alias(label), "mean_dist"))
+    return reduce(DataFrame.unionByName, kept)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import term_kind
-from ..session import cut
+from ..session import cut, small_side
 
 # The order of registration snapshots.
 SNAPSHOT_ORDER = {"census": 1, "midterm": 2, "eot": 3}
@@ -82,18 +82,20 @@ def row_ordinal(df: DataFrame, keys: list[str], name: str = "ordinal") -> DataFr
     offsets = placed.groupBy("_part").agg(F.count("*").alias("_n")).select(
         "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")
     )
-    return placed.join(offsets, "_part").withColumn(name, F.col("_before") + F.col("_place")).drop(
+    return placed.join(small_side(offsets), "_part").withColumn(name, F.col("_before") + F.col("_place")).drop(
         "_part", "_place", "_before"
     )
 
 
-def running_index(df: DataFrame, group: str, keys: list[str], name: str = "idx") -> DataFrame:
+def running_index(df: DataFrame, groups: list[str], keys: list[str], name: str = "idx") -> DataFrame:
     """1, 2, 3, ... inside each group in the order of ``keys``; safe for a group of any size."""
-    numbered = row_ordinal(df, [group, *keys], "_ordinal")
-    starts = numbered.groupBy(group).agg(F.min("_ordinal").alias("_start"))
-    return numbered.join(starts, group).withColumn(
-        name, (F.col("_ordinal") - F.col("_start") + 1).cast("int")
-    ).drop("_ordinal", "_start")
+    if not groups:
+        return row_ordinal(df, keys, "_ordinal").withColumn(name, F.col("_ordinal") + 1).drop("_ordinal")
+    numbered = row_ordinal(df, [*groups, *keys], "_ordinal")
+    starts = numbered.groupBy(*groups).agg(F.min("_ordinal").alias("_start"))
+    return numbered.join(small_side(starts), groups).withColumn(name, F.col("_ordinal") - F.col("_start") + 1).drop(
+        "_ordinal", "_start"
+    )
 
 
 # --- joins -------------------------------------------------------------------------------------
@@ -119,17 +121,19 @@ def next_in_group(df: DataFrame, group: str, order: str, column: str, name: str)
 
 
 def interval_lookup(days: DataFrame, calendar: DataFrame, day: str, begin: str, end: str, keep: list[str]) -> DataFrame:
-    """The first calendar row (by ``strm``) whose interval holds the day; days in no interval drop out.
+    """Each row with the first calendar row (by ``strm``) whose interval holds its day; others drop out.
 
-    Each interval is listed once per year it touches, so the match is an equi-join on the year with
-    the interval as a residual filter, and the planner is free to choose the join.
+    Distinct days are looked up, and their terms joined back, so a long table is only aggregated to
+    its days. Each interval is listed once per year it touches, which makes the match an equi-join
+    on the year with the interval as a residual filter.
     """
     listed = calendar.where(F.col(begin).isNotNull() & F.col(end).isNotNull()).withColumn(
         "_year", F.explode(F.sequence(F.year(begin), F.year(end)))
     )
-    hits = days.withColumn("_year", F.year(day)).join(listed, "_year").where(F.col(day).between(F.col(begin), F.col(end)))
-    first = F.min_by(F.struct(*keep), F.col("strm")).alias("_hit")
-    return hits.groupBy(*days.columns).agg(first).select(*days.columns, "_hit.*")
+    asked = days.select(F.col(day).alias("_day")).distinct().withColumn("_year", F.year("_day"))
+    hits = asked.join(listed, "_year").where(F.col("_day").between(F.col(begin), F.col(end)))
+    terms = hits.groupBy("_day").agg(F.min_by(F.struct(*keep), F.col("strm")).alias("_hit")).select("_day", "_hit.*")
+    return days.join(terms, days[day] == terms["_day"]).drop("_day")
 
 
 def last_wins(df: DataFrame, key: str, seq: str) -> DataFrame:

@@ -64,9 +64,9 @@ def retention_risk(df: DataFrame, categorical: list[str], numeric: list[str], un
     names = ["emplid", "enrl_ind", *categorical, *numeric]
     coded, indicators = encode(cut(unit_cohorts(df, names, units), "cohort"), categorical, unseen)
     columns = [*indicators, *numeric]
-    coded = cut(coded.select(*GROUP, "emplid", "enrl_ind", *columns), "coded")
+    coded = cut(coded.select(*GROUP, "emplid", "enrl_ind", *columns), "coded", ("unit", "split"))
     vectors = assemble(columns)
-    fitted = cut(vectors.transform(clean(coded, columns)), "fitted")
+    fitted = vectors.transform(cut(clean(coded, columns), "fitted", ("unit", "split")))
     testing = vectors.transform(coded.where("split = 'testing'"))
     present = [r["unit"] for r in fitted.select("unit").distinct().collect()]
     chosen = [u for u in units if u in present]

@@ -7,6 +7,9 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+SMALL_ROWS = 10_000
 
 
 def local_session(cpus: str = "8", name: str = "cohortlens", memory: str = "12g") -> SparkSession:
@@ -49,12 +52,25 @@ def fresh_path(spark: SparkSession, tag: str) -> str:
     return os.path.join(shared_dir(spark), "cohortlens", f"{tag}-{uuid.uuid4().hex}")
 
 
-def cut(df: DataFrame, tag: str) -> DataFrame:
+def cut(df: DataFrame, tag: str, by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
     Cuts the lineage, survives lost executors, keeps columns prunable, and gives the planner
-    real sizes for the joins that follow.
+    real sizes for the joins that follow. ``by`` lays the table out in folders, so that a filter on
+    those columns opens only its own.
     """
     path = fresh_path(df.sparkSession, tag)
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def small_side(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
+    """``df`` as a broadcast table if it has at most ``limit`` rows, else ``df`` unchanged.
+
+    For per-group statistics that are joined back to all rows: the rows then stay where they are,
+    and a table that turns out large is joined by shuffling as usual.
+    """
+    rows = df.limit(limit + 1).collect()
+    if len(rows) > limit:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))

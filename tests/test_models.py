@@ -7,6 +7,7 @@ import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
+from cohortlens.explain import contributions
 from cohortlens.explain.contributions import Leaves, tree_contributions
 from cohortlens.models import linear as L
 from cohortlens.models import search as H
@@ -122,31 +123,28 @@ def shapley(value, players):
     return out
 
 
-def test_contributions_equal_shapley_values_of_the_margin(spark, data):
+@pytest.mark.parametrize("table_slots", [8, 1])
+def test_contributions_equal_shapley_values_of_the_margin(spark, data, monkeypatch, table_slots):
+    monkeypatch.setattr(contributions, "TABLE_SLOTS", table_slots)
     pdf, df = data
     train = df.where("id < 200")
     model = B.boosted_forest(train, df.where("id >= 500"), "y", rounds=2, trees=3, depth=3, min_child_weight=2.0)
     told = tree_contributions(df.where("id IN (300, 301, 302)"), ["id"], train, model.margin_trees(), ["a", "b", "c"], flip=False)
     leaves = Leaves.of(spark, model.margin_trees())
-    full = (1 << leaves.feature.shape[1]) - 1
-
-    def margin(x):
-        return ((leaves.patterns(x) == full) * leaves.value).sum(axis=1)
-
     back = np.stack(pdf["f"][:200].to_numpy())
-    base = margin(back).mean()
-    mean_prob = (1 / (1 + np.exp(-margin(back)))).mean()
+    base = leaves.margin(back).mean()
+    mean_prob = (1 / (1 + np.exp(-leaves.margin(back)))).mean()
     for row in told.collect():
         x = pdf["f"][row["id"]]
 
         def value(known):
             mixed = back.copy()
             mixed[:, list(known)] = x[list(known)]
-            return margin(mixed).mean()
+            return leaves.margin(mixed).mean()
 
         want = shapley(value, [0, 1, 2])
         got = [c["value"] for c in row["contributions"]]
-        f = margin(x[None, :])[0]
+        f = leaves.margin(x[None, :])[0]
         p = 1 / (1 + math.exp(-f))
         scale = (p - mean_prob) / (f - base)
         assert got == pytest.approx([want[i] * scale for i in range(3)], abs=1e-9)

@@ -122,7 +122,7 @@ def test_nearest_between_two_tables(spark, monkeypatch):
     b[:60] = b[0]
     qa = spark.createDataFrame(pd.DataFrame({"key": range(150), "v": list(a)}))
     tb = spark.createDataFrame(pd.DataFrame({"key": range(1000, 1200), "v": list(b)}))
-    pdf = N.knn_between(qa, tb, "key", "v", 3).toPandas().sort_values(["key", "dist", "nbr"])
+    pdf = N.knn_between(N.Sites(qa, "key", "v", [], 3), N.Sites(tb, "key", "v", [], 3)).toPandas().sort_values(["key", "dist", "nbr"])
     got = {k: list(p["nbr"]) for k, p in pdf.groupby("key")}
     for i in range(150):
         d = np.sqrt((a[i, 0] - b[:, 0]) ** 2 + (a[i, 1] - b[:, 1]) ** 2)

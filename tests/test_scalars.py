@@ -91,7 +91,7 @@ def test_ordinals_follow_the_key_over_many_partitions(spark):
     df = spark.range(1000).select((F.col("id") * 7919 % 1009).alias("k"), (F.col("id") % 3 > 0).cast("int").alias("g"))
     got = {r["k"]: r["ordinal"] for r in R.row_ordinal(df, ["k"]).collect()}
     assert got == {k: i for i, k in enumerate(sorted(got))}
-    idx = R.running_index(df, "g", ["k"]).toPandas().sort_values(["g", "k"])
+    idx = R.running_index(df, ["g"], ["k"]).toPandas().sort_values(["g", "k"])
     for _, part in idx.groupby("g"):
         assert list(part["idx"]) == list(range(1, len(part) + 1))
 
