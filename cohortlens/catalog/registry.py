@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from ..explain.contributions import linear_contributions
 from ..fixtures import VIEWS, view, with_views
+from ..operators.relational import complete_cases
 from ..plans.calendar import academic_calendar
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,7 +58,7 @@ def cohort(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def complete(spark: SparkSession, sf: str) -> DataFrame:
-    return cohort(spark, sf).na.drop(how="any", subset=["unmet_need_ofr", "high_school_gpa"])
+    return complete_cases(cohort(spark, sf), ["unmet_need_ofr", "high_school_gpa"])
 
 
 def calendar(spark: SparkSession, sf: str) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.features import assemble
+from ..operators.relational import complete_cases
 from ..session import small_side
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -112,7 +113,7 @@ class LinearFits:
 
 def least_squares(df: DataFrame, y: str, xs: list[str], by: list[str] = ()) -> LinearFits:
     """One least-squares fit per group over complete rows, from one pass of cross products."""
-    complete = df.na.drop(how="any", subset=[y, *xs])
+    complete = complete_cases(df, [y, *xs])
     fits = {}
     for tag, (mu, cross, _) in gram(complete, [y, *xs], by).items():
         slope = np.linalg.lstsq(cross[1:, 1:], cross[1:, 0], rcond=None)[0]
@@ -133,14 +134,14 @@ def residual(df: DataFrame, y: str, xs: list[str], name: str, by: list[str] = ()
 
 def ols(df: DataFrame, y: str, xs: list[str]):
     """Least squares with its summary (standard errors, t, p, R squared)."""
-    data = assemble(xs).transform(df.na.drop(how="any", subset=[y, *xs]))
+    data = assemble(xs).transform(complete_cases(df, [y, *xs]))
     return LinearRegression(labelCol=y, solver="normal", predictionCol="predicted").fit(data)
 
 
 def vif(df: DataFrame, xs: list[str], by: list[str] = ()) -> list[tuple]:
     """(group, feature, vif) with the intercept included; infinite for an exact combination."""
     rows = []
-    for tag, (mu, cross, n) in gram(df.na.drop(how="any", subset=xs), xs, by).items():
+    for tag, (mu, cross, n) in gram(complete_cases(df, xs), xs, by).items():
         scale = np.sqrt(np.where(np.diag(cross) > 0, np.diag(cross), 1.0))
         corr = cross / np.outer(scale, scale)
         rank = np.linalg.matrix_rank(corr, tol=1e-10)
@@ -158,7 +159,7 @@ def vif(df: DataFrame, xs: list[str], by: list[str] = ()) -> list[tuple]:
 def logit_inference(df: DataFrame, y: str, xs: list[str]) -> list[tuple]:
     """(term, coef, std_err, z, p, status) of a maximum-likelihood logit; a failed fit is one status row."""
     try:
-        data = assemble(xs).transform(df.na.drop(how="any", subset=[y, *xs]))
+        data = assemble(xs).transform(complete_cases(df, [y, *xs]))
         model = GeneralizedLinearRegression(family="binomial", link="logit", labelCol=y, maxIter=100, regParam=0.0).fit(data)
         s = model.summary
         terms = [*xs, "intercept"]

@@ -14,6 +14,8 @@ from ..session import cut, small_side
 # The order of registration snapshots.
 SNAPSHOT_ORDER = {"census": 1, "midterm": 2, "eot": 3}
 
+LOOKUP_DAYS = 100_000
+
 
 # --- projections and filters -------------------------------------------------------------------
 
@@ -31,8 +33,13 @@ def campus_filter(df: DataFrame, campuses: list[str], column: str = "adj_acad_pr
 
 
 def complete_cases(df: DataFrame, names: list[str]) -> DataFrame:
-    """Rows with no NULL and no NaN in the named columns."""
-    return df.na.drop(how="any", subset=names)
+    """Rows with no NULL and no NaN in the named columns.
+
+    One condition per column, so that each reaches the scan and turns outer joins into inner ones.
+    """
+    kinds = dict(df.dtypes)
+    present = [F.col(n).isNotNull() & ~F.isnan(n) if kinds[n] in ("double", "float") else F.col(n).isNotNull() for n in names]
+    return df.where(reduce(Column.__and__, present)) if present else df
 
 
 def label_case(code: str | Column, labels: dict) -> Column:
@@ -133,7 +140,7 @@ def interval_lookup(days: DataFrame, calendar: DataFrame, day: str, begin: str,
     asked = days.select(F.col(day).alias("_day")).distinct().withColumn("_year", F.year("_day"))
     hits = asked.join(listed, "_year").where(F.col("_day").between(F.col(begin), F.col(end)))
     terms = hits.groupBy("_day").agg(F.min_by(F.struct(*keep), F.col("strm")).alias("_hit")).select("_day", "_hit.*")
-    return days.join(terms, days[day] == terms["_day"]).drop("_day")
+    return days.join(small_side(terms, LOOKUP_DAYS).withColumnRenamed("_day", day), day)
 
 
 def last_wins(df: DataFrame, key: str, seq: str) -> DataFrame:

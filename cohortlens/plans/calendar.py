@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions import coalesce_days, date_fields, date_part, is_saturday, prev_day, term_kind
 from ..operators.relational import date_gate, interval_lookup, next_in_group, snapshot_rank, where_on_read
-from .dimensions import STAGES, population_table, stage_table
+from ..session import small_side
+from .dimensions import POPULATIONS, STAGES, stage_table
 
 
 def academic_calendar(terms: DataFrame, as_of_year: int, career: str = "UGRD") -> DataFrame:
@@ -69,7 +70,7 @@ def stage_gate(days: DataFrame, calendar: DataFrame, registration: DataFrame, da
         _pick("window_column", sorted({s[4] for s in STAGES})).alias("window_end_dt"),
     )
     term = term_as_of(days, calendar, day).select(day, "strm")
-    checked = term.join(gates, "strm").withColumns({
+    checked = term.join(small_side(gates), "strm").withColumns({
         "in_window": F.coalesce(F.col(day) <= F.col("window_end_dt"), F.lit(False)),
         "date_reached": date_gate(day, "gate_dt"),
         "snapshot_ok": F.col("required_rank").isNull() | F.coalesce(F.col("snap_order") == F.col("required_rank"), F.lit(False)),
@@ -94,8 +95,7 @@ def run_plan(days: DataFrame, calendar: DataFrame, registration: DataFrame, day:
     ).select(day, "_run.*")
     # Every stage lists the same populations, so they come from an array rather than a join.
     pops = F.array(*[
-        F.struct(F.lit(r["run_order"]).alias("run_order"), F.lit(r["model_descr"]).alias("model_descr"))
-        for r in population_table(days.sparkSession).collect()
+        F.struct(F.lit(order).alias("run_order"), F.lit(name).alias("model_descr")) for order, name, _ in POPULATIONS
     ])
     return chosen.select(day, "term_type", "strm", "stage", "model_id", F.inline(pops))
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 CAMPUSES = ["PULLM", "VANCO", "TRICI", "EVERE", "SPOKA", "ONLIN"]
 
@@ -47,18 +48,19 @@ def scored_campuses(units: str, unit: str) -> list[str]:
     return small if "V" in units else [*small, "VANCO"]
 
 
+def _dimension(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A table of the fixed values above. Its size never grows, so it is always broadcast."""
+    return F.broadcast(spark.createDataFrame(rows, schema))
+
+
 def stage_table(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        STAGES,
+    return _dimension(
+        spark, STAGES,
         "term_type string, stage string, priority int, gate_column string, window_column string, "
         "required_rank int, model_id int",
     )
 
 
-def population_table(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(POPULATIONS, "run_order int, model_descr string, fall_outcome string")
-
-
 def unit_rows(units: str) -> list[tuple[str, str, bool, bool]]:
     """(unit, campus, trains, scores) for one run's units. The system unit trains on every campus."""
     rows = []
@@ -70,7 +72,7 @@ def unit_rows(units: str) -> list[tuple[str, str, bool, bool]]:
 
 
 def unit_table(spark: SparkSession, units: str = "PVTU") -> DataFrame:
-    return spark.createDataFrame(unit_rows(units), "unit string, campus string, trains boolean, scores boolean")
+    return _dimension(spark, unit_rows(units), "unit string, campus string, trains boolean, scores boolean")
 
 
 def run_table(spark: SparkSession) -> DataFrame:
@@ -80,4 +82,4 @@ def run_table(spark: SparkSession) -> DataFrame:
         (t, pop, stage, model[(t, stage)], u)
         for (t, pop), stages in UNITS.items() for stage, units in stages.items() for u in units
     ]
-    return spark.createDataFrame(rows, "term_type string, model_descr string, stage string, model_id int, unit string")
+    return _dimension(spark, rows, "term_type string, model_descr string, stage string, model_id int, unit string")
