@@ -35,6 +35,17 @@ def _whole_log(n: int, base: int) -> int:
     return power
 
 
+def exhausting_minimum(candidates: int, max_resources: int, factor: int, folds: int, classes: int = 2) -> int:
+    """The smallest resource with which the last rung uses as much as it can."""
+    last = _whole_log(candidates, factor)
+    return max(2 * folds * classes, max_resources // factor**last)
+
+
+def sample_rows(df: DataFrame, key: str, resources: int, total: int) -> DataFrame:
+    """About ``resources`` of ``total`` rows, the same ones every time: rows as a resource of the search."""
+    return df.where(F.pmod(F.xxhash64(F.lit("sample"), key), F.lit(1 << 30)) < int((1 << 30) * min(1.0, resources / total)))
+
+
 def survivors(scores: DataFrame, candidate: str, score: str, factor: int = 3) -> DataFrame:
     """The best ceil(n / factor) candidates by mean score, ties by candidate: (candidate, mean_score).
 
@@ -55,8 +66,9 @@ def halving_search(train: DataFrame, label: str, fold: str, folds: int, candidat
                    max_resources: int, factor: int = 3, aggressive: bool = True, parallel: int = 4):
     """(best candidate, scores) where ``scores`` rows are (rung, candidate, resources, fold, auc).
 
-    ``fit(rows, candidate, resources)`` returns a frame-to-frame scorer adding ``prob``. Fits of a rung
-    run from a small thread pool, each of them a Spark job over its fold's rows.
+    ``fit(rows, candidate, resources)`` returns a frame-to-frame scorer adding ``prob``; resources are
+    trees, or rows taken by ``sample_rows``. Fits of a rung run from a small thread pool, each of
+    them a Spark job over its fold's rows. ``train`` should be a stored table.
     """
     alive = list(range(len(candidates)))
     log = []

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+from pyspark.ml.feature import SQLTransformer
 from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -50,15 +52,22 @@ class BoostedForest:
     train_loss: list[float] = field(default_factory=list)
     valid_loss: list[float] = field(default_factory=list)
 
-    def transform(self, df: DataFrame, out: str = "prob") -> DataFrame:
-        scored, margin = df, F.lit(0.0)
-        for i, stage in enumerate(self.stages):
-            scored = stage.setPredictionCol(f"_stage{i}").transform(scored)
-            margin = margin + self.step * F.col(f"_stage{i}")
-        return scored.withColumn(out, sigmoid(margin)).drop(*[f"_stage{i}" for i in range(len(self.stages))])
+    def pipeline(self) -> PipelineModel:
+        """The model as a Spark pipeline that adds ``prob``, ready for the registry."""
+        parts = [s.copy().setPredictionCol(f"_stage{i}") for i, s in enumerate(self.stages)]
+        margin = " + ".join([f"{self.step!r}D * _stage{i}" for i in range(len(parts))]) or "0D"
+        return PipelineModel([*parts, SQLTransformer(statement=f"SELECT *, 1D / (1D + exp(-({margin}))) AS prob FROM __THIS__")])
 
-    def margin_trees(self):
-        """(model, weight) per stage: each tree counts step / trees on the log-odds scale."""
+    @classmethod
+    def from_pipeline(cls, model: PipelineModel, step: float) -> "BoostedForest":
+        return cls([s for s in model.stages if isinstance(s, RandomForestRegressionModel)], step)
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """``df`` with ``prob``."""
+        return self.pipeline().transform(df).drop(*[f"_stage{i}" for i in range(len(self.stages))])
+
+    def margin_trees(self) -> list[tuple]:
+        """(model, weights) per stage: each tree counts step / trees on the log-odds scale."""
         return [(s, [self.step / s.getNumTrees] * s.getNumTrees) for s in self.stages]
 
 

@@ -343,22 +343,25 @@ class Sites:
 
     def __init__(self, df: DataFrame, key: str, vec: str, groups: list[str], k: int):
         self.groups, self.key, self.k = list(groups), key, k
-        # The hash leads in sorts and joins, so that whole vectors are compared on a match only.
-        self.rows = cut(df.select(*groups, F.col(key).alias("key"), F.col(vec).alias("vec"), F.xxhash64(vec).alias("hash")), "vectors")
+        # Two 64-bit hashes stand for the vector, so that vectors are neither compared nor shipped twice.
+        self.rows = cut(df.select(
+            *groups, F.col(key).alias("key"), F.col(vec).alias("vec"),
+            F.xxhash64(vec).alias("hash"), F.xxhash64(F.lit("second"), vec).alias("hash2"),
+        ), "vectors")
         first = self.rows.select(F.size("vec").alias("w")).first()
         self.width = first["w"] if first else 0
-        self.by = [*groups, "hash", "vec"]
+        self.by = [*groups, "hash", "hash2"]
         # Window group limits prune each partition to k+1 rows per vector before the shuffle.
         place = F.row_number().over(Window.partitionBy(*self.by).orderBy("key"))
         lowest = self.rows.withColumn("_r", place).where(F.col("_r") <= k + 1)
-        few = lowest.groupBy(*self.by).agg(F.sort_array(F.collect_list("key")).alias("few"))
-        self.table = cut(few.select(*self.by, F.get("few", F.lit(0)).alias("key"), "few"), "sites")
-        self.copied = self.table.where(F.size("few") > 1)
+        few = lowest.groupBy(*self.by).agg(F.sort_array(F.collect_list("key")).alias("few"), F.first("vec").alias("vec"))
+        self.table = cut(few.select(*self.by, F.get("few", F.lit(0)).alias("key"), "vec", "few"), "sites")
+        self.copied = self.table.where(F.size("few") > 1).select(*self.by, "key")
         self.copies = not self.copied.isEmpty()
         if self.copies:
-            # At most HOT_SHARE hashes can hold more than that share of the rows each.
-            many = self.rows.groupBy(*groups, "hash").agg(F.count("*").alias("c")).where(F.col("c") > self.rows.count() / HOT_SHARE)
-            self.hot = cut(self.copied.join(many.select(*groups, "hash"), [*groups, "hash"], "left_semi").select(*self.by, "key"), "hot")
+            # At most HOT_SHARE vectors can hold more than that share of the rows each.
+            many = self.rows.groupBy(*self.by).agg(F.count("*").alias("c")).where(F.col("c") > self.rows.count() / HOT_SHARE)
+            self.hot = cut(self.copied.join(many.select(*self.by), self.by, "left_semi"), "hot")
 
     def pairs(self, metric: str) -> DataFrame:
         """(groups, src, nbr, dist): the k nearest other sites of every site."""
@@ -392,7 +395,7 @@ class Sites:
         if not self.copies:
             return per_site.withColumn("key", F.col("site"))
         alias = self.copied.select(*self.by, F.col("key").alias("_site"))
-        members = hot_join(self.rows, alias, self.by, self.hot.select(*self.by), "left").select(
+        members = hot_join(self.rows.drop("vec"), alias, self.by, self.hot.select(*self.by), "left").select(
             *g, "key", F.coalesce("_site", "key").alias("site")
         )
         return hot_join(members, per_site, [*g, "site"], self.hot.select(*g, F.col("key").alias("site")))

@@ -14,15 +14,21 @@ from pyspark.sql import functions as F
 
 from ..explain.contributions import tree_contributions
 from ..functions import threshold_pred
+from ..models.registry import load_model, save_model
+from ..models.search import halving_search
 from ..models.trees import BoostedForest, boosted_forest
 from ..operators.features import OneHot, as_array, assemble, feature_names
 from ..operators.metrics import roc_auc
 from ..operators.neighbors import remove_outliers, tomek_undersample
+from ..operators.relational import label_case
 from ..session import cut
+from ..sources import append_run
 from .cohorts import unit_cohorts
-from .outcomes import student_fairness, student_outcome, student_shap
+from .dimensions import scored_campuses
+from .outcomes import aggregate_outcome, pred_outcome, student_fairness, student_outcome, student_shap
 
 GROUP = ["unit", "split"]
+DESCRIBED = ["male", "underrep_minority", "first_gen_flag", "resident"]
 
 
 def per_unit(spark: SparkSession, units: list[str], fit: Callable[[str], object], parallel: int = 4) -> dict[str, object]:
@@ -37,64 +43,108 @@ def encode(df: DataFrame, categorical: list[str], unseen: str = "error") -> tupl
     return encoder.transform(df), encoder.names()
 
 
+def clean(coded: DataFrame, columns: list[str], k: int = 20) -> DataFrame:
+    """Training and validation rows without outliers and Tomek links, each unit and split on its own."""
+    fitted = coded.where("split <> 'testing'")
+    kept, _ = remove_outliers(fitted, "emplid", columns, k, GROUP)
+    vectors = cut(kept.withColumn("_x", as_array(columns)), "kept")
+    left, _ = tomek_undersample(vectors, "emplid", "_x", "enrl_ind", "all", GROUP)
+    return left.drop("_x")
+
+
 @dataclass
 class Run:
     """What a run leaves behind: models per unit, and its result tables."""
 
     models: dict[str, BoostedForest]
-    names: list[str]
     outcome: DataFrame
+    predictions: DataFrame
+    aggregate: DataFrame | None
     fairness: DataFrame
     quality: DataFrame
     shap: DataFrame | None
 
+    def publish(self, root: str) -> None:
+        """Append the run to the history tables below ``root``."""
+        append_run(self.outcome, f"{root}/student_outcome")
+        append_run(self.fairness, f"{root}/student_fairness")
+        if self.shap is not None:
+            append_run(self.shap, f"{root}/student_shap")
 
-def clean(coded: DataFrame, columns: list[str], k: int = 20) -> DataFrame:
-    """Training and validation rows without outliers and Tomek links, each unit and split on its own."""
-    fitted = coded.where("split <> 'testing'")
-    kept, _ = remove_outliers(fitted, "emplid", columns, k, GROUP)
-    vectors = cut(kept.withColumn("_x", as_array(columns)), "kept")
-    left, _ = tomek_undersample(vectors, "emplid", "_x", "enrl_ind", "all", GROUP)
-    return left.drop("_x")
+
+def fit_unit(train: DataFrame, valid: DataFrame, search: dict | None, **forest) -> BoostedForest:
+    """A boosted forest, its depth, gamma and step found by halving over rounds first if ``search`` is given.
+
+    ``search`` holds ``choices``, ``min_rounds``, ``max_rounds`` and ``folds``.
+    """
+    if search:
+        folds = search.get("folds", 3)
+        rows = cut(train.select("features", "enrl_ind", F.pmod(F.xxhash64("emplid"), F.lit(folds)).alias("fold")), "folds")
+
+        def candidate(part: DataFrame, choice: dict, rounds: int):
+            return boosted_forest(part, valid, "enrl_ind", **{**forest, **choice, "rounds": rounds}).transform
+
+        best, _ = halving_search(rows, "enrl_ind", "fold", folds, search["choices"], candidate,
+                                 search["min_rounds"], search["max_rounds"])
+        forest = {**forest, **best}
+    return boosted_forest(train, valid, "enrl_ind", **forest)
 
 
 def retention_risk(df: DataFrame, categorical: list[str], numeric: list[str], units: str, model_id: int, model_descr: str,
-                   run_date: datetime.date, explain: bool = False, top_n: int = 5, unseen: str = "error", **forest) -> Run:
-    """Score the testing rows of every unit with a boosted forest fitted on its cleaned training rows."""
+                   run_date: datetime.date, explain: bool = False, top_n: int = 5, unseen: str = "error",
+                   search: dict | None = None, registry: str | None = None, refit: bool = True, **forest) -> Run:
+    """Score the testing rows of every unit with a boosted forest fitted on its cleaned training rows.
+
+    With a ``registry`` folder, models are saved there, and loaded from there when ``refit`` is False.
+    """
+    spark = df.sparkSession
     names = ["emplid", "enrl_ind", *categorical, *numeric]
     coded, indicators = encode(cut(unit_cohorts(df, names, units), "cohort"), categorical, unseen)
     columns = [*indicators, *numeric]
-    coded = cut(coded.select(*GROUP, "emplid", "enrl_ind", *columns), "coded", ("unit", "split"))
+    coded = cut(coded.select(*GROUP, "emplid", "enrl_ind", *columns, *categorical), "coded", ("unit", "split"))
     vectors = assemble(columns)
     fitted = vectors.transform(cut(clean(coded, columns), "fitted", ("unit", "split")))
     testing = vectors.transform(coded.where("split = 'testing'"))
-    present = [r["unit"] for r in fitted.select("unit").distinct().collect()]
+    present = {r["unit"] for r in fitted.select("unit").distinct().collect()}
     chosen = [u for u in units if u in present]
 
+    def rows(unit: str, split: str) -> DataFrame:
+        return fitted.where((F.col("unit") == unit) & (F.col("split") == split))
+
     def fit(unit: str) -> BoostedForest:
-        mine = fitted.where(F.col("unit") == unit)
-        return boosted_forest(mine.where("split = 'training'"), mine.where("split = 'validation'"), "enrl_ind", **forest)
+        if registry and not refit:
+            return BoostedForest.from_pipeline(load_model(registry, unit, model_descr), forest.get("step", 0.5))
+        model = fit_unit(rows(unit, "training"), rows(unit, "validation"), search, **forest)
+        if registry:
+            save_model(model.pipeline(), registry, unit, model_descr)
+        return model
 
-    models = per_unit(df.sparkSession, chosen, fit)
+    models = per_unit(spark, chosen, fit)
 
-    def scored(rows: DataFrame) -> DataFrame:
-        parts = [models[u].transform(rows.where(F.col("unit") == u)) for u in chosen]
-        return reduce(DataFrame.unionByName, parts).withColumn("pred", threshold_pred("prob"))
+    def scored(part: DataFrame) -> DataFrame:
+        each = [models[u].transform(part.where(F.col("unit") == u)) for u in chosen]
+        return reduce(DataFrame.unionByName, each).withColumn("pred", threshold_pred("prob"))
 
     tested = scored(testing)
     judged = scored(fitted).withColumn("model_type", F.when(F.col("split") == "training", "train").otherwise("valid"))
-    fairness = student_fairness(judged, run_date, model_id, model_descr, ["unit", "model_type"], y="enrl_ind")
+    campus = label_case("unit", {u: scored_campuses(units, u)[0] for u in chosen})
+    fairness = student_fairness(judged, run_date, model_id, model_descr, ["unit", "model_type"], y="enrl_ind").withColumn(
+        "adj_acad_prog_primary_campus", campus)
     quality = roc_auc(judged, "enrl_ind", "prob", ["unit", "model_type"])
     shap = None
     if explain:
         labels = feature_names(testing)
         told = [
-            tree_contributions(
-                testing.where(F.col("unit") == u), ["unit", "emplid"],
-                fitted.where((F.col("unit") == u) & (F.col("split") == "training")), models[u].margin_trees(), labels,
-            )
+            tree_contributions(testing.where(F.col("unit") == u), ["unit", "emplid"], rows(u, "training"),
+                               models[u].margin_trees(), labels)
             for u in chosen
         ]
         shap = student_shap(reduce(DataFrame.unionByName, told), top_n, run_date, model_id, keep=["unit"])
-    outcome = student_outcome(tested, run_date, model_id, keep=["unit"])
-    return Run(models, columns, outcome, fairness, quality, shap)
+    described = set(DESCRIBED) <= set(tested.columns)
+    return Run(
+        models=models,
+        outcome=student_outcome(tested, run_date, model_id, keep=["unit"]),
+        predictions=pred_outcome(tested, {"xgbrf": "prob"}, keep=["unit"]),
+        aggregate=aggregate_outcome(tested, keep=["unit"]) if described else None,
+        fairness=fairness, quality=quality, shap=shap,
+    )

@@ -20,10 +20,10 @@ FIRST_GEN = {1: "non-First Gen", 0: "First Gen"}
 FIRST_GEN_CODE = {"Y": 1, "N": 0}
 
 
-def aggregate_outcome(scored: DataFrame, prob: str = "prob") -> DataFrame:
+def aggregate_outcome(scored: DataFrame, prob: str = "prob", keep: list[str] = ()) -> DataFrame:
     """One risk row per student with indicators and their descriptions."""
     coded = scored.select(
-        pad_student_id("emplid").alias("emplid"),
+        *keep, pad_student_id("emplid").alias("emplid"),
         F.col("male").cast("int").alias("sex_ind"),
         F.col("underrep_minority").cast("int").alias("underrep_minority_ind"),
         label_case("first_gen_flag", FIRST_GEN_CODE).alias("first_gen_ind"),
@@ -46,12 +46,12 @@ def student_outcome(scored: DataFrame, run_date: datetime.date, model_id: int, p
     )
 
 
-def pred_outcome(scored: DataFrame, models: dict[str, str]) -> DataFrame:
+def pred_outcome(scored: DataFrame, models: dict[str, str], keep: list[str] = ()) -> DataFrame:
     """emplid with <model>_prob and <model>_pred for each model's probability column."""
     cols = []
     for name, prob in models.items():
         cols += [F.col(prob).alias(f"{name}_prob"), threshold_pred(prob).alias(f"{name}_pred")]
-    return scored.select("emplid", *cols)
+    return scored.select(*keep, "emplid", *cols)
 
 
 def student_fairness(scored: DataFrame, run_date: datetime.date, model_id: int, model_descr: str,
