@@ -15,13 +15,14 @@ from ..models import search as H
 from ..models import trees as B
 from ..operators.features import OneHot, assemble, feature_names
 from ..operators.metrics import log_loss
+from ..operators.relational import row_ordinal
 from ..plans.cohorts import unit_cohorts
 from ..plans.flow import per_unit, retention_risk
 from ..session import cut, fresh_path
 from .features import ONE_HOT
 from .plans import NAMES
 from .registry import COMPLETE, RUN_DATE, SQL_PROB, cohort, complete, query, r6, scored_complete
-from .relational import SCORED
+from .relational import ROUTED, SCORED
 
 CODED = [*[n for n, _ in ONE_HOT], *NUMERIC]
 # Columns that vary, for designs that must have full rank.
@@ -30,7 +31,7 @@ PLAIN = ["male", "underrep_minority", "resident", "fall_lec_count", "fall_withdr
 
 def encoded(spark, sf, by_unit: bool = False):
     """Complete rows with indicators and an assembled vector: the whole table, or routed to units."""
-    df = unit_cohorts(cohort(spark, sf), NAMES) if by_unit else complete(spark, sf)
+    df = cut(unit_cohorts(cohort(spark, sf), NAMES) if by_unit else complete(spark, sf), "complete")
     by = ["unit"] if by_unit else []
     encoder = OneHot.fit(df.where("split = 'training'"), CATEGORICAL, by, unseen="zero")
     coded = encoder.transform(df).select(*by, "split", "emplid", "enrl_ind", *CODED)
@@ -92,6 +93,23 @@ def logit_inference(spark, sf):
     return spark.createDataFrame(rows, "unit string, term string, coef double, std_err double, z double, p double, status string")
 
 
+@query("logit_score_equations", f"""{ROUTED}, terms AS (SELECT * FROM (VALUES {', '.join(f"('{t}')" for t in [*PLAIN, 'intercept'])}) v(term))
+SELECT DISTINCT unit, term, true AS solved FROM routed CROSS JOIN terms WHERE split = 'training'""")
+def logit_score_equations(spark, sf):
+    """At the maximum, the residuals of the fitted logit are orthogonal to every column."""
+    fits = logit_inference(spark, sf).select("unit", "term", "coef").collect()
+    train = split_of(encoded(spark, sf, by_unit=True), "training")
+    eta = F.lit(0.0)
+    for r in fits:
+        x = F.lit(1.0) if r["term"] == "intercept" else F.col(r["term"])
+        eta = eta + F.when(F.col("unit") == r["unit"], x * r["coef"]).otherwise(0.0)
+    resid = F.col("enrl_ind") - 1.0 / (1.0 + F.exp(-eta))
+    gaps = train.withColumn("r", resid).groupBy("unit").agg(
+        *[F.sum(F.col("r") * F.col(c)).alias(c) for c in PLAIN], F.sum("r").alias("intercept"), F.count("*").alias("n"))
+    long = gaps.select("unit", "n", F.inline(F.array(*[F.struct(F.lit(t).alias("term"), F.col(t).alias("gap")) for t in [*PLAIN, "intercept"]])))
+    return long.select("unit", "term", (F.abs(F.col("gap")) < 1e-4 * F.col("n")).alias("solved"))
+
+
 @query("elastic_logit")
 def elastic_logit(spark, sf):
     df = encoded(spark, sf, by_unit=True)
@@ -159,6 +177,17 @@ def isotonic_calibration(spark, sf):
     return out.groupBy("prob").agg(F.max("calibrated").alias("calibrated"), F.count("*").alias("n"))
 
 
+@query("isotonic_monotone", f"{SCORED} SELECT count(DISTINCT prob) AS scores, count(*) AS n, true AS monotone FROM fx_scored")
+def isotonic_monotone(spark, sf):
+    """A calibrated score never falls as the score rises: compare every score with the next, in slices along the score."""
+    points = cut(isotonic_calibration(spark, sf), "calibrated")
+    placed = row_ordinal(points, ["prob"])
+    following = placed.select((F.col("ordinal") - 1).alias("ordinal"), F.col("calibrated").alias("next"))
+    return placed.join(following, "ordinal", "left").agg(
+        F.count("*").alias("scores"), F.sum("n").alias("n"),
+        F.bool_and(F.coalesce(F.col("next") >= F.col("calibrated") - 1e-12, F.lit(True))).alias("monotone"))
+
+
 @query("halving_search")
 def halving_search(spark, sf):
     df = cut(split_of(encoded(spark, sf), "training").withColumn("fold", F.pmod(F.xxhash64("emplid"), F.lit(3))), "folds")
@@ -261,6 +290,15 @@ def retention_risk_q(spark, sf):
     return run.outcome
 
 
+@query("retention_scope", f"""{ROUTED} SELECT unit, lpad(CAST(emplid AS VARCHAR), 9, '0') AS emplid, '2001-08-01' AS date, CAST(2 AS INT) AS model_id,
+  true AS is_probability FROM routed WHERE split = 'testing' AND unmet_need_ofr IS NOT NULL AND high_school_gpa IS NOT NULL""")
+def retention_scope(spark, sf):
+    """Who the whole run scores: every complete testing row, once per unit that scores its campus."""
+    run = retention_risk(cohort(spark, sf), CATEGORICAL, NUMERIC, "PVTU", 2, "ft_ft_1yr", RUN_DATE,
+                         unseen="zero", rounds=1, trees=4, depth=2)
+    return run.outcome.select("unit", "emplid", "date", "model_id", F.col("risk_prob").between(0, 1).alias("is_probability"))
+
+
 @query("retention_explained")
 def retention_explained(spark, sf):
     run = retention_risk(cohort(spark, sf), CATEGORICAL, NUMERIC, "PU", 2, "ft_ft_1yr", RUN_DATE,

@@ -8,6 +8,7 @@ from ..fixtures import CATEGORICAL, NUMERIC, load
 from ..operators import neighbors as N
 from ..operators.features import OneHot, as_array
 from ..plans.cohorts import unit_cohorts
+from ..session import cut
 from .features import ONE_HOT, ONE_HOT_SQL
 from .plans import NAMES
 from .registry import cohort, query, r6
@@ -53,7 +54,7 @@ links AS (SELECT a.unit, a.split, a.emplid AS a, a.nbr AS b, a.y AS label_a, a.n
 
 def pool(spark, sf):
     """Training and validation rows of every unit, encoded on the unit's training categories."""
-    df = unit_cohorts(cohort(spark, sf).where("split <> 'testing'"), NAMES)
+    df = cut(unit_cohorts(cohort(spark, sf).where("split <> 'testing'"), NAMES), "pool")
     encoder = OneHot.fit(df.where("split = 'training'"), CATEGORICAL, ["unit"], unseen="zero")
     coded = encoder.transform(df)
     return coded.select(*GROUP, "emplid", "enrl_ind", *CODED)

@@ -89,7 +89,8 @@ FEATURES = CATEGORICAL + NUMERIC
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One base table, columns pruned and filters pushed by the reader."""
+    """One base table, columns pruned and filters pushed by the reader. Its timestamps are in UTC."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -123,6 +123,8 @@ def _grid_order(df: DataFrame, vec: str, width: int) -> Column:
 
     Only a hint for locality; results do not depend on it.
     """
+    if not width:
+        return F.lit(0).cast("long")
     edges = df.agg(*[f(F.get(F.col(vec), i)) for i in range(width) for f in (F.min, F.max)]).first()
     lows = [edges[2 * i] for i in range(width)]
     spans = [edges[2 * i + 1] - edges[2 * i] if edges[2 * i] is not None else 0.0 for i in range(width)]

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 CAMPUSES = ["PULLM", "VANCO", "TRICI", "EVERE", "SPOKA", "ONLIN"]
 
@@ -50,7 +53,9 @@ def scored_campuses(units: str, unit: str) -> list[str]:
 
 def _dimension(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     """A table of the fixed values above. Its size never grows, so it is always broadcast."""
-    return F.broadcast(spark.createDataFrame(rows, schema))
+    kinds = T.StructType.fromDDL(schema)
+    columns = [pa.array(c, type=to_arrow_type(f.dataType)) for c, f in zip(zip(*rows), kinds.fields)]
+    return F.broadcast(spark.createDataFrame(pa.Table.from_arrays(columns, names=kinds.names), kinds))
 
 
 def stage_table(spark: SparkSession) -> DataFrame:

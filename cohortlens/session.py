@@ -70,7 +70,7 @@ def small_side(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
     For per-group statistics that are joined back to all rows: the rows then stay where they are,
     and a table that turns out large is joined by shuffling as usual.
     """
-    rows = df.limit(limit + 1).collect()
-    if len(rows) > limit:
+    rows = df.limit(limit + 1).toArrow()
+    if rows.num_rows > limit:
         return df
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))

@@ -49,3 +49,8 @@ def test_matrix_text(spark):
     df = spark.createDataFrame([(0, 0, 1)] * 12 + [(1, 0, 1), (1, 1, 1)], "y int, pred int, male int")
     text = M.fairness_frame(df, "y", "pred", ["male"], [], {"model_id": 2}).first()["matrix"]
     assert text == "[[12  0]\n [ 1  1]]"
+
+
+def test_empty_scores(spark):
+    df = spark.createDataFrame([], "u string, y int, p double")
+    assert M.roc_auc(df, "y", "p", ["u"]).count() == 0 and M.roc_curve(df, "y", "p", ["u"]).count() == 0

@@ -127,3 +127,10 @@ def test_nearest_between_two_tables(spark, monkeypatch):
     for i in range(150):
         d = np.sqrt((a[i, 0] - b[:, 0]) ** 2 + (a[i, 1] - b[:, 1]) ** 2)
         assert got[i] == [1000 + j for j in np.argsort(d, kind="stable")[:3]]
+
+
+def test_empty_tables(spark):
+    df = spark.createDataFrame([], "g string, key long, v array<double>, y int")
+    assert N.knn(df, "key", "v", 3, "euclidean", ["g"]).count() == 0
+    assert N.lof(df, "key", "v", 3, "mean_abs", ["g"]).count() == 0
+    assert N.tomek_undersample(df, "key", "v", "y", "auto", ["g"])[0].count() == 0
