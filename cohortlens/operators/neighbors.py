@@ -65,19 +65,22 @@ def _finish(total: np.ndarray, p: int, metric: str) -> np.ndarray:
     return total / p if metric == "mean_abs" else np.sqrt(total)
 
 
-def _box_bounds(x: np.ndarray, lo: np.ndarray, hi: np.ndarray, metric: str) -> tuple[np.ndarray, np.ndarray]:
-    """Lower and upper bounds of the distance of each row to the points of each box."""
-    low = np.zeros((len(x), len(lo)))
-    high = np.zeros((len(x), len(lo)))
-    for j in range(x.shape[1]):
-        below = lo[None, :, j] - x[:, j, None]
-        above = x[:, j, None] - hi[None, :, j]
+def _gaps(lo: np.ndarray, hi: np.ndarray, box_lo: np.ndarray, box_hi: np.ndarray, metric: str) -> tuple[np.ndarray, np.ndarray]:
+    """Least and greatest distance between the points of each left box and of each right box.
+
+    A point is a box whose edges coincide. Terms are added in the order of ``_distances``, so rounding
+    cannot lift a lower bound above, or push an upper bound below, a real distance.
+    """
+    low = np.zeros((len(lo), len(box_lo)))
+    high = np.zeros((len(lo), len(box_lo)))
+    for j in range(lo.shape[1]):
+        below = box_lo[None, :, j] - hi[:, j, None]
+        above = lo[:, j, None] - box_hi[None, :, j]
         near = np.maximum(np.maximum(below, above), 0.0)
-        far = np.maximum(-below, -above)
-        far = np.maximum(far, near)
+        far = np.maximum(box_hi[None, :, j] - lo[:, j, None], hi[:, j, None] - box_lo[None, :, j])
         low += near if metric == "mean_abs" else near * near
         high += far if metric == "mean_abs" else far * far
-    return _finish(low, x.shape[1], metric), _finish(high, x.shape[1], metric)
+    return _finish(low, lo.shape[1], metric), _finish(high, lo.shape[1], metric)
 
 
 def _smallest(dist: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -233,8 +236,13 @@ def _route(width: int, metric: str, need: int, theta_given: bool, self_search: b
                 lo, hi = _matrix(batch.column("box_lo"), i, width), _matrix(batch.column("box_hi"), i, width)
                 ids = np.asarray(batch.column("box_id")[i].values)
                 n = np.asarray(batch.column("box_n")[i].values)
-                low, high = _box_bounds(x, lo, hi, metric)
                 full = n >= need
+                # Boxes out of reach for the block as a whole are dropped before rows are looked at.
+                low, high = _gaps(x.min(axis=0)[None], x.max(axis=0)[None], lo, hi, metric)
+                reach = min(theta.max(), high[0, full].min() if full.any() else np.inf)
+                near = np.nonzero(low[0] <= reach)[0]
+                lo, hi, ids, full = lo[near], hi[near], ids[near], full[near]
+                low, high = _gaps(x, x, lo, hi, metric)
                 if full.any():
                     theta = np.minimum(theta, high[:, full].min(axis=1))
                 own = batch.column("block")[i].as_py()
