@@ -42,6 +42,17 @@ UNITS = {
 }
 UNIT_CAMPUS = {"P": "PULLM", "V": "VANCO", "T": "TRICI"}
 
+# Forest settings: minimum child weight, bins and trees per round; one fall mid-term transfer run differs.
+FOREST = {"min_child_weight": 8.0, "bins": 48, "trees": 96, "subsample": 0.8, "columns": 0.64, "patience": 20}
+FOREST_OF = {("FAL", "ft_tr_1yr", "mid"): {**FOREST, "min_child_weight": 5.0, "bins": 32, "trees": 64}}
+FOREST_TRIAL = {**FOREST, "bins": 32, "trees": 64}
+
+# Search grids: 768 forests over 2 to 500 rounds, 220 elastic-net logits over rows.
+FOREST_GRID = {"depth": list(range(1, 17)), "gamma": list(range(1, 17)), "step": [0.01, 0.5, 1.0]}
+FOREST_ROUNDS = {"min_rounds": 2, "max_rounds": 500, "folds": 3}
+LOGIT_GRID = {"l1_ratio": [i / 10 for i in range(11)], "c": [10 ** (4 * i / 19) for i in range(20)]}
+TOP_N = 5
+
 
 def scored_campuses(units: str, unit: str) -> list[str]:
     """Campuses a unit scores. The system unit scores four campuses, and VANCO too where only P is modelled."""
@@ -88,3 +99,18 @@ def run_table(spark: SparkSession) -> DataFrame:
         for (t, pop), stages in UNITS.items() for stage, units in stages.items() for u in units
     ]
     return _dimension(spark, rows, "term_type string, model_descr string, stage string, model_id int, unit string")
+
+
+def run_parameters(term_type: str, model_descr: str, stage: str) -> dict:
+    """What one production run models and with which settings, as arguments of the scoring run."""
+    model = {(t, s): m for t, s, _, _, _, _, m in STAGES}
+    return {
+        "units": UNITS[(term_type, model_descr)][stage], "model_id": model[(term_type, stage)], "model_descr": model_descr,
+        "top_n": TOP_N, **FOREST_OF.get((term_type, model_descr, stage), FOREST),
+    }
+
+
+def run_outcome(term_type: str, model_descr: str) -> str:
+    """Whether a run predicts enrolment in the next term or the next year."""
+    fall = {name: outcome for _, name, outcome in POPULATIONS}
+    return fall[model_descr] if term_type == "FAL" else "year"

@@ -96,6 +96,14 @@ def test_run_table_has_28_runs(spark):
     assert D.scored_campuses("PU", "U")[-1] == "VANCO" and "VANCO" not in D.scored_campuses("PVU", "U")
 
 
+def test_run_settings():
+    got = D.run_parameters("FAL", "ft_tr_1yr", "mid")
+    assert (got["units"], got["model_id"], got["bins"], got["trees"]) == ("PVU", 3, 32, 64)
+    assert D.run_parameters("SUM", "ft_ft_2yr", "eot")["bins"] == 48
+    assert D.run_outcome("FAL", "ft_ft_1yr") == "term" and D.run_outcome("SPR", "ft_ft_1yr") == "year"
+    assert len(D.LOGIT_GRID["l1_ratio"]) * len(D.LOGIT_GRID["c"]) == 220
+
+
 COHORT = "emplid string, enrl_ind int, adj_acad_prog_primary_campus string, split string, gpa double"
 
 
