@@ -139,20 +139,33 @@ def ols(df: DataFrame, y: str, xs: list[str]):
 
 
 def vif(df: DataFrame, xs: list[str], by: list[str] = ()) -> list[tuple]:
-    """(group, feature, vif) with the intercept included; infinite for an exact combination."""
+    """(group, feature, vif) with the intercept included.
+
+    A feature that the others determine is infinite and leaves unrelated ones alone; a feature that
+    does not vary has none.
+    """
     rows = []
     for tag, (mu, cross, n) in gram(complete_cases(df, xs), xs, by).items():
-        scale = np.sqrt(np.where(np.diag(cross) > 0, np.diag(cross), 1.0))
-        corr = cross / np.outer(scale, scale)
-        rank = np.linalg.matrix_rank(corr, tol=1e-10)
-        if rank < len(xs):
-            rows += [(*tag, x, float("inf")) for x in ["intercept", *xs]]
-            continue
-        inv = np.linalg.inv(corr)
-        whole = inv / np.outer(scale, scale)
-        # Intercept: its own regression has no constant, so the raw moments count.
-        rows.append((*tag, "intercept", float(1.0 + n * (mu @ whole @ mu))))
-        rows += [(*tag, x, float(v)) for x, v in zip(xs, np.diag(inv))]
+        scale = np.sqrt(np.diag(cross))
+        varies = np.nonzero(scale > 1e-12 * (1 + np.abs(mu)) * np.sqrt(n))[0]
+        corr = cross[np.ix_(varies, varies)] / np.outer(scale[varies], scale[varies])
+        fixed = np.setdiff1d(np.arange(len(xs)), varies)
+        if np.any(mu[fixed] != 0):
+            intercept = float("inf")
+        else:
+            # The regression for the intercept has no constant, so raw moments count.
+            m = mu[varies] / scale[varies]
+            intercept = float(1.0 + n * (m @ np.linalg.pinv(corr, hermitian=True) @ m))
+        rows.append((*tag, "intercept", intercept))
+        factors = {}
+        for i, at in enumerate(varies):
+            rest = np.delete(np.arange(len(varies)), i)
+            r2 = 0.0
+            if len(rest):
+                c = corr[rest, i]
+                r2 = float(c @ np.linalg.lstsq(corr[np.ix_(rest, rest)], c, rcond=1e-10)[0])
+            factors[at] = 1.0 / (1.0 - r2) if r2 < 1 - 1e-10 else float("inf")
+        rows += [(*tag, x, factors.get(i)) for i, x in enumerate(xs)]
     return rows
 
 

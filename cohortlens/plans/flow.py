@@ -14,11 +14,12 @@ from pyspark.sql import functions as F
 
 from ..explain.contributions import tree_contributions
 from ..functions import threshold_pred
+from ..models.linear import logit_inference, vif
 from ..models.registry import load_model, save_model
 from ..models.search import halving_search
 from ..models.trees import BoostedForest, boosted_forest
 from ..operators.features import OneHot, as_array, assemble, feature_names
-from ..operators.metrics import roc_auc
+from ..operators.metrics import accuracy, roc_auc
 from ..operators.neighbors import remove_outliers, tomek_undersample
 from ..operators.relational import label_case
 from ..session import cut
@@ -43,6 +44,24 @@ def encode(df: DataFrame, categorical: list[str], unseen: str = "error") -> tupl
     return encoder.transform(df), encoder.names()
 
 
+def diagnostics(coded: DataFrame, columns: list[str], units: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(logit, vif) of each unit's training rows: estimates with their tests, and inflation factors, highest first.
+
+    The logit leaves out columns that do not vary in the unit.
+    """
+    spark, train = coded.sparkSession, coded.where("split = 'training'")
+    factors = vif(train, columns, ["unit"])
+    fixed = {(u, x) for u, x, v in factors if v is None}
+
+    def fit(unit: str) -> list[tuple]:
+        used = [c for c in columns if (unit, c) not in fixed]
+        return logit_inference(train.where(F.col("unit") == unit), "enrl_ind", used)
+
+    rows = [(u, *r) for u, rs in per_unit(spark, units, fit).items() for r in rs]
+    logit = spark.createDataFrame(rows, "unit string, term string, coef double, std_err double, z double, p double, status string")
+    return logit, spark.createDataFrame(factors, "unit string, feature string, vif double").orderBy("unit", F.desc("vif"))
+
+
 def clean(coded: DataFrame, columns: list[str], k: int = 20) -> DataFrame:
     """Training and validation rows without outliers and Tomek links, each unit and split on its own."""
     fitted = coded.where("split <> 'testing'")
@@ -130,7 +149,8 @@ def retention_risk(df: DataFrame, categorical: list[str], numeric: list[str], un
     campus = label_case("unit", {u: scored_campuses(units, u)[0] for u in chosen})
     fairness = student_fairness(judged, run_date, model_id, model_descr, ["unit", "model_type"], y="enrl_ind").withColumn(
         "adj_acad_prog_primary_campus", campus)
-    quality = roc_auc(judged, "enrl_ind", "prob", ["unit", "model_type"])
+    kinds = ["unit", "model_type"]
+    quality = roc_auc(judged, "enrl_ind", "prob", kinds).join(accuracy(judged, "enrl_ind", "pred", kinds), kinds)
     shap = None
     if explain:
         labels = feature_names(testing)

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from cohortlens.fixtures import CATEGORICAL, NUMERIC, view
 from cohortlens.models.search import exhausting_minimum, grid, sample_rows
-from cohortlens.plans.flow import retention_risk
+from cohortlens.plans.cohorts import unit_cohorts
+from cohortlens.plans.flow import diagnostics, encode, retention_risk
 from cohortlens.session import fresh_path
 
 DAY = datetime.date(2001, 8, 1)
@@ -39,6 +40,16 @@ def test_every_scored_row_has_an_outcome_and_an_explanation(runs):
     assert {r[0] for r in run.fairness.select("adj_acad_prog_primary_campus").distinct().collect()} == {"PULLM", "EVERE"}
 
 
+def test_diagnostics_of_every_unit(spark):
+    coded, indicators = encode(unit_cohorts(view(spark, SF, "fx_cohort"), ["emplid", "enrl_ind", *CATEGORICAL, *NUMERIC]), CATEGORICAL)
+    columns = ["male", "resident", "fall_lec_count", "unmet_need_ofr_mi"]
+    logit, factors = diagnostics(coded.cache(), columns, list("PU"))
+    assert {(r["unit"], r["status"]) for r in logit.collect()} == {("P", "converged"), ("U", "converged")}
+    rows = factors.where("unit = 'P'").collect()
+    assert [r["vif"] for r in rows if r["vif"] is not None] == sorted((r["vif"] for r in rows if r["vif"] is not None), reverse=True)
+    assert {r["feature"] for r in rows if r["vif"] is None} == {"unmet_need_ofr_mi"}
+
+
 def test_publish_appends(spark, runs):
     root = fresh_path(spark, "published")
     for _ in range(2):

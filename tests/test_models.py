@@ -40,10 +40,19 @@ def test_residual_of_incomplete_rows_is_null(spark):
     assert got[4] is None and got[5] is None and got[1] == pytest.approx(0, abs=1e-9)
 
 
-def test_vif_of_an_exact_combination_is_infinite(spark, data):
-    _, df = data
-    rows = L.vif(df.withColumn("d", F.col("a") + F.col("b")), ["a", "b", "d"])
-    assert all(math.isinf(v) for _, v in rows)
+def test_vif_of_combinations_and_constants(spark, data):
+    pdf, df = data
+    wide = df.withColumns({"d": F.col("a") + F.col("b"), "zero": F.lit(0.0), "e": F.col("c") + F.sin("id")})
+    got = dict(L.vif(wide, ["a", "b", "d", "zero", "c", "e"]))
+    assert math.isinf(got["a"]) and math.isinf(got["b"]) and math.isinf(got["d"]) and got["zero"] is None
+    r = np.corrcoef(pdf["c"], pdf["c"] + np.sin(pdf["id"]))[0, 1]
+    assert got["c"] == pytest.approx(1 / (1 - r * r), rel=0.05)
+    plain = dict(L.vif(df, ["a", "b"]))
+    x = np.column_stack([np.ones(len(pdf)), pdf["a"], pdf["b"]])
+    inv = np.linalg.inv(x.T @ x)
+    assert plain["intercept"] == pytest.approx(len(pdf) * inv[0, 0])
+    assert plain["a"] == pytest.approx(((pdf["a"] - pdf["a"].mean()) ** 2).sum() * inv[1, 1])
+    assert math.isinf(dict(L.vif(df.withColumn("two", F.lit(2.0)), ["a", "two"]))["intercept"])
 
 
 def test_logit_solves_its_score_equations(data):
