@@ -100,6 +100,20 @@ def _smallest(dist: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return np.nonzero(chosen)
 
 
+def _within(dist: np.ndarray, bound: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """As ``_smallest``, among the entries within each row's bound, of which there are few."""
+    rows, cols = np.nonzero(dist <= bound[:, None])
+    finite = np.isfinite(dist[rows, cols])
+    rows, cols = rows[finite], cols[finite]
+    found = np.bincount(rows, minlength=len(dist))
+    if found.max(initial=0) <= k:
+        return rows, cols
+    order = np.lexsort((cols, dist[rows, cols], rows))
+    place = np.arange(len(rows)) - np.repeat(np.cumsum(found) - found, found)
+    keep = order[place < k]
+    return rows[keep], cols[keep]
+
+
 def _matrix(column: pa.Array, i: int, width: int) -> np.ndarray:
     return np.asarray(column[i].values, dtype=float).reshape(-1, width)
 
@@ -274,8 +288,7 @@ def _match(width: int, metric: str, k: int, schema: pa.Schema, groups: list[str]
                 theta = np.asarray(batch.column("theta")[i].values, dtype=float)
                 keys, nbrs = batch.column("keys")[i].values, batch.column("t_keys")[i].values
                 dist = _distances(x, y, metric)
-                dist[dist > theta[:, None]] = np.inf
-                rows, cols = _smallest(dist, k)
+                rows, cols = _within(dist, theta, k)
                 arrays = [pa.array([batch.column(g)[i].as_py()] * len(rows), type=schema.field(g).type) for g in groups]
                 arrays += [keys.take(pa.array(rows)), nbrs.take(pa.array(cols)), pa.array(dist[rows, cols])]
                 yield pa.RecordBatch.from_arrays(arrays, schema=schema)
