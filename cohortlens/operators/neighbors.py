@@ -356,6 +356,17 @@ def _nearest(pairs: DataFrame, by: list[str], k: int) -> DataFrame:
     return pairs.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= k).drop("_r")
 
 
+def _hubs(edges: DataFrame, on: list[str], total: int) -> DataFrame | None:
+    """Ends shared by more than 1/HOT_SHARE of the edges, of which there are fewer than HOT_SHARE; None if none."""
+    many = edges.groupBy(*on).agg(F.count("*").alias("c")).where(F.col("c") > total / HOT_SHARE)
+    hubs = cut(many.select(*on), "hubs")
+    return None if hubs.isEmpty() else hubs
+
+
+def _join_ends(edges: DataFrame, per_end: DataFrame, on: list[str], hubs: DataFrame | None, how: str = "inner") -> DataFrame:
+    return edges.join(per_end, on, how) if hubs is None else hot_join(edges, per_end, on, hubs, how)
+
+
 # --- sites -------------------------------------------------------------------------------------
 
 class Sites:
@@ -401,17 +412,21 @@ class Sites:
         ``near`` is an array of (dist, key, site) in order of distance and key.
         """
         g, k = self.groups, self.k
-        own = self.table.select(*g, F.col("key").alias("src"), F.col("key").alias("nbr"), F.lit(0.0).alias("dist"))
-        every = self.pairs(metric).unionByName(own)
-        if self.copies:
-            lists = self.table.select(*g, F.col("key").alias("nbr"), "few")
-            every = every.join(lists, [*g, "nbr"]).withColumn("row", F.explode("few"))
-        else:
-            every = every.withColumn("row", F.col("nbr"))
+        own = self.table.select(*g, F.col("key").alias("src"), F.col("key").alias("nbr"), F.lit(0.0).alias("dist"), F.explode("few").alias("row"))
+        pairs = self.pairs(metric)
+        other = self.unfold(cut(pairs, "pairs")) if self.copies else pairs.withColumn("row", F.col("nbr"))
+        every = other.unionByName(own)
         entry = F.struct("dist", F.col("row").alias("key"), F.col("nbr").alias("site"))
         near = F.slice(F.sort_array(F.collect_list(entry)), 1, k + 1)
         return every.groupBy(*g, F.col("src").alias("site")).agg(near.alias("near"))
 
+    def unfold(self, pairs: DataFrame) -> DataFrame:
+        """Pairs with one row per row of the neighbouring site that may count, as ``row``."""
+        on = [*self.groups, "nbr"]
+        lists = self.table.where(F.size("few") > 1).select(*self.groups, F.col("key").alias("nbr"), "few")
+        joined = _join_ends(pairs, lists, on, _hubs(pairs, on, pairs.count()), "left")
+        return joined.withColumn("row", F.explode(F.coalesce("few", F.array("nbr")))).drop("few")
+
     def expand(self, per_site: DataFrame) -> DataFrame:
         """Per-site columns brought to every row of the site. Sites with very many copies are spread out."""
         g = self.groups
@@ -483,13 +498,15 @@ def lof(df: DataFrame, key: str, vec: str, k: int = 20, metric: str = "mean_abs"
     edges = reach.select(*g, "site", F.explode("near").alias("e")).select(
         *g, "site", F.col("e.dist").alias("dist"), F.col("e.site").alias("nbr")
     )
+    on = [*g, "nbr"]
+    hubs = _hubs(edges, on, reach.count() * k)
     kdist = reach.select(*g, F.col("site").alias("nbr"), "kdist")
-    local = edges.join(kdist, [*g, "nbr"]).groupBy(*g, "site").agg(
+    local = _join_ends(edges, kdist, on, hubs).groupBy(*g, "site").agg(
         (1.0 / (F.avg(F.greatest("dist", "kdist")) + LOF_EPSILON)).alias("lrd")
     )
     density = cut(local, "density")
     ratio = (
-        edges.join(density.select(*g, F.col("site").alias("nbr"), F.col("lrd").alias("nbr_lrd")), [*g, "nbr"])
+        _join_ends(edges, density.select(*g, F.col("site").alias("nbr"), F.col("lrd").alias("nbr_lrd")), on, hubs)
         .groupBy(*g, "site").agg(F.avg("nbr_lrd").alias("nbr_lrd"))
         .join(density, [*g, "site"])
         .select(*g, "site", (F.col("nbr_lrd") / F.col("lrd")).alias("lof"))
@@ -550,9 +567,8 @@ def knn_between(asked: Sites, given: Sites, metric: str = "euclidean") -> DataFr
     code = _grid_order(given.table, "vec", given.width)
     q, t = (_blocks(s.table.select(*g, "key", "vec"), g, given.width, metric, k, True, code) for s in (asked, given))
     pairs = _nearest(_find(q, t, g, given.width, metric, k, False, given.table.schema["key"].dataType), [*g, "src"], k)
-    lists = given.table.select(*g, F.col("key").alias("nbr"), "few")
     entry = F.struct("dist", F.col("row").alias("key"))
-    near = pairs.join(lists, [*g, "nbr"]).withColumn("row", F.explode("few")).groupBy(*g, F.col("src").alias("site")).agg(
+    near = given.unfold(cut(pairs, "pairs")).groupBy(*g, F.col("src").alias("site")).agg(
         F.slice(F.sort_array(F.collect_list(entry)), 1, k).alias("near")
     )
     return asked.expand(near).select(*g, "key", F.explode("near").alias("e")).select(

@@ -71,9 +71,10 @@ def test_constant_columns_and_equal_rows_are_at_distance_zero(spark):
     assert got[1] == [(2, 0.0), (3, 0.5)] and got[3] == [(1, 0.5), (2, 0.5)]
 
 
-@pytest.mark.parametrize("copies", [0, 200])
-def test_lof_matches_brute_force(spark, monkeypatch, copies):
+@pytest.mark.parametrize("copies, hot_share", [(0, 1024), (200, 1024), (200, 10**9)])
+def test_lof_matches_brute_force(spark, monkeypatch, copies, hot_share):
     monkeypatch.setattr(N, "BLOCK_ROWS", 64)
+    monkeypatch.setattr(N, "HOT_SHARE", hot_share)  # a huge share treats every site and every edge end as hot
     pdf = table(600, copies, seed=3)
     pdf.at[599, "v"] = np.array([9.0, 9.0, 9.0])
     got = {r["key"]: r for r in N.lof(spark.createDataFrame(pdf), "key", "v", 20, "mean_abs", ["g"]).collect()}
