@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..explain.contributions import linear_contributions
-from ..fixtures import CATEGORICAL, FEATURES, NUMERIC, view, with_views
+from ..fixtures import CATEGORICAL, FEATURES, NUMERIC, view
 from ..operators import features as P
 from ..operators import metrics as M
 from ..operators import relational as R

@@ -5,13 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..fixtures import FEATURES, view, with_views
-from ..operators import relational as R
 from ..plans import calendar as C
 from ..plans import cohorts as K
 from ..plans import outcomes as O
 from ..plans.dimensions import POPULATIONS, STAGES, scored_campuses
 from .registry import (
-    COHORT, COMPLETE, RUN_DATE, SQL_CALENDAR, SQL_CONTRIB, SQL_PROB, calendar, cohort, contributions, query, r6,
+    COMPLETE, RUN_DATE, SQL_CALENDAR, SQL_CONTRIB, SQL_PROB, calendar, cohort, contributions, query, r6,
     scored_complete,
 )
 from .relational import ROUTED, SNAP

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..explain.contributions import linear_contributions
-from ..fixtures import VIEWS, view, with_views
+from ..fixtures import view, with_views
 from ..operators.relational import complete_cases
 from ..plans.calendar import academic_calendar
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..fixtures import FEATURES, load, view, with_views
-from ..functions import format_day
 from ..models.linear import residual, vif
 from ..operators import relational as R
 from ..operators.metrics import group_metrics
