@@ -35,16 +35,17 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only a local session that names none gets a temporary folder.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir"
+    named = (
+        spark.conf.get("spark.checkpoint.dir", None)
+        or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+        or spark.sparkContext.getCheckpointDir()
     )
     if named:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    fresh = tempfile.mkdtemp(prefix="cohortlens-")
-    spark.conf.set("spark.checkpoint.dir", fresh)
-    return fresh
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="cohortlens-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def fresh_path(spark: SparkSession, tag: str) -> str:

@@ -31,7 +31,8 @@ def append_with_backup(df: DataFrame, history: str | None, target: str, backup:
     """Write prior history plus this run to ``target`` and a copy of the prior history to ``backup``.
 
     ``target`` must be a new path: a path that is being read is never overwritten. The first run
-    has no prior history and writes no backup.
+    has no prior history and writes no backup. This copies the whole history on every run; a table
+    kept with ``append_run`` does not.
     """
     spark = df.sparkSession
     prior = read_if_exists(spark, history) if history else None
