@@ -17,7 +17,7 @@ from .relational import ROUTED
 GROUP = ["unit", "split"]
 CODED = [*[n for n, _ in ONE_HOT], *NUMERIC]
 
-# Every unit of the stand-in cohort has every category, so the first one dropped is the same in all.
+# From sf0.01 on, every unit trains on every category, so that one base serves all units in SQL.
 CODED_SQL = f"""{ROUTED},
 pool AS (SELECT *, {ONE_HOT_SQL} FROM routed WHERE split <> 'testing' AND unmet_need_ofr IS NOT NULL AND high_school_gpa IS NOT NULL)"""
 
