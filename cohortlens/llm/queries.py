@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality
+import public_tokenizers
+
+from . import bpe, counts, packing, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -63,3 +65,21 @@ FROM base"""
 def op10(spark, sf):
     rows = quality.line_quality(table(spark, sf, "documents"))
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_removed", "base_failed", "kept")
+
+
+@query("op5_byte_bpe")
+def op5(spark, sf):
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    coded = bpe.decode(bpe.encode(table(spark, sf, "documents"), path), path)
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op6_packing")
+def op6(spark, sf):
+    pieces = packing.pack(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"), size=2048, end=1)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query("op8_token_counts")
+def op8(spark, sf):
+    return counts.token_counts(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
