@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import bpe, counts, packing, quality
+from . import bpe, counts, extract, packing, quality, topk, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -83,3 +83,65 @@ def op6(spark, sf):
 @query("op8_token_counts")
 def op8(spark, sf):
     return counts.token_counts(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
+
+
+OP1 = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS e FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (SELECT q.vec_id AS query_id, v.vec_id, CAST(list_dot_product(q.e, v.e) AS BIGINT) AS score
+          FROM v q JOIN v ON len(q.e) = len(v.e) AND q.vec_id <> v.vec_id WHERE q.vec_id % 100 = 0),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank FROM pairs)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10"""
+
+
+@query("op1_top_k", OP1)
+def op1(spark, sf):
+    return topk.top_k(table(spark, sf, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
+RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+
+
+def rank_rounds(name: str, edges: str, seed: str) -> str:
+    """The rounds of PageRank as one CTE each."""
+    out = [f"{name}0 AS MATERIALIZED (SELECT host, CAST({seed} AS DOUBLE) AS seed, CAST({seed} AS DOUBLE) AS score FROM hosts)"]
+    for i in range(urls.ROUNDS):
+        out.append(f"""{name}{i + 1} AS MATERIALIZED (
+SELECT n.host, seed, round((1 - {urls.DAMPING}) * seed + {urls.DAMPING} * (coalesce(got, 0) + CASE WHEN o.src IS NULL THEN score ELSE 0 END), {urls.PLACES}) AS score
+FROM {name}{i} n LEFT JOIN (SELECT dst, sum(score * share) AS got FROM {name}{i} JOIN {edges} e ON host = e.src GROUP BY dst) s ON n.host = s.dst
+LEFT JOIN (SELECT DISTINCT src FROM {edges}) o ON n.host = o.src)""")
+    return ",\n".join(out)
+
+
+FITS = " ".join(
+    f"WHEN (host = '{r.split('/')[0]}' OR ends_with(host, '.{r.split('/')[0]}')) AND starts_with(path, '/{r.partition('/')[2]}') THEN '{{}}'".format(r)
+    for _, r in sorted(RULES, key=lambda x: -len(x[1])))
+SAYS = "CASE rule " + " ".join(f"WHEN '{r}' THEN '{v}'" for v, r in RULES) + " END"
+OP4 = f"""
+WITH cut AS (SELECT page_id, html, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+parts AS (SELECT page_id, html, translate(regexp_extract(rest, '^([^/?#]*)', 1), {AZ}) AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM cut),
+ruled AS (SELECT *, CASE {FITS} END AS rule FROM parts),
+judged AS (SELECT *, {SAYS} AS says FROM ruled),
+links AS (SELECT host AS src, unnest(regexp_extract_all(html, '{urls.LINK.replace("'", "''")}', 1)) AS link FROM parts),
+ends AS (SELECT src, translate(regexp_extract(regexp_replace(link, '(?i)^(https?:)?//', ''), '^([^/?#]*)', 1), {AZ}) AS dst FROM links),
+w AS MATERIALIZED (SELECT src, dst, count(*) AS w FROM ends WHERE src <> dst AND src <> '' AND dst <> '' GROUP BY src, dst),
+forth AS MATERIALIZED (SELECT src, dst, w / sum(w) OVER (PARTITION BY src) AS share FROM w),
+back AS MATERIALIZED (SELECT dst AS src, src AS dst, w / sum(w) OVER (PARTITION BY dst) AS share FROM w),
+own AS (SELECT host, count(*) AS pages, count(*) FILTER (says = 'allow') AS allowed, count(*) FILTER (says = 'block') AS blocked FROM judged WHERE host <> '' GROUP BY host),
+hosts AS MATERIALIZED (SELECT coalesce(own.host, l.dst) AS host, coalesce(pages, 0) AS pages, coalesce(allowed, 0) AS allowed, coalesce(blocked, 0) AS blocked
+          FROM own FULL JOIN (SELECT DISTINCT dst FROM w) l ON own.host = l.dst),
+{rank_rounds('t', 'forth', 'allowed')},
+{rank_rounds('d', 'back', 'blocked')},
+bad AS (SELECT h.host FROM hosts h JOIN t{urls.ROUNDS} t ON h.host = t.host JOIN d{urls.ROUNDS} d ON h.host = d.host WHERE d.score > t.score AND d.score > {urls.MARGIN} * pages)
+SELECT page_id, j.host, path, rule, coalesce(says, CASE WHEN bad.host IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict
+FROM judged j LEFT JOIN bad ON j.host = bad.host"""
+
+
+@query("op4_url_filter", OP4)
+def op4(spark, sf):
+    return urls.link_filter(table(spark, sf, "pages"), RULES)
+
+
+@query("op9_main_text")
+def op9(spark, sf):
+    return extract.extract(table(spark, sf, "pages"))
