@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import bpe, counts, extract, packing, quality, topk, urls
+from . import bpe, counts, extract, packing, quality, simhash, topk, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -145,3 +145,9 @@ def op4(spark, sf):
 @query("op9_main_text")
 def op9(spark, sf):
     return extract.extract(table(spark, sf, "pages"))
+
+
+@query("op3_simhash")
+def op3(spark, sf):
+    rows = simhash.near_duplicates(table(spark, sf, "documents"), width=4, seed=42, tau=4)
+    return rows.select("doc_id", simhash.hex16("fp").alias("fingerprint"), "component_id")
