@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import bpe, counts, extract, packing, quality, simhash, topk, urls
+from . import bpe, counts, extract, packing, quality, recompress, simhash, topk, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -151,3 +151,9 @@ def op9(spark, sf):
 def op3(spark, sf):
     rows = simhash.near_duplicates(table(spark, sf, "documents"), width=4, seed=42, tau=4)
     return rows.select("doc_id", simhash.hex16("fp").alias("fingerprint"), "component_id")
+
+
+@query("op2_substring_dedup")
+def op2(spark, sf):
+    rows = recompress.remove_repeats(table(spark, sf, "documents"), window=13)
+    return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
