@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import bpe, counts, extract, packing, quality, recompress, simhash, topk, urls
+from . import bpe, counts, extract, licenses, packing, quality, recompress, simhash, topk, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -157,3 +157,29 @@ def op3(spark, sf):
 def op2(spark, sf):
     rows = recompress.remove_repeats(table(spark, sf, "documents"), window=13)
     return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+PUNCTUATION = "'!\"#$%&''()*+,-./:;<=>?@[\\]^_`{|}~'"
+
+
+def sql_shingles(source: str, columns: str, text: str) -> str:
+    return f"""SELECT {columns}, CASE WHEN len(w) < {licenses.WIDTH} THEN array_to_string(w, ' ') ELSE array_to_string(w[i:i + {licenses.WIDTH - 1}], ' ') END AS s
+FROM (SELECT {columns}, w, unnest(range(1, greatest(len(w) - {licenses.WIDTH - 2}, 2))) AS i
+      FROM (SELECT {columns}, list_filter(list_transform(regexp_split_to_array(lower(coalesce({text}, '')), '{WS}+'), lambda x: trim(x, {PUNCTUATION})),
+                                          lambda x: x <> '') AS w FROM {source}) WHERE len(w) > 0)"""
+
+
+TEMPLATE_ROWS = ", ".join("('{}', '{}')".format(n, t.replace("'", "''")) for n, t in licenses.TEMPLATES.items())
+OP7 = f"""
+WITH t(license, body) AS (VALUES {TEMPLATE_ROWS}),
+ts AS (SELECT DISTINCT license, s FROM ({sql_shingles('t', 'license', 'body')})),
+d AS (SELECT row_number() OVER () AS rid, doc_id, text FROM documents),
+ds AS (SELECT DISTINCT rid, doc_id, s FROM ({sql_shingles('d', 'rid, doc_id', 'text')})),
+n AS (SELECT license, count(*) AS n_template FROM ts GROUP BY license)
+SELECT doc_id, license, n_template, count(*) AS n_shared, count(*) / n_template AS containment
+FROM ds JOIN ts USING (s) JOIN n USING (license) GROUP BY rid, doc_id, license, n_template HAVING count(*) / n_template >= {licenses.LEAST}"""
+
+
+@query("op7_license_scan", OP7)
+def op7(spark, sf):
+    return licenses.scan(table(spark, sf, "documents"))
