@@ -32,6 +32,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import settle
 
@@ -110,19 +111,11 @@ def window_keys(word: np.ndarray, start: np.ndarray, window: int) -> tuple[np.nd
     return mix(h1), (mix(h2) >> np.uint64(32)).astype(np.uint32)
 
 
-def squeeze(x: np.ndarray | bytes) -> bytes:
-    return pa.compress(x if isinstance(x, bytes) else np.ascontiguousarray(x).tobytes(), codec="zstd", asbytes=True)
+BLOCK = "block long, n long, body binary"
 
 
-def unsqueeze(x: bytes, size: int) -> bytes:
-    return pa.decompress(x, size, codec="zstd", asbytes=True) if size else b""
-
-
-BLOCK = "block long, n long, n_codes long, n_vocab long, ids binary, counts binary, codes binary, vocab binary"
-
-
-def blocks(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """One row per block: ids and word counts of its documents, codes of all words, and the distinct words."""
+def blocks(docs: DataFrame) -> DataFrame:
+    """One row per block: its rows (first column the id, second the text) as a compressed Arrow stream, and their number of words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, made = TaskContext.get().partitionId(), 0
@@ -132,39 +125,40 @@ def blocks(docs: DataFrame, key: str, text: str) -> DataFrame:
             i = 0
             while i < b.num_rows:
                 j = max(i + 1, int(np.searchsorted(total, total[i] + BLOCK_BYTES, "right")) - 1)
-                texts = b.column(1).slice(i, j - i).cast(pa.large_string()).fill_null("")
-                lists = pc.ascii_split_whitespace(texts)
-                words, marks = lists.flatten(), lists.offsets.to_numpy().astype(np.int64)
-                marks = marks - marks[0]
-                real = pc.not_equal(words, "").to_numpy(zero_copy_only=False)
-                before = np.concatenate(([0], np.cumsum(real)))
-                coded = words.filter(pa.array(real)).dictionary_encode()
-                vocab = b" ".join(coded.dictionary.cast(pa.large_binary()).to_pylist())
-                ids = b.column(0).slice(i, j - i).cast(pa.int64()).fill_null(int(NOBODY)).to_numpy()
-                codes = coded.indices.to_numpy().astype("<i4")
-                row = [(task << 32) + made, j - i, len(codes), len(vocab), ids.astype("<i8").tobytes(),
-                       np.diff(before[marks]).astype("<i8").tobytes(), squeeze(codes), squeeze(vocab)]
-                kinds = [pa.int64()] * 4 + [pa.binary()] * 4
-                yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], [f.split()[0] for f in BLOCK.split(", ")])
+                part = pa.Table.from_batches([b.slice(i, j - i)]).combine_chunks()
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                    out.write_table(part)
+                n = int(Block(sink.getvalue()).counts.sum())
+                row = [(task << 32) + made], [n], [sink.getvalue().to_pybytes()]
+                yield pa.RecordBatch.from_arrays([pa.array(row[0], pa.int64()), pa.array(row[1], pa.int64()), pa.array(row[2], pa.binary())], ["block", "n", "body"])
                 made, i = made + 1, j
 
-    return docs.select(key, text).mapInArrow(run, BLOCK)
+    return docs.mapInArrow(run, BLOCK)
 
 
 class Block:
-    """A row of ``blocks``: ``ids``, ``counts``, ``codes``, ``vocab`` and what follows from them."""
-
-    def __init__(self, row: dict):
-        self.ids, self.counts = np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["counts"], "<i8")
-        self.codes = np.frombuffer(unsqueeze(row["codes"], row["n_codes"] * 4), "<i4")
-        raw = unsqueeze(row["vocab"], row["n_vocab"])
-        self.vocab = raw.split(b" ") if raw else []
+    """The rows of a block: ``ids``, ``counts`` of words, ``codes`` of all words in ``vocab``."""
+
+    def __init__(self, body):
+        self.rows = pa.ipc.open_stream(body).read_all().combine_chunks()
+        texts = self.rows.column(1).combine_chunks() if self.rows.num_rows else pa.array([], pa.string())
+        texts = pa.concat_arrays(texts.chunks) if isinstance(texts, pa.ChunkedArray) else texts
+        lists = pc.ascii_split_whitespace(texts.cast(pa.large_string()).fill_null(""))
+        marks = lists.offsets.to_numpy().astype(np.int64)
+        words = lists.flatten()
+        real = pc.not_equal(words, "").to_numpy(zero_copy_only=False)
+        self.counts = np.diff(np.concatenate(([0], np.cumsum(real)))[marks - marks[0]])
+        coded = words.filter(pa.array(real)).dictionary_encode()
+        self.codes, self.vocab = coded.indices.to_numpy(), coded.dictionary
+        ids = self.rows.column(0).cast(pa.int64())
+        self.ids = ids.fill_null(int(NOBODY)).to_numpy()
 
     def words(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(hash of each word, place of its document, whether it begins one)."""
         from xxhash import xxh64_intdigest
 
-        hashes = np.array([xxh64_intdigest(w) for w in self.vocab], np.uint64)
+        hashes = np.array([xxh64_intdigest(w) for w in self.vocab.cast(pa.large_binary()).to_pylist()], np.uint64)
         doc = np.repeat(np.arange(len(self.ids)), self.counts)
         first = np.ones(len(doc), bool)
         first[1:] = doc[1:] != doc[:-1]
@@ -251,7 +245,7 @@ def shared_symbols(table: DataFrame, buckets: int, window: int) -> DataFrame:
         for b in batches:
             for i in range(b.num_rows):
                 row = {n: c[i].as_py() for n, c in zip(b.schema.names, b.columns)}
-                found = Block(row).symbols(buckets, window)
+                found = Block(row["body"]).symbols(buckets, window)
                 if found is None:
                     continue
                 _, _, _, key, twice = found
@@ -286,7 +280,7 @@ def earlier_windows(table: DataFrame, shared: DataFrame, buckets: int, window: i
         rows = []
         for row in left.to_pylist():
             answers = right.to_pylist()
-            found = Block(row).windows(buckets, window, bits_of(answers, 0, sum(a["n"] for a in answers)))
+            found = Block(row["body"]).windows(buckets, window, bits_of(answers, 0, sum(a["n"] for a in answers)))
             if found is not None:
                 _, _, _, k1, k2, least = found
                 for bucket, s in by_bucket((k1 >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)):
@@ -308,19 +302,27 @@ def earlier_windows(table: DataFrame, shared: DataFrame, buckets: int, window: i
     return filed.groupBy("bucket").applyInArrow(compare, ANSWER)
 
 
-def remove_repeats(docs: DataFrame, window: int = 13, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """key, n_words, n_removed and ``kept`` (the words that stay, joined by one blank) of every row of ``docs``."""
-    table = settle(blocks(docs, key, text), "blocks")
-    words = table.agg(F.sum("n_codes")).first()[0] or 0
+def remove_repeats(docs: DataFrame, window: int = 13, key: str = "doc_id", text: str = "text", whole: bool = False) -> DataFrame:
+    """key, n_words, n_removed and ``kept`` (the words that stay, joined by one blank) of every row of ``docs``.
+
+    With ``whole``, in place of the key, the whole row as the struct ``doc``.
+    """
+    rest = [c for c in docs.columns if c not in (key, text)] if whole else []
+    named = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(rest)]
+    table = settle(blocks(docs.select(F.col(f"`{key}`").cast("long").alias("key"), F.col(f"`{text}`").alias("text"), *named)), "blocks")
+    words = table.agg(F.sum("n")).first()[0] or 0
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(tasks, 1 + int(words) // (3 * ENTRIES))
+    buckets = max(tasks, 1 + int(words) // (2 * ENTRIES))
     shared = settle(shared_symbols(table, buckets, window), "symbols")
     earlier = settle(earlier_windows(table, shared, buckets, window), "windows")
+    held = docs.select(F.col(f"`{text}`").alias("text"), *named).schema if whole else docs.select().schema
+    form = T.StructType([T.StructField("key", T.LongType()), *held.fields, *(T.StructField(c, T.LongType()) for c in ("n_words", "n_removed")),
+                         T.StructField("kept", T.StringType())])
 
     def remove(key_: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         out = []
         for row in left.to_pylist():
-            answers, block = right.to_pylist(), Block(row)
+            answers, block = right.to_pylist(), Block(row["body"])
             symbols = bits_of(answers, 0, sum(a["n"] for a in answers if a["kind"] == 0))
             found = block.windows(buckets, window, symbols)
             gone = np.zeros(len(block.codes) + 1, np.int64)
@@ -331,15 +333,16 @@ def remove_repeats(docs: DataFrame, window: int = 13, key: str = "doc_id", text:
             stays = np.cumsum(gone)[:-1] == 0
             before = np.concatenate(([0], np.cumsum(stays)))
             marks = np.concatenate(([0], np.cumsum(block.counts)))
-            vocab = pa.array(block.vocab, pa.large_binary())
-            lists = pa.LargeListArray.from_arrays(pa.array(before[marks]), vocab.take(pa.array(block.codes[stays])))
-            kept = pc.binary_join(lists, pa.scalar(b" ", pa.large_binary())).cast(pa.large_string()).cast(pa.string())
+            lists = pa.LargeListArray.from_arrays(pa.array(before[marks]), block.vocab.take(pa.array(block.codes[stays])))
+            kept = pc.binary_join(lists, pa.scalar(" ", pa.large_string())).cast(pa.string())
             n, stay = block.counts, np.diff(before[marks])
-            ids = pa.array(block.ids, pa.int64(), mask=block.ids == NOBODY)
-            out.append(pa.table([ids, pa.array(n), pa.array(n - stay), kept], ["key", "n_words", "n_removed", "kept"]))
-        empty = pa.schema([("key", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string())]).empty_table()
-        return pa.concat_tables(out) if out else empty
+            columns = block.rows.columns if whole else block.rows.columns[:1]
+            out.append(pa.table([*columns, pa.array(n), pa.array(n - stay), kept], form.names))
+        return pa.concat_tables(out)
 
     answers = shared.unionByName(earlier)
-    out = table.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(remove, "key long, n_words long, n_removed long, kept string")
-    return out.withColumnRenamed("key", key)
+    out = table.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(remove, form)
+    if not whole:
+        return out.withColumnRenamed("key", key)
+    kinds = {key: F.col("key").cast(docs.schema[key].dataType), text: F.col("text"), **{c: F.col(f"c{i}") for i, c in enumerate(rest)}}
+    return out.select(F.struct(*[kinds[c].alias(c) for c in docs.columns]).alias("doc"), "n_words", "n_removed", "kept")
