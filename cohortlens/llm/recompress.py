@@ -39,7 +39,7 @@ from .common import settle
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 ROUNDS = 2
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 6 << 20
 ENTRIES = 4_000_000  # distinct symbols in a bucket, about
 NOBODY = np.int64(2**63 - 1)
 M1, M2, M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
