@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import json
 import sys
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from py4j.protocol import Py4JJavaError
 from pyspark import cloudpickle
+from pyspark.errors import IllegalArgumentException
 from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GeneralizedLinearRegression, IsotonicRegression, LinearRegression
@@ -17,10 +20,12 @@ from pyspark.sql import types as T
 
 from ..operators.features import assemble
 from ..operators.relational import complete_cases
-from ..session import small_side
+from ..session import join_groups
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+LOGIT_ITERATIONS = 100
+
 
 def prob_of_one(vector: str = "probability") -> Column:
     return F.get(vector_to_array(F.col(vector)), F.lit(1))
@@ -53,11 +58,11 @@ def _partial_sums(width: int, value):
 
 def grouped_sums(df: DataFrame, by: list[str], value, width: int) -> dict[tuple, np.ndarray]:
     """Sums of a per-row array over each group, added up in Spark; the result is bounded by groups x entries."""
-    tag = F.concat_ws("\x1f", *[F.col(c).cast("string") for c in by]) if by else F.lit("")
+    tag = F.to_json(F.array(*[F.col(c).cast("string") for c in by])) if by else F.lit("[]")
     parts = df.select(tag.alias("tag"), "_x").mapInArrow(_partial_sums(width, value), "tag string, total array<double>")
     total = parts.select("tag", F.posexplode("total").alias("i", "v")).groupBy("tag", "i").agg(F.sum("v").alias("v"))
     packed = total.groupBy("tag").agg(F.sort_array(F.collect_list(F.struct("i", "v"))).alias("t"))
-    return {tuple(r["tag"].split("\x1f")) if by else (): np.array([e["v"] for e in r["t"]])
+    return {tuple(json.loads(r["tag"])): np.array([e["v"] for e in r["t"]])
             for r in packed.collect()}
 
 
@@ -69,8 +74,9 @@ def gram(df: DataFrame, columns: list[str], by: list[str] = ()) -> dict[tuple, t
     """Per group: means, centred cross products and row count. Columns are centred before they are multiplied."""
     by = list(by)
     means = df.groupBy(*by).agg(*[F.avg(c).alias(f"_mu_{c}") for c in columns], F.count("*").alias("_n"))
+    means = means.withColumns({f"_tag_{c}": F.col(c).cast("string") for c in by}) if by else means
     if by:
-        centred, mu = df.join(small_side(means), by), F.col
+        centred, mu = join_groups(df, means, by), F.col
     else:
         row = means.first()
         centred, mu = df, lambda n: F.lit(row[n])
@@ -79,7 +85,7 @@ def gram(df: DataFrame, columns: list[str], by: list[str] = ()) -> dict[tuple, t
     cross = grouped_sums(centred.select(*by, x), by, _cross, p)
     out = {}
     for r in means.collect():
-        tag = tuple(str(r[c]) for c in by)
+        tag = tuple(r[f"_tag_{c}"] for c in by)
         out[tag] = (np.array([r[f"_mu_{c}"] for c in columns], dtype=float), cross[tag].reshape(p, p), float(r["_n"]))
     return out
 
@@ -106,7 +112,7 @@ class LinearFits:
                 fit = fit + F.col(x) * float(b)
             cond = F.lit(True)
             for c, v in zip(self.by, tag):
-                cond = cond & (F.col(c).cast("string") == v)
+                cond = cond & F.col(c).cast("string").eqNullSafe(F.lit(v))
             out = F.when(cond, fit) if out is None else out.when(cond, fit)
         return out
 
@@ -173,13 +179,16 @@ def logit_inference(df: DataFrame, y: str, xs: list[str]) -> list[tuple]:
     """(term, coef, std_err, z, p, status) of a maximum-likelihood logit; a failed fit is one status row."""
     try:
         data = assemble(xs).transform(complete_cases(df, [y, *xs]))
-        model = GeneralizedLinearRegression(family="binomial", link="logit", labelCol=y, maxIter=100, regParam=0.0).fit(data)
+        model = GeneralizedLinearRegression(family="binomial", link="logit", labelCol=y, maxIter=LOGIT_ITERATIONS, regParam=0.0).fit(data)
         s = model.summary
+        status = "converged" if s.numIterations < LOGIT_ITERATIONS else "not converged"
         terms = [*xs, "intercept"]
         coefs = [*model.coefficients, model.intercept]
-        return [(t, float(c), float(e), float(z), float(p), "converged")
+        return [(t, float(c), float(e), float(z), float(p), status)
                 for t, c, e, z, p in zip(terms, coefs, s.coefficientStandardErrors, s.tValues, s.pValues)]
-    except Exception as failed:  # singular design, separation, no convergence
+    except (IllegalArgumentException, Py4JJavaError) as failed:  # a singular design or separation; anything else is no fit error
+        if not any(s in str(failed) for s in ("singular", "Singular", "IllegalArgument", "AssertionError", "requirement failed")):
+            raise
         return [(None, None, None, None, None, f"failed: {type(failed).__name__}")]
 
 

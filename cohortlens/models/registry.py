@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 import pyspark
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -11,12 +13,20 @@ def model_path(root: str, unit: str, model_descr: str, version: str = pyspark.__
     return f"{root}/unit={unit}/model_descr={model_descr}/version={version}"
 
 
-def save_model(model: PipelineModel, root: str, unit: str, model_descr: str) -> str:
+def save_model(model: PipelineModel, root: str, unit: str, model_descr: str, facts: dict | None = None) -> str:
+    """``facts``: what scoring needs besides the pipeline (step, rounds, feature names), kept next to it as JSON."""
     path = model_path(root, unit, model_descr)
     model.write().overwrite().save(path)
+    spark = SparkSession.active()
+    spark.createDataFrame([(json.dumps(facts or {}),)], "facts string").coalesce(1).write.mode("overwrite").text(f"{path}/facts")
     return path
 
 
+def load_facts(root: str, unit: str, model_descr: str) -> dict:
+    path = f"{model_path(root, unit, model_descr)}/facts"
+    return json.loads(SparkSession.active().read.text(path).first()["value"])
+
+
 def load_model(root: str, unit: str, model_descr: str) -> PipelineModel:
     return PipelineModel.load(model_path(root, unit, model_descr))
 

@@ -85,7 +85,9 @@ def halving_search(train: DataFrame, label: str, fold: str, folds: int, candidat
         with ThreadPoolExecutor(parallel) as pool:
             done = list(pool.map(inheritable_thread_target(train.sparkSession)(run), jobs))
         log += done
-        mean = {c: sum(r[4] or 0.0 for r in done if r[1] == c) / folds for c in alive}
+        # a fold without both classes has no AUC and no say
+        told = {c: [r[4] for r in done if r[1] == c and r[4] is not None] for c in alive}
+        mean = {c: sum(v) / len(v) if v else 0.0 for c, v in told.items()}
         ranked = sorted(alive, key=lambda c: (-mean[c], c))
         alive = ranked[: math.ceil(len(alive) / factor)]
     return candidates[alive[0]], log

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
@@ -60,6 +61,7 @@ class BoostedForest:
 
     @classmethod
     def from_pipeline(cls, model: PipelineModel, step: float) -> "BoostedForest":
+        """``step`` is the one the model was fitted with, see ``registry.load_facts``."""
         return cls([s for s in model.stages if isinstance(s, RandomForestRegressionModel)], step)
 
     def transform(self, df: DataFrame) -> DataFrame:
@@ -96,6 +98,8 @@ def boosted_forest(train: DataFrame, valid: DataFrame, label: str, rounds: int,
         return tuple(df.withColumn("q", p).agg(log_loss("y", "q", w), F.sum(w * curve)).first())
 
     total = measure(data, True)[1]
+    if total and min_child_weight / total > 0.5:
+        warnings.warn(f"min_child_weight {min_child_weight} exceeds half of the total weight {total}: no split is possible at 0.5 or more, 0.49 is used")
     for r in range(rounds):
         target = data.withColumns({"z": (F.col("y") - p) / curve, "h": F.col("w") * curve})
         forest = RandomForestRegressor(
@@ -117,7 +121,7 @@ def boosted_forest(train: DataFrame, valid: DataFrame, label: str, rounds: int,
         model.valid_loss.append(loss)
         if loss is not None and loss < best:
             best, best_at = loss, r
-        if r - best_at >= patience:
+        if loss is not None and r - best_at >= patience:  # without validation rows there is nothing to stop by
             break
     if best_at >= 0:
         model.stages = model.stages[: best_at + 1]

@@ -10,21 +10,16 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import small_side
-
-MAX_LEVELS = 1000
+from ..session import join_groups
 
 
 def levels(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
-    """The sorted categories of each column. One pass; refuses columns with very many values.
+    """The sorted categories of each column, in one pass.
 
-    Distinct (column, value) pairs are found across the cluster and only a checked number collected.
+    They become names of columns, so the driver must know them all; there are as many as the result has columns.
     """
-    limit = MAX_LEVELS * len(columns)
     pairs = F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in columns])
-    found = df.select(F.inline(pairs)).where("v IS NOT NULL").distinct().limit(limit + 1).collect()
-    if len(found) > limit:
-        raise ValueError(f"{columns} have more than {limit} values to encode")
+    found = df.select(F.inline(pairs)).where("v IS NOT NULL").distinct().collect()
     return {c: sorted(r["v"] for r in found if r["c"] == c) for c in columns}
 
 
@@ -69,10 +64,10 @@ class OneHot:
                 for v in vs[1:]:
                     out[f"{c}_{v}"] = F.when(seen, (F.col(c) == v).cast("double")).otherwise(self._missing(c))
             return df.withColumns(out) if out else df
-        joined = df.join(small_side(self.known), self.by)
+        joined = join_groups(df, self.known, self.by, "left")  # a group that was not fitted has seen nothing
         out = {}
         for c, vs in self.categories.items():
-            seen = F.array_contains(f"_lv_{c}", F.col(c))
+            seen = F.coalesce(F.array_contains(f"_lv_{c}", F.col(c)), F.lit(False))
             first = F.get(F.col(f"_lv_{c}"), 0)
             for v in vs:
                 out[f"{c}_{v}"] = F.when(seen, ((F.col(c) == v) & (first != v)).cast("double")).otherwise(self._missing(c))
@@ -85,7 +80,7 @@ def standard_scale(df: DataFrame, columns: list[str], by: list[str] = ()) -> Dat
         f(c).alias(f"_{tag}_{c}") for c in columns for tag, f in (("mu", F.avg), ("sd", F.stddev_pop))
     ])
     if by:
-        joined, stat = df.join(small_side(stats), list(by)), F.col
+        joined, stat = join_groups(df, stats, list(by)), F.col
     else:
         joined, row = df, stats.first()
         stat = lambda name: F.lit(row[name])

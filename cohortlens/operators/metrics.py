@@ -8,10 +8,9 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut, small_side
+from ..session import cut, join_groups
 
 SLICE_ROWS = 1_000_000
-MAX_SLICES = 4096
 
 
 def confusion_aggs(y: str, pred: str) -> list[Column]:
@@ -64,7 +63,7 @@ def score_counts(df: DataFrame, y: str, score: str, by: list[str]) -> DataFrame:
 
 def _sliced(counts: DataFrame) -> DataFrame:
     """Slices of about ``SLICE_ROWS`` rows along the score; the driver sees their edges only."""
-    slices = min(MAX_SLICES, math.ceil(counts.count() / SLICE_ROWS))
+    slices = math.ceil(counts.count() / SLICE_ROWS)
     if slices <= 1:
         return counts.withColumn("_slice", F.lit(0))
     inner = sorted(set(counts.approxQuantile("score", [i / slices for i in range(1, slices)], 0.1 / slices)))
@@ -88,9 +87,9 @@ def descending_totals(counts: DataFrame, by: list[str]) -> DataFrame:
         F.coalesce(F.sum("n").over(above), F.lit(0)).alias("_n0"),
     )
     inside = Window.partitionBy(*by, "_slice").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
+    running = sliced.withColumns({"tp": F.sum("pos").over(inside), "fp": F.sum("neg").over(inside)})
     return (
-        sliced.withColumns({"tp": F.sum("pos").over(inside), "fp": F.sum("neg").over(inside)})
-        .join(small_side(offsets), [*by, "_slice"])
+        join_groups(running, offsets, [*by, "_slice"])
         .withColumns({"tp": F.col("tp") + F.col("_p0"), "fp": F.col("fp") + F.col("_n0")})
         .drop("_slice", "_p0", "_n0")
     )
@@ -115,7 +114,7 @@ def roc_curve(df: DataFrame, y: str, score: str, by: list[str]) -> DataFrame:
     """(threshold, fpr, tpr) at every distinct score and the (0, 0) start, whose threshold is infinite."""
     run = descending_totals(score_counts(df, y, score, by), by)
     ends = run.groupBy(*by).agg(F.max("tp").alias("_pos"), F.max("fp").alias("_neg"))
-    points = run.join(small_side(ends), by).select(
+    points = join_groups(run, ends, by).select(
         *by, F.col("score").alias("threshold"),
         (F.col("fp").cast("double") / F.nullif(F.col("_neg"), F.lit(0))).alias("fpr"),
         (F.col("tp").cast("double") / F.nullif(F.col("_pos"), F.lit(0))).alias("tpr"),

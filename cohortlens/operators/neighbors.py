@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema, to_arrow_type
 
-from ..session import cut, small_side
+from ..session import cut, join_groups
 from .relational import hot_join, removed_rows, running_index
 
 # Kernels travel inside the job, so executors need no copy of this package.
@@ -467,7 +467,7 @@ def gower_scale(df: DataFrame, columns: list[str], partition_by: list[str] = (),
     ranges = df.groupBy(*g).agg(*[f(c).cast("double").alias(f"_{t}_{c}") for c in columns
                                   for t, f in (("lo", F.min), ("hi", F.max))])
     if g:
-        joined, edge = df.join(small_side(ranges), g), F.col
+        joined, edge = join_groups(df, ranges, g), F.col
     else:
         row = ranges.first()
         joined, edge = df, lambda name: F.lit(row[name])
@@ -554,7 +554,7 @@ def tomek_undersample(df: DataFrame, key: str, vec: str, label: str, strategy: s
     )))
     if strategy == "auto":
         rare = _class_sizes(df, label, g).where("_minority").withColumnRenamed("_label", "_y")
-        ends = ends.join(small_side(rare), [*g, "_y"], "left_anti")
+        ends = ends.join(rare, [*g, "_y"], "left_anti")
     elif strategy != "all":
         raise ValueError(f"unknown strategy {strategy}")
     gone = cut(ends.select(*g, key), "tomek")
@@ -591,7 +591,7 @@ def near_miss(df: DataFrame, key: str, vec: str, label: str, share: int, k: int
     class at most. The minority class is sampled the same way, each row being its own nearest.
     """
     g = list(partition_by)
-    sizes = small_side(_class_sizes(df, label, g))
+    sizes = _class_sizes(df, label, g)
     tagged = cut(df.select(*g, key, vec, F.col(label).alias("_label")).join(sizes, [*g, "_label"]), "classes", ("_label",))
     rare = Sites(tagged.where("_minority"), key, vec, g, k)
     kept = []

@@ -9,12 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import term_kind
-from ..session import cut, small_side
+from ..session import cut, join_groups
 
 # The order of registration snapshots.
 SNAPSHOT_ORDER = {"census": 1, "midterm": 2, "eot": 3}
 
-LOOKUP_DAYS = 100_000
 
 
 # --- projections and filters -------------------------------------------------------------------
@@ -89,7 +88,7 @@ def row_ordinal(df: DataFrame, keys: list[str], name: str = "ordinal") -> DataFr
     offsets = placed.groupBy("_part").agg(F.count("*").alias("_n")).select(
         "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")
     )
-    return placed.join(small_side(offsets), "_part").withColumn(name, F.col("_before") + F.col("_place")).drop(
+    return placed.join(offsets, "_part").withColumn(name, F.col("_before") + F.col("_place")).drop(
         "_part", "_place", "_before"
     )
 
@@ -100,7 +99,7 @@ def running_index(df: DataFrame, groups: list[str], keys: list[str], name: str =
         return row_ordinal(df, keys, "_ordinal").withColumn(name, F.col("_ordinal") + 1).drop("_ordinal")
     numbered = row_ordinal(df, [*groups, *keys], "_ordinal")
     starts = numbered.groupBy(*groups).agg(F.min("_ordinal").alias("_start"))
-    return numbered.join(small_side(starts), groups).withColumn(name, F.col("_ordinal") - F.col("_start") + 1).drop(
+    return join_groups(numbered, starts, groups).withColumn(name, F.col("_ordinal") - F.col("_start") + 1).drop(
         "_ordinal", "_start"
     )
 
@@ -140,7 +139,7 @@ def interval_lookup(days: DataFrame, calendar: DataFrame, day: str, begin: str,
     asked = days.select(F.col(day).alias("_day")).distinct().withColumn("_year", F.year("_day"))
     hits = asked.join(listed, "_year").where(F.col("_day").between(F.col(begin), F.col(end)))
     terms = hits.groupBy("_day").agg(F.min_by(F.struct(*keep), F.col("strm")).alias("_hit")).select("_day", "_hit.*")
-    return days.join(small_side(terms, LOOKUP_DAYS).withColumnRenamed("_day", day), day)
+    return days.join(terms.withColumnRenamed("_day", day), day)
 
 
 def last_wins(df: DataFrame, key: str, seq: str) -> DataFrame:

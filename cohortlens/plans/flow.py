@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..explain.contributions import tree_contributions
 from ..functions import threshold_pred
 from ..models.linear import logit_inference, vif
-from ..models.registry import load_model, save_model
+from ..models.registry import load_facts, load_model, save_model
 from ..models.search import halving_search
 from ..models.trees import BoostedForest, boosted_forest
 from ..operators.features import OneHot, as_array, assemble, feature_names
@@ -62,13 +62,17 @@ def diagnostics(coded: DataFrame, columns: list[str], units: list[str]) -> tuple
     return logit, spark.createDataFrame(factors, "unit string, feature string, vif double").orderBy("unit", F.desc("vif"))
 
 
-def clean(coded: DataFrame, columns: list[str], k: int = 20) -> DataFrame:
-    """Training and validation rows without outliers and Tomek links, each unit and split on its own."""
+def clean(coded: DataFrame, columns: list[str], k: int = 20) -> tuple[DataFrame, DataFrame]:
+    """(left, removed): training and validation rows without outliers and Tomek links, each unit and split on its own.
+
+    ``removed`` holds the keys of the others and the ``reason``.
+    """
     fitted = coded.where("split <> 'testing'")
-    kept, _ = remove_outliers(fitted, "emplid", columns, k, GROUP)
+    kept, outliers = remove_outliers(fitted, "emplid", columns, k, GROUP)
     vectors = cut(kept.withColumn("_x", as_array(columns)), "kept")
-    left, _ = tomek_undersample(vectors, "emplid", "_x", "enrl_ind", "all", GROUP)
-    return left.drop("_x")
+    left, linked = tomek_undersample(vectors, "emplid", "_x", "enrl_ind", "all", GROUP)
+    why = [df.select(*GROUP, "emplid", F.lit(r).alias("reason")) for df, r in ((outliers, "outlier"), (linked, "tomek link"))]
+    return left.drop("_x"), why[0].unionByName(why[1])
 
 
 @dataclass
@@ -82,17 +86,25 @@ class Run:
     fairness: DataFrame
     quality: DataFrame
     shap: DataFrame | None
+    removed: DataFrame  # rows left out of the fit, with the reason
+    unscored: DataFrame  # testing rows of units that have no fitted rows
+    run_date: datetime.date
+    model_id: int
 
     def publish(self, root: str) -> None:
         """Append the run to the history tables below ``root``."""
         append_run(self.outcome, f"{root}/student_outcome")
         append_run(self.fairness, f"{root}/student_fairness")
-        if self.shap is not None:
-            append_run(self.shap, f"{root}/student_shap")
+        named = {"date": F.lit(self.run_date), "model_id": F.lit(self.model_id)}
+        others = {"student_shap": self.shap, "pred_outcome": self.predictions, "aggregate_outcome": self.aggregate,
+                  "removed_rows": self.removed, "unscored_rows": self.unscored}
+        for name, df in others.items():
+            if df is not None:
+                append_run(df.withColumns(named), f"{root}/{name}")
 
 
 def fit_unit(train: DataFrame, valid: DataFrame, search: dict | None, **forest) -> BoostedForest:
-    """A boosted forest, its depth, gamma and step found by halving over rounds first if ``search`` is given.
+    """A boosted forest, its depth, gamma, step and rounds found by halving over rounds first if ``search`` is given.
 
     ``search`` holds ``choices``, ``min_rounds``, ``max_rounds`` and ``folds``.
     """
@@ -103,9 +115,9 @@ def fit_unit(train: DataFrame, valid: DataFrame, search: dict | None, **forest)
         def candidate(part: DataFrame, choice: dict, rounds: int):
             return boosted_forest(part, valid, "enrl_ind", **{**forest, **choice, "rounds": rounds}).transform
 
-        best, _ = halving_search(rows, "enrl_ind", "fold", folds, search["choices"], candidate,
+        best, log = halving_search(rows, "enrl_ind", "fold", folds, search["choices"], candidate,
                                  search["min_rounds"], search["max_rounds"])
-        forest = {**forest, **best}
+        forest = {**forest, **best, "rounds": max(r[2] for r in log if search["choices"][r[1]] == best)}
     return boosted_forest(train, valid, "enrl_ind", **forest)
 
 
@@ -122,7 +134,8 @@ def retention_risk(df: DataFrame, categorical: list[str], numeric: list[str], un
     columns = [*indicators, *numeric]
     coded = cut(coded.select(*GROUP, "emplid", "enrl_ind", *columns, *categorical), "coded", ("unit", "split"))
     vectors = assemble(columns)
-    fitted = vectors.transform(cut(clean(coded, columns), "fitted", ("unit", "split")))
+    left, removed = clean(coded, columns)
+    fitted = vectors.transform(cut(left, "fitted", ("unit", "split")))
     testing = vectors.transform(coded.where("split = 'testing'"))
     present = {r["unit"] for r in fitted.select("unit").distinct().collect()}
     chosen = [u for u in units if u in present]
@@ -132,10 +145,14 @@ def retention_risk(df: DataFrame, categorical: list[str], numeric: list[str], un
 
     def fit(unit: str) -> BoostedForest:
         if registry and not refit:
-            return BoostedForest.from_pipeline(load_model(registry, unit, model_descr), forest.get("step", 0.5))
+            facts = load_facts(registry, unit, model_descr)
+            if facts["features"] != columns:
+                raise ValueError(f"the saved model of {unit} has other features: {sorted(set(facts['features']) ^ set(columns))}")
+            return BoostedForest.from_pipeline(load_model(registry, unit, model_descr), facts["step"])
         model = fit_unit(rows(unit, "training"), rows(unit, "validation"), search, **forest)
         if registry:
-            save_model(model.pipeline(), registry, unit, model_descr)
+            facts = {"step": model.step, "rounds": len(model.stages), "features": columns}
+            save_model(model.pipeline(), registry, unit, model_descr, facts)
         return model
 
     models = per_unit(spark, chosen, fit)
@@ -166,5 +183,6 @@ def retention_risk(df: DataFrame, categorical: list[str], numeric: list[str], un
         outcome=student_outcome(tested, run_date, model_id, keep=["unit"]),
         predictions=pred_outcome(tested, {"xgbrf": "prob"}, keep=["unit"]),
         aggregate=aggregate_outcome(tested, keep=["unit"]) if described else None,
-        fairness=fairness, quality=quality, shap=shap,
+        fairness=fairness, quality=quality, shap=shap, removed=removed, run_date=run_date, model_id=model_id,
+        unscored=testing.where(~F.col("unit").isin(chosen)).select("unit", "emplid", F.lit("no fitted rows").alias("reason")),
     )

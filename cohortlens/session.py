@@ -5,12 +5,11 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SMALL_ROWS = 10_000
-
 
 def local_session(cpus: str = "8", name: str = "cohortlens", memory: str = "12g") -> SparkSession:
     """A single-machine session for tests and the bench; a cluster brings its own."""
@@ -65,13 +64,13 @@ def cut(df: DataFrame, tag: str, by: tuple[str, ...] = ()) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_side(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
-    """``df`` as a broadcast table if it has at most ``limit`` rows, else ``df`` unchanged.
+def join_groups(df: DataFrame, stats: DataFrame, by: list[str], how: str = "inner") -> DataFrame:
+    """``df`` with the columns of ``stats``, which has one row per group ``by``. NULL is a group like any other.
 
-    For per-group statistics that are joined back to all rows: the rows then stay where they are,
-    and a table that turns out large is joined by shuffling as usual.
+    A plain join: the planner picks its form from sizes, and splits hot groups at run time.
     """
-    rows = df.limit(limit + 1).toArrow()
-    if rows.num_rows > limit:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+    if not by:
+        return df.crossJoin(stats)  # one row
+    named = stats.withColumnsRenamed({c: f"_by_{c}" for c in by})
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by])
+    return df.join(named, same, how).drop(*[f"_by_{c}" for c in by])

@@ -19,7 +19,7 @@ DAY = datetime.date(2001, 8, 1)
 def runs(spark):
     cohort, registry = view(spark, SF, "fx_cohort"), fresh_path(spark, "registry")
     common = dict(units="PU", model_id=2, model_descr="ft_ft_1yr", run_date=DAY, registry=registry, trees=4, depth=2, rounds=2)
-    search = {"choices": grid(depth=[1, 2], step=[0.5]), "min_rounds": 1, "max_rounds": 2, "folds": 2}
+    search = {"choices": grid(depth=[1, 2], step=[0.01, 1.0]), "min_rounds": 1, "max_rounds": 2, "folds": 2}
     first = retention_risk(cohort, CATEGORICAL, NUMERIC, search=search, explain=True, **common)
     again = retention_risk(cohort, CATEGORICAL, NUMERIC, refit=False, **common)
     return first, again
@@ -55,6 +55,11 @@ def test_publish_appends(spark, runs):
     for _ in range(2):
         runs[0].publish(root)
     once = runs[0].outcome.count()
+    for name in ("pred_outcome", "aggregate_outcome"):
+        assert spark.read.parquet(f"{root}/{name}").where(F.col("model_id") == 2).count() == 2 * once
+    removed = spark.read.parquet(f"{root}/removed_rows")
+    assert {r["reason"] for r in removed.select("reason").distinct().collect()} == {"outlier", "tomek link"}
+    assert runs[0].unscored.count() == 0
     assert spark.read.parquet(f"{root}/student_outcome").where(F.col("model_id") == 2).count() == 2 * once
     assert spark.read.parquet(f"{root}/student_fairness").count() > 0
 
