@@ -114,11 +114,16 @@ def rates(spark, sf):
     return out.select("split", *[r6(c).alias(c) for c in ("accuracy", "tpr", "tnr", "balanced")])
 
 
+WIDTH = "greatest(length(CAST(tn AS VARCHAR)), length(CAST(fp AS VARCHAR)), length(CAST(fn AS VARCHAR)), length(CAST(tp AS VARCHAR)))"
+CELL = {c: f"lpad(CAST({c} AS VARCHAR), CAST({WIDTH} AS INT), ' ')" for c in ("tn", "fp", "fn", "tp")}
+MATRIX = f"'[[' || {CELL['tn']} || ' ' || {CELL['fp']} || ']' || chr(10) || ' [' || {CELL['fn']} || ' ' || {CELL['tp']} || ']]'"
+
+
 @query("fairness_frame", f"""{SCORED_SQL}, c AS (SELECT split AS model_type, male, underrep_minority, count(*) AS headcount, {COUNTS} FROM fx_scored GROUP BY 1, 2, 3)
-SELECT model_type, male, underrep_minority, headcount, tn, fp, fn, tp, {RATES}, '2001-08-01' AS date, CAST(2 AS INT) AS model_id, 'ft_ft_1yr' AS model_descr FROM c""")
+SELECT model_type, male, underrep_minority, headcount, tn, fp, fn, tp, {RATES}, {MATRIX} AS matrix, '2001-08-01' AS date, CAST(2 AS INT) AS model_id, 'ft_ft_1yr' AS model_descr FROM c""")
 def fairness_frame(spark, sf):
     df = scored(spark, sf).withColumnRenamed("split", "model_type")
-    out = O.student_fairness(df, RUN_DATE, 2, "ft_ft_1yr", ["model_type"]).drop("matrix")
+    out = O.student_fairness(df, RUN_DATE, 2, "ft_ft_1yr", ["model_type"])
     return out.withColumns({c: r6(c) for c in ("accuracy", "tpr", "tnr", "balanced")})
 
 

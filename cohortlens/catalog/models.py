@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import functions as F
 
 from ..explain.contributions import tree_contributions
@@ -21,7 +22,7 @@ from ..plans.flow import per_unit, retention_risk
 from ..session import cut, fresh_path
 from .features import ONE_HOT
 from .plans import NAMES
-from .registry import COMPLETE, RUN_DATE, SQL_PROB, cohort, complete, query, r6, scored_complete
+from .registry import COEFFICIENTS, COMPLETE, INTERCEPT, RUN_DATE, SQL_PROB, cohort, complete, query, r6, scored_complete
 from .relational import ROUTED, SCORED
 
 CODED = [*[n for n, _ in ONE_HOT], *NUMERIC]
@@ -125,7 +126,7 @@ def elastic_logit(spark, sf):
 @query("huber_linear")
 def huber_linear(spark, sf):
     df = encoded(spark, sf)
-    model = L.huber_linear(split_of(df, "training"), CODED, "enrl_ind", steps=15)
+    model = L.huber_linear(split_of(df, "training"), CODED, "enrl_ind")
     return predictions(split_of(df, "testing").withColumn("prob", model.probability()), "prob")
 
 
@@ -236,8 +237,22 @@ def _linear_model(train):
     return Pipeline(stages=[assemble(PLAIN, "x"), LogisticRegression(featuresCol="x", labelCol="enrl_ind", maxIter=20)]).fit(train)
 
 
-@query("score_batch")
+@query("score_batch", f"""{COMPLETE}, s AS (SELECT emplid, {SQL_PROB} AS p FROM complete WHERE split = 'testing')
+SELECT emplid, round(p, 6) AS prob, CAST(CASE WHEN p > 0.5 THEN 1 ELSE 0 END AS INT) AS pred FROM s""")
 def score_batch(spark, sf):
+    """A saved pipeline with known coefficients, loaded and applied to the testing rows."""
+    df, root = complete(spark, sf), fresh_path(spark, "models")
+    terms = " + ".join([f"({INTERCEPT}D)", *(f"({b!r}D) * _v[{i}]" for i, b in enumerate(COEFFICIENTS.values()))])
+    stages = [
+        SQLTransformer(statement="SELECT *, array(" + ", ".join(f"CAST({c} AS DOUBLE)" for c in COEFFICIENTS) + ") AS _v FROM __THIS__"),
+        SQLTransformer(statement=f"SELECT *, 1D / (1D + exp(-({terms}))) AS prob FROM __THIS__"),
+    ]
+    G.save_model(Pipeline(stages=stages).fit(df), root, "U", "fixed", {"features": list(COEFFICIENTS)})
+    return predictions(G.load_model(root, "U", "fixed").transform(split_of(df, "testing")), "prob")
+
+
+@query("score_batch_fitted")
+def score_batch_fitted(spark, sf):
     df = complete(spark, sf)
     model = _linear_model(split_of(df, "training"))
     return predictions(model.transform(split_of(df, "testing")).withColumn("prob", L.prob_of_one()), "prob")

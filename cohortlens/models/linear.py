@@ -203,7 +203,7 @@ def balanced_weight(df: DataFrame, label: str) -> Column:
     return F.when(F.col(label) == 0, (n0 + n1) / (2.0 * n0)).otherwise((n0 + n1) / (2.0 * n1))
 
 
-def elastic_logit(train: DataFrame, label: str, c: float = 1.0, l1_ratio: float = 0.0, max_iter: int = 100):
+def elastic_logit(train: DataFrame, label: str, c: float = 1.0, l1_ratio: float = 0.0, max_iter: int = 5000):
     """Class-balanced elastic-net logistic regression; the penalty weighs 1 / (C x total weight)."""
     weighted = train.withColumn("_w", balanced_weight(train, label))
     total = weighted.agg(F.sum("_w")).first()[0]
@@ -219,6 +219,7 @@ class HuberLinear:
     coefficients: np.ndarray
     intercept: float
     losses: list[float]
+    converged: bool
 
     def score(self) -> Column:
         f = F.lit(float(self.intercept))
@@ -234,7 +235,7 @@ def huber_probability(f: Column) -> Column:
     return (F.least(F.greatest(f, F.lit(-1.0)), F.lit(1.0)) + 1) / 2
 
 
-def huber_linear(train: DataFrame, columns: list[str], label: str, l2: float = 1e-4, steps: int = 20,
+def huber_linear(train: DataFrame, columns: list[str], label: str, l2: float = 1e-4, steps: int = 5000,
                  eta: float = 0.5, tol: float = 1e-4, patience: int = 3) -> HuberLinear:
     """Class-balanced linear classifier under the modified Huber loss, by full-batch gradient steps.
 
@@ -250,7 +251,7 @@ def huber_linear(train: DataFrame, columns: list[str], label: str, l2: float = 1
     entries = [(F.col(c).cast("double") - float(m)) / float(s) for c, m, s in zip(columns, mu, sd)]
     rows = train.select(F.array(*entries, sign, balanced_weight(train, label)).alias("_x")).persist()
     beta, best, best_loss, grad = np.zeros(p + 1), np.zeros(p + 1), np.inf, None
-    losses, stale = [], 0
+    losses, stale, converged = [], 0, False
     for _ in range(steps):
 
         def value(x, tag, beta=beta):
@@ -273,11 +274,12 @@ def huber_linear(train: DataFrame, columns: list[str], label: str, l2: float = 1
         else:
             eta /= 2
         if stale > patience:
+            converged = True
             break
         beta = best - eta * grad
     rows.unpersist()
     raw = best[:p] / sd
-    return HuberLinear(columns, raw, float(best[p] - raw @ mu), losses)
+    return HuberLinear(columns, raw, float(best[p] - raw @ mu), losses, converged)
 
 
 def mlp(train: DataFrame, label: str, width: int, hidden: tuple[int, ...] = (75, 50, 25), max_iter: int = 100, seed: int = 7):
