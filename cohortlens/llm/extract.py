@@ -172,5 +172,5 @@ def extract(pages: DataFrame, key: str = "page_id") -> DataFrame:
                 [b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], ["key", "url", "text", "n_chars"])
 
     kind = pages.schema[key].dataType.simpleString()
-    out = pages.withColumn("host", host).join(winners, "host", "left").select(key, "url", "html", "winner")
+    out = pages.select(key, "url", "html", host).join(winners, "host", "left").select(key, "url", "html", "winner")
     return out.mapInArrow(again, f"key {kind}, url string, text string, n_chars long").withColumnRenamed("key", key)

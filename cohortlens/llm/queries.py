@@ -107,9 +107,8 @@ def rank_rounds(name: str, edges: str, seed: str) -> str:
     out = [f"{name}0 AS MATERIALIZED (SELECT host, CAST({seed} AS DOUBLE) AS seed, CAST({seed} AS DOUBLE) AS score FROM hosts)"]
     for i in range(urls.ROUNDS):
         out.append(f"""{name}{i + 1} AS MATERIALIZED (
-SELECT n.host, seed, round((1 - {urls.DAMPING}) * seed + {urls.DAMPING} * (coalesce(got, 0) + CASE WHEN o.src IS NULL THEN score ELSE 0 END), {urls.PLACES}) AS score
-FROM {name}{i} n LEFT JOIN (SELECT dst, sum(score * share) AS got FROM {name}{i} JOIN {edges} e ON host = e.src GROUP BY dst) s ON n.host = s.dst
-LEFT JOIN (SELECT DISTINCT src FROM {edges}) o ON n.host = o.src)""")
+SELECT n.host, seed, round(seed + {urls.DAMPING} * coalesce(got, 0), {urls.PLACES}) AS score
+FROM {name}{i} n LEFT JOIN (SELECT dst, sum(score * share) AS got FROM {name}{i} JOIN {edges} e ON host = e.src GROUP BY dst) s ON n.host = s.dst)""")
     return ",\n".join(out)
 
 

@@ -2,7 +2,7 @@
 
 Hosts are nodes, links between their pages weighted edges. Urls under allow rules seed trust, urls under block rules
 seed distrust (one unit each). Personalised PageRank carries trust along the links and distrust against them: who links
-to blocked hosts is distrusted. A host without links keeps what it has. A host is blocked if its distrust exceeds both
+to blocked hosts is distrusted. Scores are in units of the seeds, each round damped; a host is blocked if its distrust exceeds both
 its trust and ``margin`` units per page it has; the urls that no rule fits get their host's verdict.
 
 Defined cases: a url that is null or without "://" has an empty host and path and is allowed; null html has no links;
@@ -42,13 +42,12 @@ def fitting_rule(host: Column, path: Column, rules: list[tuple[str, str]]) -> tu
 
 
 def spread(edges: DataFrame, hosts: DataFrame, seed: str, rounds: int, damping: float) -> DataFrame:
-    """(host, score): PageRank with restarts at ``seed``; ``edges`` has src, dst and the share of src's weight."""
+    """(host, score): PageRank with restarts at ``seed``, in units of the seed; ``edges`` has src, dst and the share of src's weight."""
     now = hosts.select("host", F.col(seed).cast("double").alias("seed"), F.col(seed).cast("double").alias("score"))
     for i in range(rounds):
         sent = now.join(edges, now.host == edges.src).groupBy("dst").agg(F.sum(F.col("score") * F.col("share")).alias("got"))
-        stay = now.join(sent, now.host == sent.dst, "left").join(edges.groupBy("src").agg(F.lit(1).alias("out")), F.col("host") == F.col("src"), "left")
-        got = F.coalesce("got", F.lit(0.0)) + F.when(F.col("out").isNull(), F.col("score")).otherwise(0.0)
-        now = stay.select("host", "seed", F.round((1 - damping) * F.col("seed") + damping * got, PLACES).alias("score"))
+        score = F.round(F.col("seed") + damping * F.coalesce("got", F.lit(0.0)), PLACES)
+        now = now.join(sent, now.host == sent.dst, "left").select("host", "seed", score.alias("score"))
         if i % 4 == 3:
             now = settle(now, "rank")
     return now.select("host", "score")
