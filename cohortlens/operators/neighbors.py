@@ -359,7 +359,7 @@ def _nearest(pairs: DataFrame, by: list[str], k: int) -> DataFrame:
 def _hubs(edges: DataFrame, on: list[str], total: int) -> DataFrame | None:
     """Ends shared by more than 1/HOT_SHARE of the edges, of which there are fewer than HOT_SHARE; None if none."""
     many = edges.groupBy(*on).agg(F.count("*").alias("c")).where(F.col("c") > total / HOT_SHARE)
-    hubs = cut(many.select(*on), "hubs")
+    hubs = cut(many, "hubs")
     return None if hubs.isEmpty() else hubs
 
 
@@ -395,7 +395,7 @@ class Sites:
         if self.copies:
             # At most HOT_SHARE vectors can hold more than that share of the rows each.
             many = self.rows.groupBy(*self.by).agg(F.count("*").alias("c")).where(F.col("c") > self.rows.count() / HOT_SHARE)
-            self.hot = cut(self.copied.join(many.select(*self.by), self.by, "left_semi"), "hot")
+            self.hot = cut(self.copied.join(many, self.by), "hot")
 
     def pairs(self, metric: str) -> DataFrame:
         """(groups, src, nbr, dist): the k nearest other sites of every site."""
@@ -433,10 +433,10 @@ class Sites:
         if not self.copies:
             return per_site.withColumn("key", F.col("site"))
         alias = self.copied.select(*self.by, F.col("key").alias("_site"))
-        members = hot_join(self.rows.drop("vec"), alias, self.by, self.hot.select(*self.by), "left").select(
+        members = hot_join(self.rows.drop("vec"), alias, self.by, self.hot.select(*self.by, "c"), "left").select(
             *g, "key", F.coalesce("_site", "key").alias("site")
         )
-        return hot_join(members, per_site, [*g, "site"], self.hot.select(*g, F.col("key").alias("site")))
+        return hot_join(members, per_site, [*g, "site"], self.hot.select(*g, F.col("key").alias("site"), "c"))
 
 
 def _without_self(near: str, key: str, k: int) -> Column:

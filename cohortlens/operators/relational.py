@@ -106,18 +106,18 @@ def running_index(df: DataFrame, groups: list[str], keys: list[str], name: str =
 
 # --- joins -------------------------------------------------------------------------------------
 
-def hot_join(left: DataFrame, right: DataFrame, on: list[str], hot: DataFrame, how: str = "inner", parts: int = 64) -> DataFrame:
-    """Equi-join (inner or left) that spreads the rows of the keys in ``hot`` over ``parts`` tasks.
+def hot_join(left: DataFrame, right: DataFrame, on: list[str], hot: DataFrame, how: str = "inner", rows: int = 1_000_000) -> DataFrame:
+    """Equi-join (inner or left) that spreads each key in ``hot`` over a task per ``rows`` of its rows, two at least.
 
-    ``right`` holds one row per key. ``hot`` must be small by construction: the keys holding more
-    than 1/m of the rows number fewer than m.
+    ``right`` holds one row per key. ``hot`` has the keys with their number of rows as ``c``, and must be small by
+    construction: the keys holding more than 1/m of all rows number fewer than m.
     """
-    mark = F.broadcast(hot.select(*on).withColumn("_hot", F.lit(True)))
-    spread = F.pmod(F.xxhash64(*[c for c in left.columns]), F.lit(parts)).cast("int")
-    salted = left.join(mark, on, "left").withColumn("_salt", F.when(F.col("_hot"), spread).otherwise(0)).drop("_hot")
-    copied = right.join(mark, on, "left").withColumn(
-        "_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0))))
-    ).drop("_hot")
+    parts = F.greatest(F.lit(2), F.ceil(F.col("c") / rows)).cast("int")
+    mark = F.broadcast(hot.select(*on, parts.alias("_parts")))
+    spread = F.pmod(F.xxhash64(*[c for c in left.columns]), F.col("_parts")).cast("int")
+    salted = left.join(mark, on, "left").withColumn("_salt", F.coalesce(spread, F.lit(0))).drop("_parts")
+    every = F.explode(F.coalesce(F.sequence(F.lit(0), F.col("_parts") - 1), F.array(F.lit(0))))
+    copied = right.join(mark, on, "left").withColumn("_salt", every).drop("_parts")
     return salted.join(copied, [*on, "_salt"], how).drop("_salt")
 
 

@@ -99,8 +99,8 @@ def test_ordinals_follow_the_key_over_many_partitions(spark):
 def test_hot_join_keeps_every_row(spark):
     left = spark.range(3000).select(F.when(F.col("id") < 1000, 0).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"))
     right = left.select("k").distinct().where("k < 2000").withColumn("w", F.col("k") * 2)
-    hot = spark.createDataFrame([(0,)], "k long")
-    inner = R.hot_join(left, right, ["k"], hot)
+    hot = spark.createDataFrame([(0, 1000)], "k long, c long")
+    inner = R.hot_join(left, right, ["k"], hot, rows=100)
     assert inner.count() == 2000 and inner.where("w = k * 2").count() == 2000
     outer = R.hot_join(left, right, ["k"], hot, "left")
     assert outer.count() == 3000 and outer.where("w IS NULL").count() == 1000
