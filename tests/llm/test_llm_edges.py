@@ -142,7 +142,7 @@ def test_urls(spark):
 
 
 def test_pages(spark):
-    rows = [(1, None, None), (2, "http://h/", ""), (3, "http://h/", "just text &amp; more"), (4, "http://h/", "<p>" + "long " * 200_000), (4, "http://h/", "<p><p><"),
+    rows = [(1, None, None), (2, "http://h/", ""), (3, "http://h/", "just text &amp; more"), (4, "http://h/", "<p>" + "long " * 200_000), (4, "http://h/", "<p><p>"),
             (5, "x", "<div class=ad>no</div>"), (6, None, "<html><body><main><p>a<p>b</main>")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
     for c in ("text", "n_chars", "winner", *CLASH):
