@@ -29,31 +29,61 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 #: Elements that hold no article text.
 BARE = "script style noscript template svg iframe object canvas textarea select button title math"
 DROP = "nav footer aside form head menu dialog fieldset figcaption"
-#: Words in class or id that say the same.
+#: Words in class or id that say the same: a name counts if it has no words but these and PLAIN ones ('site-footer', not 'no-sidebar').
 MARKS = """ad ads advert adverts advertisement advertising sponsor sponsored promo banner nav navbar navigation menu menus header footer sidebar
 side cookie cookies consent gdpr notice notices alert popup modal overlay comment comments reply replies disqus share sharing social related
 recommended newsletter subscribe subscription signup login breadcrumb breadcrumbs pagination pager widget toolbar masthead"""
+PLAIN = "site page main top bottom left right box block wrap wrapper container area section list bar button buttons link links inner outer"
+#: What readers and other pages add may hold most of a page's text; any other marked element that does is a wrapper and stays.
+ADDED = "comment comments reply replies disqus related recommended"
 BLOCKS = """p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd pre blockquote table tr td th thead tbody tfoot caption hr address figure html body article main
 section div center header details summary"""
 HOLDERS = "html body article main section div td center"
 
 TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(" + BARE.replace(" ", "|") + r")\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"<!--.*?(?:-->|\Z)|<(" + BARE.replace(" ", "|") + r")(?=[\s/>])[^>]*(?<!/)>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][\w:-]*)((?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*+)>|<[!?][^>]*>|<[a-zA-Z/!?][^>]*\Z", re.S | re.I)
 NAMED = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-DROPPED, MARKED = frozenset(DROP.split()), frozenset(MARKS.split())
+DROPPED, MARKED, FILLING = frozenset(DROP.split()), frozenset(MARKS.split()), frozenset(["", *PLAIN.split()])
+FOREIGN = frozenset(ADDED.split())
+HEADINGS, TITLES = frozenset("h1 h2 h3 h4 h5 h6".split()), frozenset("header masthead".split())
 BLOCK, HOLDER = frozenset(BLOCKS.split()), frozenset(HOLDERS.split())
 CLOSES_P = BLOCK - {"td", "th", "tr", "thead", "tbody", "tfoot"}
+#: What ends an element whose end tag is optional.
+NEXT = {"p": CLOSES_P | DROPPED, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th", "tr", "tbody", "tfoot"},
+        "th": {"td", "th", "tr", "tbody", "tfoot"}, "tr": {"tr", "tbody", "tfoot"}, "thead": {"tbody", "tfoot"}, "tbody": {"tbody", "tfoot"}}
+
+
+def marks_of(tag: str, named: list[tuple[str, ...]]) -> set[str]:
+    """The marks in class, id and role for which an element is dropped."""
+    out: set[str] = set()
+    for _, *value in named:
+        for name in "".join(value).lower().split():
+            parts = set(re.split(r"[-_:\d]+", name))
+            if tag in HEADINGS:
+                out |= {name} & MARKED - TITLES
+            elif parts <= MARKED | FILLING:
+                out |= parts & MARKED
+    return out
 
 
 def read_blocks(page: str) -> list[tuple[tuple[str, ...], str, int]]:
     """(paths of the containers around it, outermost first; text; characters in links) of each block."""
+    blocks, wrappers = read(page, frozenset())
+    return read(page, wrappers)[0] if wrappers else blocks
+
+
+def read(page: str, spared: frozenset[int]) -> tuple[list[tuple[tuple[str, ...], str, int]], frozenset[int]]:
+    """The blocks, and where the marked elements begin that hold more than half of the page's text; ``spared`` are not dropped."""
     out: list[tuple[tuple[str, ...], str, int]] = []
     stack: list[tuple[str, bool]] = []  # open block elements: tag, whether it is a container
     paths: tuple[str, ...] = ("",)
     text: list[str] = []
-    dropped: list[str] = []  # the elements of the dropped part that are open
+    dropped: list[tuple[str, int, int]] = []  # the elements of the dropped part that are open: tag, place if it may be a wrapper, characters before
+    loose = {"p": 0, "li": 0}  # those of the dropped part that may lack an end
+    held: list[tuple[int, int]] = []  # place and characters of what may be a wrapper
+    seen = 0  # characters, dropped or not
     linked, in_link = 0, False
 
     def flush() -> None:
@@ -73,25 +103,51 @@ def read_blocks(page: str) -> list[tuple[tuple[str, ...], str, int]]:
             if top == tag:
                 return
 
+    def undrop(tag: str | None = None) -> None:
+        """Ends the dropped elements up to the last ``tag``, or all."""
+        while dropped:
+            top, place, before = dropped.pop()
+            if place >= 0:
+                held.append((place, seen - before))
+            if top == tag:
+                return
+
     at = 0
     for m in TAG.finditer(page):
-        if m.start() > at and not dropped:
-            said = entities.unescape(page[at : m.start()])
-            text.append(said)
-            linked += len(said) if in_link else 0
+        if m.start() > at:
+            said = page[at : m.start()] if dropped else entities.unescape(page[at : m.start()])
+            seen += len(said.strip())
+            if not dropped:
+                text.append(said)
+                linked += len(said) if in_link else 0
         at = m.end()
         tag = m[3]
         if not tag:
             continue
         tag, shut, attributes = tag.lower(), m[2], m[4]
+        named = NAMED.findall(attributes) if not shut and "=" in attributes else []
+        marks = marks_of(tag, named) if named and tag not in ("html", "body", "article", "main") else set()
+        place = m.start() if marks and not marks & FOREIGN else -1
         if dropped:
+            own = True  # the tag belongs to the dropped part
             if shut:
-                if tag in dropped:
-                    while dropped.pop() != tag:
-                        pass
-            elif tag not in VOID and not attributes.endswith("/") and (tag in BLOCK or tag in DROPPED or tag == dropped[0]) and tag not in ("p", "li"):
-                dropped.append(tag)
-            continue
+                if any(t == tag for t, _, _ in dropped):
+                    undrop(tag)
+                elif loose.get(tag):
+                    loose[tag] -= 1
+                elif tag in BLOCK and any(t == tag for t, _ in stack):
+                    undrop()  # its parent closes
+                    own = False
+            elif len(dropped) == 1 and tag in NEXT.get(dropped[0][0], ()):
+                undrop()
+                own = False
+            elif tag not in VOID and not attributes.endswith("/"):
+                if tag in loose:
+                    loose[tag] += 1
+                elif tag in BLOCK or tag in DROPPED or tag == dropped[0][0]:
+                    dropped.append((tag, place, seen))
+            if own:
+                continue
         if shut:
             if tag == "a":
                 in_link = False
@@ -106,15 +162,13 @@ def read_blocks(page: str) -> list[tuple[tuple[str, ...], str, int]]:
             flush()
         if tag in VOID:
             continue
-        named = NAMED.findall(attributes) if "=" in attributes else ()
-        words = [w for kind, *value in named for w in "".join(value).lower().split()]
-        marked = any(part in MARKED for w in words for part in re.split(r"[-_:\d]+", w))
         inside = any(t in ("article", "main") for t, _ in stack)
-        if tag in DROPPED or (tag == "header" and not inside) or (marked and tag not in ("html", "body", "article", "main")):
+        if tag in DROPPED or (tag == "header" and not inside) or (marks and m.start() not in spared):
             if tag in BLOCK or tag in DROPPED:
                 flush()
             if not attributes.endswith("/"):
-                dropped.append(tag)
+                loose.update(p=0, li=0)
+                dropped.append((tag, place, seen))
             continue
         if tag in BLOCK:
             flush()
@@ -125,10 +179,13 @@ def read_blocks(page: str) -> list[tuple[tuple[str, ...], str, int]]:
                 classes = sorted({re.sub(r"\d+", "", w) for kind, *value in named if kind.lower() == "class" for w in "".join(value).lower().split()})
                 paths = (*paths, "/".join([paths[-1], ".".join([tag, *classes])]))
             stack.append((tag, holds))
-    if at < len(page) and not dropped:
-        text.append(entities.unescape(page[at:]))
+    if at < len(page):
+        seen += len(page[at:].strip())
+        if not dropped:
+            text.append(entities.unescape(page[at:]))
+    undrop()
     flush()
-    return out
+    return out, frozenset(p for p, n in held if 2 * n > seen) - spared
 
 
 def best_path(blocks: list[tuple[tuple[str, ...], str, int]]) -> tuple[str, int]:
