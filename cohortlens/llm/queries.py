@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import bpe, counts, extract, licenses, packing, quality, recompress, simhash, topk, urls
+from .common import words
+from . import bpe, counts, extract, licenses, negatives, packing, periodic, quality, recompress, sharding, simhash, topk, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -182,3 +183,84 @@ FROM ds JOIN ts USING (s) JOIN n USING (license) GROUP BY rid, doc_id, license,
 @query("op7_license_scan", OP7)
 def op7(spark, sf):
     return licenses.scan(table(spark, sf, "documents"))
+
+
+SHARDS = 24
+# The smallest feasible capacity by a binary search whose every step fills all shards greedily.
+OP11 = f"""
+WITH RECURSIVE d AS (SELECT doc_id, CAST(octet_length(encode(coalesce(text, ''))) + {sharding.OVERHEAD} AS BIGINT) AS size, coalesce(text, '') AS t,
+           CAST('0x' || substr(md5(coalesce(text, '')), 1, 15) AS BIGINT) AS place FROM documents),
+every AS (SELECT place, CAST(sum(size) AS BIGINT) AS bytes FROM d GROUP BY place),
+ranked AS (SELECT *, row_number() OVER w - 1 AS above, sum(bytes) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS lft FROM every
+           WINDOW w AS (ORDER BY bytes DESC, place)),
+large AS (SELECT place, CAST(row_number() OVER (ORDER BY place) - 1 AS INT) AS shard
+          FROM (SELECT place, bool_and(bytes * ({SHARDS} - above) >= lft) OVER (ORDER BY above) AS fills FROM ranked WHERE above < {SHARDS}) WHERE fills),
+have AS (SELECT {SHARDS} - count(*) AS n FROM large),
+g AS (SELECT place, CAST(sum(bytes) OVER (ORDER BY place) AS BIGINT) AS last FROM every WHERE place NOT IN (SELECT place FROM large)),
+e AS MATERIALIZED (SELECT list(last ORDER BY last) AS e, max(last) AS total, any_value(n) AS n FROM g, have),
+search(lo, hi) AS (
+  SELECT CAST(0 AS BIGINT), total FROM e
+  UNION ALL
+  SELECT CASE WHEN full_ THEN lo ELSE mid + 1 END, CASE WHEN full_ THEN mid ELSE hi END
+  FROM (SELECT lo, hi, mid, list_reduce(list_transform(range(n + 1), lambda z: CAST(0 AS BIGINT)), lambda p, z:
+                 greatest(list_max(list_filter(e, lambda x: x <= p + mid)), list_min(list_filter(e, lambda x: x > p)))) = total AS full_
+        FROM (SELECT lo, hi, (lo + hi) // 2 AS mid FROM search WHERE lo < hi), e)),
+least AS (SELECT lo AS capacity FROM search WHERE lo = hi LIMIT 1),
+cuts(k, p) AS (
+  SELECT 0, CAST(0 AS BIGINT)
+  UNION ALL
+  SELECT k + 1, greatest(list_max(list_filter(e, lambda x: x <= p + capacity)), list_min(list_filter(e, lambda x: x > p))) FROM cuts, least, e WHERE k < n - 1),
+poly AS MATERIALIZED (SELECT list_transform(range(256), lambda b: list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z:
+           CASE WHEN c & 1 = 1 THEN xor(CAST(3988292384 AS BIGINT), c >> 1) ELSE c >> 1 END)) AS tab),
+crc AS (SELECT place, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(regexp_extract_all(hex(encode(t)), '..'), lambda x: CAST('0x' || x AS BIGINT))),
+           lambda c, b: xor(c >> 8, tab[1 + (xor(c, b) & 255)])), CAST(4294967295 AS BIGINT)) AS text_crc32 FROM (SELECT DISTINCT place, t FROM d), poly),
+dealt AS (SELECT place, CAST((SELECT count(*) FROM cuts WHERE k > 0 AND p < last) + {SHARDS} - (SELECT n FROM have) AS INT) AS shard FROM g UNION ALL FROM large)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY place, doc_id NULLS FIRST) - 1 AS slot, CAST(NULL AS INT) AS grown_shard
+FROM d JOIN dealt USING (place) JOIN crc USING (place)"""
+
+
+@query("op11_sharding", OP11)
+def op11(spark, sf):
+    rows = sharding.shard(table(spark, sf, "documents"), SHARDS)
+    return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def made_periodic(docs: DataFrame) -> DataFrame:
+    """Every tenth document, by a hash of its id, repeats a stretch of its words from some word on."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    w = words(F.col("text"))
+    df = docs.select("doc_id", "text", (F.floor(h / 10)).cast("long").alias("g"), (h % 10 == 0).alias("made"))
+    df = df.withColumn("w", F.when(F.col("made"), w)).withColumn("n", F.size("w").cast("long"))
+    df = df.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    df = df.withColumn("p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)).cast("long"))
+    again = F.transform("w", lambda x, i: F.when(i < F.col("a"), x).otherwise(F.get(F.col("w"), (F.col("a") + (i - F.col("a")) % F.col("p")).cast("int"))))
+    return df.select("doc_id", F.when(F.col("a").isNull(), F.col("text")).otherwise(F.array_join(again, " ")).alias("text"))
+
+
+@query("op12_periodic_runs")
+def op12(spark, sf):
+    rows = periodic.periodic_runs(made_periodic(table(spark, sf, "documents")))
+    said = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return rows.select("doc_id", "n_runs", "start", "length", "period", "exponent_milli", F.sha2(said, 256).alias("runs_sha256"),
+                       F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+OP13 = """
+WITH v AS (SELECT row_number() OVER () AS rid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+           WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT q.rid, q.vec_id AS anchor_id, v.rid AS other, v.vec_id, q.label = v.label AS same, CAST(list_dot_product(q.e, v.e) AS BIGINT) AS score
+           FROM v q JOIN v ON len(q.e) = len(v.e) AND q.rid <> v.rid WHERE q.vec_id % 100 = 0),
+positive AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id, other) AS nth FROM scored WHERE same) WHERE nth <= 5),
+ranked AS (SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+                  CAST(row_number() OVER (PARTITION BY p.rid, p.nth ORDER BY n.score DESC, n.vec_id, n.other) AS INT) AS rank
+           FROM positive p JOIN scored n ON n.rid = p.rid AND NOT n.same AND 80 * p.score <= 100 * n.score AND n.score <= p.score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 5"""
+
+
+@query("op13_hard_negatives", OP13)
+def op13(spark, sf):
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf, "embeddings").withColumn("label", moved)
+    return negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0)
