@@ -34,15 +34,21 @@ def settle(df: DataFrame, tag: str) -> DataFrame:
     return out
 
 
-def salted_semi(rows: DataFrame, keys: DataFrame, on: list[str], spread: Column, count: str, per_task: int) -> DataFrame:
-    """The ``rows`` whose ``on`` columns occur in ``keys``, without one task per hot key.
+SHARES = 1024  # a key with more than this part of all rows is salted
 
-    ``keys`` holds each key once with the number of rows that have it (``count``, at least). The hottest key's
-    count gives the number of salts; rows are dealt to salts by ``spread`` and each key is repeated once per salt.
-    All keys are those above a limit, so the repeated table stays smaller than ``rows``.
+
+def salted_join(rows: DataFrame, keys: DataFrame, on: list[str], spread: Column, count: str, per_task: int, how: str = "inner") -> DataFrame:
+    """Equi-join of ``rows`` with ``keys``, without one task per hot key.
+
+    ``keys`` holds each key once with the number of rows that have it (``count``, at least). Keys with more than
+    ``per_task`` rows and more than 1/1,024 of all of them get salts by their own rows; there are fewer than 1,024 of
+    these, which is what is broadcast. Every other key is there once.
     """
-    most = keys.agg(F.max(count)).first()[0] or 0
-    salts = 1 + int(most) // per_task
-    left = rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
-    right = keys.select(*on).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.join(right, [*on, "_salt"], "left_semi").drop("_salt")
+    total = keys.agg(F.sum(count)).first()[0] or 0
+    salts = (F.col(count) / per_task).cast("int") + 1
+    hot = F.broadcast(keys.where(F.col(count) > max(per_task, int(total) // SHARES)).select(*on, salts.alias("_salts")))
+    salt = F.coalesce(F.pmod(F.xxhash64(spread), F.col("_salts")), F.lit(0)).cast("int")
+    left = rows.join(hot, on, "left").withColumn("_salt", salt).drop("_salts")
+    every = F.sequence(F.lit(0), F.coalesce(F.col("_salts") - 1, F.lit(0)))
+    right = keys.drop(count).join(hot, on, "left").withColumn("_salt", F.explode(every)).drop("_salts")
+    return left.join(right, [*on, "_salt"], how).drop("_salt")

@@ -1,8 +1,10 @@
 """Main text of HTML pages by consensus of a host's pages.
 
 Each page is read into blocks of text with the generalised path of the containers around them (tags with their classes,
-digits left out). Containers score the text of their blocks, less for links, and half of it goes on to the container
-around them; each page votes for the path of its best container. Spark counts the votes per host, and the pages are
+digits left out). Containers score the unlinked text of their blocks. A page that holds a third of it or more in articles
+or main elements votes for the path that holds most; others are followed from the outside in, as long as a container has
+no unlinked text of its own and one container in it has four fifths or more of what it has. So a title, a lead or a
+table that stands beside the longest part of an article stays with it. Spark counts the votes per host, and the pages are
 read again: the text is that of the winning path, or of the page's own best container where the page lacks it.
 
 Defined cases: null or empty html gives an empty text; html without tags is one block; a page cut off in the middle
@@ -27,8 +29,8 @@ from .urls import url_parts
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Elements that hold no article text.
-BARE = "script style noscript template svg iframe object canvas textarea select button title math"
-DROP = "nav footer aside form head menu dialog fieldset figcaption"
+BARE = "script style noscript template svg iframe object canvas textarea select button title"
+DROP = "nav footer aside form head menu dialog fieldset"
 #: Words in class or id that say the same: a name counts if it has no words but these and PLAIN ones ('site-footer', not 'no-sidebar').
 MARKS = """ad ads advert adverts advertisement advertising sponsor sponsored promo banner nav navbar navigation menu menus header footer sidebar
 side cookie cookies consent gdpr notice notices alert popup modal overlay comment comments reply replies disqus share sharing social related
@@ -36,7 +38,7 @@ recommended newsletter subscribe subscription signup login breadcrumb breadcrumb
 PLAIN = "site page main top bottom left right box block wrap wrapper container area section list bar button buttons link links inner outer"
 #: What readers and other pages add may hold most of a page's text; any other marked element that does is a wrapper and stays.
 ADDED = "comment comments reply replies disqus related recommended"
-BLOCKS = """p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd pre blockquote table tr td th thead tbody tfoot caption hr address figure html body article main
+BLOCKS = """p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd pre blockquote table tr td th thead tbody tfoot caption hr address figure figcaption html body article main
 section div center header details summary"""
 HOLDERS = "html body article main section div td center"
 
@@ -189,14 +191,34 @@ def read(page: str, spared: frozenset[int]) -> tuple[list[tuple[tuple[str, ...],
 
 
 def best_path(blocks: list[tuple[tuple[str, ...], str, int]]) -> tuple[str, int]:
-    """The path of the container with the highest score, and that score; ties to the smaller path."""
-    score: dict[str, int] = {}
+    """The path of the container that holds the article, and its unlinked characters; ties to the smaller path."""
+    score: dict[str, int] = {"": 0}
+    own: dict[str, int] = {}
+    inner: dict[str, set[str]] = {}
     for paths, text, linked in blocks:
-        worth = max(0, len(text) - 2 * linked) * 4
-        for path in paths[:-4:-1]:  # the container itself, then half and a quarter
+        worth = max(0, len(text) - 2 * linked)
+        own[paths[-1]] = own.get(paths[-1], 0) + worth
+        for outer, path in zip((None, *paths), paths):
             score[path] = score.get(path, 0) + worth
-            worth //= 2
-    return min(((-s, p) for p, s in score.items()), default=(0, ""))[::-1] if score else ("", 0)
+            if outer is not None:
+                inner.setdefault(outer, set()).add(path)
+    kind = {p: p.rpartition("/")[2].partition(".")[0] for p in score}
+    longest = lambda some: min(some, key=lambda p: (-score[p], p), default=None)
+
+    at = ""
+    marked = longest([p for p in score if kind[p] in ("article", "main")])
+    if marked is not None and score[marked] * 3 >= score[""] > 0:
+        at = marked
+        article = longest([p for p in score if kind[p] == "article" and p.startswith(at + "/")])
+        if kind[at] == "main" and article is not None and not own.get(at) and score[article] * 5 >= score[at] * 4:
+            at = article
+        return at, score[at]
+    while not own.get(at):
+        to = longest(inner.get(at, ()))
+        if to is None or score[to] * 5 < score[at] * 4 or not score[to]:
+            break
+        at = to
+    return at, score[at]
 
 
 def main_text(page: str | None, winner: str | None) -> str:
@@ -214,7 +236,7 @@ def extract(pages: DataFrame, key: str = "page_id") -> DataFrame:
         for b in batches:
             found = [best_path(read_blocks(h or "")) for h in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([p for p, _ in found], pa.string()), pa.array([-s for _, s in found], pa.int64())], ["host", "path", "score"])
+                [b.column(0), pa.array([p for p, _ in found], pa.string()), pa.array([s for _, s in found], pa.int64())], ["host", "path", "score"])
 
     votes = pages.select(host, "html").mapInArrow(vote, "host string, path string, score long")
     counted = votes.where("score > 0").groupBy("host", "path").agg(F.count("*").alias("n"), F.sum("score").alias("score"))

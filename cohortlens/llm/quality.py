@@ -1,10 +1,10 @@
 """Quality rules by cross-document line frequency (DataFrame functions only).
 
 Lines are normalised (white space collapsed, A-Z lower-cased) and hashed. Per host a line is frequent if more than
-``share`` of the host's distinct texts, and more than ``min_docs``, hold it. Texts that consist of frequent lines for
-the most part are copies of one another rather than pages with boilerplate, which is the near-dedup's business; they
-have no vote in the second count. Lines still above the limits are boilerplate: they are removed, and a document left
-with fewer than ``min_words`` words is rejected.
+``share`` of the host's distinct texts, and more than ``min_docs``, hold it. Near copies count once, as copies do: of the
+texts that have the frequent line of the smallest hash in common, one stands for all those whose frequent lines, which
+both hold, are 0.8 or more of the words of the two, shared ones counted once. Lines still above the limits without the
+votes of these are boilerplate: they are removed, and a document left with fewer than ``min_words`` words is rejected.
 
 Defined cases: a null or empty text has no words and fails the base rules; null hosts form one host; repeated rows
 each get their verdict and count once as texts; an empty table gives an empty result; other columns pass through.
@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACES, SPLIT, ascii_lower, salted_semi, settle, words
+from .common import SPACES, SPLIT, ascii_lower, salted_join, settle, words
 
 SYMBOLS = "#*$%&|<>"
 SHARE = 0.05
@@ -36,6 +36,11 @@ def text_lines(text: Column) -> Column:
     return F.filter(F.split(text, "\n", -1), lambda x: F.btrim(x, F.lit(SPACES)) != "")
 
 
+def hashed(text: Column) -> Column:
+    """60 bits of the MD5."""
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
+
+
 def ranked_windows(hashes: str) -> Column:
     """(hash, place) of the windows in order of hash, if any hash occurs twice; else empty."""
     ranked = F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
@@ -69,38 +74,54 @@ def base_rules(docs: DataFrame, width: int = 5) -> DataFrame:
     ).otherwise(none))
     df = df.withColumn("_normal", normal(F.col("_own_lines")))
     df = df.withColumn("_lines", F.transform("_normal", lambda x: F.struct(
-        F.xxhash64(x).alias("h"), (F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit(""))) + 1).alias("w"))))
+        hashed(x).alias("h"), (F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit(""))) + 1).alias("w"))))
     df = (
         df.withColumn("n_symbols", F.length(F.regexp_replace("_text", f"[^{SYMBOLS}]+", "")).cast("long"))
         .withColumn("n_dup_lines", (F.size("_own_lines") - F.size(F.array_distinct("_own_lines"))).cast("long"))
         .withColumn("_ranked", ranked_windows("_grams"))
-        .withColumn("_key", F.struct(F.xxhash64("_text"), F.length("_text")))
+        .withColumn("_key", F.struct(hashed(F.col("_text")).alias("at"), F.xxhash64("_text").alias("also")))
     )
     df = df.withColumn("n_repeat_words", covered_words("_ranked", width).cast("long"))
     df = df.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words")))
     return df.drop("_text", "_words", "_hash", "_grams", "_own_lines", "_normal", "_ranked")
 
 
+def near_copies(hits: DataFrame) -> DataFrame:
+    """_row of the texts that another text stands for; ``hits`` has the frequent lines (h, w) of every text (_row, _key, n_words) once."""
+    text = [F.first(c).alias(c) for c in ("_host", "n_words", "_key")]
+    firsts = settle(hits.groupBy("_row").agg(F.min("h").alias("first"), *text), "firsts")
+    chosen = F.min_by(F.struct("_row", "n_words"), "_key")
+    classes = firsts.groupBy("_host", "first").agg(chosen.alias("one"), F.count("*").alias("_count")).where("_count > 1")
+    classes = settle(classes.select("_host", "first", F.col("one._row").alias("one"), F.col("one.n_words").alias("one_words"), "_count"), "classes")
+    others = salted_join(firsts, classes, ["_host", "first"], F.col("_row"), "_count", ROWS_PER_TASK).where("_row <> one")
+    others = settle(others.select("_row", "one", "one_words", "n_words"), "others")
+    theirs = hits.select("_row", "h", "w").join(others, "_row")
+    members = others.groupBy("one").agg(F.count("*").alias("_count"))
+    lines = hits.select(F.col("_row").alias("one"), "h").join(members, "one")
+    common = salted_join(theirs, lines, ["one", "h"], F.col("_row"), "_count", ROWS_PER_TASK, "left_semi")
+    both = common.groupBy("_row").agg(F.sum("w").alias("shared"), F.first(F.col("n_words") + F.col("one_words")).alias("both"))
+    return both.where("9 * shared >= 4 * both").select("_row")
+
+
 def boilerplate(rows: DataFrame, share: float, min_docs: int) -> DataFrame:
     """The lines above the limits: _host, h, and the number of documents that may hold them (_count)."""
     texts = settle(rows.groupBy("_host", "_key").agg(
         F.min("_row").alias("_row"), F.first(F.array_distinct("_lines")).alias("_lines"), F.first("n_words").alias("n_words")), "texts")
     hosts = texts.groupBy("_host").agg(F.count("*").alias("_texts"))
-    lines = texts.select("_host", "_row", "n_words", F.explode("_lines").alias("x")).select("_host", "_row", "n_words", "x.h", "x.w")
+    lines = texts.select("_host", "_row", "_key", "n_words", F.explode("_lines").alias("x")).select("_host", "_row", "_key", "n_words", "x.h", "x.w")
 
     def above(counted: DataFrame) -> DataFrame:
         few = counted.where(F.col("_count") > min_docs)
         return few.join(hosts, "_host").where(F.col("_count") > share * F.col("_texts")).drop("_texts")
 
     frequent = settle(above(lines.groupBy("_host", "h").agg(F.count("*").alias("_count"))), "frequent")
-    hits = settle(salted_semi(lines, frequent, ["_host", "h"], F.col("_row"), "_count", ROWS_PER_TASK), "hits")
-    voters = hits.groupBy("_row").agg(F.sum("w").alias("_often"), F.first("n_words").alias("n_words")).where(
-        2 * F.col("_often") <= F.col("n_words")).select("_row")
-    again = above(hits.join(voters, "_row", "left_semi").groupBy("_host", "h").agg(F.count("*").alias("_count")))
+    hits = settle(salted_join(lines, frequent, ["_host", "h"], F.col("_row"), "_count", ROWS_PER_TASK, "left_semi"), "hits")
+    copies = settle(near_copies(hits), "copies")
+    again = above(hits.join(copies, "_row", "left_anti").groupBy("_host", "h").agg(F.count("*").alias("_count")))
     # copies count once as texts, but their rows all meet the line: the salts follow the rows
-    held = rows.select("_host", F.explode(F.transform("_lines", lambda x: x["h"])).alias("h"))
     kept = settle(again.select("_host", "h"), "boilerplate")
-    return settle(held.join(kept, ["_host", "h"]).groupBy("_host", "h").agg(F.count("*").alias("_count")), "boilerplate-rows")
+    held = rows.select("_host", F.explode(F.transform("_lines", lambda x: x["h"])).alias("h")).groupBy("_host", "h").agg(F.count("*").alias("_count"))
+    return settle(held.join(kept, ["_host", "h"]), "boilerplate-rows")
 
 
 def line_quality(
@@ -113,7 +134,7 @@ def line_quality(
     slim = rows.select("_row", "_host", "_key", "_lines", "n_words")
     limits = boilerplate(slim, share, min_docs)
     held = slim.select("_row", "_host", F.explode("_lines").alias("x")).select("_row", "_host", "x.h", "x.w")
-    lost = salted_semi(held, limits, ["_host", "h"], F.col("_row"), "_count", ROWS_PER_TASK)
+    lost = salted_join(held, limits, ["_host", "h"], F.col("_row"), "_count", ROWS_PER_TASK, "left_semi")
     lost = lost.groupBy("_row").agg(F.sum("w").alias("n_removed"), F.collect_set("h").alias("_removed"))
     out = rows.drop("_host", "_key", "_lines").join(lost, "_row", "left").withColumn("n_removed", F.coalesce("n_removed", F.lit(0)).cast("long"))
     return out.withColumn("kept", ~F.col("base_failed") & (F.col("n_words") - F.col("n_removed") >= min_words)).drop("_row")
@@ -123,5 +144,5 @@ def cleaned(df: DataFrame, text: str = "text") -> Column:
     """The text of a row of ``line_quality`` without its removed lines."""
     lines = F.split(F.col(text), "\n", -1)
     pairs = F.arrays_zip(lines.alias("line"), normal(lines).alias("normal"))
-    left = F.transform(F.filter(pairs, lambda x: ~F.array_contains("_removed", F.xxhash64(x["normal"]))), lambda x: x["line"])
+    left = F.transform(F.filter(pairs, lambda x: ~F.array_contains("_removed", hashed(x["normal"]))), lambda x: x["line"])
     return F.when(F.col("_removed").isNull(), F.col(text)).otherwise(F.array_join(left, "\n"))

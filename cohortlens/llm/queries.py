@@ -33,6 +33,7 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+MD5 = "CAST('0x' || substr(md5({}), 1, 15) AS BIGINT)"
 OP10 = f"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t, coalesce('=' || source, '') AS host FROM documents),
 ws AS (SELECT rid, list_filter(regexp_split_to_array(t, '{WS}+'), lambda x: x <> '') AS w FROM d),
@@ -47,9 +48,13 @@ hosts AS (SELECT host, count(DISTINCT t) AS n FROM d GROUP BY host),
 once AS (SELECT DISTINCT host, t, norm, k FROM sized),
 frequent AS (SELECT host, norm FROM once JOIN hosts USING (host) GROUP BY host, norm, n HAVING count(*) > {quality.MIN_DOCS} AND count(*) > {quality.SHARE} * n),
 hits AS (SELECT o.* FROM once o JOIN frequent USING (host, norm)),
-voters AS (SELECT h.host, h.t FROM hits h JOIN (SELECT DISTINCT d.host, d.t, len(w) AS n FROM d JOIN ws USING (rid)) c ON c.host = h.host AND c.t = h.t
-           GROUP BY h.host, h.t, c.n HAVING 2 * sum(k) <= c.n),
-boiler AS (SELECT host, norm FROM hits JOIN voters USING (host, t) JOIN hosts USING (host) GROUP BY host, norm, n
+hit_texts AS (SELECT h.host, h.t, len(any_value(w)) AS n_words, min({MD5.format('norm')}) AS first, {MD5.format('h.t')} AS mark
+              FROM (SELECT DISTINCT d.host, d.t, w FROM d JOIN ws USING (rid)) c JOIN hits h ON c.host = h.host AND c.t = h.t GROUP BY h.host, h.t),
+classes AS (SELECT host, first, arg_min(t, mark) AS one, arg_min(n_words, mark) AS one_words FROM hit_texts GROUP BY host, first HAVING count(*) > 1),
+copies AS (SELECT o.host, o.t FROM hit_texts o JOIN classes c ON o.host = c.host AND o.first = c.first AND o.t <> c.one
+           JOIN hits h ON h.host = o.host AND h.t = o.t JOIN hits h2 ON h2.host = o.host AND h2.t = c.one AND h2.norm = h.norm
+           GROUP BY o.host, o.t HAVING 9 * sum(h.k) >= 4 * (any_value(o.n_words) + any_value(c.one_words))),
+boiler AS (SELECT host, norm FROM hits ANTI JOIN copies USING (host, t) JOIN hosts USING (host) GROUP BY host, norm, n
            HAVING count(*) > {quality.MIN_DOCS} AND count(*) > {quality.SHARE} * n),
 lost AS (SELECT rid, sum(k) AS n FROM sized JOIN boiler USING (host, norm) GROUP BY rid),
 base AS (SELECT d.rid, d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
@@ -87,11 +92,11 @@ def op8(spark, sf):
 
 
 OP1 = """
-WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS e FROM embeddings
+WITH v AS (SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS e FROM embeddings
            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
-pairs AS (SELECT q.vec_id AS query_id, v.vec_id, CAST(list_dot_product(q.e, v.e) AS BIGINT) AS score
-          FROM v q JOIN v ON len(q.e) = len(v.e) AND q.vec_id <> v.vec_id WHERE q.vec_id % 100 = 0),
-ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank FROM pairs)
+pairs AS (SELECT q.rid, q.vec_id AS query_id, v.rid AS other, v.vec_id, CAST(list_dot_product(q.e, v.e) AS BIGINT) AS score
+          FROM v q JOIN v ON len(q.e) = len(v.e) AND q.rid <> v.rid WHERE q.vec_id % 100 = 0),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id, other) AS INT) AS rank FROM pairs)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10"""
 
 
@@ -103,13 +108,13 @@ def op1(spark, sf):
 RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 
 
-def rank_rounds(name: str, edges: str, seed: str) -> str:
-    """The rounds of PageRank as one CTE each."""
-    out = [f"{name}0 AS MATERIALIZED (SELECT host, CAST({seed} AS DOUBLE) AS seed, CAST({seed} AS DOUBLE) AS score FROM hosts)"]
+def rank_rounds(name: str, onto: str, by: str, seed: str) -> str:
+    """The rounds of spreading a score as one CTE each."""
+    out = [f"{name}0 AS MATERIALIZED (SELECT host, {seed} AS seed, {seed} AS score FROM hosts)"]
     for i in range(urls.ROUNDS):
         out.append(f"""{name}{i + 1} AS MATERIALIZED (
-SELECT n.host, seed, round(seed + {urls.DAMPING} * coalesce(got, 0), {urls.PLACES}) AS score
-FROM {name}{i} n LEFT JOIN (SELECT dst, sum(score * share) AS got FROM {name}{i} JOIN {edges} e ON host = e.src GROUP BY dst) s ON n.host = s.dst)""")
+SELECT n.host, seed, seed + {urls.DAMPING} * coalesce(got, 0) AS score
+FROM {name}{i} n LEFT JOIN (SELECT {onto} AS onto, sum(score * share) AS got FROM {name}{i} JOIN forth e ON host = e.{by} GROUP BY {onto}) s ON n.host = s.onto)""")
     return ",\n".join(out)
 
 
@@ -117,22 +122,27 @@ FITS = " ".join(
     f"WHEN (host = '{r.split('/')[0]}' OR ends_with(host, '.{r.split('/')[0]}')) AND starts_with(path, '/{r.partition('/')[2]}') THEN '{{}}'".format(r)
     for _, r in sorted(RULES, key=lambda x: -len(x[1])))
 SAYS = "CASE rule " + " ".join(f"WHEN '{r}' THEN '{v}'" for v, r in RULES) + " END"
+PATH = "regexp_extract({}, '^[^/?#]*([^?#]*)', 1)"
+HOST = f"translate(regexp_extract({{}}, '^([^/?#]*)', 1), {AZ})"
 OP4 = f"""
 WITH cut AS (SELECT page_id, html, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
-parts AS (SELECT page_id, html, translate(regexp_extract(rest, '^([^/?#]*)', 1), {AZ}) AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM cut),
+parts AS (SELECT page_id, html, {HOST.format('rest')} AS host, {PATH.format('rest')} AS path FROM cut),
 ruled AS (SELECT *, CASE {FITS} END AS rule FROM parts),
 judged AS (SELECT *, {SAYS} AS says FROM ruled),
 links AS (SELECT host AS src, unnest(regexp_extract_all(html, '{urls.LINK.replace("'", "''")}', 1)) AS link FROM parts),
-ends AS (SELECT src, translate(regexp_extract(regexp_replace(link, '(?i)^(https?:)?//', ''), '^([^/?#]*)', 1), {AZ}) AS dst FROM links),
-w AS MATERIALIZED (SELECT src, dst, count(*) AS w FROM ends WHERE src <> dst AND src <> '' AND dst <> '' GROUP BY src, dst),
+ends AS (SELECT src, {HOST.format('target')} AS host, {PATH.format('target')} AS path FROM (SELECT src, regexp_replace(link, '(?i)^(https?:)?//', '') AS target FROM links)),
+linked AS (SELECT *, CASE rule_ WHEN '' THEN NULL ELSE {SAYS.replace('CASE rule', 'CASE rule_')} END AS says
+           FROM (SELECT *, CASE {FITS} ELSE '' END AS rule_ FROM ends WHERE src <> host AND src <> '' AND host <> '')),
+w AS MATERIALIZED (SELECT src, host AS dst, count(*) AS w FROM linked GROUP BY src, host),
 forth AS MATERIALIZED (SELECT src, dst, w / sum(w) OVER (PARTITION BY src) AS share FROM w),
-back AS MATERIALIZED (SELECT dst AS src, src AS dst, w / sum(w) OVER (PARTITION BY dst) AS share FROM w),
-own AS (SELECT host, count(*) AS pages, count(*) FILTER (says = 'allow') AS allowed, count(*) FILTER (says = 'block') AS blocked FROM judged WHERE host <> '' GROUP BY host),
-hosts AS MATERIALIZED (SELECT coalesce(own.host, l.dst) AS host, coalesce(pages, 0) AS pages, coalesce(allowed, 0) AS allowed, coalesce(blocked, 0) AS blocked
-          FROM own FULL JOIN (SELECT DISTINCT dst FROM w) l ON own.host = l.dst),
-{rank_rounds('t', 'forth', 'allowed')},
-{rank_rounds('d', 'back', 'blocked')},
-bad AS (SELECT h.host FROM hosts h JOIN t{urls.ROUNDS} t ON h.host = t.host JOIN d{urls.ROUNDS} d ON h.host = d.host WHERE d.score > t.score AND d.score > {urls.MARGIN} * pages)
+own AS (SELECT host, count(*) AS n, count(*) FILTER (says = 'allow') AS allowed, count(*) FILTER (says = 'block') AS blocked FROM judged WHERE host <> '' GROUP BY host),
+known AS (SELECT * FROM own UNION ALL
+          SELECT host, count(*), count(*) FILTER (says = 'allow'), count(*) FILTER (says = 'block') FROM linked WHERE host NOT IN (SELECT host FROM own) GROUP BY host),
+hosts AS MATERIALIZED (SELECT host, allowed / n AS trusted, blocked / n AS distrusted FROM known),
+{rank_rounds('t', 'dst', 'src', 'trusted')},
+{rank_rounds('d', 'src', 'dst', 'distrusted')},
+bad AS (SELECT t.host FROM t{urls.ROUNDS} t JOIN d{urls.ROUNDS} d ON t.host = d.host
+        WHERE round(d.score - t.score, {urls.PLACES}) > 0 AND round(d.score - {urls.MARGIN}, {urls.PLACES}) > 0)
 SELECT page_id, j.host, path, rule, coalesce(says, CASE WHEN bad.host IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict
 FROM judged j LEFT JOIN bad ON j.host = bad.host"""
 
@@ -189,7 +199,7 @@ SHARDS = 24
 # The smallest feasible capacity by a binary search whose every step fills all shards greedily.
 OP11 = f"""
 WITH RECURSIVE d AS (SELECT doc_id, CAST(octet_length(encode(coalesce(text, ''))) + {sharding.OVERHEAD} AS BIGINT) AS size, coalesce(text, '') AS t,
-           CAST('0x' || substr(md5(coalesce(text, '')), 1, 15) AS BIGINT) AS place FROM documents),
+           {MD5.format("coalesce(text, '')")} AS place FROM documents),
 every AS (SELECT place, CAST(sum(size) AS BIGINT) AS bytes FROM d GROUP BY place),
 ranked AS (SELECT *, row_number() OVER w - 1 AS above, sum(bytes) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS lft FROM every
            WINDOW w AS (ORDER BY bytes DESC, place)),

@@ -10,10 +10,6 @@ the threshold share a key; pairs that share one are compared in full.
 Equal fingerprints count once, so copies are never paired. In a bucket only as many links are written as connect what
 is linked there; the components of those links are those of all links.
 
-For similarity of word shingles (``verify``) the fingerprint is taken from a text's distinct words, which an edit
-changes least, and 128 bits from its shingles confirm a link: texts whose shingle sets have similarity J differ in
-about 128 arccos(2J / (1 + J)) / pi of them, 19 of 128 at 0.8, unrelated texts in 64.
-
 Defined cases: null, empty and blank texts have fingerprint zero and are linked like any other; rows that repeat are
 one component; a null id stays, and its component has the smallest id that is not null; an empty table gives an empty
 result; other columns are not read.
@@ -97,61 +93,25 @@ def shingle_print(buffer: bytes, left: np.ndarray, right: np.ndarray, each: np.n
     return fingerprint_bits(hashes.view(np.uint8).reshape(-1, 8), each)
 
 
-def long_shingle_print(buffer: bytes, left: np.ndarray, right: np.ndarray, each: np.ndarray) -> np.ndarray:
-    from xxhash import xxh3_128_digest
-
-    hashes = b"".join([xxh3_128_digest(buffer[a:z]) for a, z in zip(left.tolist(), right.tolist())])
-    return fingerprint_bits(np.frombuffer(hashes, np.uint8).reshape(-1, 16), each)
-
-
-def word_print(buffer: bytes, left: np.ndarray, right: np.ndarray, each: np.ndarray, known: dict[bytes, bytes]) -> np.ndarray:
-    """From the distinct words of each text; ``known`` remembers the hashes of words."""
-    from xxhash import xxh64_digest
-
-    if len(known) > 1_000_000:  # memory, not results
-        known.clear()
-    ends = np.cumsum(each)
-    parts, n = [], np.zeros(len(each), np.int64)
-    for i, (k, z) in enumerate(zip(each.tolist(), ends.tolist())):
-        if k:
-            distinct = set(buffer[left[z - k] : right[z - 1]].split(b" "))
-            for w in distinct:
-                if w not in known:
-                    known[w] = xxh64_digest(w)
-            parts.append(b"".join([known[w] for w in distinct]))
-            n[i] = len(distinct)
-    return fingerprint_bits(np.frombuffer(b"".join(parts), np.uint8).reshape(-1, 8), n)
-
-
-def fingerprints(docs: DataFrame, width: int = 4, seed: int = 42, verify: int = 0, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """key and fp (64 bits as a signed long) of every row, from shingles of ``width`` words, repeats included.
-
-    With ``verify``, fp is that of the distinct words, and v0 and v1 hold 128 bits from shingles of ``verify`` words.
-    """
-    extra = ["v0", "v1"] if verify else []
+def fingerprints(docs: DataFrame, width: int = 4, seed: int = 42, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """key and fp (64 bits as a signed long) of every row, from shingles of ``width`` words, repeats included."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[bytes, bytes] = {}
         for b in batches:
             texts = b.column(1).fill_null("").cast(pa.large_binary())
             _, offsets, data = texts.buffers()
             offsets = np.frombuffer(offsets, np.int64, len(texts) + 1, texts.offset * 8) if len(texts) else np.zeros(1, np.int64)
             data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
-            found, i = [np.zeros((0, 1 + len(extra)), np.uint64)], 0
+            found, i = [np.zeros((0, 1), np.uint64)], 0
             while i < len(texts):
                 j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + SLICE_BYTES, "right")) - 1)
-                part = data[offsets[i] : offsets[j]], offsets[i + 1 : j + 1] - offsets[i]
-                if verify:
-                    found.append(np.hstack((word_print(*shingles(*part, 1), known), long_shingle_print(*shingles(*part, verify)))))
-                else:
-                    found.append(shingle_print(*shingles(*part, width), seed))
+                found.append(shingle_print(*shingles(data[offsets[i] : offsets[j]], offsets[i + 1 : j + 1] - offsets[i], width), seed))
                 i = j
             prints = np.concatenate(found).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c) for c in prints.T.copy())], ["key", "fp", *extra])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(prints[:, 0].copy())], ["key", "fp"])
 
     kind = docs.schema[key].dataType.simpleString()
-    out = docs.select(key, text).mapInArrow(run, ", ".join([f"key {kind}", "fp long", *(f"{c} long" for c in extra)]))
-    return out.withColumnRenamed("key", key)
+    return docs.select(key, text).mapInArrow(run, f"key {kind}, fp long").withColumnRenamed("key", key)
 
 
 def bit_moments(prints: DataFrame) -> tuple[int, np.ndarray, np.ndarray]:
@@ -226,28 +186,26 @@ def plan(n: int, mean: np.ndarray, corr: np.ndarray, tau: int) -> list[tuple[lis
     return best[1]
 
 
-def close(a: np.ndarray, b: np.ndarray, tau: int, most: int) -> np.ndarray:
-    """Whether rows of fingerprints differ in at most ``tau`` of the first 64 bits and ``most`` of those that follow."""
-    differ = np.bitwise_count(a ^ b)
-    near = differ[..., 0] <= tau
-    return near & (differ[..., 1:].sum(-1) <= most) if differ.shape[-1] > 1 else near
+def close(a: np.ndarray, b: np.ndarray, tau: int) -> np.ndarray:
+    """Whether fingerprints differ in at most ``tau`` bits."""
+    return np.bitwise_count(a ^ b) <= tau
 
 
-def forest(fps: np.ndarray, ids: np.ndarray, tau: int, most: int) -> list[tuple[np.ndarray, np.ndarray]]:
+def forest(fps: np.ndarray, ids: np.ndarray, tau: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """Links that connect all rows of ``fps`` that links connect, at most one less than there are in each part."""
     if len(fps) <= SPLIT:
-        return walk(fps, ids, tau, most)
+        return walk(fps, ids, tau)
     out = []  # rows that link agree in one of tau + 1 bands
     for band in np.array_split(np.arange(BITS, dtype=np.uint64), tau + 1):
-        key = fps[:, 0] & np.bitwise_or.reduce(np.uint64(1) << band)
+        key = fps & np.bitwise_or.reduce(np.uint64(1) << band)
         order = np.argsort(key, kind="stable")
         for part in np.split(order, np.flatnonzero(np.diff(key[order])) + 1):
             if len(part) > 1:
-                out += walk(fps[part], ids[part], tau, most)
+                out += walk(fps[part], ids[part], tau)
     return out
 
 
-def walk(fps: np.ndarray, ids: np.ndarray, tau: int, most: int) -> list[tuple[np.ndarray, np.ndarray]]:
+def walk(fps: np.ndarray, ids: np.ndarray, tau: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """Visits every row once: from each, what is close and not yet reached is linked to it and visited later."""
     out, left, todo = [], np.arange(len(fps)), []
     while len(left):
@@ -255,7 +213,7 @@ def walk(fps: np.ndarray, ids: np.ndarray, tau: int, most: int) -> list[tuple[np
             p = todo.pop()
         else:
             p, left = left[0], left[1:]
-        near = close(fps[left], fps[p], tau, most)
+        near = close(fps[left], fps[p], tau)
         if near.any():
             found = left[near]
             out.append((np.full(len(found), ids[p]), ids[found]))
@@ -264,8 +222,8 @@ def walk(fps: np.ndarray, ids: np.ndarray, tau: int, most: int) -> list[tuple[np
     return out
 
 
-def links(prints: DataFrame, n: int, parts: list[tuple[list[int], int]], tau: int, most: int) -> DataFrame:
-    """(a, b): links among the nodes of ``prints`` (node, fp, more fingerprint columns) that connect what any links connect."""
+def links(prints: DataFrame, n: int, parts: list[tuple[list[int], int]], tau: int) -> DataFrame:
+    """(a, b): links among the nodes of ``prints`` (node, fp) that connect what any links connect."""
     masks = []
     for number, (bits, threshold) in enumerate(parts):
         whole = sum(1 << b for b in bits)
@@ -288,8 +246,8 @@ def links(prints: DataFrame, n: int, parts: list[tuple[list[int], int]], tau: in
                         ["part", "key", *names])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def edges(part, key, ids, *prints):
-            fps = np.stack(prints, 1).view(np.uint64)
+        def edges(part, key, ids, fps):
+            fps = fps.view(np.uint64)
             new = np.concatenate(([True], (key[1:] != key[:-1]) | (part[1:] != part[:-1])))
             bucket = np.cumsum(new)
             size = np.bincount(bucket)[bucket]
@@ -300,12 +258,12 @@ def links(prints: DataFrame, n: int, parts: list[tuple[list[int], int]], tau: in
                 if not len(pair):
                     break
                 a, b = some[pair], some[pair + d]
-                near = close(fps[a], fps[b], tau, most)
+                near = close(fps[a], fps[b], tau)
                 found.append((ids[a[near]], ids[b[near]]))
             many = np.flatnonzero(size > NEAR)
             for group in np.split(many, np.flatnonzero(np.diff(bucket[many])) + 1):
                 if len(group):
-                    found += forest(fps[group], ids[group], tau, most)
+                    found += forest(fps[group], ids[group], tau)
             found = [x for x in found if len(x[0])]
             if found:
                 a, b = (np.concatenate(x) for x in zip(*found))
@@ -333,26 +291,22 @@ def links(prints: DataFrame, n: int, parts: list[tuple[list[int], int]], tau: in
     return filed.repartition(tasks, "part", "key").sortWithinPartitions("part", "key").mapInArrow(compare, "a long, b long")
 
 
-def near_duplicates(
-    docs: DataFrame, width: int = 4, seed: int = 42, tau: int = 4, verify: int = 0, most: int = 0, key: str = "doc_id", text: str = "text",
-) -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = 4, seed: int = 42, tau: int = 4, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, fp and component_id (the smallest id that links reach, the row's own included) of every row.
 
-    Links: at most ``tau`` differing bits of the fingerprint, see ``fingerprints``; with ``verify``, also at most
-    ``most`` of the 128 bits from shingles of ``verify`` words, which stand for their similarity.
+    Links: at most ``tau`` differing bits of the fingerprint, see ``fingerprints``.
     """
-    prints = settle(fingerprints(docs, width, seed, verify, key, text), "fingerprints")
-    bits = [c for c in prints.columns if c != key]
+    prints = settle(fingerprints(docs, width, seed, key, text), "fingerprints")
     # a node is a fingerprint, named by its smallest id; one that has none gets a name beyond all ids
-    node = F.coalesce(F.min(key).cast("long"), F.lit(NAMELESS) + F.pmod(F.xxhash64(*bits), F.lit(1 << 61)))
-    distinct = settle(prints.groupBy(*bits).agg(node.alias("node")).select("node", *bits), "distinct")
+    node = F.coalesce(F.min(key).cast("long"), F.lit(NAMELESS) + F.pmod(F.xxhash64("fp"), F.lit(1 << 61)))
+    distinct = settle(prints.groupBy("fp").agg(node.alias("node")).select("node", "fp"), "distinct")
     n, mean, corr = bit_moments(distinct)
     if not n:
         return prints.withColumn("component_id", F.col(key).cast("long"))
-    roots = components(settle(links(distinct, n, plan(n, mean, corr, tau), tau, most), "links")).withColumnRenamed("node", "other")
-    named = distinct.join(roots, F.col("node") == F.col("other"), "left").select(*bits, F.coalesce("root", "node").alias("component_id"))
+    roots = components(settle(links(distinct, n, plan(n, mean, corr, tau), tau), "links")).withColumnRenamed("node", "other")
+    named = distinct.join(roots, F.col("node") == F.col("other"), "left").select("fp", F.coalesce("root", "node").alias("component_id"))
     shown = F.when(F.col("component_id") < NAMELESS, F.col("component_id"))
-    return prints.join(settle(named, "named"), bits).select(key, "fp", shown.alias("component_id"))
+    return prints.join(settle(named, "named"), "fp").select(key, "fp", shown.alias("component_id"))
 
 
 def hex16(fp: str):

@@ -9,8 +9,8 @@ and the survivors' products are exact integers.
 Points and queries meet in a grid of cells of bounded size: points are dealt to columns, queries to rows, each by a
 hash of its id, and every cell gives at most k rows per query, which a ranked window merges.
 
-Defined cases: vectors that are null or hold null, NaN or infinite components take no part, nor do null ids; an id that
-occurs more than once stands for its smallest vector; vectors of different length are not compared; empty vectors score
+Defined cases: vectors that are null or hold null, NaN or infinite components take no part, nor do null ids; rows that
+share an id are rows of their own, as queries too, and one may be found by the other; vectors of different length are not compared; empty vectors score
 0 with one another; products beyond 64 bits are shown as the limit; an empty table gives an empty result.
 """
 
@@ -67,15 +67,15 @@ def products(q: np.ndarray, x: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.n
     return out
 
 
-def search_cell(q_ids, q, x_ids, x, k: int):
-    """(query, point, score) of the k best points of each query in one cell."""
+def search_cell(q_rows, q, x_rows, x_ids, x, k: int):
+    """(query's row, point's place, score) of the k best points of each query in one cell."""
     levels = [(features(q, s), features(x, s)) for s in SEGMENTS]
     slack = 1e-9 * (1 + np.sqrt((q * q).sum(1)))[:, None] * (1 + np.sqrt((x * x).sum(1)))[None, :].max(initial=1.0)
     found = []
     for i in range(0, len(q), TILE):
         rows = slice(i, i + TILE)
         coarse = levels[0][0][rows] @ levels[0][1].T + slack[rows]
-        coarse[q_ids[rows][:, None] == x_ids[None, :]] = -np.inf
+        coarse[q_rows[rows][:, None] == x_rows[None, :]] = -np.inf
         n = len(coarse)
         if len(x) > k:
             first = np.argpartition(coarse, len(x) - k, axis=1)[:, len(x) - k :]
@@ -94,7 +94,7 @@ def search_cell(q_ids, q, x_ids, x, k: int):
             a, b = a[keep], b[keep]
         score = products(q[rows], x, a, b)
         top = best(a, score, x_ids[b], k)
-        found.append((q_ids[rows][a[top]], x_ids[b[top]], score[top]))
+        found.append((q_rows[rows][a[top]], b[top], score[top]))
     return [np.concatenate(c) for c in zip(*found)] if found else [np.zeros(0, np.int64)] * 3
 
 
@@ -102,23 +102,25 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, key: str = "vec_id"
     """query_id, rank, vec_id, score: for each row that ``is_query`` selects, its k best other rows."""
     whole = F.forall(F.col(vector), lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     usable = vectors.where(F.col(key).isNotNull() & F.col(vector).isNotNull()).where(whole)
-    one = settle(usable.groupBy(F.col(key).cast("long").alias("id")).agg(
-        F.min(F.col(vector).cast("array<double>")).alias("v"), F.max(is_query).alias("asks")), "vectors").withColumn("dim", F.size("v"))
+    one = settle(usable.select(F.monotonically_increasing_id().alias("row"), F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"),
+                               F.coalesce(is_query, F.lit(False)).alias("asks"), F.size(vector).alias("dim")), "vectors")
     sizes = one.agg(F.count("*").alias("n"), F.count_if("asks").alias("q")).first()
     columns, rows = -(-sizes["n"] // POINTS) or 1, -(-sizes["q"] // QUERIES) or 1
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    points = one.withColumn("col", F.pmod(F.xxhash64("id"), F.lit(columns)).cast("int")).withColumn("row", every(rows)).withColumn("asks", F.lit(False))
-    asked = one.where("asks").withColumn("row", F.pmod(F.xxhash64(F.lit(1), "id"), F.lit(rows)).cast("int")).withColumn("col", every(columns))
+    points = one.withColumn("col", F.pmod(F.xxhash64("row"), F.lit(columns)).cast("int")).withColumn("line", every(rows)).withColumn("asks", F.lit(False))
+    asked = one.where("asks").withColumn("line", F.pmod(F.xxhash64(F.lit(1), "row"), F.lit(rows)).cast("int")).withColumn("col", every(columns))
     cells = points.unionByName(asked)
 
     def search(t: pa.Table) -> pa.Table:
         t = t.combine_chunks()
         asks = t.column("asks").to_numpy()
-        ids = t.column("id").to_numpy()
+        ids, own = t.column("id").to_numpy(), t.column("row").to_numpy()
         x = quantise(t.column("v").chunk(0)) if len(t) else np.zeros((0, 0))
-        q, p, s = search_cell(ids[asks], x[asks], ids[~asks], x[~asks], k)
-        return pa.table({"query_id": pa.array(q, pa.int64()), "vec_id": pa.array(p, pa.int64()), "score": pa.array(s, pa.int64())})
+        q, at, s = search_cell(own[asks], x[asks], own[~asks], ids[~asks], x[~asks], k)
+        names = dict(zip(own[asks].tolist(), ids[asks].tolist()))
+        return pa.table({"row": pa.array(q, pa.int64()), "query_id": pa.array([names[r] for r in q.tolist()], pa.int64()), "other": pa.array(own[~asks][at], pa.int64()),
+                         "vec_id": pa.array(ids[~asks][at], pa.int64()), "score": pa.array(s, pa.int64())})
 
-    hits = cells.groupBy("dim", "col", "row").applyInArrow(search, "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    hits = cells.groupBy("dim", "col", "line").applyInArrow(search, "row long, query_id long, other long, vec_id long, score long")
+    order = Window.partitionBy("row").orderBy(F.desc("score"), "vec_id", "other")
     return hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -1,5 +1,6 @@
 """Plain Python versions of the operators, for small inputs."""
 
+import hashlib
 import re
 from collections import Counter
 
@@ -52,12 +53,6 @@ def fingerprint(text, width=4, seed=42):
     return majority([xxhash.xxh64_intdigest(s, seed).to_bytes(8, "little") for s in shingles(text, width)])
 
 
-def word_fingerprint(text, verify=5):
-    """(64 bits of the distinct words, 128 bits of the shingles)."""
-    distinct = [xxhash.xxh64_digest(w) for w in set(shingles(text, 1))]
-    return majority(distinct), majority([xxhash.xxh3_128_digest(s) for s in shingles(text, verify)], 128)
-
-
 def groups(ids, linked):
     """{id: smallest id that links reach}."""
     root = {i: i for i in ids}
@@ -103,7 +98,19 @@ def quality(docs, share, min_docs, min_words):
     often = Counter((h, x) for (h, t), found in own.items() for x in found)
     frequent = {k for k, n in often.items() if above(n, k[0])}
     weight = lambda h, found, among: sum(len(x.split(" ")) for x in found if (h, x) in among)
-    voters = {(h, t) for (h, t), found in own.items() if 2 * weight(h, found, frequent) <= len(words(t))}
+    md5 = lambda x: int(hashlib.md5(x.encode()).hexdigest()[:15], 16)
+    classes = {}
+    for h, t in texts:
+        held = {x for x in own[h, t] if (h, x) in frequent}
+        if held:
+            classes.setdefault((h, min(map(md5, held))), []).append((md5(t), t, held))
+    voters = set(texts)
+    for (h, _), found in classes.items():
+        _, one, lines_of_one = min(found)
+        for _, t, held in found:
+            shared = weight(h, held & lines_of_one, frequent)
+            if t != one and 9 * shared >= 4 * (len(words(t)) + len(words(one))):
+                voters.discard((h, t))
     again = Counter((h, x) for (h, t) in voters for x in own[h, t] if (h, x) in frequent)
     bad = {k for k, n in again.items() if above(n, k[0])}
     out = []

@@ -161,7 +161,7 @@ def test_links_connect_what_is_linked(spark, tau):
     n, mean, corr = simhash.bit_moments(df)
     parts = simhash.plan(n, mean, corr, tau)
     assert sum(t + 1 for _, t in parts) >= tau + 1
-    edges = simhash.links(df, n, parts, tau, 0)
+    edges = simhash.links(df, n, parts, tau)
     want = brute.groups(range(len(prints)), lambda a, b: brute.differ(prints[a], prints[b]) <= tau)
     got = {i: i for i in range(len(prints))} | {r["node"]: r["root"] for r in simhash.components(edges).collect()}
     assert got == want
@@ -172,10 +172,10 @@ def test_large_buckets_are_cut(monkeypatch):
     monkeypatch.setattr(simhash, "SPLIT", 10)
     rng = np.random.default_rng(1)
     base = rng.integers(0, 2**63, 6).astype(np.uint64)
-    fps = np.unique(np.concatenate([b ^ (np.uint64(1) << rng.integers(0, 64, 30).astype(np.uint64)) for b in base]))[:, None]
+    fps = np.unique(np.concatenate([b ^ (np.uint64(1) << rng.integers(0, 64, 30).astype(np.uint64)) for b in base]))
     ids = np.arange(len(fps))
-    found = {(min(a, b), max(a, b)) for x, y in simhash.forest(fps, ids, 4, 0) for a, b in zip(x.tolist(), y.tolist())}
-    want = brute.groups(ids.tolist(), lambda a, b: brute.differ(int(fps[a, 0]), int(fps[b, 0])) <= 4)
+    found = {(min(a, b), max(a, b)) for x, y in simhash.forest(fps, ids, 4) for a, b in zip(x.tolist(), y.tolist())}
+    want = brute.groups(ids.tolist(), lambda a, b: brute.differ(int(fps[a]), int(fps[b])) <= 4)
     assert brute.groups(ids.tolist(), lambda a, b: (a, b) in found) == want
 
 

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from cohortlens.llm.common import salted_join
 from cohortlens.llm import bpe, counts, extract, licenses, packing, quality, recompress, simhash, topk, urls
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -99,6 +100,26 @@ def test_copies_have_no_vote_and_boilerplate_goes(spark):
     assert not got[300]["kept"]
 
 
+def test_depleted_pages_are_rejected(spark):
+    """Pages that are boilerplate for the most part vote like any other."""
+    shared = "\n".join(" ".join(f"menu{k}.{j}" for j in range(10)) for k in range(2))
+    rows = [(i, shared + "\n" + " ".join(f"own{i}.{j}" for j in range(8)), "h") for i in range(100)]
+    rows += [(200, " ".join(f"long{j}" for j in range(40)) + "\n" + shared, "h")]
+    got = {r["doc_id"]: r for r in quality.line_quality(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert all(not got[i]["kept"] and got[i]["n_removed"] == 20 and not got[i]["base_failed"] for i in range(100))
+    assert got[200]["kept"] and got[200]["n_removed"] == 20
+
+
+def test_salts_follow_each_key(spark):
+    """One hot key and many warm ones: the keys' table stays far smaller than the rows, and no row is lost."""
+    rows = spark.range(60_000).select(F.when(F.col("id") < 40_000, 0).otherwise(F.col("id") % 10_000 + 1).alias("k"), F.col("id").alias("row"))
+    keys = rows.groupBy("k").agg(F.count("*").alias("n")).where("k % 2 = 0")
+    joined = salted_join(rows, keys.withColumn("name", F.col("k") * 10), ["k"], F.col("row"), "n", 100)
+    assert joined.count() == 50_000 and joined.where("name <> k * 10").count() == 0 and joined.select("row").distinct().count() == 50_000
+    plan = salted_join(rows, keys, ["k"], F.col("row"), "n", 100, "left_semi")
+    assert plan.count() == 50_000 and plan.columns == ["k", "row"]
+
+
 def test_licenses(spark, docs):
     got = licenses.scan(docs).collect()
     assert [(r["doc_id"], r["license"], r["containment"]) for r in got] == [(7, "cc-by-nc-4.0", 1.0)]
@@ -120,25 +141,68 @@ def test_top_k(spark):
     top = topk.LONG
     assert got[100] == [(1, 300, top), (2, 1, 1024**2), (3, 2, 1024**2)]
     assert got[200] == [(1, 300, top), (2, 1, 1024**2), (3, 2, 1024**2)]
-    assert got[300] == [(1, 1, top), (2, 2, top), (3, 3, top)] and got[400] == [(1, 9, 0)]
+    # rows that share an id are candidates each, also of one another
+    again = spark.createDataFrame([(100, [1.0, 0.0]), (1, [2.0, 0.0]), (1, [1.0, 0.0]), (200, [0.0, 3.0]), (200, [0.0, 2.0])], "vec_id long, embedding array<float>")
+    found = sorted(map(tuple, topk.top_k(again, F.col("vec_id") % 100 == 0, k=2).collect()))
+    one = 1024**2
+    assert found == [(100, 1, 1, 2 * one), (100, 2, 1, one), (200, 1, 200, 6 * one), (200, 1, 200, 6 * one), (200, 2, 1, 0), (200, 2, 1, 0)]
+    assert got[300] == [(1, 1, top), (2, 2, top), (3, 2, top)] and got[400] == [(1, 9, 0)]
 
 
-def test_urls(spark):
-    link = "<a href='https://{}/x'>l</a>"
-    rules = [("block", "bad.org/"), ("allow", "good.org/"), ("allow", "bad.org/fine/")]
+def linked_pages():
+    """Hosts that farm links to blocked ones, that merely hold a few, that trusted ones link to, and that have no page themselves."""
+    link = "<a class='x' href='https://{}/x'>l</a>"
     rows = [(1, None, None), (2, "no scheme", ""), (3, "http://BAD.org/a?x=1#y", None), (4, "http://www.bad.org/fine/p", ""), (5, "http://bad.org", ""),
             (6, "http://farm.net/1", link.format("bad.org") * 5), (7, "http://fan.net/1", link.format("good.org")), (8, "http://notbad.org/", ""),
-            (9, "HTTP://a.com?q", ""), (1, None, None)]
+            (9, "HTTP://a.com?q", ""), (1, None, None), (10, "http://unseen.net/1", link.format("never.bad.org")), (11, "http://image.net/1", "<img src='https://bad.org/i.png'>" * 9),
+            (12, "http://half.net/1", link.format("bad.org") + link.format("a.com")), (13, "http://few.net/1", link.format("bad.org") + link.format("a.com") * 2),
+            (14, "http://good.org/1", (link.format("praised.net")) * 3), (15, "http://praised.net/1", link.format("bad.org") + link.format("a.com")), (16, "http://far.net/", link.format("farm.net"))]
     rows += [(20 + i, f"http://bad.org/{i}", "") for i in range(20)]
+    rows += [(100 + i, f"http://big.org/{i}", link.format("bad.net")) for i in range(200)] + [(400 + i, f"http://bad.net/{i}", "") for i in range(20)]
+    return rows
+
+
+LINK_RULES = [("block", "bad.org/"), ("allow", "good.org/"), ("allow", "bad.org/fine/"), ("block", "bad.net/"), ("block", "bad.net/")]
+
+
+def test_urls(spark):
+    rows = linked_pages()
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
     for c in CLASH:
         df = df.withColumn(c, F.lit("x"))
-    got = {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in urls.link_filter(df, rules).collect()}
-    assert urls.link_filter(df, rules).count() == len(rows)
+    got = {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in urls.link_filter(df, LINK_RULES).collect()}
+    assert urls.link_filter(df, LINK_RULES).count() == len(rows)
     assert got[1] == ("", "", None, "allow") and got[2] == ("", "", None, "allow")
     assert got[3] == ("bad.org", "/a", "bad.org/", "block") and got[4] == ("www.bad.org", "/fine/p", "bad.org/fine/", "allow")
     assert got[5][1:3] == ("", None) and got[5][3] == "block"  # no rule fits an empty path; the host is distrusted
     assert got[6][3] == "block" and got[7][3] == "allow" and got[8] == ("notbad.org", "/", None, "allow") and got[9][:2] == ("a.com", "")
+    assert got[10][3] == "block"  # the blocked host has no page of its own
+    assert got[11][3] == "allow"  # images are no links
+    assert got[12][3] == "block" and got[13][3] == "allow" and got[15][3] == "allow" and got[16][3] == "block"
+    assert all(got[100 + i][3] == "block" for i in range(200))  # whatever the number of its pages
+
+
+def test_urls_by_sql(spark, tmp_path, monkeypatch):
+    """The registered query and its SQL on pages that link to one another."""
+    import duckdb
+
+    from cohortlens.llm import queries
+    from tools.check import compare
+
+    swap = {"bad.org": "spam.net", "good.org": "ok.org/fr", "bad.net": "bulk.net", "farm.net": "farm.com", "fan.net": "fan.com", "half.net": "half.com", "few.net": "few.com",
+            "big.org": "big.com", "far.net": "far.com", "unseen.net": "unseen.com", "image.net": "image.com", "praised.net": "praised.com"}
+    rows = []
+    for i, url, html in linked_pages():
+        for a, z in swap.items():
+            url, html = url and url.replace(a, z), html and html.replace(a, z)
+        rows.append((i, url, html))
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{tmp_path}/pages.parquet/*.parquet')")
+    df = queries.QUERIES["op4_url_filter"](spark, str(tmp_path)).cache()
+    assert compare(df, con, queries.ORACLES["op4_url_filter"]) == "ok"
+    by = {r["host"]: r["verdict"] for r in df.where("rule IS NULL").collect()}
+    assert by["farm.com"] == by["big.com"] == by["far.com"] == by["unseen.com"] == "block" and by["few.com"] == by["fan.com"] == by["image.com"] == by["praised.com"] == "allow"
 
 
 def test_pages(spark):

@@ -62,8 +62,8 @@ def test_every_stage(run):
     first = {i: t for i, n, r, failed, kept, t in brute.quality([(i, t, s) for i, t, _, s, _ in rows], quality.SHARE, quality.MIN_DOCS, quality.MIN_WORDS) if kept}
     got = held(run[1][0])
     assert got == first and 94 not in got and "NEWSLETTER" in got[0] and "NEWSLETTER" not in got[2]
-    prints = {i: brute.word_fingerprint(t) for i, t in first.items()}
-    near = lambda a, b: brute.differ(prints[a][0], prints[b][0]) <= 8 and brute.differ(prints[a][1], prints[b][1]) <= 24
+    prints = {i: brute.fingerprint(t) for i, t in first.items()}
+    near = lambda a, b: brute.differ(prints[a], prints[b]) <= 4
     root = brute.groups(first, near)
     second = {i: t for i, t in first.items() if root[i] == i}
     got = held(run[1][1])
