@@ -3,9 +3,9 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read again as the next
 one's docs. All but the last return the columns of their docs.
 
-Defined cases: rows without an id are never near-duplicates of others and always stay; of rows that share an id one
-stays in the near-dedup; a document whose words have all gone with repeated passages goes; an empty table passes
-through as such; columns beyond those of ``documents`` pass through, whatever their names.
+Defined cases: rows without an id always stay in the near-dedup; of rows that share an id one stays there; a document
+whose words have all gone with repeated passages goes; an empty table passes through as such; columns beyond those of
+``documents`` pass through, whatever their names.
 """
 
 from __future__ import annotations
@@ -14,11 +14,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cohortlens.llm import jaccard, packing, quality, recompress
+from cohortlens.llm import packing, quality, recompress, simhash
 from cohortlens.session import cut
 
-# Near-duplicates share 0.8 or more of their five-word shingles.
-NEAR = {"width": 5, "least": 0.8}
+# Near-duplicates differ in 4 or fewer bits of the fingerprint of their four-word shingles.
+NEAR = {"width": 4, "seed": 42, "tau": 4}
 
 
 def rows_of(docs: DataFrame, df: DataFrame, text) -> DataFrame:
@@ -36,7 +36,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that near-duplicate links connect, the one with the smallest id stays."""
-    groups = jaccard.near_duplicates(docs, **NEAR)
+    groups = simhash.near_duplicates(docs, **NEAR)
     lost = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("lost")).distinct()
     rows = docs.select(F.struct("*").alias("doc")).join(lost, F.col("doc.doc_id") == F.col("lost"), "left_anti")
     # of rows with one id the first stays; rows without an id are dealt by their text and all stay
