@@ -11,9 +11,10 @@ from ..explain.contributions import tree_contributions
 from ..fixtures import CATEGORICAL, NUMERIC, load, view
 from ..functions import threshold_pred
 from ..models import linear as L
+from ..models import boosting as B
 from ..models import registry as G
 from ..models import search as H
-from ..models import trees as B
+from ..models import trees as T
 from ..operators.features import OneHot, assemble, feature_names
 from ..operators.metrics import log_loss
 from ..operators.relational import row_ordinal
@@ -146,21 +147,59 @@ def mlp(spark, sf):
 @query("boosted_trees")
 def boosted_trees(spark, sf):
     df = encoded(spark, sf)
-    model = B.boosted_trees(split_of(df, "training"), "enrl_ind", rounds=5, depth=3)
-    return predictions(model.transform(split_of(df, "testing")).withColumn("prob", L.prob_of_one()), "prob")
+    model = B.boosted_trees(split_of(df, "training"), "enrl_ind", rounds=20, depth=3)
+    return predictions(model.transform(split_of(df, "testing")), "prob")
+
+
+EXACT = {"rounds": 3, "depth": 2, "step": 0.5, "gamma": 0.05, "min_child_weight": 2.0}
+
+
+def boosting_sql(columns: list[str], rounds: int, depth: int, step: float, gamma: float, min_child_weight: float) -> str:
+    """Boosting stated in SQL: each level's histograms, gains and best splits, each round's leaves and margins."""
+    out = ["r AS MATERIALIZED (SELECT emplid, split, enrl_ind AS y, " + ", ".join(f"CAST({c} AS DOUBLE) AS x{i}" for i, c in enumerate(columns)) + " FROM complete)",
+           "w AS (SELECT CAST(count(*) FILTER (y = 0) AS DOUBLE) / count(*) FILTER (y = 1) AS w FROM r WHERE split = 'training')",
+           "m0 AS (SELECT emplid, CAST(0 AS DOUBLE) AS m FROM r)"]
+    picked = " ".join(f"WHEN {i} THEN x{i}" for i in range(len(columns)))
+    for k in range(rounds):
+        out.append(f"""g{k} AS MATERIALIZED (SELECT r.*, m, CASE WHEN y = 1 THEN w ELSE 1 END * (1 / (1 + exp(-m)) - y) AS g,
+  CASE WHEN y = 1 THEN w ELSE 1 END / (1 + exp(-m)) * (1 - 1 / (1 + exp(-m))) AS h FROM r JOIN m{k} USING (emplid), w)""")
+        out.append(f"n{k}_0 AS (SELECT *, 0 AS node FROM g{k})")
+        for level in range(depth):
+            long = " UNION ALL ".join(f"SELECT node, {i} AS f, x{i} AS v, g, h FROM n{k}_{level} WHERE split = 'training' AND node >= {2 ** level - 1}" for i in range(len(columns)))
+            out.append(f"""h{k}_{level} AS (SELECT node, f, v, sum(sum(g)) OVER a AS gl, sum(sum(h)) OVER a AS hl, sum(sum(g)) OVER t AS g, sum(sum(h)) OVER t AS h
+  FROM ({long}) GROUP BY node, f, v WINDOW a AS (PARTITION BY node, f ORDER BY v), t AS (PARTITION BY node, f))""")
+            out.append(f"""s{k}_{level} AS MATERIALIZED (SELECT node, f, v FROM (SELECT *, row_number() OVER (PARTITION BY node ORDER BY gain DESC, f, v) AS place
+  FROM (SELECT *, round(gl * gl / (hl + 1) + (g - gl) * (g - gl) / (h - hl + 1) - g * g / (h + 1), 6) AS gain FROM h{k}_{level}
+        WHERE hl >= {min_child_weight} AND h - hl >= {min_child_weight})) WHERE place = 1 AND gain > 1e-6 AND gain >= {gamma})""")
+            out.append(f"""n{k}_{level + 1} AS MATERIALIZED (SELECT n.* EXCLUDE (node), CASE WHEN s.node IS NULL THEN n.node WHEN CASE f {picked} END <= s.v THEN 2 * n.node + 1 ELSE 2 * n.node + 2 END AS node
+  FROM n{k}_{level} n LEFT JOIN s{k}_{level} s ON n.node = s.node)""")
+        out.append(f"l{k} AS (SELECT node, -sum(g) / (sum(h) + 1) AS weight FROM n{k}_{depth} WHERE split = 'training' GROUP BY node)")
+        out.append(f"m{k + 1} AS MATERIALIZED (SELECT emplid, m + {step} * weight AS m FROM n{k}_{depth} JOIN l{k} USING (node))")
+    return ",\n".join(out)
+
+
+@query("boosted_trees_exact", f"""{COMPLETE},
+{boosting_sql(PLAIN, **EXACT)}
+SELECT emplid, round(1 / (1 + exp(-m)), 6) AS prob, CAST(CASE WHEN 1 / (1 + exp(-m)) > 0.5 THEN 1 ELSE 0 END AS INT) AS pred
+FROM r JOIN m{EXACT['rounds']} USING (emplid) WHERE split = 'testing'""")
+def boosted_trees_exact(spark, sf):
+    """Boosting on columns of few values, whose bins are exact: the same trees, leaves and scores as in SQL."""
+    df = assemble(PLAIN).transform(complete(spark, sf))
+    model = B.boosted_trees(split_of(df, "training"), "enrl_ind", **EXACT)
+    return predictions(model.transform(split_of(df, "testing")), "prob")
 
 
 @query("boosted_forest")
 def boosted_forest(spark, sf):
     df = encoded(spark, sf)
-    model = B.boosted_forest(split_of(df, "training"), split_of(df, "validation"), "enrl_ind", rounds=3, trees=16, depth=3, patience=2)
+    model = B.boosted_forest(split_of(df, "training"), split_of(df, "validation"), "enrl_ind", rounds=10)
     return predictions(model.transform(split_of(df, "testing")), "prob")
 
 
 @query("random_forest")
 def random_forest(spark, sf):
     df = encoded(spark, sf)
-    model = B.random_forest(split_of(df, "training"), "enrl_ind", trees=16, depth=4)
+    model = T.random_forest(split_of(df, "training"), "enrl_ind", trees=16, depth=4)
     return predictions(model.transform(split_of(df, "testing")).withColumn("prob", L.prob_of_one()), "prob")
 
 
@@ -195,8 +234,7 @@ def halving_search(spark, sf):
     choices = H.grid(depth=[1, 3], step=[0.1, 0.5])
 
     def fit(rows, candidate, resources):
-        model = B.boosted_trees(rows, "enrl_ind", resources, candidate["depth"], candidate["step"])
-        return lambda held: model.transform(held).withColumn("prob", L.prob_of_one())
+        return B.boosted_trees(rows, "enrl_ind", resources, candidate["depth"], candidate["step"]).transform
 
     _, log = H.halving_search(df, "enrl_ind", "fold", 3, choices, fit, 1, 3)
     rows = [(r, str(choices[c]), n, k, a) for r, c, n, k, a in log]
@@ -230,7 +268,7 @@ def early_stop(spark, sf):
         (F.col("l_linestatus") == "O").cast("int").alias("y"), (0.05 + 9 * F.col("l_discount")).alias("p"),
     )
     losses = df.groupBy("unit", "round").agg(log_loss("y", "p").alias("loss"))
-    return B.early_stop(losses, ["unit"], "round", "loss", 5).withColumn("best_loss", r6("best_loss"))
+    return T.early_stop(losses, ["unit"], "round", "loss", 5).withColumn("best_loss", r6("best_loss"))
 
 
 def _linear_model(train):
@@ -276,12 +314,52 @@ def _explained(spark, sf):
     """Testing rows with the model's own probability and their contributions for class 0."""
     df = encoded(spark, sf)
     train = split_of(df, "training")
-    model = B.boosted_trees(train, "enrl_ind", rounds=5, depth=3)
-    told = tree_contributions(split_of(df, "testing"), ["emplid"], train, [(model, model.treeWeights)], feature_names(df), link=2.0)
-    own = model.transform(split_of(df, "testing")).select("emplid", L.prob_of_one().alias("model_prob"))
+    model = B.boosted_forest(train, split_of(df, "validation"), "enrl_ind", rounds=3, trees=16, depth=3)
+    told = tree_contributions(split_of(df, "testing"), ["emplid"], train, model, feature_names(df))
+    own = model.transform(split_of(df, "testing")).select("emplid", F.col("prob").alias("model_prob"))
     return told, own
 
 
+# A model of two rounds of one tree: (round, tree, node, column or -1, split, left, right, weight).
+FIXED_TREES = [(0, 0, 0, 1, 10.0, 1, 2, 0.0), (0, 0, 1, 0, 0.0, 3, 4, 0.0), (0, 0, 2, 2, 4.0, 5, 6, 0.0), (0, 0, 3, -1, 0.0, 0, 0, -1.5), (0, 0, 4, -1, 0.0, 0, 0, -0.25),
+               (0, 0, 5, -1, 0.0, 0, 0, 2.0), (0, 0, 6, -1, 0.0, 0, 0, 0.5), (1, 0, 0, 2, 2.0, 1, 2, 0.0), (1, 0, 1, -1, 0.0, 0, 0, 1.0), (1, 0, 2, 1, 20.0, 3, 4, 0.0),
+               (1, 0, 3, -1, 0.0, 0, 0, -0.75), (1, 0, 4, -1, 0.0, 0, 0, 0.25)]
+FIXED_STEP = 0.5
+FIXED_COLUMNS = ["male", "fall_lec_count", "fall_withdrawn_hours"]
+
+
+def tree_sql(at: int, tree: list[tuple], names: list[str]) -> str:
+    """A tree as nested CASE expressions over the columns ``names``."""
+    f, cutoff, left, right, weight = tree[at][3:]
+    return str(weight) if f < 0 else f"CASE WHEN {names[f]} <= {cutoff} THEN {tree_sql(left, tree, names)} ELSE {tree_sql(right, tree, names)} END"
+
+
+def margin_sql(names: list[str]) -> str:
+    return " + ".join(f"{FIXED_STEP} * ({tree_sql(0, [n for n in FIXED_TREES if n[0] == k], names)})" for k in (0, 1))
+
+
+def shapley_sql() -> str:
+    """Shapley values by definition: the mean margin of every mix of a row's columns with the background's."""
+    mixes = ", ".join(f"avg({margin_sql([f'x.{c}' if s >> i & 1 else f'b.{c}' for i, c in enumerate(FIXED_COLUMNS)])}) AS v{s}" for s in range(8))
+    term = lambda i: " + ".join(
+        f"{[2, 1, 2][bin(s).count('1')]} / 6.0 * (v{s | 1 << i} - v{s})" for s in range(8) if not s >> i & 1)
+    told = " UNION ALL ".join(f"SELECT emplid, '{c}' AS feature, {term(i)} AS phi, v7, v0 FROM v" for i, c in enumerate(FIXED_COLUMNS))
+    return f"""v AS (SELECT x.emplid, {mixes} FROM complete x, complete b WHERE x.split = 'testing' AND b.split = 'training' GROUP BY x.emplid),
+mean AS (SELECT avg(1 / (1 + exp(-({margin_sql(FIXED_COLUMNS)})))) AS p FROM complete WHERE split = 'training'),
+told AS ({told})"""
+
+
+@query("contributions_by_definition", f"""{COMPLETE}, {shapley_sql()}
+SELECT emplid, feature, round(-phi * CASE WHEN abs(v7 - v0) > 1e-12 THEN (1 / (1 + exp(-v7)) - p) / (v7 - v0) ELSE 0 END, 6) AS value,
+       round(1 / (1 + exp(-v7)), 6) AS prob, round(1 - p, 6) AS base FROM told, mean""")
+def contributions_by_definition(spark, sf):
+    """A model with known trees, explained against the training rows."""
+    df = assemble(FIXED_COLUMNS).transform(complete(spark, sf))
+    told = tree_contributions(split_of(df, "testing"), ["emplid"], split_of(df, "training"), B.BoostedForest.of_rows(FIXED_TREES, FIXED_STEP), FIXED_COLUMNS)
+    long = told.select("emplid", "prob", "base", F.inline("contributions"))
+    return long.select("emplid", "feature", r6("value").alias("value"), r6("prob").alias("prob"), r6("base").alias("base"))
+
+
 @query("tree_contributions")
 def tree_contributions_q(spark, sf):
     told, _ = _explained(spark, sf)

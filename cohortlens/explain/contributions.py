@@ -1,28 +1,38 @@
-"""Feature contributions: exact additive ones for linear scores, interventional ones for tree ensembles."""
+"""Feature contributions: exact additive ones for linear scores, interventional ones for tree ensembles.
+
+A leaf gives its weight to a row and a background row together if each of its conditions is met by one of them at
+least. So of a background row a leaf only needs the pattern of conditions that it meets, and what a row earns from a leaf
+is a sum over the patterns that occur, each with its share of the background. Spark counts the patterns of all leaves
+over the whole background and deals them, in order of leaves, to parts of bounded size, however many patterns a leaf or
+a model has; blocks of rows meet every part, and the partial contributions of a row are added up by its id. One way for
+trees of every depth; the driver holds the model and two means.
+"""
 
 from __future__ import annotations
 
 import math
 import sys
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..models.trees import node_table
+from ..models.boosting import BoostedForest
+from ..operators.relational import row_ordinal
+from ..session import cut
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Leaves with up to TABLE_SLOTS path features get a table over all row patterns; deeper ones are
-# matched against the background patterns that occur. MAX_PATTERNS bounds what the driver holds.
-TABLE_SLOTS = 8
-MAX_PATTERNS = 20_000_000
-ROW_CHUNK = 512
-LEAF_CHUNK = 2048
+PART = 200_000  # background patterns to a part
+ROWS = 1024  # explained rows to a block
+LEAVES, SEEN = 2048, 512  # leaves and background rows whose patterns are taken at once
+HELD = 1_000_000  # patterns that a task holds before it passes them on
 
 
 def linear_contributions(columns: list[str], coefficients: dict[str, float], means: dict[str, float], flip: bool = False) -> Column:
@@ -40,57 +50,41 @@ def linear_contributions(columns: list[str], coefficients: dict[str, float], mea
 
 @dataclass
 class Leaves:
-    """Every leaf of an ensemble as a box: per path feature an open-closed interval, padded to one width."""
+    """Every leaf of an ensemble as a box: per path column an open-closed interval, padded to one width."""
 
-    value: np.ndarray    # leaf value times tree weight
+    value: np.ndarray    # weight on the log-odds scale
     feature: np.ndarray  # leaves x slots, 0 where padded
     low: np.ndarray
     high: np.ndarray
-    slots: np.ndarray    # path features per leaf
+    slots: np.ndarray    # path columns per leaf
 
     @classmethod
-    def of(cls, spark: SparkSession, parts: list[tuple]) -> "Leaves":
-        """From (model, tree weights) pairs; only the model's nodes reach the driver."""
+    def of(cls, model: BoostedForest) -> "Leaves":
         rows = []
-        for model, weights in parts:
-            nodes: dict[int, dict[int, object]] = {}
-            for n in node_table(spark, model).collect():
-                nodes.setdefault(n["tree"], {})[n["id"]] = n
-            for tree, table in nodes.items():
-                stack = [(0, {})]
+        for r in model.rounds:
+            share = model.step / len(r.value)
+            for t in range(len(r.value)):
+                stack: list[tuple[int, dict]] = [(0, {})]
                 while stack:
                     at, box = stack.pop()
-                    n = table[at]
-                    if n["left"] < 0:
-                        rows.append((n["prediction"] * weights[tree], box))
+                    f = int(r.feature[t][at])
+                    if f < 0:
+                        rows.append((share * r.value[t][at], box))
                         continue
-                    if n["categories"] >= 0:
-                        raise ValueError("categorical splits are not supported; encode categories first")
-                    f, t = n["feature"], n["threshold"]
+                    cutoff = float(r.split[t][at])
                     lo, hi = box.get(f, (-math.inf, math.inf))
-                    stack.append((n["left"], {**box, f: (lo, min(hi, t))}))
-                    stack.append((n["right"], {**box, f: (max(lo, t), hi)}))
+                    stack.append((int(r.left[t][at]), {**box, f: (lo, min(hi, cutoff))}))
+                    stack.append((int(r.right[t][at]), {**box, f: (max(lo, cutoff), hi)}))
         width = max([len(b) for _, b in rows] + [1])
-        out = cls(np.array([v for v, _ in rows]), np.zeros((len(rows), width), int),
-                  np.full((len(rows), width), -np.inf), np.full((len(rows), width), np.inf),
-                  np.array([len(b) for _, b in rows]))
+        if width > 62:
+            raise ValueError("a path has more than 62 columns")
+        out = cls(np.array([v for v, _ in rows]), np.zeros((len(rows), width), int), np.full((len(rows), width), -np.inf),
+                  np.full((len(rows), width), np.inf), np.array([len(b) for _, b in rows], int))
         for i, (_, box) in enumerate(rows):
             for s, (f, (lo, hi)) in enumerate(sorted(box.items())):
                 out.feature[i, s], out.low[i, s], out.high[i, s] = f, lo, hi
         return out
 
-    @property
-    def full(self) -> np.ndarray:
-        """The pattern of a row inside the leaf."""
-        return (1 << self.slots.astype(np.int64)) - 1
-
-    @property
-    def offset(self) -> np.ndarray:
-        """Where each shallow leaf's patterns start in one flat table; -1 for deep leaves. The table's size comes last."""
-        sizes = np.where(self.slots <= TABLE_SLOTS, self.full + 1, 0)
-        starts = np.concatenate([[0], np.cumsum(sizes)])
-        return np.append(np.where(sizes > 0, starts[:-1], -1), starts[-1])
-
     def patterns(self, x: np.ndarray, which: np.ndarray) -> np.ndarray:
         """rows x chosen leaves: a bit per slot that the row satisfies."""
         out = np.zeros((len(x), len(which)), dtype=np.int64)
@@ -100,55 +94,43 @@ class Leaves:
             out |= met.astype(np.int64) << s
         return out
 
-    def chunks(self) -> list[np.ndarray]:
-        """Leaves in bounded pieces, shallow and deep ones apart."""
-        shallow = np.nonzero(self.slots <= TABLE_SLOTS)[0]
-        return [shallow[i: i + LEAF_CHUNK] for i in range(0, len(shallow), LEAF_CHUNK)]
-
-    def deep(self) -> np.ndarray:
-        return np.nonzero(self.slots > TABLE_SLOTS)[0]
-
-    def margin(self, x: np.ndarray) -> np.ndarray:
-        total = np.zeros(len(x))
-        for which in [*self.chunks(), *[np.array([i]) for i in self.deep()]]:
-            total += (self.patterns(x, which) == self.full[which]) @ self.value[which]
-        return total
-
-
-def _rows(batch: pa.RecordBatch, width: int):
-    x = np.asarray(batch.column("_x").flatten(), dtype=float).reshape(-1, width)
-    return [x[at: at + ROW_CHUNK] for at in range(0, len(x), ROW_CHUNK)]
-
-
-def _count_patterns(leaves: Leaves, width: int):
-    offset = leaves.offset
-
-    def run(batches):
-        table = np.zeros(offset[-1], dtype=np.int64)
-        deep: dict[int, dict[int, int]] = {int(i): {} for i in leaves.deep()}
-        for batch in batches:
-            for x in _rows(batch, width):
-                for which in leaves.chunks():
-                    np.add.at(table, (leaves.patterns(x, which) + offset[which]).ravel(), 1)
-                for leaf, held in deep.items():
-                    codes, n = np.unique(leaves.patterns(x, np.array([leaf])), return_counts=True)
-                    for c, m in zip(codes.tolist(), n.tolist()):
-                        held[c] = held.get(c, 0) + m
-        at = np.nonzero(table)[0]
-        shallow = np.nonzero(offset[:-1] >= 0)[0]
-        leaf = shallow[np.searchsorted(offset[shallow], at, side="right") - 1]
-        code, n = at - offset[leaf], table[at]
-        for i, held in deep.items():
-            leaf = np.append(leaf, np.full(len(held), i))
-            code, n = np.append(code, list(held)), np.append(n, list(held.values()))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(leaf.astype(np.int32)), pa.array(code.astype(np.int64)), pa.array(n.astype(np.int64))], names=["leaf", "code", "n"])
-
-    return run
-
-
-def _weights(slots: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shares of a leaf's value by (u, v): earned by each of u slots only the row satisfies, lost by each
+
+def matrix(lists: pa.Array) -> np.ndarray:
+    return lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(lists), -1)
+
+
+def background_patterns(seen: DataFrame, leaves) -> DataFrame:
+    """(leaf, code, n): how many rows of ``seen`` (x) have the pattern ``code`` at a leaf."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        box = leaves.value
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+        def emit() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held)], ["leaf", "code", "n"])
+
+        for b in batches:
+            x = matrix(b.column(0))
+            for i in range(0, len(x), SEEN):
+                for j in range(0, len(box.value), LEAVES):
+                    which = np.arange(j, min(j + LEAVES, len(box.value)))
+                    codes = box.patterns(x[i : i + SEEN], which).T
+                    codes = np.sort(codes, 1)
+                    new = np.ones(codes.shape, bool)
+                    new[:, 1:] = codes[:, 1:] != codes[:, :-1]
+                    at = np.flatnonzero(new)
+                    held.append((which[at // codes.shape[1]], codes.ravel()[at], np.diff(np.append(at, codes.size))))
+                    if sum(len(h[0]) for h in held) > HELD:
+                        yield emit()
+                        held = []
+        if held:
+            yield emit()
+
+    return seen.mapInArrow(count, "leaf long, code long, n long").groupBy("leaf", "code").agg(F.sum("n").alias("n"))
+
+
+def shares(slots: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shares of a leaf's weight by (u, v): earned by each of u slots only the row satisfies, lost by each
     of v slots only the background satisfies: (u-1)! v! / (u+v)! and u! (v-1)! / (u+v)!."""
     f = [math.factorial(i) for i in range(2 * slots + 1)]
     gain, loss = np.zeros((slots + 1, slots + 1)), np.zeros((slots + 1, slots + 1))
@@ -161,140 +143,85 @@ def _weights(slots: int) -> tuple[np.ndarray, np.ndarray]:
     return gain, loss
 
 
-def _pattern_effects(leaves: Leaves, share: np.ndarray) -> np.ndarray:
-    """Flat pattern table x slot: the mean effect of each slot against the background patterns.
-
-    Row and background reach a leaf together when every slot is satisfied by one of them at least.
-    """
-    offset = leaves.offset
-    effect = np.zeros((offset[-1], max(1, min(TABLE_SLOTS, leaves.feature.shape[1]))))
-    gain, loss = _weights(TABLE_SLOTS)
-    for slots in np.unique(leaves.slots[leaves.slots <= TABLE_SLOTS]):
-        which = np.nonzero(leaves.slots == slots)[0]
-        full = (1 << int(slots)) - 1
-        for row in range(full + 1):
-            missing = full & ~row
-            extra = row
-            while True:  # every background pattern that has the missing slots
-                back = missing | extra
-                mine, theirs = row & ~back, back & ~row
-                u, v = mine.bit_count(), theirs.bit_count()
-                weight = leaves.value[which] * share[offset[which] + back]
-                for s in range(slots):
-                    if mine >> s & 1:
-                        effect[offset[which] + row, s] += weight * gain[u, v]
-                    elif theirs >> s & 1:
-                        effect[offset[which] + row, s] -= weight * loss[u, v]
-                if extra == 0:
-                    break
-                extra = (extra - 1) & row
-    return effect
-
-
-def _deep_effects(leaves: Leaves, leaf: int, rows: np.ndarray, back: np.ndarray, share: np.ndarray) -> np.ndarray:
-    """rows x slots effects of one deep leaf, from the background patterns that occur."""
-    slots, full = int(leaves.slots[leaf]), leaves.full[leaf]
-    gain, loss = _weights(slots)
-    out = np.zeros((len(rows), slots))
+def leaf_effects(rows: np.ndarray, back: np.ndarray, weight: np.ndarray, slots: int) -> np.ndarray:
+    """rows x slots: what each slot earns a row against background patterns of these weights."""
+    gain, loss = shares(slots)
+    full = (1 << slots) - 1
     codes, inverse = np.unique(rows, return_inverse=True)
-    for i, row in enumerate(codes):
-        met = (row | back) == full
-        mine, theirs = row & ~back[met], back[met] & ~row
+    out = np.zeros((len(codes), slots))
+    bits = np.arange(slots)
+    step = max(1, 2_000_000 // (len(back) * max(1, slots)))
+    for i in range(0, len(codes), step):
+        some = codes[i : i + step, None]
+        mine, theirs = some & ~back, back & ~some
         u, v = np.bitwise_count(mine), np.bitwise_count(theirs)
-        up, down = share[met] * gain[u, v], share[met] * loss[u, v]
-        one = [(up * (mine >> s & 1)).sum() - (down * (theirs >> s & 1)).sum() for s in range(slots)]
-        out[inverse == i] = leaves.value[leaf] * np.array(one)
-    return out
-
-
-def _explain(leaves: Leaves, effect: np.ndarray, deep: dict, width: int, mean_margin: float, mean_prob: float, link: float, sign: float):
-    offset = leaves.offset
-
-    def run(batches):
-        for batch in batches:
-            phis, probs = [], []
-            for x in _rows(batch, width):
-                out = np.zeros((len(x), width))
-                for which in leaves.chunks():
-                    at = leaves.patterns(x, which) + offset[which]
-                    for s in range(effect.shape[1]):
-                        gain = effect[at, s]
-                        for f in np.unique(leaves.feature[which, s]):
-                            out[:, f] += gain[:, leaves.feature[which, s] == f].sum(axis=1)
-                for leaf, (back, share) in deep.items():
-                    part = _deep_effects(leaves, leaf, leaves.patterns(x, np.array([leaf]))[:, 0], back, share)
-                    for s in range(part.shape[1]):
-                        out[:, leaves.feature[leaf, s]] += part[:, s]
-                margin = leaves.margin(x)
-                p = 1.0 / (1.0 + np.exp(-link * margin))
-                gap = margin - mean_margin
-                scale = np.divide(p - mean_prob, gap, out=np.zeros_like(gap), where=np.abs(gap) > 1e-12)
-                phis.append(sign * out * scale[:, None])
-                probs.append(p)
-            if not phis:
-                continue
-            phi = np.concatenate(phis)
-            values = pa.ListArray.from_arrays(pa.array(np.arange(0, phi.size + 1, width, dtype=np.int32)), pa.array(phi.ravel()))
-            names = [n for n in batch.schema.names if n != "_x"]
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(n) for n in names], values, pa.array(np.concatenate(probs))], names=[*names, "_phi", "prob"])
-
-    return run
-
-
-def _background_mean(leaves: Leaves, width: int, link: float):
-    def run(batches):
-        total, n = np.zeros(2), 0
-        for batch in batches:
-            for x in _rows(batch, width):
-                margin = leaves.margin(x)
-                total += [margin.sum(), (1.0 / (1.0 + np.exp(-link * margin))).sum()]
-                n += len(x)
-        yield pa.RecordBatch.from_arrays([pa.array([total[0]]), pa.array([total[1]]), pa.array([n])], names=["m", "p", "n"])
-
-    return run
-
-
-def tree_contributions(rows: DataFrame, key: list[str], background: DataFrame, parts: list[tuple], names: list[str],
-                       link: float = 1.0, flip: bool = True, vector: str = "features") -> DataFrame:
-    """(key, contributions, prob, base): interventional contributions to the probability.
-
-    The whole background counts, at any size: per leaf it only matters which path conditions a
-    background row meets, so one aggregate over the background gives a table bounded by the model,
-    and each row is explained from that table alone. Log-odds contributions are brought to the
-    probability scale by the row's own ratio, so contributions plus ``base`` equal the probability.
-    ``link`` is the factor between the summed trees and the log odds; ``flip`` states everything for
-    class 0, where positive pushes towards leaving.
+        both = np.where((some | back) == full, weight, 0.0)
+        up, down = both * gain[u, v], both * loss[u, v]
+        out[i : i + step] = (up[..., None] * (mine[..., None] >> bits & 1) - down[..., None] * (theirs[..., None] >> bits & 1)).sum(1)
+    return out[inverse]
+
+
+def tree_contributions(rows: DataFrame, key: list[str], background: DataFrame, model: BoostedForest, names: list[str],
+                       flip: bool = True, vector: str = "features") -> DataFrame:
+    """(key, contributions, prob, base): interventional contributions to the probability, against the whole background.
+
+    Log-odds contributions are brought to the probability scale by the row's own ratio, so contributions plus ``base``
+    equal the probability. ``flip`` states everything for class 0, where positive pushes towards leaving.
     """
-    spark = rows.sparkSession
-    width = len(names)
-    leaves = Leaves.of(spark, parts)
-    seen = background.select(vector_to_array(vector).alias("_x"))
-    counted = seen.mapInArrow(_count_patterns(leaves, width), "leaf int, code long, n long").groupBy("leaf", "code").agg(F.sum("n").alias("n"))
-    rows_of = counted.limit(MAX_PATTERNS + 1).toPandas()
-    if len(rows_of) > MAX_PATTERNS:
-        raise ValueError("the trees are too deep for this background: too many path patterns occur")
-    m, q, n = seen.mapInArrow(_background_mean(leaves, width, link), "m double, p double, n long").agg(
-        F.sum("m"), F.sum("p"), F.sum("n")).first()
-    if not n:
+    spark, width = rows.sparkSession, len(names)
+    box = Leaves.of(model)
+    leaves, shared = spark.sparkContext.broadcast(box), spark.sparkContext.broadcast(model)
+
+    @F.arrow_udf("double")
+    def margin(x: pa.Array) -> pa.Array:
+        return pa.array(shared.value.margin(matrix(x)))
+
+    logistic = lambda m: 1.0 / (1.0 + F.exp(-m))
+    seen = background.select(vector_to_array(vector).alias("x"))
+    mean = seen.select(margin("x").alias("m")).agg(F.avg("m").alias("m"), F.avg(logistic(F.col("m"))).alias("p"), F.count("*").alias("n")).first()
+    if not mean["n"]:
         raise ValueError("the background has no rows")
-    mean_margin, mean_prob = m / n, q / n
-    offset = leaves.offset
-    share = np.zeros(offset[-1])
-    shallow = rows_of[leaves.slots[rows_of["leaf"]] <= TABLE_SLOTS]
-    share[offset[shallow["leaf"].to_numpy()] + shallow["code"].to_numpy()] = shallow["n"].to_numpy() / n
-    deep = {int(i): (p["code"].to_numpy(), p["n"].to_numpy() / n)
-            for i, p in rows_of.groupby("leaf") if leaves.slots[i] > TABLE_SLOTS}
-    effect = _pattern_effects(leaves, share)
-    sign = -1.0 if flip else 1.0
-    base = 1.0 - mean_prob if flip else mean_prob
-    fields = ", ".join(f"{k} {rows.schema[k].dataType.simpleString()}" for k in key)
-    told = rows.select(*key, vector_to_array(vector).alias("_x")).mapInArrow(
-        _explain(leaves, effect, deep, width, mean_margin, mean_prob, link, sign), f"{fields}, _phi array<double>, prob double"
-    )
-    labels = F.array(*[F.lit(n) for n in names])
-    return told.select(
-        *key,
-        F.transform("_phi", lambda v, i: F.struct(F.get(labels, i).alias("feature"), v.alias("value"))).alias("contributions"),
-        "prob", F.lit(float(base)).alias("base"),
-    )
+    placed = row_ordinal(background_patterns(seen, leaves), ["leaf", "code"])
+    parts = cut(placed.select(F.floor(F.col("ordinal") / PART).cast("long").alias("part"), "leaf", "code", "n"), "patterns")
+    count = (parts.agg(F.max("part")).first()[0] or 0) + 1
+
+    asked = cut(rows.select(*[F.col(k).alias(f"k{i}") for i, k in enumerate(key)], vector_to_array(vector).alias("x"), F.monotonically_increasing_id().alias("row")), "asked")
+    block = F.expr(f"shiftright(row, 33) * 8388608 + (row & 8589934591) div {ROWS}")  # places in one part of the rows lie together
+    blocks = asked.select(block.alias("block"), "row", "x")
+    none = F.lit(None).cast
+    cells = blocks.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(count - 1)).cast("array<bigint>"))).select(
+        "part", "block", "row", "x", none("long").alias("leaf"), none("long").alias("code"), none("long").alias("n"))
+    pairs = blocks.select("block").distinct().withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(count - 1)).cast("array<bigint>")))
+    every = parts.join(pairs, "part")
+    cells = cells.unionByName(every.select("part", "block", none("long").alias("row"), none("array<double>").alias("x"), "leaf", "code", "n"))
+    total = float(mean["n"])
+
+    def explain(t: pa.Table) -> pa.Table:
+        t, box = t.combine_chunks(), leaves.value
+        is_row = t.column("row").is_valid()
+        asked, back = t.filter(is_row).combine_chunks(), t.filter(pc.invert(is_row)).combine_chunks()
+        out = np.zeros((len(asked), width))
+        if len(asked) and len(back):
+            x = matrix(asked.column("x").chunk(0))
+            leaf, code, n = (back.column(c).to_numpy() for c in ("leaf", "code", "n"))
+            order = np.argsort(leaf, kind="stable")
+            leaf, code, n = leaf[order], code[order], n[order]
+            begin = np.flatnonzero(np.concatenate(([True], leaf[1:] != leaf[:-1])))
+            for a, z in zip(begin.tolist(), [*begin[1:].tolist(), len(leaf)]):
+                one = int(leaf[a])
+                slots = int(box.slots[one])
+                if slots:
+                    mine = box.patterns(x, np.array([one]))[:, 0]
+                    effect = leaf_effects(mine, code[a:z], box.value[one] * n[a:z] / total, slots)
+                    out[:, box.feature[one, :slots]] += effect
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(0, out.size + 1, width, dtype=np.int32)), pa.array(out.ravel()))
+        return pa.table([asked.column("row"), lists], ["row", "phi"])
+
+    phis = cells.groupBy("part", "block").applyInArrow(explain, "row long, phi array<double>")
+    summed = phis.groupBy("row").agg(*[F.sum(F.get("phi", F.lit(i))).alias(f"p{i}") for i in range(width)])
+    told = asked.join(summed, "row").withColumn("m", margin("x")).withColumn("prob", logistic(F.col("m")))
+    gap = F.col("m") - mean["m"]
+    scale = F.when(F.abs(gap) > 1e-12, (F.col("prob") - mean["p"]) / gap).otherwise(0.0) * (-1.0 if flip else 1.0)
+    values = F.array(*[F.struct(F.lit(n).alias("feature"), (F.col(f"p{i}") * scale).alias("value")) for i, n in enumerate(names)])
+    return told.select(*[F.col(f"k{i}").alias(k) for i, k in enumerate(key)], values.alias("contributions"), "prob",
+                       F.lit(float(1.0 - mean["p"] if flip else mean["p"])).alias("base"))

@@ -8,6 +8,8 @@ import pyspark
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
+from .boosting import NODES, BoostedForest
+
 
 def model_path(root: str, unit: str, model_descr: str, version: str = pyspark.__version__) -> str:
     return f"{root}/unit={unit}/model_descr={model_descr}/version={version}"
@@ -22,6 +24,19 @@ def save_model(model: PipelineModel, root: str, unit: str, model_descr: str, fac
     return path
 
 
+def save_forest(model: BoostedForest, root: str, unit: str, model_descr: str, facts: dict) -> str:
+    """The nodes as a table, and ``facts`` with the step as JSON next to it."""
+    path, spark = model_path(root, unit, model_descr), SparkSession.active()
+    model.table(spark).coalesce(1).write.mode("overwrite").parquet(f"{path}/nodes")
+    spark.createDataFrame([(json.dumps({**facts, "step": model.step}),)], "facts string").coalesce(1).write.mode("overwrite").text(f"{path}/facts")
+    return path
+
+
+def load_forest(root: str, unit: str, model_descr: str) -> BoostedForest:
+    nodes = SparkSession.active().read.schema(NODES).parquet(f"{model_path(root, unit, model_descr)}/nodes")
+    return BoostedForest.of_rows(nodes.collect(), load_facts(root, unit, model_descr)["step"])
+
+
 def load_facts(root: str, unit: str, model_descr: str) -> dict:
     path = f"{model_path(root, unit, model_descr)}/facts"
     return json.loads(SparkSession.active().read.text(path).first()["value"])

@@ -1,22 +1,11 @@
-"""Tree models: boosted trees, bagged forests, and the boosted forest that production scores with."""
+"""The bagged forest, class weights and early stopping; ``boosting`` has the boosted models."""
 
 from __future__ import annotations
 
-import warnings
-from dataclasses import dataclass, field
-
-from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
-from pyspark.ml.feature import SQLTransformer
-from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.ml.classification import RandomForestClassifier
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators.metrics import log_loss
-from ..session import cut, fresh_path
-
-HESSIAN_FLOOR = 1e-6
-
 
 def positive_weight(train: DataFrame, label: str) -> float:
     """Negatives per positive; 1 when a class is missing."""
@@ -28,106 +17,11 @@ def weight_column(label: str, positive: float) -> Column:
     return F.when(F.col(label) == 1, F.lit(float(positive))).otherwise(F.lit(1.0))
 
 
-def boosted_trees(train: DataFrame, label: str, rounds: int, depth: int, step: float = 0.3, min_gain: float = 0.0, seed: int = 7):
-    """Class-weighted gradient-boosted trees."""
-    weighted = train.withColumn("_w", weight_column(label, positive_weight(train, label)))
-    return GBTClassifier(labelCol=label, weightCol="_w", maxIter=rounds, maxDepth=depth, stepSize=step,
-                         minInfoGain=min_gain, seed=seed).fit(weighted)
-
-
 def random_forest(train: DataFrame, label: str, trees: int, depth: int, bins: int = 48, seed: int = 7):
     weighted = train.withColumn("_w", weight_column(label, positive_weight(train, label)))
     return RandomForestClassifier(labelCol=label, weightCol="_w", numTrees=trees, maxDepth=depth, maxBins=bins, seed=seed).fit(weighted)
 
 
-def sigmoid(margin: Column) -> Column:
-    return 1.0 / (1.0 + F.exp(-margin))
-
-
-@dataclass
-class BoostedForest:
-    """A sum of forests on the log-odds scale: every round adds ``step`` times one forest's mean."""
-
-    stages: list[RandomForestRegressionModel]
-    step: float
-    train_loss: list[float] = field(default_factory=list)
-    valid_loss: list[float] = field(default_factory=list)
-
-    def pipeline(self) -> PipelineModel:
-        """The model as a Spark pipeline that adds ``prob``, ready for the registry."""
-        parts = [s.copy().setPredictionCol(f"_stage{i}") for i, s in enumerate(self.stages)]
-        margin = " + ".join([f"{self.step!r}D * _stage{i}" for i in range(len(parts))]) or "0D"
-        return PipelineModel([*parts, SQLTransformer(statement=f"SELECT *, 1D / (1D + exp(-({margin}))) AS prob FROM __THIS__")])
-
-    @classmethod
-    def from_pipeline(cls, model: PipelineModel, step: float) -> "BoostedForest":
-        """``step`` is the one the model was fitted with, see ``registry.load_facts``."""
-        return cls([s for s in model.stages if isinstance(s, RandomForestRegressionModel)], step)
-
-    def transform(self, df: DataFrame) -> DataFrame:
-        """``df`` with ``prob``."""
-        return self.pipeline().transform(df).drop(*[f"_stage{i}" for i in range(len(self.stages))])
-
-    def margin_trees(self) -> list[tuple]:
-        """(model, weights) per stage: each tree counts step / trees on the log-odds scale."""
-        return [(s, [self.step / s.getNumTrees] * s.getNumTrees) for s in self.stages]
-
-
-def boosted_forest(train: DataFrame, valid: DataFrame, label: str, rounds: int, trees: int = 96, depth: int = 4,
-                   gamma: float = 1.0, step: float = 0.5, bins: int = 48, min_child_weight: float = 8.0,
-                   subsample: float = 0.8, columns: float = 0.64, patience: int = 20, cut_every: int = 5,
-                   seed: int = 7) -> BoostedForest:
-    """Boost whole forests, stopping early on the validation log loss.
-
-    Each round fits a forest to the Newton target (y - p) / (p (1 - p)) with weight w p (1 - p), so a
-    leaf's mean is the Newton step of its rows. ``min_child_weight`` becomes a share of the total
-    weight and ``gamma`` a minimum gain; ``columns`` is the share of columns tried per split.
-    """
-    weight = weight_column(label, positive_weight(train, label))
-    keep = ["features", F.col(label).cast("double").alias("y")]
-    data = cut(train.select(*keep, weight.alias("w")).withColumn("m", F.lit(0.0)), "boost")
-    held = cut(valid.select(*keep).withColumn("m", F.lit(0.0)), "boost")
-    model = BoostedForest([], step)
-    best, best_at = float("inf"), -1
-    p = sigmoid(F.col("m"))
-    curve = F.greatest(p * (1 - p), F.lit(HESSIAN_FLOOR))
-
-    def measure(df: DataFrame, weighted: bool) -> tuple[float, float]:
-        """Log loss and total curvature in one pass."""
-        w = F.col("w") if weighted else F.lit(1.0)
-        return tuple(df.withColumn("q", p).agg(log_loss("y", "q", w), F.sum(w * curve)).first())
-
-    total = measure(data, True)[1]
-    if total and min_child_weight / total > 0.5:
-        warnings.warn(f"min_child_weight {min_child_weight} exceeds half of the total weight {total}: no split is possible at 0.5 or more, 0.49 is used")
-    for r in range(rounds):
-        target = data.withColumns({"z": (F.col("y") - p) / curve, "h": F.col("w") * curve})
-        forest = RandomForestRegressor(
-            featuresCol="features", labelCol="z", weightCol="h", predictionCol="step", numTrees=trees, maxDepth=depth,
-            maxBins=bins, subsamplingRate=subsample, bootstrap=False, featureSubsetStrategy=str(columns),
-            minWeightFractionPerNode=min(0.49, min_child_weight / total), minInfoGain=2.0 * gamma / total, seed=seed + r,
-        ).fit(target)
-        model.stages.append(forest)
-
-        def grow(df: DataFrame) -> DataFrame:
-            return forest.transform(df).withColumn("m", F.col("m") + step * F.col("step")).drop("step")
-
-        data, held = grow(data), grow(held)
-        if (r + 1) % cut_every == 0:
-            data, held = cut(data, "boost"), cut(held, "boost")
-        loss, total = measure(data, True)
-        model.train_loss.append(loss)
-        loss = measure(held, False)[0]
-        model.valid_loss.append(loss)
-        if loss is not None and loss < best:
-            best, best_at = loss, r
-        if loss is not None and r - best_at >= patience:  # without validation rows there is nothing to stop by
-            break
-    if best_at >= 0:
-        model.stages = model.stages[: best_at + 1]
-    return model
-
-
 def early_stop(losses: DataFrame, by: list[str], order: str, loss: str, patience: int) -> DataFrame:
     """Per group the round training would keep: the best one before ``patience`` rounds bring no gain.
 
@@ -147,17 +41,3 @@ def early_stop(losses: DataFrame, by: list[str], order: str, loss: str, patience
         *by, F.col("_pick._best.at").alias("best_round"), F.col("_pick._best.loss").alias("best_loss"),
         F.col("_pick._pos").alias("rounds_run"),
     )
-
-
-def node_table(spark: SparkSession, model) -> DataFrame:
-    """A fitted tree ensemble's nodes as rows: tree, id, prediction, children, split feature and threshold."""
-    path = fresh_path(spark, "nodes")
-    model.write().save(path)
-    n = spark.read.parquet(f"{path}/data")
-    return n.select(
-        F.col("treeID").alias("tree"), F.col("nodeData.id").alias("id"), F.col("nodeData.prediction").alias("prediction"),
-        F.col("nodeData.leftChild").alias("left"), F.col("nodeData.rightChild").alias("right"),
-        F.col("nodeData.split.featureIndex").alias("feature"),
-        F.get(F.col("nodeData.split.leftCategoriesOrThreshold"), F.lit(0)).alias("threshold"),
-        F.col("nodeData.split.numCategories").alias("categories"),
-    )

@@ -43,7 +43,7 @@ UNITS = {
 UNIT_CAMPUS = {"P": "PULLM", "V": "VANCO", "T": "TRICI"}
 
 # Forest settings: minimum child weight, bins and trees per round; one fall mid-term transfer run differs.
-FOREST = {"min_child_weight": 8.0, "bins": 48, "trees": 96, "subsample": 0.8, "columns": 0.64, "patience": 20}
+FOREST = {"min_child_weight": 8.0, "bins": 48, "trees": 96, "subsample": 0.8, "columns": 0.8, "columns_node": 0.8, "patience": 20}
 FOREST_OF = {("FAL", "ft_tr_1yr", "mid"): {**FOREST, "min_child_weight": 5.0, "bins": 32, "trees": 64}}
 FOREST_TRIAL = {**FOREST, "bins": 32, "trees": 64}
 

@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 from ..explain.contributions import tree_contributions
 from ..functions import threshold_pred
 from ..models.linear import logit_inference, vif
-from ..models.registry import load_facts, load_model, save_model
+from ..models.boosting import BoostedForest, boosted_forest, boosted_forests, score
+from ..models.registry import load_facts, load_forest, save_forest
 from ..models.search import halving_search
-from ..models.trees import BoostedForest, boosted_forest
 from ..operators.features import OneHot, as_array, assemble, feature_names
 from ..operators.metrics import accuracy, roc_auc
 from ..operators.neighbors import remove_outliers, tomek_undersample
@@ -103,22 +103,19 @@ class Run:
                 append_run(df.withColumns(named), f"{root}/{name}")
 
 
-def fit_unit(train: DataFrame, valid: DataFrame, search: dict | None, **forest) -> BoostedForest:
-    """A boosted forest, its depth, gamma, step and rounds found by halving over rounds first if ``search`` is given.
+def searched(train: DataFrame, valid: DataFrame, search: dict, **forest) -> dict:
+    """A unit's depth, gamma, step and rounds, found by halving over rounds.
 
     ``search`` holds ``choices``, ``min_rounds``, ``max_rounds`` and ``folds``.
     """
-    if search:
-        folds = search.get("folds", 3)
-        rows = cut(train.select("features", "enrl_ind", F.pmod(F.xxhash64("emplid"), F.lit(folds)).alias("fold")), "folds")
+    folds = search.get("folds", 3)
+    rows = cut(train.select("features", "enrl_ind", F.pmod(F.xxhash64("emplid"), F.lit(folds)).alias("fold")), "folds")
 
-        def candidate(part: DataFrame, choice: dict, rounds: int):
-            return boosted_forest(part, valid, "enrl_ind", **{**forest, **choice, "rounds": rounds}).transform
+    def candidate(part: DataFrame, choice: dict, rounds: int):
+        return boosted_forest(part, valid, "enrl_ind", **{**forest, **choice, "rounds": rounds}).transform
 
-        best, log = halving_search(rows, "enrl_ind", "fold", folds, search["choices"], candidate,
-                                 search["min_rounds"], search["max_rounds"])
-        forest = {**forest, **best, "rounds": max(r[2] for r in log if search["choices"][r[1]] == best)}
-    return boosted_forest(train, valid, "enrl_ind", **forest)
+    best, log = halving_search(rows, "enrl_ind", "fold", folds, search["choices"], candidate, search["min_rounds"], search["max_rounds"])
+    return {**best, "rounds": max(r[2] for r in log if search["choices"][r[1]] == best)}
 
 
 def retention_risk(df: DataFrame, categorical: list[str], numeric: list[str], units: str, model_id: int, model_descr: str,
@@ -140,26 +137,31 @@ def retention_risk(df: DataFrame, categorical: list[str], numeric: list[str], un
     present = {r["unit"] for r in fitted.select("unit").distinct().collect()}
     chosen = [u for u in units if u in present]
 
-    def rows(unit: str, split: str) -> DataFrame:
-        return fitted.where((F.col("unit") == unit) & (F.col("split") == split))
-
-    def fit(unit: str) -> BoostedForest:
-        if registry and not refit:
-            facts = load_facts(registry, unit, model_descr)
-            if facts["features"] != columns:
-                raise ValueError(f"the saved model of {unit} has other features: {sorted(set(facts['features']) ^ set(columns))}")
-            return BoostedForest.from_pipeline(load_model(registry, unit, model_descr), facts["step"])
-        model = fit_unit(rows(unit, "training"), rows(unit, "validation"), search, **forest)
+    def split(df: DataFrame, name: str) -> DataFrame:
+        return df.where(F.col("split") == name)
+
+    def rows(unit: str, name: str) -> DataFrame:
+        return split(fitted.where(F.col("unit") == unit), name)
+
+    def saved(unit: str) -> BoostedForest:
+        facts = load_facts(registry, unit, model_descr)
+        if facts["features"] != columns:
+            raise ValueError(f"the saved model of {unit} has other features: {sorted(set(facts['features']) ^ set(columns))}")
+        return load_forest(registry, unit, model_descr)
+
+    if registry and not refit:
+        models = {u: saved(u) for u in chosen}
+    else:
+        own = per_unit(spark, chosen, lambda u: searched(rows(u, "training"), rows(u, "validation"), search, **forest)) if search else {}
+        fitting = fitted.where(F.col("unit").isin(chosen))
+        models = boosted_forests(split(fitting, "training"), split(fitting, "validation"), "enrl_ind", "unit", settings=own, **forest)
+        chosen = [u for u in chosen if u in models]  # a unit may have validation rows only
         if registry:
-            facts = {"step": model.step, "rounds": len(model.stages), "features": columns}
-            save_model(model.pipeline(), registry, unit, model_descr, facts)
-        return model
-
-    models = per_unit(spark, chosen, fit)
+            for u, model in models.items():
+                save_forest(model, registry, u, model_descr, {"rounds": len(model.rounds), "features": columns})
 
     def scored(part: DataFrame) -> DataFrame:
-        each = [models[u].transform(part.where(F.col("unit") == u)) for u in chosen]
-        return reduce(DataFrame.unionByName, each).withColumn("pred", threshold_pred("prob"))
+        return score(models, part.where(F.col("unit").isin(chosen)), "unit").withColumn("pred", threshold_pred("prob"))
 
     tested = scored(testing)
     judged = scored(fitted).withColumn("model_type", F.when(F.col("split") == "training", "train").otherwise("valid"))
@@ -172,8 +174,7 @@ def retention_risk(df: DataFrame, categorical: list[str], numeric: list[str], un
     if explain:
         labels = feature_names(testing)
         told = [
-            tree_contributions(testing.where(F.col("unit") == u), ["unit", "emplid"], rows(u, "training"),
-                               models[u].margin_trees(), labels)
+            tree_contributions(testing.where(F.col("unit") == u), ["unit", "emplid"], rows(u, "training"), models[u], labels)
             for u in chosen
         ]
         shap = student_shap(reduce(DataFrame.unionByName, told), top_n, run_date, model_id, keep=["unit"])

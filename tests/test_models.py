@@ -8,10 +8,11 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from cohortlens.explain import contributions
-from cohortlens.explain.contributions import Leaves, tree_contributions
+from cohortlens.explain.contributions import tree_contributions
+from cohortlens.models import boosting as G
 from cohortlens.models import linear as L
 from cohortlens.models import search as H
-from cohortlens.models import trees as B
+from cohortlens.models import trees as T
 
 
 @pytest.fixture(scope="module")
@@ -99,19 +100,89 @@ def test_isotonic_is_monotone(spark, data):
 def test_boosted_forest_lowers_its_loss_and_stops_early(data):
     _, df = data
     train, valid = df.where("id % 4 > 0"), df.where("id % 4 = 0")
-    model = B.boosted_forest(train, valid, "y", rounds=6, trees=8, depth=3, min_child_weight=2.0, cut_every=2)
+    model = G.boosted_forest(train, valid, "y", rounds=6, trees=8, depth=3, min_child_weight=2.0, cut_every=2)
     assert model.train_loss[-1] < model.train_loss[0] < math.log(2) * 1.01
     again = model.transform(valid).select("y", "prob").toPandas()
     loss = -np.where(again["y"] == 1, np.log(again["prob"]), np.log(1 - again["prob"])).mean()
     assert loss == pytest.approx(min(model.valid_loss), rel=1e-6)
-    stuck = B.boosted_forest(train, valid, "y", rounds=6, trees=2, depth=1, step=60.0, min_child_weight=1.0, patience=1)
-    assert len(stuck.valid_loss) < 6 and len(stuck.stages) == stuck.valid_loss.index(min(stuck.valid_loss)) + 1
+    stuck = G.boosted_forest(train, valid, "y", rounds=6, trees=2, depth=1, step=60.0, min_child_weight=1.0, patience=1)
+    assert len(stuck.valid_loss) < 6 and len(stuck.rounds) == stuck.valid_loss.index(min(stuck.valid_loss)) + 1
+
+
+def boosted_by_hand(x, y, rounds, depth, step, gamma, least, l2=1.0):
+    """Boosting of one tree a round on all rows and values, row by row."""
+    w = np.where(y == 1, (y == 0).sum() / (y == 1).sum(), 1.0)
+    m = np.zeros(len(y))
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-m))
+        g, h = w * (p - y), w * p * (1 - p)
+        todo, add = [(np.arange(len(y)), 0)], np.zeros(len(y))
+        while todo:
+            rows, level = todo.pop()
+            best = (-np.inf, None)
+            for f in range(x.shape[1]) if level < depth else ():
+                for v in np.unique(x[rows, f]):
+                    left = x[rows, f] <= v
+                    hl, hr = h[rows][left].sum(), h[rows][~left].sum()
+                    if hl < least or hr < least:
+                        continue
+                    part = lambda some: g[rows][some].sum() ** 2 / (h[rows][some].sum() + l2)
+                    gain = round(part(left) + part(~left) - part(left | True), 6)
+                    if gain > best[0]:
+                        best = (gain, left)
+            if best[1] is not None and best[0] > 1e-6 and best[0] >= gamma:
+                todo += [(rows[best[1]], level + 1), (rows[~best[1]], level + 1)]
+            else:
+                add[rows] = -g[rows].sum() / (h[rows].sum() + l2)
+        m += step * add
+    return m
+
+
+def test_boosting_of_groups_by_hand(spark, data):
+    """Groups with settings of their own, deep trees, and margins written in between."""
+    rng = np.random.default_rng(8)
+    x = np.column_stack([rng.integers(0, 9, 500), rng.integers(0, 4, 500) - 2.5, rng.integers(0, 2, 500) * 7]).astype(float)
+    y = (x[:, 0] + 2 * x[:, 1] + rng.normal(size=500) * 2 > 2).astype(int)
+    u = np.where(rng.random(500) < 0.7, "p", "q")
+    pdf = pd.DataFrame({"id": range(500), "u": u, "y": y}).assign(f=list(x))
+    df = spark.createDataFrame(pdf).withColumn("features", array_to_vector("f")).repartition(4)
+    own = {"p": {"depth": 5, "gamma": 0.0}, "q": {"rounds": 2, "step": 1.0}}
+    models = G.boosted_forests(df, None, "y", "u", settings=own, cut_every=2, rounds=5, trees=3, depth=2, gamma=0.3, step=0.4, min_child_weight=1.5,
+                               subsample=1.0, columns=1.0, columns_node=1.0)
+    got = {r["id"]: r["prob"] for r in G.score(models, df, "u").select("id", "prob").collect()}
+    for name, rounds, depth, step, gamma in (("p", 5, 5, 0.4, 0.0), ("q", 2, 2, 1.0, 0.3)):
+        at = np.flatnonzero(u == name)
+        want = 1 / (1 + np.exp(-boosted_by_hand(x[at], y[at], rounds, depth, step, gamma, 1.5)))
+        assert [got[i] for i in at] == pytest.approx(want.tolist(), abs=1e-9)
+    again = {n: G.BoostedForest.of_rows([tuple(r) for r in m.table(spark).collect()], m.step) for n, m in models.items()}
+    assert all((again[n].margin(x) == models[n].margin(x)).all() for n in models)
+    stranger = df.limit(1).withColumn("u", F.lit("z"))
+    assert G.score(models, stranger, "u").first()["prob"] is None
+
+
+def test_draws_are_the_same_however_the_rows_lie(spark, data):
+    """Trees differ by their draws, the model does not by the number of tasks, as blocks hold the same rows."""
+    _, df = data
+    rows = df.orderBy("id").coalesce(1)
+    one, two = (G.boosted_forest(rows, rows, "y", rounds=2, trees=6, depth=2, columns=0.67, min_child_weight=1.0, seed=s) for s in (1, 1))
+    assert one.rows() == two.rows() and len({tuple(v) for v in one.rounds[0].value.round(9).tolist()}) > 3
+    other = G.boosted_forest(rows, rows, "y", rounds=2, trees=6, depth=2, columns=0.67, min_child_weight=1.0, seed=2)
+    assert other.rows() != one.rows()
+
+
+def test_bins_of_many_values(spark):
+    rng = np.random.default_rng(3)
+    x = np.column_stack([rng.normal(size=4000), rng.integers(0, 5, 4000), np.zeros(4000)])
+    df = spark.createDataFrame(pd.DataFrame({"grp": "a"}, index=range(4000)).assign(x=list(x)))
+    (edges,) = G.edges_of(df, 3, 16).values()
+    assert edges[1].tolist() == [0, 1, 2, 3] and len(edges[2]) == 0
+    assert edges[0] == pytest.approx(np.quantile(x[:, 0], [k / 16 for k in range(1, 16)]), abs=0.02)
 
 
 def test_early_stop_keeps_the_best_round_within_patience(spark):
     losses = [("a", i, v) for i, v in enumerate([5.0, 4.0, 4.5, 4.4, 3.0])] + [("b", i, float(10 - i)) for i in range(4)]
     df = spark.createDataFrame(losses, "u string, r int, loss double")
-    got = {r["u"]: (r["best_round"], r["best_loss"], r["rounds_run"]) for r in B.early_stop(df, ["u"], "r", "loss", 2).collect()}
+    got = {r["u"]: (r["best_round"], r["best_loss"], r["rounds_run"]) for r in T.early_stop(df, ["u"], "r", "loss", 2).collect()}
     assert got == {"a": (1, 4.0, 4), "b": (3, 7.0, 4)}
 
 
@@ -132,28 +203,31 @@ def shapley(value, players):
     return out
 
 
-@pytest.mark.parametrize("table_slots", [8, 1])
-def test_contributions_equal_shapley_values_of_the_margin(spark, data, monkeypatch, table_slots):
-    monkeypatch.setattr(contributions, "TABLE_SLOTS", table_slots)
+@pytest.mark.parametrize("part, rows, held", [(200_000, 1024, 1_000_000), (7, 2, 20)])
+def test_contributions_equal_shapley_values_of_the_margin(spark, data, monkeypatch, part, rows, held):
+    """Whether patterns, rows and partial counts lie in one piece or in many."""
+    for name, value in (("PART", part), ("ROWS", rows), ("HELD", held), ("SEEN", 30), ("LEAVES", 5)):
+        monkeypatch.setattr(contributions, name, value)
     pdf, df = data
     train = df.where("id < 200")
-    model = B.boosted_forest(train, df.where("id >= 500"), "y", rounds=2, trees=3, depth=3, min_child_weight=2.0)
-    told = tree_contributions(df.where("id IN (300, 301, 302)"), ["id"], train, model.margin_trees(), ["a", "b", "c"], flip=False)
-    leaves = Leaves.of(spark, model.margin_trees())
+    model = G.boosted_forest(train, df.where("id >= 500"), "y", rounds=2, trees=3, depth=3, min_child_weight=2.0)
+    told = tree_contributions(df.where("id IN (300, 301, 302, 303, 304)"), ["id"], train, model, ["a", "b", "c"], flip=False)
     back = np.stack(pdf["f"][:200].to_numpy())
-    base = leaves.margin(back).mean()
-    mean_prob = (1 / (1 + np.exp(-leaves.margin(back)))).mean()
-    for row in told.collect():
+    base = model.margin(back).mean()
+    mean_prob = (1 / (1 + np.exp(-model.margin(back)))).mean()
+    found = told.collect()
+    assert len(found) == 5
+    for row in found:
         x = pdf["f"][row["id"]]
 
         def value(known):
             mixed = back.copy()
             mixed[:, list(known)] = x[list(known)]
-            return leaves.margin(mixed).mean()
+            return model.margin(mixed).mean()
 
         want = shapley(value, [0, 1, 2])
         got = [c["value"] for c in row["contributions"]]
-        f = leaves.margin(x[None, :])[0]
+        f = model.margin(x[None, :])[0]
         p = 1 / (1 + math.exp(-f))
         scale = (p - mean_prob) / (f - base)
         assert got == pytest.approx([want[i] * scale for i in range(3)], abs=1e-9)
@@ -162,7 +236,20 @@ def test_contributions_equal_shapley_values_of_the_margin(spark, data, monkeypat
 
 def test_explained_probability_is_the_models(data):
     _, df = data
-    model = B.boosted_forest(df, df, "y", rounds=2, trees=4, depth=3, min_child_weight=2.0)
-    told = tree_contributions(df, ["id"], df, model.margin_trees(), ["a", "b", "c"]).select("id", F.col("prob").alias("told"))
-    gap = told.join(model.transform(df), "id").agg(F.max(F.abs(F.col("told") - F.col("prob")))).first()[0]
-    assert gap < 1e-9
+    model = G.boosted_forest(df, df, "y", rounds=2, trees=4, depth=3, min_child_weight=2.0)
+    told = tree_contributions(df, ["id"], df, model, ["a", "b", "c"]).select("id", F.col("prob").alias("told"))
+    gap = told.join(model.transform(df), "id").agg(F.max(F.abs(F.col("told") - F.col("prob"))), F.count("*")).first()
+    assert gap[0] < 1e-9 and gap[1] == 600
+
+
+def test_leaf_effects_on_long_paths():
+    """Twelve conditions on a path, against Shapley values by definition."""
+    rng = np.random.default_rng(6)
+    slots, full = 12, (1 << 12) - 1
+    back = full ^ (1 << rng.integers(0, 12, 6)) ^ (1 << rng.integers(0, 12, 6))
+    row = full ^ 0b100100000001
+    for b in back.tolist():
+        got = contributions.leaf_effects(np.array([row]), np.array([b]), np.array([2.0]), slots)[0]
+        value = lambda known: 2.0 * all((row if s in known else b) >> s & 1 for s in range(slots))
+        want = shapley(value, list(range(slots)))
+        assert got.tolist() == pytest.approx([want[s] for s in range(slots)], abs=1e-12)
