@@ -12,6 +12,7 @@ from ..fixtures import CATEGORICAL, NUMERIC, load, view
 from ..functions import threshold_pred
 from ..models import linear as L
 from ..models import boosting as B
+from ..models import grouped as Q
 from ..models import registry as G
 from ..models import search as H
 from ..models import trees as T
@@ -74,7 +75,7 @@ def ols_fit(spark, sf):
 @query("residual_instrument", f"""{COMPLETE}, {DATA2}, {FIT2.format(by='split, ', group='GROUP BY split')}
 SELECT d.emplid, round(d.y - (f.b0 + f.b1 * d.x1 + f.b2 * d.x2), 6) + 0.0 AS instrument FROM d JOIN f ON d.split = f.split""")
 def residual_instrument(spark, sf):
-    return L.residual(two_predictors(spark, sf), "y", ["x1", "x2"], "instrument", ["split"]).select("emplid", r6("instrument").alias("instrument"))
+    return Q.residual(two_predictors(spark, sf), "y", ["x1", "x2"], "instrument", ["split"]).select("emplid", r6("instrument").alias("instrument"))
 
 
 @query("vif", f"""{COMPLETE}, {DATA2}, {FIT2.format(by='split, ', group='GROUP BY split')}
@@ -82,17 +83,56 @@ SELECT split, 'x1' AS feature, round(1 / (1 - s12 * s12 / (s11 * s22)), 6) AS vi
 UNION ALL SELECT split, 'x2', round(1 / (1 - s12 * s12 / (s11 * s22)), 6) FROM f
 UNION ALL SELECT split, 'intercept', round(1 + (m1 * m1 * s22 - 2 * m1 * m2 * s12 + m2 * m2 * s11) / (s11 * s22 - s12 * s12), 6) FROM f""")
 def vif(spark, sf):
-    rows = L.vif(two_predictors(spark, sf), ["x1", "x2"], ["split"])
-    return spark.createDataFrame(rows, "split string, feature string, vif double").withColumn("vif", r6("vif"))
+    return Q.vif(two_predictors(spark, sf), ["x1", "x2"], ["split"]).withColumn("vif", r6("vif"))
+
+
+@query("least_squares_many_groups", f"""{COMPLETE}, {DATA2}, g AS (SELECT *, emplid // 25 AS grp FROM d),
+f AS (SELECT grp, count(*) AS n, regr_slope(y, x1) AS b1, regr_intercept(y, x1) AS b0 FROM g GROUP BY grp HAVING count(DISTINCT x1) > 1)
+SELECT CAST(grp AS BIGINT) AS grp, n, round(b0, 6) + 0.0 AS intercept, round(b1, 6) + 0.0 AS slope FROM f""")
+def least_squares_many_groups(spark, sf):
+    """A fit for every 25 neighbouring ids: as many groups as the table makes."""
+    df = two_predictors(spark, sf).withColumn("grp", F.floor(F.col("emplid") / 25).cast("long"))
+    varied = df.groupBy(F.col("grp").alias("g")).agg(F.count_distinct("x1").alias("k")).where("k > 1")
+    fits = Q.least_squares(df.join(varied, F.col("grp") == F.col("g"), "left_semi"), "y", ["x1"], ["grp"])
+    beta = [F.round(F.get("beta", F.lit(i)), 6) + F.lit(0.0) for i in (0, 1)]
+    return fits.select("grp", "n", beta[0].alias("intercept"), beta[1].alias("slope"))
 
 
 @query("logit_inference")
 def logit_inference(spark, sf):
-    df = encoded(spark, sf, by_unit=True)
-    train = split_of(df, "training")
-    fits = per_unit(spark, list("PVTU"), lambda u: L.logit_inference(train.where(F.col("unit") == u).drop("features"), "enrl_ind", PLAIN))
-    rows = [(u, *r) for u, rs in fits.items() for r in rs]
-    return spark.createDataFrame(rows, "unit string, term string, coef double, std_err double, z double, p double, status string")
+    train = split_of(encoded(spark, sf, by_unit=True), "training").drop("features")
+    return Q.logit_inference(train, "enrl_ind", PLAIN, ["unit"])
+
+
+def newton_sql(steps: int) -> str:
+    """Newton steps of a logit on x1 and x2 for each unit, by Cramer's rule."""
+    out = ["b0 AS (SELECT DISTINCT unit, CAST(0 AS DOUBLE) AS a, CAST(0 AS DOUBLE) AS b, CAST(0 AS DOUBLE) AS c FROM t)"]
+    det = lambda m: f"({m[0]} * ({m[4]} * {m[8]} - {m[5]} * {m[7]}) - {m[1]} * ({m[3]} * {m[8]} - {m[5]} * {m[6]}) + {m[2]} * ({m[3]} * {m[7]} - {m[4]} * {m[6]}))"
+    full = ["h", "h1", "h2", "h1", "h11", "h12", "h2", "h12", "h22"]
+    swap = lambda j: [f"s{i // 3}" if i % 3 == j else v for i, v in enumerate(full)]
+    for k in range(steps):
+        out.append(f"""p{k} AS (SELECT t.*, a, b, c, 1 / (1 + exp(-(a + b * x1 + c * x2))) AS p FROM t JOIN b{k} USING (unit)),
+s{k} AS MATERIALIZED (SELECT unit, any_value(a) AS a, any_value(b) AS b, any_value(c) AS c, sum(y - p) AS s0, sum((y - p) * x1) AS s1, sum((y - p) * x2) AS s2, sum(p * (1 - p)) AS h,
+  sum(p * (1 - p) * x1) AS h1, sum(p * (1 - p) * x2) AS h2, sum(p * (1 - p) * x1 * x1) AS h11, sum(p * (1 - p) * x1 * x2) AS h12, sum(p * (1 - p) * x2 * x2) AS h22 FROM p{k} GROUP BY unit),
+b{k + 1} AS MATERIALIZED (SELECT unit, a + {det(swap(0))} / {det(full)} AS a, b + {det(swap(1))} / {det(full)} AS b, c + {det(swap(2))} / {det(full)} AS c FROM s{k})""")
+    last = f"s{steps - 1}"
+    minor = {"a": "h11 * h22 - h12 * h12", "b": "h * h22 - h2 * h2", "c": "h * h11 - h1 * h1"}
+    out.append("told AS (" + " UNION ALL ".join(
+        f"SELECT unit, '{term}' AS term, {v} AS coef, sqrt(({minor[v]}) / {det(full)}) AS std_err FROM {last}"
+        for term, v in (("intercept", "a"), ("fall_withdrawn_hours", "b"), ("fall_lec_count", "c"))) + ")")
+    return ",\n".join(out)
+
+
+@query("logit_by_newton", f"""{ROUTED},
+t AS (SELECT unit, CAST(enrl_ind AS DOUBLE) AS y, CAST(fall_withdrawn_hours AS DOUBLE) AS x1, CAST(fall_lec_count AS DOUBLE) AS x2 FROM routed
+      WHERE split = 'training' AND unmet_need_ofr IS NOT NULL AND high_school_gpa IS NOT NULL),
+{newton_sql(8)}
+SELECT unit, term, round(coef, 6) + 0.0 AS coef, round(std_err, 6) AS std_err, round(coef / std_err, 5) + 0.0 AS z, 'converged' AS status FROM told""")
+def logit_by_newton(spark, sf):
+    """Logits of all units with their standard errors, against Newton's steps in SQL."""
+    df = unit_cohorts(cohort(spark, sf), NAMES).where("split = 'training'")
+    out = Q.logit_inference(df, "enrl_ind", ["fall_withdrawn_hours", "fall_lec_count"], ["unit"])
+    return out.select("unit", "term", (r6("coef") + F.lit(0.0)).alias("coef"), r6("std_err").alias("std_err"), (F.round("z", 5) + F.lit(0.0)).alias("z"), "status")
 
 
 @query("logit_score_equations", f"""{ROUTED}, terms AS (SELECT * FROM (VALUES {', '.join(f"('{t}')" for t in [*PLAIN, 'intercept'])}) v(term))

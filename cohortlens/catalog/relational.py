@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..fixtures import FEATURES, load, view, with_views
-from ..models.linear import residual, vif
+from ..models.grouped import residual, vif
 from ..operators import relational as R
 from ..operators.metrics import group_metrics
 from ..plans.calendar import term_as_of
@@ -319,9 +319,8 @@ def pivot_topn_wide(spark, sf):
 v AS (SELECT 1 / (1 - power(corr(fall_lec_count, fall_withdrawn_hours), 2)) AS vif FROM complete WHERE split = 'training')
 SELECT feature, round(vif, 6) AS vif FROM v, (VALUES ('fall_lec_count'), ('fall_withdrawn_hours')) f(feature) ORDER BY vif DESC""")
 def sort_vif(spark, sf):
-    rows = vif(complete(spark, sf).where("split = 'training'"), ["fall_lec_count", "fall_withdrawn_hours"])
-    df = spark.createDataFrame(rows, "feature string, vif double").where("feature <> 'intercept'")
-    return df.withColumn("vif", r6("vif")).orderBy(F.desc("vif"))
+    df = vif(complete(spark, sf).where("split = 'training'"), ["fall_lec_count", "fall_withdrawn_hours"])
+    return df.where("feature <> 'intercept'").withColumn("vif", r6("vif")).orderBy(F.desc("vif"))
 
 
 # --- set operations ----------------------------------------------------------------------------

@@ -484,6 +484,8 @@ def boosted_forests(train: DataFrame, valid: DataFrame | None, label: str, by: s
     width = max(r["p"] for r in counts.values())
     edges = edges_of(rows, width, bins)
     every = rows if valid is None else rows.unionByName(read(valid, True).where("grp IS NOT NULL"))
+    # every pass to come reads what is dealt here: as many even tasks as there are cores, at least
+    every = every.repartition(max(train.sparkSession.sparkContext.defaultParallelism, every.rdd.getNumPartitions()))
     table = cut(blocks_of(every, train.sparkSession.sparkContext.broadcast(edges)), "boost", ("grp",))
     bins = 1 + max((len(e) for held in edges.values() for e in held), default=1)
 

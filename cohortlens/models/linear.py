@@ -1,4 +1,4 @@
-"""Linear models: least squares, residual instruments, inference, VIF, elastic-net and Huber classifiers."""
+"""Linear models of one data set: least squares with a summary, elastic-net and Huber classifiers, the perceptron, calibration."""
 
 from __future__ import annotations
 
@@ -8,24 +8,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from py4j.protocol import Py4JJavaError
 from pyspark import cloudpickle
-from pyspark.errors import IllegalArgumentException
 from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GeneralizedLinearRegression, IsotonicRegression, LinearRegression
+from pyspark.ml.regression import IsotonicRegression, LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.features import assemble
 from ..operators.relational import complete_cases
-from ..session import join_groups
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-LOGIT_ITERATIONS = 100
-
 
 def prob_of_one(vector: str = "probability") -> Column:
     return F.get(vector_to_array(F.col(vector)), F.lit(1))
@@ -66,132 +61,12 @@ def grouped_sums(df: DataFrame, by: list[str], value, width: int) -> dict[tuple,
             for r in packed.collect()}
 
 
-def _cross(x: np.ndarray, tag: str) -> np.ndarray:
-    return x.T @ x
-
-
-def gram(df: DataFrame, columns: list[str], by: list[str] = ()) -> dict[tuple, tuple[np.ndarray, np.ndarray, float]]:
-    """Per group: means, centred cross products and row count. Columns are centred before they are multiplied."""
-    by = list(by)
-    means = df.groupBy(*by).agg(*[F.avg(c).alias(f"_mu_{c}") for c in columns], F.count("*").alias("_n"))
-    means = means.withColumns({f"_tag_{c}": F.col(c).cast("string") for c in by}) if by else means
-    if by:
-        centred, mu = join_groups(df, means, by), F.col
-    else:
-        row = means.first()
-        centred, mu = df, lambda n: F.lit(row[n])
-    x = F.array(*[F.col(c).cast("double") - mu(f"_mu_{c}") for c in columns]).alias("_x")
-    p = len(columns)
-    cross = grouped_sums(centred.select(*by, x), by, _cross, p)
-    out = {}
-    for r in means.collect():
-        tag = tuple(r[f"_tag_{c}"] for c in by)
-        out[tag] = (np.array([r[f"_mu_{c}"] for c in columns], dtype=float), cross[tag].reshape(p, p), float(r["_n"]))
-    return out
-
-
-@dataclass
-class LinearFits:
-    """Coefficients of one least-squares fit per group."""
-
-    by: list[str]
-    xs: list[str]
-    coefficients: dict[tuple, np.ndarray]  # intercept first
-
-    def table(self, spark) -> DataFrame:
-        rows = [(*tag, name, float(b)) for tag, beta in self.coefficients.items()
-                for name, b in zip(["intercept", *self.xs], beta)]
-        return spark.createDataFrame(rows, ", ".join([*(f"{c} string" for c in self.by), "term string", "coef double"]))
-
-    def predicted(self) -> Column:
-        """The fitted value as an expression, NULL where an input is missing."""
-        out = None
-        for tag, beta in self.coefficients.items():
-            fit = F.lit(float(beta[0]))
-            for x, b in zip(self.xs, beta[1:]):
-                fit = fit + F.col(x) * float(b)
-            cond = F.lit(True)
-            for c, v in zip(self.by, tag):
-                cond = cond & F.col(c).cast("string").eqNullSafe(F.lit(v))
-            out = F.when(cond, fit) if out is None else out.when(cond, fit)
-        return out
-
-
-def least_squares(df: DataFrame, y: str, xs: list[str], by: list[str] = ()) -> LinearFits:
-    """One least-squares fit per group over complete rows, from one pass of cross products."""
-    complete = complete_cases(df, [y, *xs])
-    fits = {}
-    for tag, (mu, cross, _) in gram(complete, [y, *xs], by).items():
-        slope = np.linalg.lstsq(cross[1:, 1:], cross[1:, 0], rcond=None)[0]
-        fits[tag] = np.concatenate([[mu[0] - mu[1:] @ slope], slope])
-    return LinearFits(list(by), list(xs), fits)
-
-
-def residual(df: DataFrame, y: str, xs: list[str], name: str, by: list[str] = ()) -> DataFrame:
-    """Actual minus predicted as a new column, each group fitted on its own; incomplete rows get NULL.
-
-    The residual is an expression over the row, so no join brings it back.
-    """
-    fits = least_squares(df, y, xs, by)
-    if not fits.coefficients:
-        return df.withColumn(name, F.lit(None).cast("double"))
-    return df.withColumn(name, F.col(y) - fits.predicted())
-
-
 def ols(df: DataFrame, y: str, xs: list[str]):
     """Least squares with its summary (standard errors, t, p, R squared)."""
     data = assemble(xs).transform(complete_cases(df, [y, *xs]))
     return LinearRegression(labelCol=y, solver="normal", predictionCol="predicted").fit(data)
 
 
-def vif(df: DataFrame, xs: list[str], by: list[str] = ()) -> list[tuple]:
-    """(group, feature, vif) with the intercept included.
-
-    A feature that the others determine is infinite and leaves unrelated ones alone; a feature that
-    does not vary has none.
-    """
-    rows = []
-    for tag, (mu, cross, n) in gram(complete_cases(df, xs), xs, by).items():
-        scale = np.sqrt(np.diag(cross))
-        varies = np.nonzero(scale > 1e-12 * (1 + np.abs(mu)) * np.sqrt(n))[0]
-        corr = cross[np.ix_(varies, varies)] / np.outer(scale[varies], scale[varies])
-        fixed = np.setdiff1d(np.arange(len(xs)), varies)
-        if np.any(mu[fixed] != 0):
-            intercept = float("inf")
-        else:
-            # The regression for the intercept has no constant, so raw moments count.
-            m = mu[varies] / scale[varies]
-            intercept = float(1.0 + n * (m @ np.linalg.pinv(corr, hermitian=True) @ m))
-        rows.append((*tag, "intercept", intercept))
-        factors = {}
-        for i, at in enumerate(varies):
-            rest = np.delete(np.arange(len(varies)), i)
-            r2 = 0.0
-            if len(rest):
-                c = corr[rest, i]
-                r2 = float(c @ np.linalg.lstsq(corr[np.ix_(rest, rest)], c, rcond=1e-10)[0])
-            factors[at] = 1.0 / (1.0 - r2) if r2 < 1 - 1e-10 else float("inf")
-        rows += [(*tag, x, factors.get(i)) for i, x in enumerate(xs)]
-    return rows
-
-
-def logit_inference(df: DataFrame, y: str, xs: list[str]) -> list[tuple]:
-    """(term, coef, std_err, z, p, status) of a maximum-likelihood logit; a failed fit is one status row."""
-    try:
-        data = assemble(xs).transform(complete_cases(df, [y, *xs]))
-        model = GeneralizedLinearRegression(family="binomial", link="logit", labelCol=y, maxIter=LOGIT_ITERATIONS, regParam=0.0).fit(data)
-        s = model.summary
-        status = "converged" if s.numIterations < LOGIT_ITERATIONS else "not converged"
-        terms = [*xs, "intercept"]
-        coefs = [*model.coefficients, model.intercept]
-        return [(t, float(c), float(e), float(z), float(p), status)
-                for t, c, e, z, p in zip(terms, coefs, s.coefficientStandardErrors, s.tValues, s.pValues)]
-    except (IllegalArgumentException, Py4JJavaError) as failed:  # a singular design or separation
-        if isinstance(failed, Py4JJavaError) and "ingular" not in str(failed):
-            raise  # a lost executor is no property of the data
-        return [(None, None, None, None, None, f"failed: {type(failed).__name__}")]
-
-
 # --- classifiers -------------------------------------------------------------------------------
 
 def balanced_weight(df: DataFrame, label: str) -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..explain.contributions import tree_contributions
 from ..functions import threshold_pred
-from ..models.linear import logit_inference, vif
+from ..models.grouped import logit_inference, vif
 from ..models.boosting import BoostedForest, boosted_forest, boosted_forests, score
 from ..models.registry import load_facts, load_forest, save_forest
 from ..models.search import halving_search
@@ -44,22 +44,13 @@ def encode(df: DataFrame, categorical: list[str], unseen: str = "error") -> tupl
     return encoder.transform(df), encoder.names()
 
 
-def diagnostics(coded: DataFrame, columns: list[str], units: list[str]) -> tuple[DataFrame, DataFrame]:
+def diagnostics(coded: DataFrame, columns: list[str]) -> tuple[DataFrame, DataFrame]:
     """(logit, vif) of each unit's training rows: estimates with their tests, and inflation factors, highest first.
 
-    The logit leaves out columns that do not vary in the unit.
+    The logit leaves out columns that do not vary in the unit; a fit that fails is a row with its status.
     """
-    spark, train = coded.sparkSession, coded.where("split = 'training'")
-    factors = vif(train, columns, ["unit"])
-    fixed = {(u, x) for u, x, v in factors if v is None}
-
-    def fit(unit: str) -> list[tuple]:
-        used = [c for c in columns if (unit, c) not in fixed]
-        return logit_inference(train.where(F.col("unit") == unit), "enrl_ind", used)
-
-    rows = [(u, *r) for u, rs in per_unit(spark, units, fit).items() for r in rs]
-    logit = spark.createDataFrame(rows, "unit string, term string, coef double, std_err double, z double, p double, status string")
-    return logit, spark.createDataFrame(factors, "unit string, feature string, vif double").orderBy("unit", F.desc("vif"))
+    train = coded.where("split = 'training'")
+    return logit_inference(train, "enrl_ind", columns, ["unit"]), vif(train, columns, ["unit"]).orderBy("unit", F.desc("vif"))
 
 
 def clean(coded: DataFrame, columns: list[str], k: int = 20) -> tuple[DataFrame, DataFrame]:
@@ -90,13 +81,20 @@ class Run:
     unscored: DataFrame  # testing rows of units that have no fitted rows
     run_date: datetime.date
     model_id: int
+    design: DataFrame  # the fitted rows with their columns
+    columns: list[str]
+
+    def diagnostics(self) -> tuple[DataFrame, DataFrame]:
+        """Logit and inflation factors of each unit's fitted training rows."""
+        return diagnostics(self.design, self.columns)
 
     def publish(self, root: str) -> None:
         """Append the run to the history tables below ``root``."""
         append_run(self.outcome, f"{root}/student_outcome")
         append_run(self.fairness, f"{root}/student_fairness")
         named = {"date": F.lit(self.run_date), "model_id": F.lit(self.model_id)}
-        others = {"student_shap": self.shap, "pred_outcome": self.predictions, "aggregate_outcome": self.aggregate,
+        logit, factors = self.diagnostics()
+        others = {"logit": logit, "vif": factors, "student_shap": self.shap, "pred_outcome": self.predictions, "aggregate_outcome": self.aggregate,
                   "removed_rows": self.removed, "unscored_rows": self.unscored}
         for name, df in others.items():
             if df is not None:
@@ -185,5 +183,6 @@ def retention_risk(df: DataFrame, categorical: list[str], numeric: list[str], un
         predictions=pred_outcome(tested, {"xgbrf": "prob"}, keep=["unit"]),
         aggregate=aggregate_outcome(tested, keep=["unit"]) if described else None,
         fairness=fairness, quality=quality, shap=shap, removed=removed, run_date=run_date, model_id=model_id,
+        design=fitted.drop("features"), columns=columns,
         unscored=testing.where(~F.col("unit").isin(chosen)).select("unit", "emplid", F.lit("no fitted rows").alias("reason")),
     )

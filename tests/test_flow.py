@@ -43,8 +43,9 @@ def test_every_scored_row_has_an_outcome_and_an_explanation(runs):
 def test_diagnostics_of_every_unit(spark):
     coded, indicators = encode(unit_cohorts(view(spark, SF, "fx_cohort"), ["emplid", "enrl_ind", *CATEGORICAL, *NUMERIC]), CATEGORICAL)
     columns = ["male", "resident", "fall_lec_count", "unmet_need_ofr_mi"]
-    logit, factors = diagnostics(coded.cache(), columns, list("PU"))
+    logit, factors = diagnostics(coded.where("unit IN ('P', 'U')").cache(), columns)
     assert {(r["unit"], r["status"]) for r in logit.collect()} == {("P", "converged"), ("U", "converged")}
+    assert {r["term"] for r in logit.collect()} == {"male", "resident", "fall_lec_count", "intercept"}
     rows = factors.where("unit = 'P'").collect()
     assert [r["vif"] for r in rows if r["vif"] is not None] == sorted((r["vif"] for r in rows if r["vif"] is not None), reverse=True)
     assert {r["feature"] for r in rows if r["vif"] is None} == {"unmet_need_ofr_mi"}
@@ -62,6 +63,9 @@ def test_publish_appends(spark, runs):
     assert runs[0].unscored.count() == 0
     assert spark.read.parquet(f"{root}/student_outcome").where(F.col("model_id") == 2).count() == 2 * once
     assert spark.read.parquet(f"{root}/student_fairness").count() > 0
+    logit, factors = (spark.read.parquet(f"{root}/{n}").where(F.col("model_id") == 2) for n in ("logit", "vif"))
+    assert {r["unit"] for r in logit.collect()} == {r["unit"] for r in factors.collect()} == set("PU")
+    assert logit.where("status = 'converged' OR status LIKE 'failed: %'").count() == logit.count()
 
 
 def test_rows_as_a_resource(spark):

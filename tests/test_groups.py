@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from cohortlens.models import linear as L
+from cohortlens.models import grouped as Q
 from cohortlens.models.search import halving_search
 from cohortlens.operators.features import OneHot, standard_scale
 from cohortlens.operators.metrics import roc_auc, roc_curve
@@ -30,8 +30,8 @@ def test_curves(df):
 
 
 def test_fits(df):
-    assert set(L.gram(df, ["x", "z"], ["g"])) == {("a",), (None,)}
-    assert {r["r"] is None for r in L.residual(df, "z", ["x"], "r", ["g"]).collect()} == {False}
+    assert {r["g"] for r in Q.least_squares(df, "z", ["x"], ["g"]).collect()} == {"a", None}
+    assert {r["r"] is None for r in Q.residual(df, "z", ["x"], "r", ["g"]).collect()} == {False}
 
 
 def test_groups_that_were_not_fitted_stay(df):

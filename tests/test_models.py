@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cohortlens.explain import contributions
 from cohortlens.explain.contributions import tree_contributions
 from cohortlens.models import boosting as G
+from cohortlens.models import grouped as Q
 from cohortlens.models import linear as L
 from cohortlens.models import search as H
 from cohortlens.models import trees as T
@@ -28,46 +29,84 @@ def data(spark):
 
 def test_least_squares_per_group(spark, data):
     pdf, df = data
-    fits = L.least_squares(df, "b", ["a", "c"], ["u"])
+    fits = {r["u"]: r for r in Q.least_squares(df, "b", ["a", "c"], ["u"]).collect()}
     for u, part in pdf.groupby("u"):
         x = np.column_stack([np.ones(len(part)), part["a"], part["c"]])
-        assert fits.coefficients[(u,)] == pytest.approx(np.linalg.lstsq(x, part["b"], rcond=None)[0])
-    assert {r["term"] for r in fits.table(spark).collect()} == {"intercept", "a", "c"}
+        assert fits[u]["beta"] == pytest.approx(np.linalg.lstsq(x, part["b"], rcond=None)[0].tolist()) and fits[u]["n"] == len(part)
+    long = Q.coefficients(Q.least_squares(df, "b", ["a", "c"]), ["a", "c"]).collect()
+    assert [r["term"] for r in long] == ["intercept", "a", "c"]
 
 
 def test_residual_of_incomplete_rows_is_null(spark):
     df = spark.createDataFrame([(1, 1.0, 2.0), (2, 2.0, 4.0), (3, 3.0, 6.0), (4, None, 1.0), (5, 4.0, None)], "id int, x double, y double")
-    got = {r["id"]: r["r"] for r in L.residual(df, "y", ["x"], "r").collect()}
+    got = {r["id"]: r["r"] for r in Q.residual(df, "y", ["x"], "r").collect()}
     assert got[4] is None and got[5] is None and got[1] == pytest.approx(0, abs=1e-9)
+    none = df.where("x IS NULL")
+    assert [r["r"] for r in Q.residual(none, "y", ["x"], "r").collect()] == [None]
+
+
+def test_a_hundred_thousand_groups(spark, monkeypatch):
+    """Every group has its own line; nothing but counts comes to the driver, and the plan has no branch per group."""
+    monkeypatch.setattr(Q, "BUCKET", 100_000)
+    df = spark.range(400_000).select((F.col("id") % 100_000).alias("g"), (F.col("id") % 7 + F.col("id") / 100_000).alias("x"))
+    df = df.withColumn("y", F.col("g") % 11 + (F.col("g") % 5) * F.col("x"))
+    fits = Q.least_squares(df, "y", ["x"], ["g"])
+    off = fits.where((F.abs(F.get("beta", F.lit(0)) - F.col("g") % 11) > 1e-6) | (F.abs(F.get("beta", F.lit(1)) - F.col("g") % 5) > 1e-6))
+    assert fits.count() == 100_000 and off.count() == 0
+    assert Q.residual(df, "y", ["x"], "r", ["g"]).where("abs(r) > 1e-6 OR r IS NULL").count() == 0
 
 
 def test_vif_of_combinations_and_constants(spark, data):
     pdf, df = data
+    told = lambda d, xs: {r["feature"]: r["vif"] for r in Q.vif(d, xs).collect()}
     wide = df.withColumns({"d": F.col("a") + F.col("b"), "zero": F.lit(0.0), "e": F.col("c") + F.sin("id")})
-    got = dict(L.vif(wide, ["a", "b", "d", "zero", "c", "e"]))
+    got = told(wide, ["a", "b", "d", "zero", "c", "e"])
     assert math.isinf(got["a"]) and math.isinf(got["b"]) and math.isinf(got["d"]) and got["zero"] is None
     r = np.corrcoef(pdf["c"], pdf["c"] + np.sin(pdf["id"]))[0, 1]
     assert got["c"] == pytest.approx(1 / (1 - r * r), rel=0.05)
-    plain = dict(L.vif(df, ["a", "b"]))
+    plain = told(df, ["a", "b"])
     x = np.column_stack([np.ones(len(pdf)), pdf["a"], pdf["b"]])
     inv = np.linalg.inv(x.T @ x)
     assert plain["intercept"] == pytest.approx(len(pdf) * inv[0, 0])
     assert plain["a"] == pytest.approx(((pdf["a"] - pdf["a"].mean()) ** 2).sum() * inv[1, 1])
-    assert math.isinf(dict(L.vif(df.withColumn("two", F.lit(2.0)), ["a", "two"]))["intercept"])
+    assert math.isinf(told(df.withColumn("two", F.lit(2.0)), ["a", "two"])["intercept"])
 
 
 def test_logit_solves_its_score_equations(data):
     pdf, df = data
-    rows = {t: c for t, c, *_ in L.logit_inference(df.drop("features"), "y", ["a", "b", "c"])}
-    x = np.column_stack([pdf["a"], pdf["b"], pdf["c"], np.ones(len(pdf))])
-    p = 1 / (1 + np.exp(-x @ np.array([rows["a"], rows["b"], rows["c"], rows["intercept"]])))
+    found = {r["term"]: r for r in Q.logit_inference(df.drop("features").withColumn("b", F.col("b") * 1000 + 5), "y", ["a", "b", "c"]).collect()}
+    x = np.column_stack([pdf["a"], pdf["b"] * 1000 + 5, pdf["c"], np.ones(len(pdf))])
+    p = 1 / (1 + np.exp(-x @ np.array([found[t]["coef"] for t in ("a", "b", "c", "intercept")])))
     assert np.abs(x.T @ (pdf["y"] - p)).max() < 1e-3
-
-
-def test_failed_logit_is_a_status_row(spark):
-    df = spark.createDataFrame([(0, "x")], "y int, a string")
-    (row,) = L.logit_inference(df, "y", ["a"])
-    assert row[-1].startswith("failed")
+    errors = np.sqrt(np.diag(np.linalg.inv(x.T @ (x * (p * (1 - p))[:, None]))))
+    assert [found[t]["std_err"] for t in ("a", "b", "c", "intercept")] == pytest.approx(errors.tolist(), rel=1e-4)
+    for r in found.values():
+        assert r["status"] == "converged" and r["z"] == pytest.approx(r["coef"] / r["std_err"])
+        assert r["p"] == pytest.approx(math.erfc(abs(r["z"]) / math.sqrt(2)))
+
+
+def test_each_groups_logit_ends_in_its_own_way(spark, data):
+    """Groups that converge, that are separated, that have one class, a singular design, a fixed column, and no name."""
+    pdf, _ = data
+    rows = [("fine", int(r.y), float(r.a), float(r.b)) for r in pdf.itertuples()]
+    rows += [(None, int(r.y), float(r.a), 4.0) for r in pdf.itertuples()]
+    rows += [("apart", int(a > 0), float(a), float(b)) for a, b in zip(pdf["a"], pdf["b"])]
+    rows += [("once", 1, float(a), float(b)) for a, b in zip(pdf["a"], pdf["b"])]
+    rows += [("twice", int(r.y), float(r.a), 2 * float(r.a) + 1) for r in pdf.itertuples()]
+    df = spark.createDataFrame(rows, "g string, y int, a double, b double")
+    out = {}
+    for r in Q.logit_inference(df, "y", ["a", "b"], ["g"]).collect():
+        out.setdefault(r["g"], []).append(r)
+    assert {g: {r["status"] for r in rs} for g, rs in out.items()} == {
+        "fine": {"converged"}, None: {"converged"}, "apart": {"failed: separation"}, "once": {"failed: one class"}, "twice": {"failed: singular design"}}
+    assert {r["term"] for r in out[None]} == {"a", "intercept"} and len(out["fine"]) == 3 and len(out["apart"]) == 1
+    alone = {r["term"]: r["coef"] for r in Q.logit_inference(df.where("g = 'fine'"), "y", ["a", "b"]).collect()}
+    assert {r["term"]: r["coef"] for r in out["fine"]} == pytest.approx(alone, rel=1e-9)
+
+
+def test_no_complete_rows_no_fit(spark):
+    df = spark.createDataFrame([(0, None)], "y int, a double")
+    assert Q.logit_inference(df, "y", ["a"]).count() == 0 and Q.least_squares(df, "y", ["a"]).count() == 0
 
 
 def test_elastic_logit_uses_balanced_weights(data):
