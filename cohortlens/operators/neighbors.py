@@ -4,15 +4,19 @@ Neighbours are found without forming all pairs:
 
 1. Copies of one vector become a single *site*; only the k+1 lowest keys of a site can ever be
    neighbours, so a site carries at most that many, however many copies there are.
-2. Sites are range partitioned along a grid order that halves the widest dimension first, and each
-   sorted partition is packed into blocks of at most ``BLOCK_ROWS`` sites with a bounding box.
+2. Sites are range partitioned by the nearest of a few pivots, then along a grid order that halves
+   the widest dimension first, and each sorted partition is packed into blocks of at most
+   ``BLOCK_ROWS`` sites with a bounding box and, for each pivot, the range of the sites' distances.
 3. Inside its block a site finds k close sites. The distance to the k-th is a bound: a block whose
-   box is farther away cannot hold a nearer one.
-4. Each block is sent, with only those of its sites that may gain from it, to the blocks its sites'
-   bounds reach, and the k nearest of all finds are kept.
-
-All steps are equi-joins on block, directory or site keys, every unit of work is one pair of
-bounded blocks, and nothing is broadcast. Distances add up the features in the given order, so a
+   box is farther away, or whose distances to some pivot differ more from the site's, cannot hold a
+   nearer one. Boxes tell in few dimensions, pivots in many.
+4. Blocks are the leaves of a directory tree of fixed fan-out and any depth, joined level by level:
+   a block goes to a node with only those of its sites that may gain from it, and in the end to the
+   blocks its sites' bounds reach. The k nearest of all finds are kept.
+
+All steps are equi-joins on block, node or site keys. A level with few nodes has copies of each, dealt by
+salt, so that the root is no single task either; targets that very many probes reach are salted by
+their count. Every unit of work is one pair of bounded blocks, and nothing is broadcast but the pivots. Distances add up the features in the given order, so a
 box bound never exceeds a real distance through rounding. Ties are broken by key.
 """
 
@@ -39,10 +43,13 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 BLOCK_ROWS = 1024
 STRIP = 64
 GRID_BITS = 60
-DIRECT_BLOCKS = 2048
+FAN = 256  # children of a node of the directory
+PIVOTS, CELLS, SAMPLE = 12, 48, 2048  # pivots that bound distances, pivots that sort sites, sites they are taken from
+PROBES_PER_TASK = 64
 HOT_SHARE = 1024
 LOF_EPSILON = 1e-10
 LOF_CUT = 1.5
+EDGES = ("lo", "hi", "plo", "phi")  # ends of a block's columns, and of its distances to the pivots
 
 
 # --- kernels on bounded blocks -----------------------------------------------------------------
@@ -133,6 +140,51 @@ def _batch(rows: list[dict], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, schema=schema)
 
 
+# --- pivots ------------------------------------------------------------------------------------
+
+def _pivots(sites: DataFrame, width: int, metric: str) -> np.ndarray:
+    """Sites of a sample, each the farthest from those before."""
+    sample = sites.select("vec", F.xxhash64("vec").alias("h")).orderBy("h").limit(SAMPLE).collect()
+    x = np.array([r["vec"] for r in sample], dtype=float).reshape(len(sample), width)
+    if not len(x):
+        return np.zeros((0, width))
+    picked = [0]
+    near = _distances(x, x[:1], metric)[:, 0]
+    while len(picked) < CELLS and near.max() > 0:
+        picked.append(int(near.argmax()))
+        near = np.minimum(near, _distances(x, x[picked[-1:]], metric)[:, 0])
+    return x[picked]
+
+
+def _apart(own: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Least distance of sites (rows of their distances to the pivots) to blocks (ranges of such), by the triangle inequality.
+
+    Less what rounding may add, so that no bound exceeds a real distance.
+    """
+    out = np.zeros((len(own), len(low)))
+    for p in range(own.shape[1]):
+        gap = np.maximum(own[:, p, None] - high[None, :, p], low[None, :, p] - own[:, p, None])
+        np.maximum(out, gap - 1e-9 * (1.0 + own[:, p, None] + high[None, :, p]), out=out)
+    return out
+
+
+def _with_cell(sites: DataFrame, groups: list[str], width: int, metric: str, pivots: np.ndarray) -> DataFrame:
+    """``sites`` with the number of the nearest pivot. A hint for locality."""
+
+    def cell(batches):
+        for batch in batches:
+            x = np.asarray(batch.column("vec").flatten(), dtype=float).reshape(-1, width)
+            near = np.zeros(len(x), np.int32)
+            for at in range(0, len(x), BLOCK_ROWS):
+                near[at: at + BLOCK_ROWS] = _distances(x[at: at + BLOCK_ROWS], pivots, metric).argmin(axis=1)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(near)], names=[*batch.schema.names, "_cell"])
+
+    if not len(pivots):
+        return sites.withColumn("_cell", F.lit(0))
+    schema = T.StructType([*sites.schema.fields, T.StructField("_cell", T.IntegerType())])
+    return sites.mapInArrow(cell, schema)
+
+
 # --- packing -----------------------------------------------------------------------------------
 
 def _grid_order(df: DataFrame, vec: str, width: int) -> Column:
@@ -162,7 +214,7 @@ def _grid_order(df: DataFrame, vec: str, width: int) -> Column:
     return code
 
 
-def _pack(width: int, metric: str, k: int, key_type: pa.DataType, groups: list[str], alone: bool, schema: pa.Schema):
+def _pack(width: int, metric: str, k: int, key_type: pa.DataType, groups: list[str], alone: bool, schema: pa.Schema, pivots: np.ndarray):
     """Turn a sorted partition into block rows. ``alone`` skips the search inside the block."""
 
     def emit(seq: int, group: tuple, keys: pa.Array, x: np.ndarray) -> dict:
@@ -170,8 +222,9 @@ def _pack(width: int, metric: str, k: int, key_type: pa.DataType, groups: list[s
         keys = keys.take(order)
         x = x[order.to_numpy()]
         n = len(x)
-        row = {"pid": TaskContext.get().partitionId(), "block": (TaskContext.get().partitionId() << 32) + seq,
-               "n": n, "lo": x.min(axis=0), "hi": x.max(axis=0), "keys": keys, "mat": x.ravel()}
+        far = _distances(x, pivots[:PIVOTS], metric)
+        row = {"block": (TaskContext.get().partitionId() << 32) + seq, "n": n, "lo": x.min(axis=0), "hi": x.max(axis=0),
+               "plo": far.min(axis=0), "phi": far.max(axis=0), "keys": keys, "mat": x.ravel()}
         row.update(zip(groups, group))
         if not alone:
             theta = np.full(n, np.inf)
@@ -217,11 +270,11 @@ def _pack(width: int, metric: str, k: int, key_type: pa.DataType, groups: list[s
     return pack
 
 
-def _blocks(sites: DataFrame, groups: list[str], width: int, metric: str, k: int, alone: bool, code: Column) -> DataFrame:
+def _blocks(sites: DataFrame, groups: list[str], width: int, metric: str, k: int, alone: bool, code: Column, pivots: np.ndarray) -> DataFrame:
     key = sites.schema["key"].dataType
     fields = [sites.schema[g] for g in groups] + [
-        T.StructField("pid", T.IntegerType()), T.StructField("block", T.LongType()), T.StructField("n", T.IntegerType()),
-        T.StructField("lo", T.ArrayType(T.DoubleType())), T.StructField("hi", T.ArrayType(T.DoubleType())),
+        T.StructField("block", T.LongType()), T.StructField("n", T.IntegerType()),
+        *[T.StructField(c, T.ArrayType(T.DoubleType())) for c in EDGES],
         T.StructField("keys", T.ArrayType(key)), T.StructField("mat", T.ArrayType(T.DoubleType())),
     ]
     if not alone:
@@ -230,16 +283,17 @@ def _blocks(sites: DataFrame, groups: list[str], width: int, metric: str, k: int
             T.StructField("nbr", T.ArrayType(key)), T.StructField("dist", T.ArrayType(T.DoubleType())),
         ]
     schema = T.StructType(fields)
-    pack = _pack(width, metric, k, to_arrow_type(key), groups, alone, to_arrow_schema(schema))
-    ordered = sites.withColumn("_grid", code).repartitionByRange(*groups, "_grid", "key")
-    ordered = ordered.sortWithinPartitions(*groups, "_grid", "key").select(*groups, "key", "vec")
+    pack = _pack(width, metric, k, to_arrow_type(key), groups, alone, to_arrow_schema(schema), pivots)
+    placed = _with_cell(sites, groups, width, metric, pivots).withColumn("_grid", code)
+    ordered = placed.repartitionByRange(*groups, "_cell", "_grid", "key").sortWithinPartitions(*groups, "_cell", "_grid", "key").select(*groups, "key", "vec")
     return cut(ordered.mapInArrow(pack, schema), "blocks")
 
 
 # --- routing and matching ----------------------------------------------------------------------
 
-def _route(width: int, metric: str, need: int, theta_given: bool, self_search: bool, schema: pa.Schema, groups: list[str]):
-    """Send the sites of a block (or probe) to the boxes of a directory that their bounds reach."""
+def _route(width: int, metric: str, need: int, theta_given: bool, own_block: bool, schema: pa.Schema, groups: list[str], pivots: np.ndarray):
+    """Send the sites of a block (or probe) to the children of a node that their bounds reach. ``own_block``: but not to their own block."""
+    pivots = pivots[:PIVOTS]
 
     def route(batches):
         for batch in batches:
@@ -248,21 +302,22 @@ def _route(width: int, metric: str, need: int, theta_given: bool, self_search: b
                 x = _matrix(batch.column("mat"), i, width)
                 theta = np.asarray(batch.column("theta")[i].values, dtype=float) if theta_given else np.full(len(x), np.inf)
                 lo, hi = _matrix(batch.column("box_lo"), i, width), _matrix(batch.column("box_hi"), i, width)
+                plo, phi = (_matrix(batch.column(c), i, len(pivots)) if len(pivots) else np.zeros((len(lo), 0)) for c in ("box_plo", "box_phi"))
                 ids = np.asarray(batch.column("box_id")[i].values)
-                n = np.asarray(batch.column("box_n")[i].values)
-                full = n >= need
+                full = np.asarray(batch.column("box_n")[i].values) >= need
                 # Boxes out of reach for the block as a whole are dropped before rows are looked at.
                 low, high = _gaps(x.min(axis=0)[None], x.max(axis=0)[None], lo, hi, metric)
                 reach = min(theta.max(), high[0, full].min() if full.any() else np.inf)
                 near = np.nonzero(low[0] <= reach)[0]
-                lo, hi, ids, full = lo[near], hi[near], ids[near], full[near]
+                lo, hi, plo, phi, ids, full = lo[near], hi[near], plo[near], phi[near], ids[near], full[near]
                 low, high = _gaps(x, x, lo, hi, metric)
+                low = np.maximum(low, _apart(_distances(x, pivots, metric), plo, phi))
                 if full.any():
                     theta = np.minimum(theta, high[:, full].min(axis=1))
                 own = batch.column("block")[i].as_py()
                 keys = batch.column("keys")[i].values
                 for b in np.nonzero((low <= theta[:, None]).any(axis=0))[0]:
-                    if self_search and ids[b] == own:
+                    if own_block and ids[b] == own:
                         continue
                     hit = np.nonzero(low[:, b] <= theta)[0]
                     row = {"target": int(ids[b]), "block": own, "keys": keys.take(pa.array(hit)), "mat": x[hit].ravel(),
@@ -296,57 +351,65 @@ def _match(width: int, metric: str, k: int, schema: pa.Schema, groups: list[str]
     return match
 
 
-def _directory(boxes: DataFrame, by: list[str], box_id: str) -> DataFrame:
-    """Boxes gathered per key into parallel arrays; bounded by the number of partitions or blocks per key."""
-    gathered = F.sort_array(F.collect_list(F.struct(F.col(box_id).cast("long").alias("id"), "n", "lo", "hi")))
-    return boxes.groupBy(*by).agg(gathered.alias("b")).select(
-        *by, F.col("b.id").alias("box_id"), F.col("b.n").alias("box_n"),
-        F.flatten("b.lo").alias("box_lo"), F.flatten("b.hi").alias("box_hi"),
-    )
+def _tag(groups: list[str]) -> Column:
+    """The group as a text, so that a null is a group like any other."""
+    return F.to_json(F.array(*[F.col(g).cast("string") for g in groups])) if groups else F.lit("[]")
 
 
-def _find(queries: DataFrame, targets: DataFrame, groups: list[str], width: int, metric: str, k: int,
-          self_search: bool, key: T.DataType) -> DataFrame | None:
-    """Candidate pairs between blocks: (groups, src, nbr, dist). None when every group is one block."""
-    group_fields = [queries.schema[g] for g in groups]
-    probe_schema = T.StructType(group_fields + [
+def _level(boxes: DataFrame, width: int, pivots: int, parent: Column, child: Column) -> DataFrame:
+    """The nodes ``parent`` of a group with what is known of their children, FAN at most, as parallel arrays."""
+    wide = {"lo": (F.min, width), "hi": (F.max, width), "plo": (F.min, pivots), "phi": (F.max, pivots)}
+    merged = boxes.groupBy("_tag", parent.alias("node"), child.alias("id")).agg(
+        F.sum("n").alias("n"), *[F.array(*[f(F.get(c, F.lit(i))) for i in range(m)]).cast("array<double>").alias(c) for c, (f, m) in wide.items()])
+    gathered = F.sort_array(F.collect_list(F.struct("id", "n", *EDGES)))
+    return merged.groupBy("_tag", "node").agg(gathered.alias("b")).select(
+        "_tag", F.col("node").alias("target"), F.col("b.id").alias("box_id"), F.col("b.n").alias("box_n"), *[F.flatten(f"b.{c}").alias(f"box_{c}") for c in EDGES])
+
+
+def _probes(queries: DataFrame, targets: DataFrame, groups: list[str], width: int, metric: str, k: int,
+            self_search: bool, key: T.DataType, pivots: np.ndarray) -> DataFrame | None:
+    """Each block's sites at the blocks that their bounds reach. None when every group is one block."""
+    schema = T.StructType([queries.schema[g] for g in groups] + [
         T.StructField("target", T.LongType()), T.StructField("block", T.LongType()),
         T.StructField("keys", T.ArrayType(key)), T.StructField("mat", T.ArrayType(T.DoubleType())),
         T.StructField("theta", T.ArrayType(T.DoubleType())),
     ])
-    pair_schema = T.StructType(group_fields + [
-        T.StructField("src", key), T.StructField("nbr", key), T.StructField("dist", T.DoubleType()),
-    ])
     need = k + 1 if self_search else k
-    boxes = targets.select(*groups, "pid", "block", "n", "lo", "hi")
-    first = ["block", "keys", "mat"] + (["theta"] if "theta" in queries.columns else [])
-
-    def hop(left, directory, on, own):
-        fn = _route(width, metric, need, "theta" in left.columns, own, to_arrow_schema(probe_schema), groups)
-        return left.join(directory, on).mapInArrow(fn, probe_schema)
-
-    queries = queries.select(*groups, *first)
-    if not groups:
-        # One directory for everything: join on a constant key.
-        queries, boxes = queries.withColumn("_one", F.lit(1)), boxes.withColumn("_one", F.lit(1))
-    on = groups or ["_one"]
-    sizes = boxes.groupBy(*on).agg(F.count("*").alias("c")).agg(F.sum("c").alias("all"), F.max("c").alias("most")).first()
-    if self_search and (sizes["most"] or 0) <= 1:
+    boxes = targets.select("block", "n", *EDGES, _tag(groups).alias("_tag"))
+    sizes = boxes.groupBy("_tag").agg(F.count("*").alias("c")).agg(F.max("c").alias("most"), F.count("*").alias("groups")).first()
+    most = sizes["most"] or 0
+    if self_search and most <= 1:
         return None
-    if (sizes["all"] or 0) <= DIRECT_BLOCKS:
-        probes = hop(queries, _directory(boxes, on, "block"), on, self_search)
-    else:
-        # Two levels: first the box of each range partition, then the blocks inside those reached.
-        wide = boxes.groupBy(*on, "pid").agg(
-            F.sum("n").alias("n"),
-            F.array(*[F.min(F.get("lo", F.lit(i))) for i in range(width)]).alias("lo"),
-            F.array(*[F.max(F.get("hi", F.lit(i))) for i in range(width)]).alias("hi"),
-        )
-        parts = cut(hop(queries, _directory(wide, on, "pid"), on, False), "probes")
-        inner = _directory(boxes, [*groups, "pid"], "block").withColumnRenamed("pid", "target")
-        probes = hop(parts, inner, [*groups, "target"], self_search)
+    depth = 0
+    while FAN ** (depth + 1) < most:
+        depth += 1
+    if depth:  # blocks are numbered along the order they were packed in
+        boxes = cut(running_index(boxes, ["_tag"], ["block"], "place"), "directory")
+    spread = int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    probes = queries.select(*groups, "block", "keys", "mat", *(["theta"] if "theta" in queries.columns else [])).withColumn("target", F.lit(0).cast("long"))
+    for level in range(depth, -1, -1):
+        node = F.floor((F.col("place") - 1) / FAN ** (level + 1)).cast("long") if depth else F.lit(0).cast("long")
+        child = F.floor((F.col("place") - 1) / FAN**level).cast("long") if level else F.col("block")
+        nodes = sizes["groups"] * max(1, most // FAN ** (level + 1))
+        salts = max(1, spread // nodes)
+        directory = _level(boxes, width, min(PIVOTS, len(pivots)), node, child).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        asked = probes.withColumn("_tag", _tag(groups)).withColumn("_salt", F.pmod(F.xxhash64("block"), F.lit(salts)).cast("int"))
+        route = _route(width, metric, need, "theta" in probes.columns, self_search and not level, to_arrow_schema(schema), groups, pivots)
+        probes = cut(asked.join(directory, ["_tag", "target", "_salt"]).mapInArrow(route, schema), "probes")
+    return probes
+
+
+def _find(queries: DataFrame, targets: DataFrame, groups: list[str], width: int, metric: str, k: int,
+          self_search: bool, key: T.DataType, pivots: np.ndarray) -> DataFrame | None:
+    """Candidate pairs between blocks: (groups, src, nbr, dist). None when every group is one block."""
+    probes = _probes(queries, targets, groups, width, metric, k, self_search, key, pivots)
+    if probes is None:
+        return None
+    pair_schema = T.StructType([queries.schema[g] for g in groups] + [
+        T.StructField("src", key), T.StructField("nbr", key), T.StructField("dist", T.DoubleType()),
+    ])
     contents = targets.select(F.col("block").alias("target"), F.col("keys").alias("t_keys"), F.col("mat").alias("t_mat"))
-    pairs = probes.join(contents, "target")
+    pairs = _join_ends(probes, contents, ["target"], _hubs(probes, ["target"], max(probes.count(), PROBES_PER_TASK * HOT_SHARE)), rows=PROBES_PER_TASK)
     return pairs.mapInArrow(_match(width, metric, k, to_arrow_schema(pair_schema), groups), pair_schema)
 
 
@@ -363,8 +426,8 @@ def _hubs(edges: DataFrame, on: list[str], total: int) -> DataFrame | None:
     return None if hubs.isEmpty() else hubs
 
 
-def _join_ends(edges: DataFrame, per_end: DataFrame, on: list[str], hubs: DataFrame | None, how: str = "inner") -> DataFrame:
-    return edges.join(per_end, on, how) if hubs is None else hot_join(edges, per_end, on, hubs, how)
+def _join_ends(edges: DataFrame, per_end: DataFrame, on: list[str], hubs: DataFrame | None, how: str = "inner", rows: int = 1_000_000) -> DataFrame:
+    return edges.join(per_end, on, how) if hubs is None else hot_join(edges, per_end, on, hubs, how, rows)
 
 
 # --- sites -------------------------------------------------------------------------------------
@@ -401,9 +464,10 @@ class Sites:
         """(groups, src, nbr, dist): the k nearest other sites of every site."""
         g = self.groups
         base = self.table.select(*g, "key", "vec")
-        blocks = _blocks(base, g, self.width, metric, self.k, False, _grid_order(base, "vec", self.width))
+        pivots = _pivots(base, self.width, metric)
+        blocks = _blocks(base, g, self.width, metric, self.k, False, _grid_order(base, "vec", self.width), pivots)
         found = blocks.select(*g, F.inline(F.arrays_zip("src", "nbr", "dist")))
-        across = _find(blocks, blocks, g, self.width, metric, self.k, True, self.table.schema["key"].dataType)
+        across = _find(blocks, blocks, g, self.width, metric, self.k, True, self.table.schema["key"].dataType, pivots)
         return _nearest(found if across is None else found.unionByName(across), [*g, "src"], self.k)
 
     def neighbours(self, metric: str) -> DataFrame:
@@ -564,9 +628,9 @@ def tomek_undersample(df: DataFrame, key: str, vec: str, label: str, strategy: s
 def knn_between(asked: Sites, given: Sites, metric: str = "euclidean") -> DataFrame:
     """The k nearest rows of ``given`` for every row of ``asked``: (groups, key, nbr, dist)."""
     g, k = given.groups, given.k
-    code = _grid_order(given.table, "vec", given.width)
-    q, t = (_blocks(s.table.select(*g, "key", "vec"), g, given.width, metric, k, True, code) for s in (asked, given))
-    pairs = _nearest(_find(q, t, g, given.width, metric, k, False, given.table.schema["key"].dataType), [*g, "src"], k)
+    code, pivots = _grid_order(given.table, "vec", given.width), _pivots(given.table, given.width, metric)
+    q, t = (_blocks(s.table.select(*g, "key", "vec"), g, given.width, metric, k, True, code, pivots) for s in (asked, given))
+    pairs = _nearest(_find(q, t, g, given.width, metric, k, False, given.table.schema["key"].dataType, pivots), [*g, "src"], k)
     entry = F.struct("dist", F.col("row").alias("key"))
     near = given.unfold(cut(pairs, "pairs")).groupBy(*g, F.col("src").alias("site")).agg(
         F.slice(F.sort_array(F.collect_list(entry)), 1, k).alias("near")

@@ -3,6 +3,7 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from cohortlens.operators import neighbors as N
 
@@ -43,11 +44,12 @@ def found(df):
 
 
 @pytest.mark.parametrize("metric", ["euclidean", "mean_abs"])
-@pytest.mark.parametrize("block, direct", [(1024, 2048), (32, 2048), (32, 2)])
+@pytest.mark.parametrize("block, fan", [(1024, 256), (32, 256), (32, 6), (24, 3)])
 @pytest.mark.parametrize("copies", [0, 300])
-def test_knn_is_exact(spark, monkeypatch, metric, block, direct, copies):
+def test_knn_is_exact(spark, monkeypatch, metric, block, fan, copies):
+    """In one block, under one node, and with directories of two, three and more levels."""
     monkeypatch.setattr(N, "BLOCK_ROWS", block)
-    monkeypatch.setattr(N, "DIRECT_BLOCKS", direct)
+    monkeypatch.setattr(N, "FAN", fan)
     pdf = table(900, copies, names=metric == "mean_abs")
     if not copies:
         pdf["v"] = [np.append(v, i / 7.0) for i, v in enumerate(pdf["v"])]
@@ -57,6 +59,52 @@ def test_knn_is_exact(spark, monkeypatch, metric, block, direct, copies):
         assert all(got[k] == [(b, pytest.approx(d)) for b, d in want[k]] for k in want)
 
 
+def clusters(n, width, seed=0):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(16, width))
+    return centres[rng.integers(0, 16, n)] + 0.05 * rng.normal(size=(n, width))
+
+
+@pytest.mark.parametrize("metric", ["euclidean", "mean_abs"])
+def test_many_dimensions_ship_few_rows(spark, monkeypatch, metric):
+    """Vectors of 64 columns in clusters: exact, and most blocks are never asked."""
+    monkeypatch.setattr(N, "BLOCK_ROWS", 32)
+    monkeypatch.setattr(N, "FAN", 4)
+    shipped = []
+    kept = N._probes
+    monkeypatch.setattr(N, "_probes", lambda *a: shipped.append(kept(*a)) or shipped[-1])
+    x = clusters(1500, 64)
+    df = spark.createDataFrame(pd.DataFrame({"key": range(1500), "v": list(x)}))
+    got = found(N.knn(df, "key", "v", 5, metric))
+    want = brute(np.arange(1500), x, 5, metric)
+    assert all([b for b, _ in got[k]] == [b for b, _ in want[k]] for k in want)
+    rows = sum(len(r["keys"]) for r in shipped[0].select("keys").collect())
+    assert rows < 0.15 * 1500 * 1500 / 32  # of all rows to all blocks
+
+
+def test_a_null_group_of_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(N, "BLOCK_ROWS", 16)
+    monkeypatch.setattr(N, "FAN", 4)
+    x = np.random.default_rng(3).random((300, 2))
+    df = spark.createDataFrame(pd.DataFrame({"g": [None if i % 2 else "a" for i in range(300)], "key": range(300), "v": list(x)}), "g string, key long, v array<double>")
+    edges = N._probes  # the group's probes reach their own blocks only
+    sites = df.select("g", "key", F.col("v").alias("vec"))
+    blocks = N._blocks(sites, ["g"], 2, "euclidean", 3, False, N._grid_order(sites, "vec", 2), x[:5])
+    probes = edges(blocks, blocks, ["g"], 2, "euclidean", 3, True, df.schema["key"].dataType, x[:5])
+    of = {r["block"]: r["g"] for r in blocks.select("g", "block").collect()}
+    reached = probes.select("g", "block", "target").collect()
+    assert reached and all(of[r["block"]] == of[r["target"]] == r["g"] for r in reached) and {r["g"] for r in reached} == {None, "a"}
+
+
+def test_bounds_by_pivots_hold():
+    rng = np.random.default_rng(7)
+    for metric in ("euclidean", "mean_abs"):
+        x, y, pivots = rng.normal(size=(40, 9)), rng.normal(size=(60, 9)) * 2, rng.normal(size=(5, 9))
+        far = N._distances(y, pivots, metric)
+        low = N._apart(N._distances(x, pivots, metric), far.min(axis=0)[None], far.max(axis=0)[None])
+        assert (low[:, 0] <= N._distances(x, y, metric).min(axis=1)).all()
+
+
 def test_small_groups(spark):
     pdf = pd.DataFrame({"g": ["a", "b", "b"], "key": [1, 2, 3], "v": [[0.0], [0.0], [2.0]]})
     got = found(N.knn(spark.createDataFrame(pdf), "key", "v", 5, "euclidean", ["g"]))
