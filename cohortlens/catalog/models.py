@@ -11,6 +11,7 @@ from ..explain.contributions import tree_contributions
 from ..fixtures import CATEGORICAL, NUMERIC, load, view
 from ..functions import threshold_pred
 from ..models import linear as L
+from ..models import batched as E
 from ..models import boosting as B
 from ..models import grouped as Q
 from ..models import registry as G
@@ -104,16 +105,17 @@ def logit_inference(spark, sf):
     return Q.logit_inference(train, "enrl_ind", PLAIN, ["unit"])
 
 
-def newton_sql(steps: int) -> str:
-    """Newton steps of a logit on x1 and x2 for each unit, by Cramer's rule."""
+def newton_sql(steps: int, weight: str = "1", ridge: float = 0.0) -> str:
+    """Newton steps of a logit on x1 and x2 for each unit, by Cramer's rule; ``ridge`` is the weight of half the squared slopes."""
     out = ["b0 AS (SELECT DISTINCT unit, CAST(0 AS DOUBLE) AS a, CAST(0 AS DOUBLE) AS b, CAST(0 AS DOUBLE) AS c FROM t)"]
     det = lambda m: f"({m[0]} * ({m[4]} * {m[8]} - {m[5]} * {m[7]}) - {m[1]} * ({m[3]} * {m[8]} - {m[5]} * {m[6]}) + {m[2]} * ({m[3]} * {m[7]} - {m[4]} * {m[6]}))"
     full = ["h", "h1", "h2", "h1", "h11", "h12", "h2", "h12", "h22"]
     swap = lambda j: [f"s{i // 3}" if i % 3 == j else v for i, v in enumerate(full)]
     for k in range(steps):
         out.append(f"""p{k} AS (SELECT t.*, a, b, c, 1 / (1 + exp(-(a + b * x1 + c * x2))) AS p FROM t JOIN b{k} USING (unit)),
-s{k} AS MATERIALIZED (SELECT unit, any_value(a) AS a, any_value(b) AS b, any_value(c) AS c, sum(y - p) AS s0, sum((y - p) * x1) AS s1, sum((y - p) * x2) AS s2, sum(p * (1 - p)) AS h,
-  sum(p * (1 - p) * x1) AS h1, sum(p * (1 - p) * x2) AS h2, sum(p * (1 - p) * x1 * x1) AS h11, sum(p * (1 - p) * x1 * x2) AS h12, sum(p * (1 - p) * x2 * x2) AS h22 FROM p{k} GROUP BY unit),
+e{k} AS (SELECT *, {weight} * (y - p) AS s, {weight} * p * (1 - p) AS q FROM p{k}),
+s{k} AS MATERIALIZED (SELECT unit, any_value(a) AS a, any_value(b) AS b, any_value(c) AS c, sum(s) AS s0, sum(s * x1) - {ridge} * any_value(b) AS s1, sum(s * x2) - {ridge} * any_value(c) AS s2,
+  sum(q) AS h, sum(q * x1) AS h1, sum(q * x2) AS h2, sum(q * x1 * x1) + {ridge} AS h11, sum(q * x1 * x2) AS h12, sum(q * x2 * x2) + {ridge} AS h22 FROM e{k} GROUP BY unit),
 b{k + 1} AS MATERIALIZED (SELECT unit, a + {det(swap(0))} / {det(full)} AS a, b + {det(swap(1))} / {det(full)} AS b, c + {det(swap(2))} / {det(full)} AS c FROM s{k})""")
     last = f"s{steps - 1}"
     minor = {"a": "h11 * h22 - h12 * h12", "b": "h * h22 - h2 * h2", "c": "h * h11 - h1 * h1"}
@@ -154,14 +156,46 @@ def logit_score_equations(spark, sf):
 
 @query("elastic_logit")
 def elastic_logit(spark, sf):
+    """C = 1, no l1, every unit in the same passes."""
     df = encoded(spark, sf, by_unit=True)
-    fits = per_unit(spark, list("PVTU"), lambda u: L.elastic_logit(split_of(df, "training").where(F.col("unit") == u), "enrl_ind"))
-    out = None
-    for u, m in fits.items():
-        part = m.transform(split_of(df, "testing").where(F.col("unit") == u)).withColumn("prob", L.prob_of_one())
-        part = predictions(part, "prob").withColumn("unit", F.lit(u))
-        out = part if out is None else out.unionByName(part)
-    return out
+    fitted = E.elastic_logits(split_of(df, "training"), "enrl_ind", {u: [E.Fit(0, E.NO_FOLD, 1.0, 0.0)] for u in "PVTU"}, "unit")
+    margin = F.lit(None).cast("double")
+    for u, f in fitted.items():
+        x = sum((F.col(c) * float(v) for c, v in zip(CODED, f.beta[:-1, 0])), F.lit(float(f.beta[-1, 0])))
+        margin = F.when(F.col("unit") == u, x).otherwise(margin)
+    scored = split_of(df, "testing").withColumn("prob", 1.0 / (1.0 + F.exp(-margin)))
+    return scored.select("emplid", r6("prob").alias("prob"), threshold_pred("prob").alias("pred"), "unit")
+
+
+RIDGE_STEPS = 8
+
+
+@query("ridge_logit_by_newton", f"""{ROUTED},
+r AS (SELECT unit, CAST(enrl_ind AS DOUBLE) AS y, CAST(fall_withdrawn_hours AS DOUBLE) AS x1, CAST(fall_lec_count AS DOUBLE) AS x2 FROM routed
+      WHERE split = 'training' AND unmet_need_ofr IS NOT NULL AND high_school_gpa IS NOT NULL),
+t AS (SELECT *, count(*) OVER (PARTITION BY unit) / (2.0 * count(*) OVER (PARTITION BY unit, y)) AS w FROM r),
+{newton_sql(RIDGE_STEPS, 'w', 0.01)}
+SELECT unit, term, round(coef, 6) + 0.0 AS coef FROM told""")
+def ridge_logit_by_newton(spark, sf):
+    """Class-balanced logits under an l2 penalty (C = 100) of all units, against Newton's steps in SQL."""
+    names = ["fall_withdrawn_hours", "fall_lec_count"]
+    df = assemble(names).transform(unit_cohorts(cohort(spark, sf), NAMES).where("split = 'training'"))
+    fitted = E.elastic_logits(df, "enrl_ind", {u: [E.Fit(0, E.NO_FOLD, 100.0, 0.0)] for u in "PVTU"}, "unit")
+    rows = [(u, t, float(v)) for u, f in fitted.items() for t, v in zip([*names, "intercept"], f.beta[:, 0])]
+    return spark.createDataFrame(rows, "unit string, term string, coef double").withColumn("coef", r6("coef") + F.lit(0.0))
+
+
+# The grid that the original searches: 11 shares of l1 by 20 strengths.
+LOGIT_GRID = [{"l1_ratio": round(i / 10, 1), "c": 10 ** (4 * j / 19)} for i in range(11) for j in range(20)]
+
+
+@query("logit_search")
+def logit_search(spark, sf):
+    """All 220 candidates, five folds and four units."""
+    df = split_of(encoded(spark, sf, by_unit=True), "training").withColumn("fold", F.pmod(F.xxhash64("emplid"), F.lit(5)))
+    _, log = E.logit_search(df, "enrl_ind", "emplid", "fold", 5, LOGIT_GRID, "unit")
+    rows = [(g, r, LOGIT_GRID[c]["l1_ratio"], LOGIT_GRID[c]["c"], n, round(v, 9)) for g, r, c, n, v in log]
+    return spark.createDataFrame(rows, "unit string, rung int, l1_ratio double, c double, resources int, accuracy double")
 
 
 @query("huber_linear")

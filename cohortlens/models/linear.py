@@ -9,7 +9,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
+from pyspark.ml.classification import MultilayerPerceptronClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression, LinearRegression
 from pyspark.sql import Column, DataFrame
@@ -78,14 +78,6 @@ def balanced_weight(df: DataFrame, label: str) -> Column:
     return F.when(F.col(label) == 0, (n0 + n1) / (2.0 * n0)).otherwise((n0 + n1) / (2.0 * n1))
 
 
-def elastic_logit(train: DataFrame, label: str, c: float = 1.0, l1_ratio: float = 0.0, max_iter: int = 5000):
-    """Class-balanced elastic-net logistic regression; the penalty weighs 1 / (C x total weight)."""
-    weighted = train.withColumn("_w", balanced_weight(train, label))
-    total = weighted.agg(F.sum("_w")).first()[0]
-    return LogisticRegression(labelCol=label, weightCol="_w", regParam=1.0 / (c * total), elasticNetParam=l1_ratio,
-                              standardization=False, maxIter=max_iter).fit(weighted)
-
-
 @dataclass
 class HuberLinear:
     """A linear score with the probability (clip(f, -1, 1) + 1) / 2."""

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.explain import contributions
 from cohortlens.explain.contributions import tree_contributions
+from cohortlens.models import batched as E
 from cohortlens.models import boosting as G
 from cohortlens.models import grouped as Q
 from cohortlens.models import linear as L
@@ -109,14 +110,63 @@ def test_no_complete_rows_no_fit(spark):
     assert Q.logit_inference(df, "y", ["a"]).count() == 0 and Q.least_squares(df, "y", ["a"]).count() == 0
 
 
-def test_elastic_logit_uses_balanced_weights(data):
+def slopes_of(pdf, fit, f):
+    """(gradient of the weighted log loss in the columns as they are, coefficients, intercept) of one fit."""
+    part = pdf[pdf["id"] % 3 != fit.fold] if fit.fold >= 0 else pdf
+    x, y, beta = np.stack(part["f"].to_numpy()), part["y"].to_numpy(), f.beta[:, f.fits.index(fit)]
+    w = np.where(y == 1, len(y) / (2 * (y == 1).sum()), len(y) / (2 * (y == 0).sum()))
+    p = 1 / (1 + np.exp(-(x @ beta[:-1] + beta[-1])))
+    return fit.c * (w * (p - y)) @ x, beta[:-1], fit.c * (w * (p - y)).sum()
+
+
+def test_elastic_logits_meet_their_conditions(data, monkeypatch):
+    """Every fit is at the minimum of its penalised loss: ridge, lasso, both, with folds left out, in few or many passes."""
+    pdf, df = data
+    fits = [E.Fit(i, k, c, r) for i, (c, r) in enumerate([(1.0, 0.0), (0.05, 1.0), (0.3, 0.5), (1e4, 0.0)]) for k in (E.NO_FOLD, 0, 2)]
+    scaled = df.withColumn("id3", F.col("id") % 3)
+    out = E.elastic_logits(scaled, "y", {E.ONE: fits}, None, "id3")[E.ONE]
+    assert out.converged.all()
+    for fit in fits:
+        gradient, beta, level = slopes_of(pdf, fit, out)
+        assert abs(level) < 1e-5
+        for g, b in zip(gradient + (1 - fit.l1_ratio) * beta, beta):
+            assert abs(g + fit.l1_ratio * np.sign(b)) < 1e-5 if b else abs(g) <= fit.l1_ratio + 1e-9
+    assert (out.beta[:-1, [f.l1_ratio == 1.0 for f in fits]] == 0).any()
+    monkeypatch.setattr(E, "NUMBERS", 50)
+    few = E.elastic_logits(scaled, "y", {E.ONE: fits[:4]}, None, "id3")[E.ONE]
+    assert few.beta == pytest.approx(out.beta[:, :4], abs=1e-8)
+
+
+def test_logits_of_groups_are_their_own(spark, data):
+    pdf, df = data
+    one = [E.Fit(0, E.NO_FOLD, 1.0, 0.2)]
+    both = E.elastic_logits(df, "y", {"p": one, "q": one, "none": one}, "u")
+    assert set(both) == {"p", "q"}
+    alone = E.elastic_logits(df.where("u = 'q'"), "y", {E.ONE: one})[E.ONE]
+    assert both["q"].beta == pytest.approx(alone.beta, abs=1e-8)
+    fixed = spark.createDataFrame([(i, 1, [1.0, float(i)]) for i in range(9)], "id int, y int, f array<double>").withColumn("features", array_to_vector("f"))
+    told = E.elastic_logits(fixed, "y", {E.ONE: one})[E.ONE]  # one class, a column that does not vary
+    assert np.isfinite(told.beta).all() and told.beta[0, 0] == 0
+
+
+def test_logit_search_halves_over_rows(data):
     pdf, df = data
-    model = L.elastic_logit(df, "y", c=1e6)
-    x = np.column_stack([pdf["a"], pdf["b"], pdf["c"]])
-    p = 1 / (1 + np.exp(-(x @ model.coefficients.toArray() + model.intercept)))
-    n1 = pdf["y"].sum()
-    w = np.where(pdf["y"] == 1, len(pdf) / (2 * n1), len(pdf) / (2 * (len(pdf) - n1)))
-    assert abs((w * (pdf["y"] - p)).sum()) < 0.5
+    choices = [{"c": c, "l1_ratio": r} for c in (1e-4, 1.0, 100.0) for r in (0.0, 0.5, 1.0)]
+    best, log = E.logit_search(df.withColumn("fold", F.floor(F.col("id") / 2) % 2), "y", "id", "fold", 2, choices, "u", min_resources=40)
+    assert set(best) == {"p", "q"} and all(b in choices for b in best.values())
+    for g in "pq":
+        sizes = [(n, sum(1 for row in log if row[0] == g and row[3] == n)) for n in sorted({row[3] for row in log if row[0] == g})]
+        assert sizes == [(40, 9), (120, 3), (300, 1)] or sizes == [(40, 9), (120, 3)]
+        last = [row for row in log if row[0] == g and row[3] == 40]
+        kept = {row[2] for row in log if row[0] == g and row[3] == 120}
+        assert kept == {c for _, _, c, _, _ in sorted(last, key=lambda r: (-r[4], r[2]))[:3]}
+    # one candidate on all rows: the accuracy by hand
+    one = [{"c": 1.0, "l1_ratio": 0.0}]
+    _, log = E.logit_search(df.withColumn("fold", F.col("id") % 3), "y", "id", "fold", 3, one, min_resources=600)
+    out = E.elastic_logits(df.withColumn("fold", F.col("id") % 3), "y", {E.ONE: [E.Fit(0, k, 1.0, 0.0) for k in range(3)]}, None, "fold")[E.ONE]
+    x, y, fold = np.stack(pdf["f"].to_numpy()), pdf["y"].to_numpy(), pdf["id"].to_numpy() % 3
+    right = [((x[fold == k] @ out.beta[:-1, k] + out.beta[-1, k] > 0) == (y[fold == k] == 1)).mean() for k in range(3)]
+    assert log == [(E.ONE, 0, 0, 600, pytest.approx(np.mean(right)))] and np.mean(right) > 0.6
 
 
 def test_huber_loss_falls_and_separates(data):
