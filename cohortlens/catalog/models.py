@@ -11,8 +11,10 @@ from ..explain.contributions import tree_contributions
 from ..fixtures import CATEGORICAL, NUMERIC, load, view
 from ..functions import threshold_pred
 from ..models import linear as L
+from ..models import nets as N
 from ..models import batched as E
 from ..models import boosting as B
+from ..models import calibration as C
 from ..models import grouped as Q
 from ..models import registry as G
 from ..models import search as H
@@ -214,8 +216,8 @@ def huber_score(spark, sf):
 @query("mlp")
 def mlp(spark, sf):
     df = encoded(spark, sf)
-    model = L.mlp(split_of(df, "training"), "enrl_ind", len(CODED), max_iter=20)
-    return predictions(model.transform(split_of(df, "testing")).withColumn("prob", L.prob_of_one()), "prob")
+    nets = N.fit_nets(split_of(df, "training"), "enrl_ind", epochs=60)
+    return predictions(N.net_scores(nets, split_of(df, "testing")), "prob")
 
 
 @query("boosted_trees")
@@ -287,10 +289,38 @@ def soft_vote(spark, sf):
 @query("isotonic_calibration")
 def isotonic_calibration(spark, sf):
     df = view(spark, sf, "fx_scored").withColumn("fold", F.pmod(F.xxhash64("l_orderkey", "l_partkey", "l_suppkey"), F.lit(5)).cast("int"))
-    out = L.isotonic_calibration(df.select("y_true", "prob", "fold"), "y_true", "prob", "fold")
+    out = C.isotonic_calibration(df.select("y_true", "prob", "fold"), "y_true", "prob", "fold")
     return out.groupBy("prob").agg(F.max("calibrated").alias("calibrated"), F.count("*").alias("n"))
 
 
+@query("isotonic_pools", f"""{SCORED}, p AS (SELECT CAST(l_orderkey % 5 AS INT) AS fold, CAST(round(prob, 2) AS DOUBLE) AS s, CAST(sum(y_true) AS DOUBLE) AS wy, CAST(count(*) AS DOUBLE) AS w FROM fx_scored GROUP BY 1, 2),
+n AS (SELECT *, row_number() OVER (PARTITION BY fold ORDER BY s) AS i, sum(wy) OVER o AS cy, sum(w) OVER o AS cw FROM p WINDOW o AS (PARTITION BY fold ORDER BY s)),
+m AS (SELECT a.fold, a.i AS a, b.i AS b, (b.cy - a.cy + a.wy) / (b.cw - a.cw + a.w) AS mean FROM n a JOIN n b ON a.fold = b.fold AND a.i <= b.i),
+low AS (SELECT n.fold, n.s, n.i, m.a, min(mean) AS least FROM n JOIN m ON m.fold = n.fold AND m.a <= n.i AND m.b >= n.i GROUP BY ALL)
+SELECT fold, s AS score, round(max(least), 6) AS calibrated FROM low GROUP BY fold, s""")
+def isotonic_pools(spark, sf):
+    """The fit at every score, against the greatest of the least means of the stretches around it."""
+    df = view(spark, sf, "fx_scored").select((F.col("l_orderkey") % 5).cast("int").alias("fold"), F.round("prob", 2).cast("double").alias("score"), F.col("y_true").cast("double").alias("y"))
+    points = cut(df.groupBy("fold", "score").agg(F.avg("y").alias("y"), F.count("*").alias("w")), "points")
+    pools = C.isotonic(points, ["fold"], "score", "y", "w")
+    hit = points.join(pools.withColumnRenamed("fold", "f"), (F.col("fold") == F.col("f")) & F.col("score").between(F.col("lo"), F.col("hi")))
+    return hit.select("fold", "score", r6("value").alias("calibrated"))
+
+
+@query("calibrated_logit")
+def calibrated_logit(spark, sf):
+    """A logit fitted anew without each of five folds and calibrated on that fold, as the mean of the five."""
+    df = encoded(spark, sf)
+    train = cut(split_of(df, "training").withColumn("fold", F.pmod(F.xxhash64("emplid"), F.lit(5)).cast("int")), "folds")
+
+    def fit(part):
+        beta = E.elastic_logits(part, "enrl_ind", {E.ONE: [E.Fit(0, E.NO_FOLD, 1.0, 0.0)]})[E.ONE].beta[:, 0]
+        margin = sum((F.col(c) * float(v) for c, v in zip(CODED, beta[:-1])), F.lit(float(beta[-1])))
+        return lambda rows: rows.withColumn("prob", 1.0 / (1.0 + F.exp(-margin)))
+
+    return predictions(C.refitted_calibration(train, split_of(df, "testing"), "enrl_ind", "emplid", "fold", 5, fit), "calibrated")
+
+
 @query("isotonic_monotone", f"{SCORED} SELECT count(DISTINCT prob) AS scores, count(*) AS n, true AS monotone FROM fx_scored")
 def isotonic_monotone(spark, sf):
     """A calibrated score never falls as the score rises: compare every score with the next, in slices along the score."""

@@ -31,7 +31,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 NUMBERS = 2 << 20  # sums of one pass and group
 SWEEPS, STEPS = 200, 100
-FLAT = 1e-9  # share of a step in the scale of the columns below which a fit has converged
+FLAT = 1e-9  # step of the scaled coefficients below which a fit has converged; the search, which only ranks, uses 1e-4
 ONE, NO_FOLD = "_one", -1
 
 
@@ -69,7 +69,7 @@ def block_sums(x: np.ndarray, y: np.ndarray, fold: np.ndarray, b: np.ndarray, fi
     return np.hstack((loss[:, None], gradient, (w * p * (1 - p)).T @ outer))
 
 
-def newton(b: np.ndarray, gradient: np.ndarray, hessian: np.ndarray, l1: np.ndarray, l2: np.ndarray) -> np.ndarray:
+def newton(b: np.ndarray, gradient: np.ndarray, hessian: np.ndarray, l1: np.ndarray, l2: np.ndarray, flat: float) -> np.ndarray:
     """The minimisers of the quadratic models at ``b`` (fits x columns) plus penalties, one coordinate of all fits at a time."""
     new, p = b.copy(), b.shape[1]
     slope = gradient.copy()  # of the quadratic model at ``new``
@@ -84,13 +84,14 @@ def newton(b: np.ndarray, gradient: np.ndarray, hessian: np.ndarray, l1: np.ndar
             slope += hessian[:, :, j] * step[:, None]
             new[:, j] = to
             moved = max(moved, float(np.abs(step).max()))
-        if moved < FLAT / 10:
+        if moved < flat / 10:
             break
     return new
 
 
-def elastic_logits(df: DataFrame, label: str, fits: dict[str, list[Fit]], by: str | None = None, fold: str | None = None, vector: str = "features") -> dict[str, Fitted]:
-    """The ``fits`` of each group of ``by`` over the rows of ``df``."""
+def elastic_logits(df: DataFrame, label: str, fits: dict[str, list[Fit]], by: str | None = None, fold: str | None = None, vector: str = "features",
+                   flat: float = FLAT) -> dict[str, Fitted]:
+    """The ``fits`` of each group of ``by`` over the rows of ``df``, to steps of ``flat`` of the scaled coefficients."""
     group = F.col(by).cast("string") if by else F.lit(ONE)
     folds = F.col(fold).cast("int") if fold else F.lit(NO_FOLD - 1)
     rows = df.select(group.alias("grp"), vector_to_array(vector).alias("x"), F.col(label).cast("double").alias("y"), folds.alias("fold")).where(F.col("grp").isin(list(fits)))
@@ -154,9 +155,9 @@ def elastic_logits(df: DataFrame, label: str, fits: dict[str, list[Fit]], by: st
             b, l1, l2 = s["b"][at], s["l1"][at], s["l2"][at]
             loss = sums[:, 0] + (l1 * np.abs(b)).sum(1) + (l2 * b * b).sum(1) / 2
             worse = loss > s["loss"][at] + 1e-10 * np.abs(loss)
-            new = newton(b, sums[:, 1 : width + 2], sums[:, width + 2 :].reshape(len(at), width + 1, width + 1), l1, l2)
+            new = newton(b, sums[:, 1 : width + 2], sums[:, width + 2 :].reshape(len(at), width + 1, width + 1), l1, l2, flat)
             new[worse] = (b[worse] + s["last"][at][worse]) / 2  # too far: half the way
-            ended = ~worse & (np.abs(new - b).max(1) < FLAT * (1 + np.abs(b).max(1)))
+            ended = ~worse & (np.abs(new - b).max(1) < flat * (1 + np.abs(b).max(1)))
             s["last"][at[~worse]], s["loss"][at[~worse]] = b[~worse], loss[~worse]
             s["b"][at] = new
             s["open"][at[ended]] = False
@@ -200,7 +201,7 @@ def right_answers(df: DataFrame, label: str, fitted: dict[str, Fitted], by: str
 
 
 def logit_search(df: DataFrame, label: str, key: str, fold: str, folds: int, candidates: list[dict], by: str | None = None, factor: int = 3,
-                 min_resources: int | None = None, vector: str = "features") -> tuple[dict[str, dict], list[tuple]]:
+                 min_resources: int | None = None, vector: str = "features", flat: float = 1e-4) -> tuple[dict[str, dict], list[tuple]]:
     """(best candidate of each group, log): halving over ``candidates`` (c, l1_ratio), rows as the resource.
 
     A rung fits every candidate left of every group on the folds' other rows, all in the same passes, and keeps the best
@@ -222,7 +223,7 @@ def logit_search(df: DataFrame, label: str, key: str, fold: str, folds: int, can
             limit = F.when(F.col("_grp") == g, int((1 << 30) * min(1.0, resources / sizes[g]))).otherwise(limit)
         part = rows.where(F.col("_place") < limit)
         fits = {g: [Fit(c, k, candidates[c]["c"], candidates[c]["l1_ratio"]) for c in alive[g] for k in range(folds)] for g in now}
-        fitted = elastic_logits(part, label, fits, "_grp", "_fold", vector)
+        fitted = elastic_logits(part, label, fits, "_grp", "_fold", vector, flat)
         scores: dict[str, dict[int, list[float]]] = {g: {} for g in now}
         for r in right_answers(part, label, fitted, "_grp", "_fold", vector).collect():
             if r["n"]:

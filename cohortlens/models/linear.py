@@ -1,4 +1,4 @@
-"""Linear models of one data set: least squares with a summary, elastic-net and Huber classifiers, the perceptron, calibration."""
+"""Linear models of one data set: least squares with a summary, the Huber classifier, votes."""
 
 from __future__ import annotations
 
@@ -9,9 +9,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.ml.classification import MultilayerPerceptronClassifier
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression, LinearRegression
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -149,31 +148,9 @@ def huber_linear(train: DataFrame, columns: list[str], label: str, l2: float = 1
     return HuberLinear(columns, raw, float(best[p] - raw @ mu), losses, converged)
 
 
-def mlp(train: DataFrame, label: str, width: int, hidden: tuple[int, ...] = (75, 50, 25), max_iter: int = 100, seed: int = 7):
-    """A multilayer perceptron with the given hidden layers (sigmoid units, no class weights)."""
-    return MultilayerPerceptronClassifier(labelCol=label, layers=[width, *hidden, 2], maxIter=max_iter, seed=seed).fit(train)
-
-
 def soft_vote(*probs: str) -> Column:
     """The equal-weight mean of several probabilities."""
     total = F.col(probs[0])
     for p in probs[1:]:
         total = total + F.col(p)
     return total / len(probs)
-
-
-def isotonic_calibration(df: DataFrame, y: str, score: str, fold: str, folds: int = 5, out: str = "calibrated") -> DataFrame:
-    """Mean of one isotonic map per fold, each fitted on that fold's rows.
-
-    Rows are first added up to one weighted point per distinct score, which has the same solution.
-    """
-    data = df.withColumn(score, F.col(score).cast("double"))
-    points = data.groupBy(fold, score).agg(F.avg(F.col(y).cast("double")).alias("_y"), F.count("*").cast("double").alias("_w"))
-    models = [
-        IsotonicRegression(featuresCol=score, labelCol="_y", weightCol="_w", predictionCol=f"_iso{i}").fit(points.where(F.col(fold) == i))
-        for i in range(folds)
-    ]
-    for m in models:
-        data = m.transform(data)
-    names = [f"_iso{i}" for i in range(folds)]
-    return data.withColumn(out, soft_vote(*names)).drop(*names)

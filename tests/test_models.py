@@ -11,8 +11,10 @@ from cohortlens.explain import contributions
 from cohortlens.explain.contributions import tree_contributions
 from cohortlens.models import batched as E
 from cohortlens.models import boosting as G
+from cohortlens.models import calibration as C
 from cohortlens.models import grouped as Q
 from cohortlens.models import linear as L
+from cohortlens.models import nets as N
 from cohortlens.models import search as H
 from cohortlens.models import trees as T
 
@@ -178,12 +180,102 @@ def test_huber_loss_falls_and_separates(data):
     assert means[1] > means[0] + 0.2 and all(0 <= r["lo"] and r["hi"] <= 1 for r in row)
 
 
-def test_isotonic_is_monotone(spark, data):
-    _, df = data
+def pools_by_hand(w, y):
+    out = [[a, b] for a, b in zip(w, y)]
+    n = [1] * len(out)
+    i = 0
+    while i + 1 < len(out):
+        if out[i][1] >= out[i + 1][1]:
+            a, b = out[i], out[i + 1]
+            out[i: i + 2] = [[a[0] + b[0], (a[0] * a[1] + b[0] * b[1]) / (a[0] + b[0])]]
+            n[i: i + 2] = [n[i] + n[i + 1]]
+            i = max(0, i - 1)
+        else:
+            i += 1
+    return np.repeat([v for _, v in out], n)
+
+
+@pytest.mark.parametrize("size", [50_000, 7])
+def test_isotonic_fit_by_hand(spark, monkeypatch, size):
+    """In one slice and in many, with and without folds, rising, falling and noisy."""
+    monkeypatch.setattr(C, "SLICE", size)
+    rng = np.random.default_rng(2)
+    frames = []
+    for name, y in (("up", np.arange(60.0)), ("down", -np.arange(60.0)), (None, np.arange(60) / 20 + rng.normal(size=60)), ("one", np.array([2.0]))):
+        frames.append(pd.DataFrame({"g": name, "s": rng.permutation(len(y)) if name == "x" else np.arange(len(y)) * 1.5, "y": y, "w": rng.integers(1, 5, len(y)).astype(float)}))
+    pdf = pd.concat(frames)
+    pools = C.isotonic(spark.createDataFrame(pdf.astype(object).where(pdf.notna(), None).values.tolist(), "g string, s double, y double, w double"), ["g"], "s", "y", "w").collect()
+    for part in frames:
+        mine = sorted((r["lo"], r["hi"], r["value"]) for r in pools if r["g"] == part["g"].iloc[0])
+        want = pools_by_hand(part["w"].tolist(), part["y"].tolist())
+        got = [next(v for lo, hi, v in mine if lo <= s <= hi) for s in part["s"]]
+        assert got == pytest.approx(want.tolist(), abs=1e-9)
+
+
+@pytest.mark.parametrize("size", [50_000, 11])
+def test_calibration_is_the_mean_of_the_maps(spark, data, monkeypatch, size):
+    monkeypatch.setattr(C, "SLICE", size)
+    pdf, df = data
     scored = df.select("y", F.round(1 / (1 + F.exp(F.col("b") - F.col("a"))), 2).alias("s"), (F.col("id") % 5).cast("int").alias("fold"))
-    out = L.isotonic_calibration(scored, "y", "s", "fold").groupBy("s").agg(F.max("calibrated").alias("c")).orderBy("s").collect()
-    values = [r["c"] for r in out]
-    assert all(a <= b + 1e-12 for a, b in zip(values, values[1:])) and values[-1] > values[0]
+    out = C.isotonic_calibration(scored, "y", "s", "fold")
+    assert out.count() == 600
+    got = {r["s"]: r["c"] for r in out.groupBy("s").agg(F.max("calibrated").alias("c")).collect()}
+    local = scored.toPandas()
+    maps = []
+    for _, part in local.groupby("fold"):
+        points = part.groupby("s")["y"].agg(["mean", "size"])
+        maps.append((points.index.to_numpy(), pools_by_hand(points["size"].tolist(), points["mean"].tolist())))
+    asked = np.array(sorted(got))
+    want = np.mean([np.interp(asked, s, v) for s, v in maps], 0)
+    assert [got[s] for s in asked] == pytest.approx(want.tolist(), abs=1e-9)
+    assert (np.diff([got[s] for s in asked]) >= -1e-12).all()
+
+
+def test_the_base_model_is_fitted_without_its_fold(spark, data):
+    """Each fold's map stands on a model that has not seen the fold."""
+    _, df = data
+    seen = []
+
+    def fit(part):
+        seen.append({r[0] for r in part.select("fold").distinct().collect()})
+        k = ({0, 1, 2} - seen[-1]).pop()
+        return lambda rows: rows.withColumn("prob", 1 / (1 + F.exp(F.col("b") - F.col("a") - k)))
+
+    folded = df.withColumn("fold", F.col("id") % 3)
+    out = C.refitted_calibration(folded.where("id < 500"), folded.where("id >= 500"), "y", "id", "fold", 3, fit).toPandas()
+    assert seen == [{1, 2}, {0, 2}, {0, 1}] and len(out) == 100 and out["calibrated"].between(0, 1).all()
+
+
+def test_gradient_by_finite_differences():
+    rng = np.random.default_rng(5)
+    sizes = N.shapes(4, (6, 5))
+    flat, x, y, w = N.start(sizes, 1), rng.normal(size=(30, 4)), rng.integers(0, 2, 30), rng.random(30) + 0.5
+    loss, gradient = N.loss_and_gradient(flat, sizes, x, y, w, 2.5)
+    for i in rng.choice(len(flat), 40, replace=False):
+        step = np.zeros(len(flat))
+        step[i] = 1e-6
+        around = [N.loss_and_gradient(flat + s * step, sizes, x, y, w, 2.5)[0] for s in (1, -1)]
+        assert gradient[i] == pytest.approx((around[0] - around[1]) / 2e-6, abs=1e-6)
+    assert loss > 0
+
+
+def test_nets_learn_group_by_group(spark, data):
+    """What no line can tell: a ring; each group has its own; the weights of the best epoch stay."""
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(900, 2)) * [1, 50]
+    ring = (x[:, 0] ** 2 + (x[:, 1] / 50) ** 2 > 1.4).astype(int)
+    pdf = pd.DataFrame({"id": range(900), "u": np.where(np.arange(900) % 2, "in", "out"), "y": np.where(np.arange(900) % 2, ring, 1 - ring)}).assign(f=list(x))
+    df = spark.createDataFrame(pdf).withColumn("features", array_to_vector("f"))
+    nets = N.fit_nets(df, "y", "u", hidden=(16, 8), l2=0.001, rate=0.05, batch=32, epochs=25, balanced=True)
+    assert all(n.losses[-1] < 0.6 * n.losses[0] for n in nets.values())
+    told = N.net_scores(nets, df, "u").select("u", "y", "prob").toPandas()
+    assert (((told["prob"] > 0.5) == (told["y"] == 1)).groupby(told["u"]).mean() > 0.9).all()
+    assert N.net_scores(nets, df.limit(3).withColumn("u", F.lit("none")), "u").where("prob IS NOT NULL").count() == 0
+    again = N.fit_nets(df, "y", "u", hidden=(16, 8), l2=0.001, rate=0.05, batch=32, epochs=3, balanced=True)
+    same = N.fit_nets(df, "y", "u", hidden=(16, 8), l2=0.001, rate=0.05, batch=32, epochs=3, balanced=True)
+    assert again["in"].losses == pytest.approx(same["in"].losses, rel=1e-9)
+    stuck = N.fit_nets(df, "y", hidden=(4,), rate=0.0, epochs=50, patience=3)
+    assert len(stuck[N.ONE].losses) == 4
 
 
 def test_boosted_forest_lowers_its_loss_and_stops_early(data):
