@@ -23,6 +23,7 @@ from ..operators.features import OneHot, assemble, feature_names
 from ..operators.metrics import log_loss
 from ..operators.relational import row_ordinal
 from ..plans.cohorts import unit_cohorts
+from ..plans.dimensions import FOREST
 from ..plans.flow import per_unit, retention_risk
 from ..session import cut, fresh_path
 from .features import ONE_HOT
@@ -30,6 +31,8 @@ from .plans import NAMES
 from .registry import COEFFICIENTS, COMPLETE, INTERCEPT, RUN_DATE, SQL_PROB, cohort, complete, query, r6, scored_complete
 from .relational import ROUTED, SCORED
 
+# The original's forest, of 96 trees a round; the rounds of a whole run are cut to three.
+SHORT = {**FOREST, "depth": 4, "rounds": 3}
 CODED = [*[n for n, _ in ONE_HOT], *NUMERIC]
 # Columns that vary, for designs that must have full rank.
 PLAIN = ["male", "underrep_minority", "resident", "fall_lec_count", "fall_withdrawn_hours"]
@@ -268,14 +271,14 @@ def boosted_trees_exact(spark, sf):
 @query("boosted_forest")
 def boosted_forest(spark, sf):
     df = encoded(spark, sf)
-    model = B.boosted_forest(split_of(df, "training"), split_of(df, "validation"), "enrl_ind", rounds=10)
+    model = B.boosted_forest(split_of(df, "training"), split_of(df, "validation"), "enrl_ind", rounds=500, **FOREST)
     return predictions(model.transform(split_of(df, "testing")), "prob")
 
 
 @query("random_forest")
 def random_forest(spark, sf):
     df = encoded(spark, sf)
-    model = T.random_forest(split_of(df, "training"), "enrl_ind", trees=16, depth=4)
+    model = T.random_forest(split_of(df, "training"), "enrl_ind", trees=100, depth=4)
     return predictions(model.transform(split_of(df, "testing")).withColumn("prob", L.prob_of_one()), "prob")
 
 
@@ -418,7 +421,7 @@ def _explained(spark, sf):
     """Testing rows with the model's own probability and their contributions for class 0."""
     df = encoded(spark, sf)
     train = split_of(df, "training")
-    model = B.boosted_forest(train, split_of(df, "validation"), "enrl_ind", rounds=3, trees=16, depth=3)
+    model = B.boosted_forest(train, split_of(df, "validation"), "enrl_ind", **SHORT)
     told = tree_contributions(split_of(df, "testing"), ["emplid"], train, model, feature_names(df))
     own = model.transform(split_of(df, "testing")).select("emplid", F.col("prob").alias("model_prob"))
     return told, own
@@ -483,7 +486,7 @@ def contributions_add_up(spark, sf):
 @query("retention_risk")
 def retention_risk_q(spark, sf):
     run = retention_risk(cohort(spark, sf), CATEGORICAL, NUMERIC, "PVTU", 2, "ft_ft_1yr", RUN_DATE,
-                         unseen="zero", rounds=3, trees=8, depth=3, patience=2)
+                         unseen="zero", **SHORT)
     return run.outcome
 
 
@@ -492,12 +495,12 @@ def retention_risk_q(spark, sf):
 def retention_scope(spark, sf):
     """Who the whole run scores: every complete testing row, once per unit that scores its campus."""
     run = retention_risk(cohort(spark, sf), CATEGORICAL, NUMERIC, "PVTU", 2, "ft_ft_1yr", RUN_DATE,
-                         unseen="zero", rounds=1, trees=4, depth=2)
+                         unseen="zero", **{**SHORT, "rounds": 1})
     return run.outcome.select("unit", "emplid", "date", "model_id", F.col("risk_prob").between(0, 1).alias("is_probability"))
 
 
 @query("retention_explained")
 def retention_explained(spark, sf):
     run = retention_risk(cohort(spark, sf), CATEGORICAL, NUMERIC, "PVTU", 2, "ft_ft_1yr", RUN_DATE,
-                         explain=True, unseen="zero", rounds=2, trees=8, depth=3, patience=2)
+                         explain=True, unseen="zero", **SHORT)
     return run.shap

@@ -92,12 +92,13 @@ def student_outcome(spark, sf):
     import datetime
 
     from ..session import fresh_path
-    from ..sources import append_with_backup
+    from ..sources import append_with_backup, read_history
 
     df = scored_complete(spark, sf)
-    first, second, backup = (fresh_path(spark, t) for t in ("outcome", "outcome", "backup"))
-    append_with_backup(O.student_outcome(df.where("split = 'validation'"), datetime.date(2001, 7, 1), 1), None, first, backup)
-    both = append_with_backup(O.student_outcome(df.where("split = 'testing'"), RUN_DATE, 2), first, second, backup)
+    root = fresh_path(spark, "outcome")
+    append_with_backup(O.student_outcome(df.where("split = 'validation'"), datetime.date(2001, 7, 1), 1), root)
+    append_with_backup(O.student_outcome(df.where("split = 'testing'"), RUN_DATE, 2), root)
+    both = read_history(spark, root)
     return both.withColumn("risk_prob", r6("risk_prob"))
 
 

@@ -12,7 +12,7 @@ from ..plans.calendar import term_as_of
 from ..plans.cohorts import route_units
 from ..plans.dimensions import unit_rows
 from ..session import fresh_path
-from ..sources import append_run, append_with_backup, nested_topn, scan_calendar, scan_splits, scan_table, write_replace
+from ..sources import append_run, append_with_backup, nested_topn, read_history, scan_calendar, scan_splits, scan_table, write_replace
 from .registry import (
     AS_OF_YEAR, COHORT, COMPLETE, SQL_CALENDAR, SQL_CONTRIB, SQL_PROB, calendar, cohort, complete, contributions,
     probability, query, r6,
@@ -80,11 +80,10 @@ def append_table(spark, sf):
 SELECT 'history' AS stored, emplid, CAST(CASE WHEN male = 0 THEN 1 ELSE 2 END AS INT) AS run FROM fx_cohort
 UNION ALL SELECT 'backup', emplid, CAST(1 AS INT) FROM fx_cohort WHERE male = 0""")
 def append_with_backup_q(spark, sf):
-    first, second, backup = (fresh_path(spark, t) for t in ("history", "history", "backup"))
-    df = cohort(spark, sf)
-    append_with_backup(df.where("male = 0").select("emplid", F.lit(1).alias("run")), None, first, backup)
-    history = append_with_backup(df.where("male = 1").select("emplid", F.lit(2).alias("run")), first, second, backup)
-    saved = spark.read.parquet(backup)
+    root, df = fresh_path(spark, "history"), cohort(spark, sf)
+    append_with_backup(df.where("male = 0").select("emplid", F.lit(1).alias("run")), root)
+    version = append_with_backup(df.where("male = 1").select("emplid", F.lit(2).alias("run")), root)
+    history, saved = read_history(spark, root), read_history(spark, root, version - 1)
     return history.withColumn("stored", F.lit("history")).unionByName(saved.withColumn("stored", F.lit("backup")))
 
 

@@ -90,8 +90,8 @@ def newton(b: np.ndarray, gradient: np.ndarray, hessian: np.ndarray, l1: np.ndar
 
 
 def elastic_logits(df: DataFrame, label: str, fits: dict[str, list[Fit]], by: str | None = None, fold: str | None = None, vector: str = "features",
-                   flat: float = FLAT) -> dict[str, Fitted]:
-    """The ``fits`` of each group of ``by`` over the rows of ``df``, to steps of ``flat`` of the scaled coefficients."""
+                   flat: float = FLAT, steps: int = STEPS) -> dict[str, Fitted]:
+    """The ``fits`` of each group of ``by`` over the rows of ``df``, to steps of ``flat`` of the scaled coefficients, or ``steps`` of them."""
     group = F.col(by).cast("string") if by else F.lit(ONE)
     folds = F.col(fold).cast("int") if fold else F.lit(NO_FOLD - 1)
     rows = df.select(group.alias("grp"), vector_to_array(vector).alias("x"), F.col(label).cast("double").alias("y"), folds.alias("fold")).where(F.col("grp").isin(list(fits)))
@@ -120,10 +120,14 @@ def elastic_logits(df: DataFrame, label: str, fits: dict[str, list[Fit]], by: st
     per_fit = 1 + (width + 1) + (width + 1) ** 2
     each = max(1, NUMBERS // per_fit)
 
-    for _ in range(STEPS):
-        turn = {g: np.flatnonzero(s["open"])[:each] for g, s in state.items() if s["open"].any()}
+    taken = {g: np.zeros(len(s["fits"]), int) for g, s in state.items()}
+    while True:
+        turn = {g: np.flatnonzero(s["open"] & (taken[g] < steps))[:each] for g, s in state.items()}
+        turn = {g: at for g, at in turn.items() if len(at)}
         if not turn:
             break
+        for g, at in turn.items():
+            taken[g][at] += 1
         shared = sc.broadcast({g: {**{k: state[g][k] for k in ("weights", "mu", "scale")}, "b": state[g]["b"][at].T, "fits": [state[g]["fits"][i] for i in at]} for g, at in turn.items()})
 
         def add(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
@@ -201,12 +205,13 @@ def right_answers(df: DataFrame, label: str, fitted: dict[str, Fitted], by: str
 
 
 def logit_search(df: DataFrame, label: str, key: str, fold: str, folds: int, candidates: list[dict], by: str | None = None, factor: int = 3,
-                 min_resources: int | None = None, vector: str = "features", flat: float = 1e-4) -> tuple[dict[str, dict], list[tuple]]:
+                 min_resources: int | None = None, vector: str = "features", flat: float = 1e-4, steps: int = 12) -> tuple[dict[str, dict], list[tuple]]:
     """(best candidate of each group, log): halving over ``candidates`` (c, l1_ratio), rows as the resource.
 
     A rung fits every candidate left of every group on the folds' other rows, all in the same passes, and keeps the best
     by mean accuracy on the folds, ties to the earlier one. The log has (grp, rung, candidate, rows, mean accuracy).
-    The rows of a rung are those of the smallest hashes of ``key``, and part of the next rung's.
+    The rows of a rung are those of the smallest hashes of ``key``, and part of the next rung's. A fit of the search takes
+    ``steps`` Newton steps at most: candidates are only ranked, and strong ones on few rows may never settle.
     """
     group = F.col(by).cast("string") if by else F.lit(ONE)
     place = F.pmod(F.xxhash64(F.lit("sample"), key), F.lit(1 << 30))
@@ -223,7 +228,7 @@ def logit_search(df: DataFrame, label: str, key: str, fold: str, folds: int, can
             limit = F.when(F.col("_grp") == g, int((1 << 30) * min(1.0, resources / sizes[g]))).otherwise(limit)
         part = rows.where(F.col("_place") < limit)
         fits = {g: [Fit(c, k, candidates[c]["c"], candidates[c]["l1_ratio"]) for c in alive[g] for k in range(folds)] for g in now}
-        fitted = elastic_logits(part, label, fits, "_grp", "_fold", vector, flat)
+        fitted = elastic_logits(part, label, fits, "_grp", "_fold", vector, flat, steps)
         scores: dict[str, dict[int, list[float]]] = {g: {} for g in now}
         for r in right_answers(part, label, fitted, "_grp", "_fold", vector).collect():
             if r["n"]:

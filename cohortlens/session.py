@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from functools import reduce
@@ -32,7 +33,7 @@ def local_session(cpus: str = "8", name: str = "cohortlens", memory: str = "12g"
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only a local session that names none gets a temporary folder.
+    Only a session of one process that names none gets a temporary folder.
     """
     named = (
         spark.conf.get("spark.checkpoint.dir", None)
@@ -41,7 +42,7 @@ def shared_dir(spark: SparkSession) -> str:
     )
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="cohortlens-"))
     return spark.sparkContext.getCheckpointDir()

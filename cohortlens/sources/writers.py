@@ -1,7 +1,9 @@
-"""Sinks: replace, append by run, and append with a backup of the prior history."""
+"""Sinks: replace, append by run, and histories whose every version stays as a backup."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,31 +19,38 @@ def append_run(df: DataFrame, path: str, by: tuple[str, ...] = ("date", "model_i
     df.write.mode("append").partitionBy(*by).parquet(path)
 
 
-def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table at ``path``, or None before the first run."""
+def append_with_backup(df: DataFrame, root: str) -> int:
+    """Add a run to the history below ``root`` and return the history's new version, counted from 1.
+
+    A run is a folder of its own, written first, and an entry that names it, written last. So a run costs what it holds
+    however long the history is, a run that breaks off has no entry and is never seen, and every version stays readable:
+    the one before is the backup. Two writers of one version cannot both succeed.
+    """
+    spark = df.sparkSession
+    version = max(entries(spark, root), default=0) + 1
+    run = f"run-{version:08d}-{uuid.uuid4().hex}"
+    df.write.parquet(f"{root}/runs/{run}")
+    spark.createDataFrame([(run,)], "run string").coalesce(1).write.mode("errorifexists").json(f"{root}/entries/version={version}")
+    return version
+
+
+def entries(spark: SparkSession, root: str) -> dict[int, str]:
+    """The run that each version of a history added."""
     try:
-        return spark.read.parquet(path)
+        listed = spark.read.schema("run string, version int").option("pathGlobFilter", "*.json").json(f"{root}/entries")
+        return {r["version"]: r["run"] for r in listed.collect()}
     except AnalysisException as missing:
         if "PATH_NOT_FOUND" in str(missing):
-            return None
+            return {}
         raise
 
 
-def append_with_backup(df: DataFrame, history: str | None, target: str, backup: str) -> DataFrame:
-    """Write prior history plus this run to ``target`` and a copy of the prior history to ``backup``.
-
-    ``target`` must be a new path: a path that is being read is never overwritten. The first run
-    has no prior history and writes no backup. This copies the whole history on every run; a table
-    kept with ``append_run`` does not.
-    """
-    spark = df.sparkSession
-    prior = read_if_exists(spark, history) if history else None
-    if prior is None:
-        df.write.mode("errorifexists").parquet(target)
-    else:
-        prior.write.mode("overwrite").parquet(backup)
-        prior.unionByName(df, allowMissingColumns=True).write.mode("errorifexists").parquet(target)
-    return spark.read.parquet(target)
+def read_history(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
+    """The runs of a history, or those up to ``version``; a column that a run lacks is null there."""
+    runs = [run for v, run in sorted(entries(spark, root).items()) if version is None or v <= version]
+    if not runs:
+        raise FileNotFoundError(f"no run up to version {version} in {root}")
+    return spark.read.option("mergeSchema", "true").parquet(*[f"{root}/runs/{r}" for r in runs])
 
 
 def nested_topn(contributions: str | Column, n: int) -> Column:

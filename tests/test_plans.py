@@ -1,13 +1,14 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from cohortlens.operators.features import OneHot
 from cohortlens.plans import calendar as C
 from cohortlens.plans import cohorts as K
 from cohortlens.plans import dimensions as D
 from cohortlens.session import fresh_path
-from cohortlens.sources import append_with_backup
+from cohortlens.sources import append_with_backup, read_history
 
 TERM = ("acad_career string, strm string, term_type string, term_year int, full_acad_year int, term_begin_dt timestamp, "
         "term_census_dt timestamp, term_midterm_dt timestamp, term_end_dt timestamp")
@@ -145,13 +146,28 @@ def test_one_hot_unseen_and_single_category(spark):
 
 
 def test_history_and_backup(spark):
-    paths = [fresh_path(spark, "t") for _ in range(4)]
+    root = fresh_path(spark, "t")
     one = spark.createDataFrame([("1", 1)], "emplid string, run int")
-    two = spark.createDataFrame([("1", 2)], "emplid string, run int")
-    assert append_with_backup(one, None, paths[0], paths[3]).count() == 1
-    with pytest.raises(Exception):
-        spark.read.parquet(paths[3])
-    assert append_with_backup(two, paths[0], paths[1], paths[3]).count() == 2
-    assert spark.read.parquet(paths[3]).collect() == one.collect()
-    # a history path that does not exist yet is a first run
-    assert append_with_backup(one, fresh_path(spark, "none"), paths[2], paths[3]).count() == 1
+    two = spark.createDataFrame([("1", 2, "new")], "emplid string, run int, more string")
+    with pytest.raises(FileNotFoundError):
+        read_history(spark, root)
+    assert append_with_backup(one, root) == 1 and read_history(spark, root).collect() == one.collect()
+    assert append_with_backup(two, root) == 2 and read_history(spark, root, 1).collect() == one.collect()
+    assert sorted(map(tuple, read_history(spark, root).select("emplid", "run", "more").collect())) == [("1", 1, None), ("1", 2, "new")]
+
+
+def test_a_broken_run_is_not_seen_and_a_run_costs_what_it_holds(spark, tmp_path):
+    root = str(tmp_path / "history")
+    size = lambda: sum(f.stat().st_size for f in (tmp_path / "history").rglob("*") if f.is_file())
+    run = spark.range(1000).coalesce(1)
+    grown = []
+    for _ in range(4):
+        before = size() if grown else 0
+        append_with_backup(run, root)
+        grown.append(size() - before)
+    assert max(grown) - min(grown) < 200
+    fails = run.withColumn("x", F.raise_error(F.lit("broken")))
+    with pytest.raises(Exception, match="broken"):
+        append_with_backup(fails, root)
+    assert read_history(spark, root).count() == 4000
+    assert append_with_backup(run, root) == 5 and read_history(spark, root).count() == 5000
