@@ -180,14 +180,21 @@ FROM (SELECT {columns}, w, unnest(range(1, greatest(len(w) - {licenses.WIDTH - 2
 
 
 TEMPLATE_ROWS = ", ".join("('{}', '{}')".format(n, t.replace("'", "''")) for n, t in licenses.TEMPLATES.items())
+TELLING_ROWS = ", ".join(f"('{n}', '{p}')" for n, phrases in licenses.TELLING.items() for p in phrases)
 OP7 = f"""
 WITH t(license, body) AS (VALUES {TEMPLATE_ROWS}),
+tell(license, phrase) AS (VALUES {TELLING_ROWS}),
 ts AS (SELECT DISTINCT license, s FROM ({sql_shingles('t', 'license', 'body')})),
 d AS (SELECT row_number() OVER () AS rid, doc_id, text FROM documents),
 ds AS (SELECT DISTINCT rid, doc_id, s FROM ({sql_shingles('d', 'rid, doc_id', 'text')})),
-n AS (SELECT license, count(*) AS n_template FROM ts GROUP BY license)
-SELECT doc_id, license, n_template, count(*) AS n_shared, count(*) / n_template AS containment
-FROM ds JOIN ts USING (s) JOIN n USING (license) GROUP BY rid, doc_id, license, n_template HAVING count(*) / n_template >= {licenses.LEAST}"""
+n AS (SELECT license, count(*) AS n_template FROM ts GROUP BY license),
+shared AS (SELECT rid, doc_id, license, s FROM ds JOIN ts USING (s)),
+told AS (SELECT rid, license, count(DISTINCT phrase) AS n FROM shared JOIN tell USING (license) WHERE contains(' ' || s || ' ', ' ' || phrase || ' ') GROUP BY rid, license),
+wanted AS (SELECT license, count(*) AS n FROM tell GROUP BY license)
+SELECT doc_id, license, n_template, n_shared, n_shared / n_template AS containment
+FROM (SELECT rid, doc_id, license, count(*) AS n_shared FROM shared GROUP BY rid, doc_id, license) JOIN n USING (license)
+     LEFT JOIN told USING (rid, license) LEFT JOIN wanted USING (license)
+WHERE n_shared / n_template >= {licenses.LEAST} AND coalesce(told.n, 0) = coalesce(wanted.n, 0)"""
 
 
 @query("op7_license_scan", OP7)

@@ -129,6 +129,44 @@ def test_licenses(spark, docs):
     assert got == [(1, "mit-permission")]
 
 
+def test_every_license_is_told_from_its_relatives(spark):
+    """Each template, in other case, among other words, is found as itself; versions and families do not stand for one another."""
+    names = list(licenses.TEMPLATES)
+    rows = [(i, LONG[:400] + "\n" + licenses.TEMPLATES[n].upper() + "\nand then more of it") for i, n in enumerate(names)]
+    got = {}
+    for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        got.setdefault(r["doc_id"], {})[r["license"]] = r["containment"]
+    inside = {"apache-2.0-header": {"apache-2.0"}}
+    for i, n in enumerate(names):
+        assert set(got[i]) == {n} | inside.get(n, set()) and got[i][n] == 1.0
+    other = spark.createDataFrame([(1, "This work is licensed under the GNU General Public License, version 4")], "doc_id long, text string")
+    assert licenses.scan(other).count() == 0
+
+
+def test_licenses_by_sql(spark, tmp_path):
+    """The registered query and its SQL on texts with edits, cuts and wrong versions."""
+    import random
+
+    import duckdb
+
+    from cohortlens.llm import queries
+    from tools.check import compare
+
+    rng, rows = random.Random(4), []
+    for n, body in licenses.TEMPLATES.items():
+        for k in range(6):
+            w = body.split()
+            for _ in range(k):
+                w[rng.randrange(len(w))] = "other"
+            rows.append((len(rows), " ".join(f"x{rng.randrange(99)}" for _ in range(20)) + " " + " ".join(w)))
+        rows.append((len(rows), body.replace(" 2", " 7").replace(" 3", " 8")))
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    df = queries.QUERIES["op7_license_scan"](spark, str(tmp_path)).cache()
+    assert compare(df, con, queries.ORACLES["op7_license_scan"]) == "ok" and df.count() > 40
+
+
 def test_top_k(spark):
     inf = float("inf")
     rows = [(100, [1.0, 0.0]), (200, [0.5, 0.5]), (1, [1.0, 1.0]), (2, [1.0, 1.0]), (3, [1.0, 1.0]), (4, [None, 1.0]), (5, None), (6, [inf, 0.0]),
