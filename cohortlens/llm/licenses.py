@@ -10,8 +10,8 @@ four bands, 1 for equal windows. Text windows are ``wide`` shingles long and beg
 ``1.5 wide`` shingles that agrees with the template holds a whole one, and meets for certain. Templates too short for
 that are filed by single shingles, where any shared shingle meets for certain.
 
-A text's windows are first held against one bit filter of all the templates' keys, a literal of 64 bits a key or so; what
-passes meets the keys in an equi-join, joined by broadcast as the templates fix their number and the data do not.
+A text's windows are first held against one bit filter of all the templates' keys, a literal of 64 bits a key or so, four bits
+a key, which lets about one other value in 100,000 through; what passes meets the keys in an equi-join, joined by broadcast as the templates fix their number and the data do not.
 
 Telling phrases keep versions and relatives apart: of each, one shingle that holds it must be among the shared ones.
 
@@ -21,12 +21,15 @@ per row; texts of any length are scanned whole; an empty table gives an empty re
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import SPLIT, settle
 
 WIDTH, WIDE, BANDS, LEAST = 5, 8, 4, 0.8
+TURNS = (0, 15, 30, 45)  # places in a hash from which the bits of the filter are taken
 #: What the bands add (by exclusive or) to the shingle hashes, which gives each band an order of its own.
 ORDERS = (0, 0x5851F42D4C957F2D, -0x61C8864680B583EB, 0x2545F4914F6CDD1D, -0x4B47D0C5A8E3B1F7, 0x6A09E667F3BCC909, -0x4498517A7B3558C5, 0x3C6EF372FE94F82B)
 
@@ -137,19 +140,26 @@ def template_keys(shingles: dict[str, list[int]], wide: int, bands: int) -> dict
 
 
 def bit_filter(values: list[int]) -> tuple[Column, int]:
-    """A literal array of 64-bit words with a bit for each value, one word a value or more, and their number."""
-    words = 1 << max(6, len(values).bit_length())
+    """A literal array of 64-bit words, one a value or more, with a bit for each value and turn, and their number."""
+    words = 1 << max(6, min(13, len(values).bit_length()))
     held = [0] * words
     for v in values:
-        held[v >> 6 & words - 1] |= 1 << (v & 63)
+        for turn in TURNS:
+            at = v >> turn
+            held[at >> 6 & words - 1] |= 1 << (at & 63)
     signed = ",".join(str(w - (1 << 64) if w >> 63 else w) for w in held)
     return F.split(F.lit(signed), ",").cast("array<bigint>"), words
 
 
 def passing(values: Column, bits: Column, words: int) -> Column:
-    """The distinct ``values`` whose bit is set."""
-    word = lambda v: F.get(bits, F.shiftright(v, 6).bitwiseAND(F.lit(words - 1)).cast("int"))
-    return F.array_distinct(F.filter(values, lambda v: F.bit_get(word(v), v.bitwiseAND(F.lit(63)).cast("int")) == 1))
+    """The distinct ``values`` all of whose bits are set."""
+
+    def set_at(v: Column, turn: int) -> Column:
+        at = F.shiftright(v, turn)
+        word = F.get(bits, F.shiftright(at, 6).bitwiseAND(F.lit(words - 1)).cast("int"))
+        return F.bit_get(word, at.bitwiseAND(F.lit(63)).cast("int")) == 1
+
+    return F.array_distinct(F.filter(values, lambda v: reduce(Column.__and__, [set_at(v, turn) for turn in TURNS])))
 
 
 def scan(
