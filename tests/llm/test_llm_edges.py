@@ -3,6 +3,7 @@
 import hashlib
 
 import brute
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -187,6 +188,37 @@ def test_top_k(spark):
     assert got[300] == [(1, 1, top), (2, 2, top), (3, 2, top)] and got[400] == [(1, 9, 0)]
 
 
+@pytest.mark.parametrize("spread", [0.05, 3.0])
+def test_top_k_visits_cells_by_bound(spark, monkeypatch, spread):
+    """Many cells, some of several parts (a third of all rows is one vector), chunks of queries; exact, and clusters are pruned."""
+    monkeypatch.setattr(topk, "VALUES", 16 * 64)
+    monkeypatch.setattr(topk, "CHUNK", 7)
+    rng = np.random.default_rng(4)
+    centres = rng.normal(0, 1, (12, 16))
+    x = np.concatenate((centres[rng.integers(0, 12, 1400)] + rng.normal(0, spread, (1400, 16)), np.tile(centres[:1], (700, 1))))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x[rng.permutation(len(x))])], "vec_id long, embedding array<double>").repartition(5).cache()
+    routes, real = [], topk.route
+
+    def seen(asked, table, k, first):
+        routes.append((real(asked, table, k, first), table.value))
+        return routes[-1][0]
+
+    monkeypatch.setattr(topk, "route", seen)
+    got = sorted(map(tuple, topk.top_k(df, F.col("vec_id") % 20 == 0, k=5).collect()))
+    rows = {r["vec_id"]: np.floor(1024 * np.array(r["embedding"])).astype(int) for r in df.collect()}
+    want = []
+    for q in range(0, len(rows), 20):
+        best = sorted((-int(rows[q] @ v), i) for i, v in rows.items() if i != q)[:5]
+        want += [(q, n, i, -s) for n, (s, i) in enumerate(best, 1)]
+    assert got == sorted(want)
+    _, sizes, _, _ = routes[0][1][16]
+    parts = -(-sizes // topk.room(16))
+    assert len(parts) > 20 and parts.max() > 5
+    visits = sum(r.count() for r, _ in routes)
+    everywhere = parts.sum() * len(range(0, len(rows), 20))
+    assert visits <= everywhere and (spread > 1 or visits < everywhere / 2)
+
+
 def linked_pages():
     """Hosts that farm links to blocked ones, that merely hold a few, that trusted ones link to, and that have no page themselves."""
     link = "<a class='x' href='https://{}/x'>l</a>"
