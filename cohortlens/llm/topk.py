@@ -35,6 +35,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SAMPLE, VALUES, CHUNK = 8_192, 1 << 19, 8_192  # rows that cells are fitted on, components in a part of a cell, queries at once
 TILE, PAIRS, ROUTES = 128, 200_000, 20_000
+DENSE = 32  # a product of its own costs about as much as so many in one multiplication of matrices
 SEGMENTS = (4, 16)
 LONG = 2**63 - 1
 
@@ -62,9 +63,14 @@ def best(query: np.ndarray, score: np.ndarray, ids: np.ndarray, k: int) -> np.nd
     return order[rank < k]
 
 
+def is_wide(q: np.ndarray, x: np.ndarray) -> bool:
+    """Whether an inner product may be beyond what doubles hold exactly."""
+    return bool(len(q) and len(x) and q.shape[1] and float(np.abs(q).max()) * float(np.abs(x).max()) * q.shape[1] >= 2**53)
+
+
 def products(q: np.ndarray, x: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     out = np.empty(len(a), np.int64)
-    wide = len(q) and len(x) and q.shape[1] and float(np.abs(q).max()) * float(np.abs(x).max()) * q.shape[1] >= 2**53
+    wide = is_wide(q, x)
     for i in range(0, len(a), PAIRS):
         u, v = q[a[i : i + PAIRS]], x[b[i : i + PAIRS]]
         if wide:  # too large for doubles: whole numbers of any size, cut to 64 bits at the end
@@ -97,14 +103,22 @@ def search_cell(q_rows, q, floor, x_rows, x_ids, x, k: int):
             scores[np.take_along_axis(coarse, first, 1) == -np.inf] = -np.inf
             least = np.maximum(least, scores.min(1))
         least[least <= -LONG] = -np.inf
-        a, b = np.nonzero((coarse >= least[:, None]) & (coarse > -np.inf))
+        alive = (coarse >= least[:, None]) & (coarse > -np.inf)
         for fq, fx in levels[1:]:
-            keep = np.empty(len(a), bool)
-            for j in range(0, len(a), PAIRS):
-                s, t = a[j : j + PAIRS], b[j : j + PAIRS]
-                keep[j : j + PAIRS] = ~(np.einsum("ij,ij->i", fq[rows][s], fx[t]) + slack[rows][s, 0] < least[s])
-            a, b = a[keep], b[keep]
-        score = products(q[rows], x, a, b)
+            some = np.flatnonzero(alive.any(0))
+            alive[:, some] &= ~(fq[rows] @ fx[some].T + slack[rows] < least[:, None])
+        some = np.flatnonzero(alive.any(0))
+        alive = alive[:, some]
+        if np.count_nonzero(alive) * DENSE < alive.size or is_wide(q, x):
+            a, b = np.nonzero(alive)
+            score = products(q[rows], x, a, some[b])
+        else:  # most survive: one multiplication, exact as all sums are whole numbers
+            dense = np.where(alive, q[rows] @ x[some].T, -np.inf)
+            if len(some) > k:
+                alive = alive & (dense >= np.partition(dense, len(some) - k, axis=1)[:, len(some) - k, None])
+            a, b = np.nonzero(alive)
+            score = dense[a, b].astype(np.int64)
+        b = some[b]
         top = best(a, score, x_ids[b], k)
         found.append((q_rows[rows][a[top]], b[top], score[top]))
     return [np.concatenate(c) for c in zip(*found)] if found else [np.zeros(0, np.int64)] * 3
