@@ -7,6 +7,11 @@ fingerprint must be filed under and the number of candidate pairs that the bits'
 fingerprints. Distinct fingerprints are filed under every key within half the threshold of theirs, so that those within
 the threshold share a key; pairs that share one are compared in full.
 
+A bucket of more than ``SPLIT`` fingerprints is never held: its task passes the rows on, and Spark files them again under
+more of their bits. Two that are close agree in all but tau of any bands, so each round takes more and narrower bands and
+one key for each choice of those that agree; in the last one a bucket of tau up to 4 has 16 free bits, so that its size
+has a bound however many texts come from one template.
+
 Equal fingerprints count once, so copies are never paired. In a bucket only as many links are written as connect what
 is linked there; the components of those links are those of all links.
 
@@ -20,6 +25,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +41,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 BITS = 64
 SLICE_BYTES = 2 << 20
 NEAR = 24  # buckets up to this size are compared pair by pair, larger ones by a search that visits each once
-SPLIT = 20_000  # larger buckets are cut by further bits first
+SPLIT = 20_000  # larger buckets are filed again under further bits
+MOST_KEYS = 20_000  # of a fingerprint in a bucket that is filed again
 NAMELESS = 1 << 62
 ROW_COST, PAIR_COST = 1e-6, 1e-8  # seconds, for the plan only
 ROWS_PER_TASK = 2_000_000
@@ -222,15 +229,32 @@ def walk(fps: np.ndarray, ids: np.ndarray, tau: int) -> list[tuple[np.ndarray, n
     return out
 
 
-def links(prints: DataFrame, n: int, parts: list[tuple[list[int], int]], tau: int) -> DataFrame:
-    """(a, b): links among the nodes of ``prints`` (node, fp) that connect what any links connect."""
-    masks = []
-    for number, (bits, threshold) in enumerate(parts):
-        whole = sum(1 << b for b in bits)
+FILED = ["part", "key", "node", "fp"]
+FILED_AS = "part int, key long, node long, fp long"
+
+
+def finer(tau: int) -> list[list[tuple[np.uint64, np.ndarray]]]:
+    """Masks of the rounds after the first: of ever more bands, all choices that two close fingerprints may agree in."""
+    rounds = []
+    for bands in sorted({tau + 1, tau + 2, 2 * tau, 4 * tau}):
+        if tau < bands <= BITS and comb(bands, tau) <= MOST_KEYS:
+            one = [sum(1 << int(b) for b in band) for band in np.array_split(np.arange(BITS), bands)]
+            rounds.append([(np.uint64(sum(some)), np.zeros(1, np.uint64)) for some in combinations(one, bands - tau)])
+    return rounds
+
+
+def planned(parts: list[tuple[list[int], int]]) -> list[tuple[np.uint64, np.ndarray]]:
+    """(bits, flips of them) of each part in use."""
+    out = []
+    for bits, threshold in parts:
         flips = [sum(1 << b for b in some) for r in range((threshold + 1) // 2 + 1) for some in combinations(bits, r)]
-        masks.append((number, np.uint64(whole), np.array(flips, np.uint64)))
-    keys = sum(len(flips) for _, _, flips in masks)
-    names = prints.columns
+        out.append((np.uint64(sum(1 << b for b in bits)), np.array(flips, np.uint64)))
+    return out
+
+
+def file_rows(prints: DataFrame, masks: list[tuple[np.uint64, np.ndarray]]) -> DataFrame:
+    """``prints`` (node, fp) under its bits of each mask, with each of the mask's flips."""
+    keys = sum(len(flips) for _, flips in masks)
 
     def file_under(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -238,19 +262,30 @@ def links(prints: DataFrame, n: int, parts: list[tuple[list[int], int]], tau: in
             for i in range(0, b.num_rows, step):
                 rows = b.slice(i, step)
                 fp = rows.column(1).to_numpy().view(np.uint64)
-                for number, whole, flips in masks:
-                    key = ((fp[:, None] ^ flips) & whole).ravel()
-                    again = np.repeat(np.arange(len(fp)), len(flips))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(key), number, np.int32)), pa.array(key.view(np.int64)), *(c.take(pa.array(again)) for c in rows.columns)],
-                        ["part", "key", *names])
+                part, key = [], []
+                for number, (whole, flips) in enumerate(masks):
+                    key.append(((fp[:, None] ^ flips) & whole).ravel())
+                    part.append(np.full(len(key[-1]), number, np.int32))
+                again = pa.array(np.concatenate([np.repeat(np.arange(len(fp)), len(flips)) for _, flips in masks]))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(part)), pa.array(np.concatenate(key).view(np.int64)), *(c.take(again) for c in rows.columns)], FILED)
+
+    return prints.select("node", "fp").mapInArrow(file_under, FILED_AS)
+
+
+def compared(filed: DataFrame, tasks: int, tau: int, last: bool) -> DataFrame:
+    """Links (part -1, the two nodes as node and fp), and the rows of buckets that are too large unless this is the last round."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def edges(part, key, ids, fps):
-            fps = fps.view(np.uint64)
-            new = np.concatenate(([True], (key[1:] != key[:-1]) | (part[1:] != part[:-1])))
-            bucket = np.cumsum(new)
+        def rows(cols) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], FILED)
+
+        def edges(cols: list[np.ndarray]):
+            ids, fps = cols[2], cols[3].view(np.uint64)
+            bucket = np.cumsum(np.concatenate(([True], np.any([c[1:] != c[:-1] for c in cols[:2]], axis=0))))
             size = np.bincount(bucket)[bucket]
+            if not last and (size > SPLIT).any():
+                yield rows([c[size > SPLIT] for c in cols])
             some = np.flatnonzero((size > 1) & (size <= NEAR))
             found = []
             for d in range(1, NEAR):
@@ -260,7 +295,7 @@ def links(prints: DataFrame, n: int, parts: list[tuple[list[int], int]], tau: in
                 a, b = some[pair], some[pair + d]
                 near = close(fps[a], fps[b], tau)
                 found.append((ids[a[near]], ids[b[near]]))
-            many = np.flatnonzero(size > NEAR)
+            many = np.flatnonzero((size > NEAR) & (last | (size <= SPLIT)))
             for group in np.split(many, np.flatnonzero(np.diff(bucket[many])) + 1):
                 if len(group):
                     found += forest(fps[group], ids[group], tau)
@@ -268,27 +303,53 @@ def links(prints: DataFrame, n: int, parts: list[tuple[list[int], int]], tau: in
             if found:
                 a, b = (np.concatenate(x) for x in zip(*found))
                 both = np.unique(np.stack((np.minimum(a, b), np.maximum(a, b))), axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], ["a", "b"])
+                yield rows([np.full(both.shape[1], -1, np.int32), np.zeros(both.shape[1], np.int64), both[0], both[1]])
 
         held: list[list[np.ndarray]] = []  # what has come of the last bucket, which may go on in the next batch
+        passing = None  # a bucket that turned out too large and is passed on
         for b in batches:
             cols = [c.to_numpy() for c in b.columns]
-            if not b.num_rows:
+            if passing is not None and b.num_rows:
+                more = int(np.argmin(np.concatenate((np.all([c == v for c, v in zip(cols, passing)], axis=0), [False]))))
+                if more:
+                    yield rows([c[:more] for c in cols])
+                cols = [c[more:] for c in cols]
+                passing = passing if not len(cols[0]) else None
+            if not len(cols[0]):
                 continue
-            last = np.flatnonzero((cols[1] != cols[1][-1]) | (cols[0] != cols[0][-1]))
-            if held or len(last):
-                cut = last[-1] + 1 if len(last) else 0
-                same = held and cut == 0 and held[-1][0][-1] == cols[0][0] and held[-1][1][-1] == cols[1][0]
+            other = np.flatnonzero(np.any([c != c[-1] for c in cols[:2]], axis=0))
+            if held or len(other):
+                cut = other[-1] + 1 if len(other) else 0
+                same = held and cut == 0 and all(h[-1] == c[0] for h, c in zip(held[-1][:2], cols))
                 if not same:
-                    yield from edges(*[np.concatenate(x) for x in zip(*held, [c[:cut] for c in cols])])
+                    yield from edges([np.concatenate(x) for x in zip(*held, [c[:cut] for c in cols])])
                     held, cols = [], [c[cut:] for c in cols]
             held.append(cols)
+            if not last and sum(len(h[0]) for h in held) > SPLIT:
+                passing = [c[-1] for c in held[-1][:2]]
+                for h in held:
+                    yield rows(h)
+                held = []
         if held:
-            yield from edges(*[np.concatenate(x) for x in zip(*held)])
+            yield from edges([np.concatenate(x) for x in zip(*held)])
 
-    filed = prints.mapInArrow(file_under, ", ".join(["part int", "key long", *(f"{c} long" for c in names)]))
-    tasks = max(int(filed.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1 + n * keys // ROWS_PER_TASK)
-    return filed.repartition(tasks, "part", "key").sortWithinPartitions("part", "key").mapInArrow(compare, "a long, b long")
+    return filed.repartition(tasks, "part", "key").sortWithinPartitions("part", "key").mapInArrow(compare, FILED_AS)
+
+
+def links(prints: DataFrame, n: int, parts: list[tuple[list[int], int]], tau: int) -> DataFrame:
+    """(a, b): links among the nodes of ``prints`` (node, fp) that connect what any links connect."""
+    least = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    masks, found, rounds = planned(parts), None, finer(tau)
+    while True:
+        tasks = max(least, 1 + n * sum(len(flips) for _, flips in masks) // ROWS_PER_TASK)
+        out = settle(compared(file_rows(prints, masks), tasks, tau, not rounds), "buckets")
+        edges = out.where("part = -1").select(F.col("node").alias("a"), F.col("fp").alias("b"))
+        found = edges if found is None else found.union(edges)
+        prints = out.where("part >= 0").select("node", "fp").distinct()
+        n = prints.count()
+        if not n:
+            return found
+        masks, rounds = rounds[0], rounds[1:]
 
 
 def near_duplicates(docs: DataFrame, width: int = 4, seed: int = 42, tau: int = 4, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -303,7 +364,7 @@ def near_duplicates(docs: DataFrame, width: int = 4, seed: int = 42, tau: int =
     n, mean, corr = bit_moments(distinct)
     if not n:
         return prints.withColumn("component_id", F.col(key).cast("long"))
-    roots = components(settle(links(distinct, n, plan(n, mean, corr, tau), tau), "links")).withColumnRenamed("node", "other")
+    roots = components(links(distinct, n, plan(n, mean, corr, tau), tau)).withColumnRenamed("node", "other")
     named = distinct.join(roots, F.col("node") == F.col("other"), "left").select("fp", F.coalesce("root", "node").alias("component_id"))
     shown = F.when(F.col("component_id") < NAMELESS, F.col("component_id"))
     return prints.join(settle(named, "named"), "fp").select(key, "fp", shown.alias("component_id"))

@@ -179,6 +179,31 @@ def test_large_buckets_are_cut(monkeypatch):
     assert brute.groups(ids.tolist(), lambda a, b: (a, b) in found) == want
 
 
+@pytest.mark.parametrize("rows, keys", [(10_000, 20_000), (20, 100)])
+def test_large_buckets_are_filed_again(spark, monkeypatch, rows, keys):
+    """Buckets over the limit pass through all rounds, within one batch of rows and over several."""
+    monkeypatch.setattr(simhash, "SPLIT", 12)
+    assert [len(m) for m in simhash.finer(4)] == [5, 15, 70, 1820] and all(bin(int(m)).count("1") == 48 for m, _ in simhash.finer(4)[-1])
+    monkeypatch.setattr(simhash, "MOST_KEYS", keys)
+    rng = np.random.default_rng(2)
+    balls = [np.uint64(b) ^ (np.uint64(1) << rng.integers(0, 64, (80, 3)).astype(np.uint64)).sum(1).astype(np.uint64) for b in rng.integers(0, 2**62, 4)]
+    low = rng.integers(0, 2**10, 60).astype(np.uint64)  # in a common bucket at every round, linked or not
+    fps = np.unique(np.concatenate((*balls, low, rng.integers(0, 2**63, 60).astype(np.uint64))))
+    df = spark.createDataFrame([(i, int(f.view(np.int64))) for i, f in enumerate(fps)], "node long, fp long")
+    n, mean, corr = simhash.bit_moments(df)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+    try:
+        edges = simhash.links(df, n, simhash.plan(n, mean, corr, 4), 4)
+        found = [tuple(r) for r in edges.distinct().collect()]
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    near = lambda a, b: brute.differ(int(fps[a]), int(fps[b])) <= 4
+    assert all(near(a, b) for a, b in found)
+    pairs = set(found)
+    assert brute.groups(range(len(fps)), lambda a, b: (min(a, b), max(a, b)) in pairs) == brute.groups(range(len(fps)), near)
+
+
 PAGE = """<html><head><title>T</title></head><body><header><h2>Site</h2></header><div class="menu-1">Menu one</div>
 <div id="c3" class="cookie-notice">We use cookies</div><div class="wrap"><div class="post post-12"><h1>Head &amp; line</h1>
 <p>First   para&shy;graph of the story, long enough to count for much more than the rest of the page does.<p>Second one<br>after a break
