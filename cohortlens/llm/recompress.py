@@ -39,7 +39,8 @@ from .common import settle
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 ROUNDS = 2
-BLOCK_BYTES = 6 << 20
+BLOCK_BYTES = 3 << 20
+PIECE = 1 << 17  # words recompressed at once, in whole documents
 ENTRIES = 4_000_000  # distinct symbols in a bucket, about
 NOBODY = np.int64(2**63 - 1)
 M1, M2, M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
@@ -141,6 +142,7 @@ class Block:
     """The rows of a block: ``ids``, ``counts`` of words, ``codes`` of all words in ``vocab``."""
 
     def __init__(self, body):
+        pa.default_memory_pool().release_unused()  # of the block before; tasks share an executor's memory
         self.rows = pa.ipc.open_stream(body).read_all().combine_chunks()
         texts = self.rows.column(1).combine_chunks() if self.rows.num_rows else pa.array([], pa.string())
         texts = pa.concat_arrays(texts.chunks) if isinstance(texts, pa.ChunkedArray) else texts
@@ -159,21 +161,40 @@ class Block:
         from xxhash import xxh64_intdigest
 
         hashes = np.array([xxh64_intdigest(w) for w in self.vocab.cast(pa.large_binary()).to_pylist()], np.uint64)
-        doc = np.repeat(np.arange(len(self.ids)), self.counts)
+        doc = np.repeat(np.arange(len(self.ids), dtype=np.int32), self.counts)
         first = np.ones(len(doc), bool)
         first[1:] = doc[1:] != doc[:-1]
         return hashes[self.codes], doc, first
 
-    def symbols(self, buckets: int, window: int):
+    def pieces(self) -> Iterator[tuple[int, int]]:
+        """Begin and end of stretches of whole documents, of PIECE words or one document at most."""
+        ends = np.cumsum(self.counts)
+        at = 0
+        while at < (int(ends[-1]) if len(ends) else 0):
+            place = int(np.searchsorted(ends, at + PIECE, "right"))
+            upto = int(ends[place - 1]) if place and ends[place - 1] > at else int(ends[np.searchsorted(ends, at, "right")])
+            yield at, upto
+            at = upto
+
+    def decided(self, word: np.ndarray, doc: np.ndarray, first: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The symbols that words of their own document decide, with their spans. No symbol spans two documents, so pieces give the same ones."""
+        out = [(np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int32))]
+        for a, z in self.pieces():
+            if z - a == 1:
+                continue  # a lone word has no neighbours that decide it
+            sym, low, high = recompress(word[a:z], first[a:z], window)
+            inside = high - low < window  # a symbol at the end of a document reaches beyond it, so its span is too long
+            inside &= (low >= 0) & (high < z - a)
+            inside[inside] &= doc[a + low[inside]] == doc[a + high[inside]]
+            out.append((sym[inside], (a + low[inside]).astype(np.int32), (a + high[inside]).astype(np.int32)))
+        return tuple(np.concatenate(c) for c in zip(*out))
+
+    def symbols(self, buckets: int, window: int, words: tuple | None = None):
         """The decided symbols in order of their key: place among the keys, span, and keys with a mark of two documents."""
-        word, doc, first = self.words()
+        word, doc, first = words or self.words()
         if not len(word):
             return None
-        sym, low, high = recompress(word, first, window)
-        decided = high - low < window  # a symbol at the end of a document reaches beyond it, so its span is too long
-        decided &= (low >= 0) & (high < len(doc))
-        decided[decided] &= doc[low[decided]] == doc[high[decided]]
-        sym, low, high = sym[decided], low[decided], high[decided]
+        sym, low, high = self.decided(word, doc, first, window)
         key = ((sym >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)) << np.uint64(32) | (sym & np.uint64(0xFFFFFFFF))
         order = np.argsort(key, kind="stable")
         begin = np.flatnonzero(np.concatenate(([True], key[order][1:] != key[order][:-1]))) if len(key) else np.zeros(0, np.int64)
@@ -185,12 +206,12 @@ class Block:
 
     def windows(self, buckets: int, window: int, shared: np.ndarray):
         """Windows that may repeat: start, id of the document, place among the keys; then keys and smallest id of each."""
-        word, doc, _ = self.words()
+        word, doc, first = self.words()
         n = len(word) - window + 1
         if n < 1:
             return None
         start = doc[:n] == doc[window - 1 :]
-        place, low, high, _, _ = self.symbols(buckets, window)
+        place, low, high, _, _ = self.symbols(buckets, window, (word, doc, first))
         alone = ~shared[place]
         change = np.bincount(np.maximum(high[alone] - window + 1, 0), minlength=len(word) + 1).astype(np.int64)
         change -= np.bincount(low[alone] + 1, minlength=len(word) + 1)[: len(change)]
