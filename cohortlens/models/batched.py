@@ -65,8 +65,12 @@ def block_sums(x: np.ndarray, y: np.ndarray, fold: np.ndarray, b: np.ndarray, fi
         w[:, at] = (np.where(y == 1, weights[f][1], weights[f][0]) * (fold != f))[:, None]
     loss = (w * np.logaddexp(0, np.where(y[:, None] == 1, -margin, margin))).sum(0)
     gradient = (w * (p - y[:, None])).T @ x
-    outer = (x[:, :, None] * x[:, None, :]).reshape(len(x), -1)
-    return np.hstack((loss[:, None], gradient, (w * p * (1 - p)).T @ outer))
+    q = w * p * (1 - p)
+    if len(fits) <= x.shape[1]:  # a product for each fit is cheaper than all products of columns
+        hessian = np.stack([(x * q[:, i, None]).T @ x for i in range(len(fits))]).reshape(len(fits), -1)
+    else:
+        hessian = q.T @ (x[:, :, None] * x[:, None, :]).reshape(len(x), -1)
+    return np.hstack((loss[:, None], gradient, hessian))
 
 
 def newton(b: np.ndarray, gradient: np.ndarray, hessian: np.ndarray, l1: np.ndarray, l2: np.ndarray, flat: float) -> np.ndarray:
@@ -95,7 +99,8 @@ def elastic_logits(df: DataFrame, label: str, fits: dict[str, list[Fit]], by: st
     group = F.col(by).cast("string") if by else F.lit(ONE)
     folds = F.col(fold).cast("int") if fold else F.lit(NO_FOLD - 1)
     rows = df.select(group.alias("grp"), vector_to_array(vector).alias("x"), F.col(label).cast("double").alias("y"), folds.alias("fold")).where(F.col("grp").isin(list(fits)))
-    rows = cut(rows, "rows")
+    # every step reads what is dealt here: as many even tasks as there are cores, at least
+    rows = cut(rows.repartition(max(df.sparkSession.sparkContext.defaultParallelism, rows.rdd.getNumPartitions())), "rows")
     width = (rows.agg(F.max(F.size("x"))).first()[0]) or 0
     stats = rows.groupBy("grp").agg(*[f(F.get("x", F.lit(i))).alias(f"{t}{i}") for i in range(width) for t, f in (("m", F.avg), ("s", F.stddev_pop))])
     centre = {r["grp"]: (np.array([r[f"m{i}"] for i in range(width)], float), np.array([r[f"s{i}"] or 0.0 for i in range(width)], float)) for r in stats.collect()}
