@@ -2,9 +2,9 @@
 
 The coefficients of all fits of a group are one matrix. A pass over the rows gives every fit's gradient, Hessian and loss:
 tasks multiply blocks of rows with the matrix and add up, and Spark sums over tasks. The driver, which holds the
-coefficients and nothing else, takes a Newton step under the penalty for all fits together (coordinate descent on the
-quadratic model), so that a handful of passes serves any number of candidates. Fits of many columns are dealt to passes
-of bounded size.
+coefficients and nothing else, takes a Newton step under the penalty for all fits together (the quadratic model's system is
+solved where no absolute values count, and descended by coordinates elsewhere), so that a handful of passes serves any
+number of candidates. Fits of many columns are dealt to passes of bounded size.
 
 A fit minimises C sum_i w_i log-loss_i + l1_ratio |b|_1 + (1 - l1_ratio) |b|^2 / 2 with balanced class weights w and an
 intercept that is not penalised, in the columns as they are; inside, columns are centred and scaled.
@@ -12,6 +12,7 @@ intercept that is not penalised, in the columns as they are; inside, columns are
 
 from __future__ import annotations
 
+import contextlib
 import math
 import sys
 from collections.abc import Iterator
@@ -47,11 +48,12 @@ class Fit:
 
 @dataclass
 class Fitted:
-    """The fits of a group: a column of ``beta`` each, the intercept last, for the columns as they are."""
+    """The fits of a group: a column of ``beta`` each, the intercept last, for the columns as they are, and how many rows it saw."""
 
     fits: list[Fit]
     beta: np.ndarray
     converged: np.ndarray
+    rows: np.ndarray
 
 
 def block_sums(x: np.ndarray, y: np.ndarray, fold: np.ndarray, b: np.ndarray, fits: list[Fit], weights: dict) -> np.ndarray:
@@ -74,7 +76,35 @@ def block_sums(x: np.ndarray, y: np.ndarray, fold: np.ndarray, b: np.ndarray, fi
 
 
 def newton(b: np.ndarray, gradient: np.ndarray, hessian: np.ndarray, l1: np.ndarray, l2: np.ndarray, flat: float) -> np.ndarray:
-    """The minimisers of the quadratic models at ``b`` (fits x columns) plus penalties, one coordinate of all fits at a time."""
+    """The minimisers of the quadratic models at ``b`` (fits x columns) plus penalties.
+
+    Without ``l1`` it is one linear system a fit. Descent would need sweeps in proportion to rows where columns are nearly
+    collinear, as only the penalty tells those apart.
+    """
+    new = b.copy()
+    smooth = ~l1.any(1)
+    if smooth.any():
+        new[smooth] = b[smooth] + ridge_steps(b[smooth], gradient[smooth], hessian[smooth], l2[smooth])
+    rest = ~smooth | ~np.isfinite(new).all(1)
+    if rest.any():
+        new[rest] = descent(b[rest], gradient[rest], hessian[rest], l1[rest], l2[rest], flat)
+    return new
+
+
+def ridge_steps(b: np.ndarray, gradient: np.ndarray, hessian: np.ndarray, l2: np.ndarray) -> np.ndarray:
+    """The steps of fits without ``l1``; NaN for one whose system is singular."""
+    out = np.full(b.shape, np.nan)
+    for i in range(len(b)):
+        system = hessian[i] + np.diag(l2[i])
+        at = np.flatnonzero(system.diagonal() <= 0)  # columns that do not vary
+        system[at, at] = 1.0
+        with contextlib.suppress(np.linalg.LinAlgError):
+            out[i] = -np.linalg.solve(system, gradient[i] + l2[i] * b[i])
+    return out
+
+
+def descent(b: np.ndarray, gradient: np.ndarray, hessian: np.ndarray, l1: np.ndarray, l2: np.ndarray, flat: float) -> np.ndarray:
+    """The same minimisers by coordinate descent, one coordinate of all fits at a time."""
     new, p = b.copy(), b.shape[1]
     slope = gradient.copy()  # of the quadratic model at ``new``
     for _ in range(SWEEPS):
@@ -111,16 +141,18 @@ def elastic_logits(df: DataFrame, label: str, fits: dict[str, list[Fit]], by: st
     sc, state = df.sparkSession.sparkContext, {}
     for g in sorted(set(fits) & set(centre)):
         mine, (mu, sd) = fits[g], centre[g]
-        weights = {}
+        weights, seen = {}, {}
         for f in {one.fold for one in mine}:
             n = sum((v for k, v in counts[g].items() if k != f), np.zeros(2))
+            seen[f] = n.sum()
             weights[f] = tuple(n.sum() / (2 * n)) if n.all() else (1.0, 1.0)  # balanced
         scale = np.where(sd > 0, 1 / np.where(sd > 0, sd, 1), 0.0)
         share = np.array([1 / one.c for one in mine])[:, None]
         ratio = np.array([one.l1_ratio for one in mine])[:, None]
         pad = lambda v: np.hstack((v, np.zeros((len(mine), 1))))
         state[g] = {"b": np.zeros((len(mine), width + 1)), "last": None, "loss": np.full(len(mine), np.inf), "open": np.ones(len(mine), bool), "weights": weights, "mu": mu,
-                    "scale": scale, "l1": pad(share * ratio * scale), "l2": pad(share * (1 - ratio) * scale**2), "fits": mine}
+                    "scale": scale, "l1": pad(share * ratio * scale), "l2": pad(share * (1 - ratio) * scale**2), "fits": mine,
+                    "rows": np.array([seen[one.fold] for one in mine], int)}
         state[g]["last"] = state[g]["b"].copy()
     per_fit = 1 + (width + 1) + (width + 1) ** 2
     each = max(1, NUMBERS // per_fit)
@@ -174,7 +206,7 @@ def elastic_logits(df: DataFrame, label: str, fits: dict[str, list[Fit]], by: st
     out = {}
     for g, s in state.items():
         slope = s["b"][:, :-1] * s["scale"]
-        out[g] = Fitted(s["fits"], np.vstack((slope.T, s["b"][:, -1] - slope @ s["mu"])), ~s["open"])
+        out[g] = Fitted(s["fits"], np.vstack((slope.T, s["b"][:, -1] - slope @ s["mu"])), ~s["open"], s["rows"])
     return out
 
 

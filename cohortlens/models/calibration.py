@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -68,30 +69,35 @@ def maps_of(pools: DataFrame, by: list[str]) -> DataFrame:
 def calibrated(scores: DataFrame, score: str, pools: DataFrame, fold: str) -> DataFrame:
     """Each distinct score of ``scores`` with the mean of the folds' maps, straight between pools and flat beyond them."""
     asked = scores.select(F.col(score).cast("double").alias("s")).distinct()
+    folds = pools.select(F.col(fold).alias("fold")).distinct()
+    every = asked.join(F.broadcast(folds))  # as many folds as the calibration has
+    return mapped(every, pools, fold).groupBy(F.col("s").alias(score)).agg(F.avg("value").alias("calibrated"))
+
+
+def mapped(asked: DataFrame, pools: DataFrame, fold: str) -> DataFrame:
+    """(fold, s, value): the distinct (fold, s) of ``asked`` with the values of their folds' maps, null where a fold has none."""
     knots = maps_of(pools, [fold]).withColumnRenamed(fold, "fold")
-    folds = knots.select("fold").distinct()
-    every = asked.join(F.broadcast(folds)).select("fold", "s", F.lit(None).cast("double").alias("value"))  # as many folds as the calibration has
-    line = knots.select("fold", F.col("at").alias("s"), "value").unionByName(every)
+    line = knots.select("fold", F.col("at").alias("s"), "value").unionByName(asked.select("fold", "s", F.lit(None).cast("double").alias("value")))
     # the knots before and after each score: running values, in slices along the score
     placed = running_index(line.withColumn("_known", F.col("value").isNull().cast("int")), ["fold"], ["s", "_known", "value"], "_i")
-    part = placed.withColumn("slice", F.floor((F.col("_i") - 1) / SLICE).cast("long"))
-    return _filled(part, score)
+    return _filled(placed.withColumn("slice", F.floor((F.col("_i") - 1) / SLICE).cast("long")))
 
 
-def _filled(part: DataFrame, score: str) -> DataFrame:
+def _filled(part: DataFrame) -> DataFrame:
     knot = F.when(F.col("value").isNotNull(), F.struct("s", "value"))
     ends = cut(part.groupBy("fold", "slice").agg(F.max_by(knot, F.when(F.col("value").isNotNull(), F.col("_i"))).alias("last"),
                                                  F.min_by(knot, F.when(F.col("value").isNotNull(), F.col("_i"))).alias("first")), "ends")
     before = Window.partitionBy("fold").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    after = Window.partitionBy("fold").orderBy("slice").rowsBetween(1, Window.unboundedFollowing)
-    ends = ends.select("fold", "slice", F.last("last", True).over(before).alias("left"), F.first("first", True).over(after).alias("right"))
-    inside = Window.partitionBy("fold", "slice").orderBy("_i")
-    near = part.withColumns({"l": F.last(knot, True).over(inside.rowsBetween(Window.unboundedPreceding, 0)), "r": F.first(knot, True).over(inside.rowsBetween(0, Window.unboundedFollowing))})
+    # what follows is what comes before in the other order: a frame that ends with its partition is run through anew for every row
+    after = Window.partitionBy("fold").orderBy(F.desc("slice")).rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.select("fold", "slice", F.last("last", True).over(before).alias("left"), F.last("first", True).over(after).alias("right"))
+    up, down = (Window.partitionBy("fold", "slice").orderBy(o).rowsBetween(Window.unboundedPreceding, 0) for o in (F.asc("_i"), F.desc("_i")))
+    near = part.withColumns({"l": F.last(knot, True).over(up), "r": F.last(knot, True).over(down)})
     near = near.where("value IS NULL").join(ends, ["fold", "slice"], "left").withColumns({"l": F.coalesce("l", "left"), "r": F.coalesce("r", "right")})
     gap = F.col("r.s") - F.col("l.s")
     value = (F.when(F.col("l").isNull(), F.col("r.value")).when(F.col("r").isNull() | (gap == 0) | (F.col("s") == F.col("l.s")), F.col("l.value"))
              .otherwise(F.col("l.value") + (F.col("r.value") - F.col("l.value")) * (F.col("s") - F.col("l.s")) / gap))
-    return near.groupBy(F.col("s").alias(score)).agg(F.avg(value).alias("calibrated"))
+    return near.select("fold", "s", value.alias("value"))
 
 
 def isotonic_calibration(df: DataFrame, y: str, score: str, fold: str, out: str = "calibrated") -> DataFrame:
@@ -103,25 +109,27 @@ def isotonic_calibration(df: DataFrame, y: str, score: str, fold: str, out: str
     return data.join(told, score)
 
 
-def refitted(df: DataFrame, fold: str, folds: int, fit: Callable[[DataFrame], Callable[[DataFrame], DataFrame]]) -> list[tuple[Callable, DataFrame]]:
-    """(scorer, the fold's rows scored) of a base model fitted anew for each fold on the other folds' rows."""
-    out = []
-    for k in range(folds):
-        scorer = fit(df.where(F.col(fold) != k))
-        out.append((scorer, scorer(df.where(F.col(fold) == k))))
-    return out
+def refitted(df: DataFrame, fold: str, folds: int, fit: Callable[[DataFrame], Callable[[DataFrame], DataFrame]], together: bool = False) -> list[tuple[Callable, DataFrame]]:
+    """(scorer, the fold's rows scored) of a base model fitted anew for each fold on the other folds' rows.
+
+    ``fit`` gets the rows of a model and gives its scorer. With ``together`` it gets all rows once, with their folds, and gives the
+    scorers of all folds in order, so that their models may share passes.
+    """
+    scorers = fit(df.where(F.col(fold).isNotNull())) if together else [fit(df.where(F.col(fold) != k)) for k in range(folds)]
+    return [(scorer, scorer(df.where(F.col(fold) == k))) for k, scorer in enumerate(scorers)]
+
 
+def refitted_calibration(df: DataFrame, new: DataFrame, y: str, key: str, fold: str, folds: int, fit: Callable, out: str = "calibrated", together: bool = False) -> DataFrame:
+    """(key, calibrated) of ``new``: the mean over folds of a base model fitted without the fold, mapped by the isotonic fit on the fold's rows.
 
-def refitted_calibration(df: DataFrame, new: DataFrame, y: str, key: str, fold: str, folds: int, fit: Callable, out: str = "calibrated") -> DataFrame:
-    """(key, calibrated) of ``new``: the mean over folds of a base model fitted without the fold, mapped by the isotonic fit on the fold's rows."""
-    parts = []
-    for k, (scorer, held) in enumerate(refitted(df, fold, folds, fit)):
-        scored = cut(held.select(F.col("prob").cast("double").alias("s"), F.col(y).cast("double").alias("y")), "held")
-        points = scored.groupBy("s").agg(F.avg("y").alias("_y"), F.count("*").cast("double").alias("_w"), F.lit(k).alias("fold"))
-        pools = isotonic(points, ["fold"], "s", "_y", "_w")
-        asked = cut(scorer(new).select(key, F.col("prob").cast("double").alias("s")), "asked")
-        parts.append(asked.join(calibrated(asked, "s", pools, "fold"), "s").select(key, "calibrated"))
-    every = parts[0]
-    for p in parts[1:]:
-        every = every.unionByName(p)
-    return every.groupBy(key).agg(F.avg("calibrated").alias(out))
+    The folds' scores are one table, and so are their points and pools: the number of jobs does not grow with folds.
+    """
+    held, asked = [], []
+    for k, (scorer, mine) in enumerate(refitted(df, fold, folds, fit, together)):
+        held.append(mine.select(F.lit(k).alias("fold"), F.col("prob").cast("double").alias("s"), F.col(y).cast("double").alias("y")))
+        asked.append(scorer(new).select(F.lit(k).alias("fold"), key, F.col("prob").cast("double").alias("s")))
+    scored, asked = cut(reduce(DataFrame.unionByName, held), "held"), cut(reduce(DataFrame.unionByName, asked), "asked")
+    points = cut(scored.groupBy("fold", "s").agg(F.avg("y").alias("_y"), F.count("*").cast("double").alias("_w")), "points")
+    pools = cut(isotonic(points, ["fold"], "s", "_y", "_w"), "maps")
+    told = mapped(asked.join(pools, "fold", "left_semi").select("fold", "s").distinct(), pools, "fold").withColumnRenamed("value", out)
+    return asked.join(told, ["fold", "s"]).groupBy(key).agg(F.avg(out).alias(out))
